@@ -299,8 +299,17 @@ def filter_rows(df: DataFrame, *, null_in: str | None = None, equals: dict | Non
     return df.filter(cond)
 
 
+def round_to(col: Column, digits: int) -> Column:
+    """Round to ``digits`` decimals as ``round(x * 10^d) / 10^d`` in binary
+    floating point (half away from zero).  Bit-identical to the SQL engines
+    that round this way; ``F.round`` instead rounds the shortest decimal
+    string, which differs on values such as 32.1203125."""
+    m = float(10 ** digits)
+    return F.round(col.cast("double") * F.lit(m)) / F.lit(m)
+
+
 def round_stats(df: DataFrame, digits: int = 4, columns: Sequence[str] | None = None) -> DataFrame:
-    """FX22: round floating columns (HALF_UP, as DuckDB; pandas is half-even)."""
+    """FX22: round floating columns (see :func:`round_to`; pandas is half-even)."""
     cols = columns or [f.name for f in df.schema.fields
                        if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in cols}) if cols else df
+    return df.withColumns({c: round_to(F.col(f"`{c}`"), digits) for c in cols}) if cols else df

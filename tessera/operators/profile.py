@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.features import to_number
+from tessera.functions.features import round_to, to_number
 
 
 def _q(c: str) -> Column:
@@ -49,7 +49,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     long = wide.selectExpr("__n", f"stack({len(cols)}, {stack}) AS (column, missing_count)")
     return long.select(
         "column", F.col("missing_count").cast("bigint").alias("missing_count"),
-        F.round(F.try_divide(F.col("missing_count") * 100.0, F.col("__n")), 4)
+        round_to(F.try_divide(F.col("missing_count") * 100.0, F.col("__n")), 4)
          .alias("missing_percent"))
 
 
@@ -71,13 +71,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """
     from pyspark.sql import Window
     g = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
+    return g.withColumn("share", round_to(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
 
 
 def rate_by_group(df: DataFrame, group: str, target: str = "Churn") -> DataFrame:
     """AG5: mean of the 0/1 target and n per category, highest rate first."""
     return (df.groupBy(_q(group).alias(group))
-              .agg(F.round(F.avg(_q(target)), 4).alias("churn_rate"),
+              .agg(round_to(F.avg(_q(target)), 4).alias("churn_rate"),
                    F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("churn_rate"), F.asc(group)))
 
@@ -93,7 +93,7 @@ def rate_by_feature_value(df: DataFrame, columns: Sequence[str], values: Sequenc
     long = df.selectExpr(f"`{target}` AS __y", f"stack({len(columns)}, {stack}) AS (feature, value)")
     return (long.where(F.col("value").isin(list(values)))
                 .groupBy("feature", "value")
-                .agg(F.round(F.avg("__y"), 4).alias("churn_rate"),
+                .agg(round_to(F.avg("__y"), 4).alias("churn_rate"),
                      F.count(F.lit(1)).alias("n")))
 
 

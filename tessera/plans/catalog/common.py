@@ -12,7 +12,7 @@ R = 6  # decimals every floating result is rounded to, in Spark and in SQL
 
 
 def rnd(c, digits: int = R):
-    return F.round(c if not isinstance(c, str) else F.col(f"`{c}`"), digits)
+    return fx.round_to(c if not isinstance(c, str) else F.col(f"`{c}`"), digits)
 
 
 def encoded_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
