@@ -29,5 +29,5 @@ def register(name: str, sql: str | None = None, frames: tuple[str, ...] = ()):
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     from tessera.plans.catalog import (  # noqa: F401
-        features, learned, metrics, models, monitor, profile, quality, tuning, sources)
+        sqlgen, features, learned, metrics, models, monitor, profile, quality, tuning, sources)
     return REGISTRY

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.features import round_to
 from tessera.plans.config import ADDON_COLUMNS, PAYMENT_METHODS
 from tessera.session import table
 
@@ -130,7 +131,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         *SCORED_KEY,
         (F.col("l_returnflag") == "R").cast("int").alias("y"),
-        F.round(F.col("l_extendedprice") / SCORE_DIVISOR, 3).alias("p"),
+        round_to(F.col("l_extendedprice") / SCORE_DIVISOR, 3).alias("p"),
     )
 
 
