@@ -1 +1,200 @@
-"""Catalog entries."""
+"""Catalog: models (ML1-ML9), kNN (ML6, with oracle), CV and search (TU1,
+TU3, TU5-TU7, TU9) and batch scoring (SC1).  Models train on the
+``features`` frame; rows-only checks except kNN."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import knn
+from tessera.operators import models as ml
+from tessera.operators import split as sp
+from tessera.operators.learned import with_class_weight
+from tessera.plans import tune
+from tessera.plans.catalog import register
+from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, SEED, TARGET
+from tessera.session import table
+from tessera.sources import frames
+
+
+def _split(spark, sf):
+    return sp.stratified_holdout(frames.features(spark, sf), [ID_COLUMN], TARGET, 0.2, SEED)
+
+
+def _fit_predict(spark, sf, name, params=None, reduction=None):
+    d = _split(spark, sf).checkpoint()
+    train = d.where(~F.col("is_test"))
+    p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
+    if ml.uses_weights(name, p):
+        mode = "balanced" if p.get("class_weight") == "balanced" else float(p["scale_pos_weight"])
+        train = with_class_weight(train, TARGET, mode)
+    n = train.count()
+    model = ml.fit_pipeline(train, FEATURE_COLUMNS, name, params, reduction, TARGET, SEED, n)
+    return ml.predict(model, d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
+
+
+@register("ml1_logistic_regression")
+def ml1_logistic_regression(spark, sf):
+    return _fit_predict(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
+
+
+@register("ml2_decision_tree")
+def ml2_decision_tree(spark, sf):
+    return _fit_predict(spark, sf, "decision_tree", {"max_depth": 5, "criterion": "entropy"})
+
+
+@register("ml3_random_forest")
+def ml3_random_forest(spark, sf):
+    return _fit_predict(spark, sf, "random_forest", {"n_estimators": 30, "max_depth": 6,
+                                                     "max_features": 0.5})
+
+
+@register("ml4_boosted_trees")
+def ml4_boosted_trees(spark, sf):
+    return _fit_predict(spark, sf, "xgboost", {"n_estimators": 20, "max_depth": 3,
+                                               "learning_rate": 0.1, "subsample": 0.8})
+
+
+@register("ml5_svc_platt")
+def ml5_svc_platt(spark, sf):
+    return _fit_predict(spark, sf, "svc", {"C": 1.0, "max_iter": 30})
+
+
+@register("ml7_linear_threshold")
+def ml7_linear_threshold(spark, sf):
+    return _fit_predict(spark, sf, "linear_threshold", {"C": 1.0, "max_iter": 30})
+
+
+@register("ml8_pipeline_with_pca")
+def ml8_pipeline_with_pca(spark, sf):
+    return _fit_predict(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30},
+                        {"method": "pca", "n_components": 15})
+
+
+@register("ml9_tree_rules")
+def ml9_tree_rules(spark, sf):
+    d = with_class_weight(_split(spark, sf).where(~F.col("is_test")), TARGET, "balanced")
+    model = ml.fit_pipeline(d, FEATURE_COLUMNS, "decision_tree", {"max_depth": 4}, None, TARGET, SEED)
+    info = ml.tree_rules(model.stages[-1], FEATURE_COLUMNS, 3)
+    rows = [(i, line) for i, line in enumerate(info["rules"])]
+    return spark.createDataFrame(rows, "line int, rule string").withColumn(
+        "depth", F.lit(info["depth"])).withColumn("num_nodes", F.lit(info["num_nodes"]))
+
+
+# ---- ML6 kNN ---------------------------------------------------------------------------------
+def _dist_sql(metric):
+    x = "CAST(a.embedding[i] AS DOUBLE)"
+    y = "CAST(b.embedding[i] AS DOUBLE)"
+    term = f"({x} - {y}) * ({x} - {y})" if metric == "euclidean" else f"abs({x} - {y})"
+    s = f"list_reduce(list_transform(generate_series(1, len(a.embedding)), lambda i: {term}), lambda u, v: u + v)"
+    return f"sqrt({s})" if metric == "euclidean" else s
+
+
+def _knn_sql(k, metric, weights):
+    score = "sum(1.0)" if weights == "uniform" else \
+        "CASE WHEN max(CAST(dist = 0 AS INTEGER)) = 1 THEN sum(CAST(dist = 0 AS DOUBLE)) ELSE sum(1.0 / dist) END"
+    zero = "" if weights == "uniform" else ""
+    return f"""
+WITH pairs AS (SELECT a.vec_id AS qid, b.vec_id AS rid, b.label AS rlabel, {_dist_sql(metric)} AS dist
+               FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS rn FROM pairs)
+       WHERE rn <= {k}),
+z AS (SELECT qid, max(CAST(dist = 0 AS INTEGER)) AS has_zero FROM nn GROUP BY qid),
+votes AS (SELECT nn.qid, rlabel, sum(CASE WHEN z.has_zero = 1 THEN CAST(dist = 0 AS DOUBLE)
+                                          {'ELSE 1.0' if weights == 'uniform' else 'ELSE 1.0 / dist'} END) AS score
+          FROM nn JOIN z ON nn.qid = z.qid GROUP BY nn.qid, rlabel),
+pred AS (SELECT qid, rlabel AS pred FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rlabel)
+         AS r FROM votes) WHERE r = 1)
+SELECT e.vec_id, e.label, p.pred FROM embeddings e JOIN pred p ON e.vec_id = p.qid{zero}"""
+
+
+def _knn(spark, sf, k, metric, weights):
+    e = table(spark, sf, "embeddings")
+    nb = knn.knn_neighbors(e, e, k, metric)
+    if weights == "uniform":
+        # uniform votes ignore distances, except that exact matches win as with distance weights
+        pass
+    pred = knn.knn_predict(nb, weights)
+    return e.select("vec_id", "label").join(pred.withColumnRenamed("qid", "vec_id"), "vec_id")
+
+
+@register("ml6_knn_uniform_euclidean", _knn_sql(5, "euclidean", "uniform"))
+def ml6_knn_uniform_euclidean(spark, sf):
+    return _knn(spark, sf, 5, "euclidean", "uniform")
+
+
+@register("ml6_knn_distance_manhattan", _knn_sql(7, "manhattan", "distance"))
+def ml6_knn_distance_manhattan(spark, sf):
+    return _knn(spark, sf, 7, "manhattan", "distance")
+
+
+# ---- TU1 / TU3 / TU5 / TU6 / TU7 / TU9 ----------------------------------------------------------
+def _cv_frame(spark, sf):
+    d = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
+    return sp.stratified_kfold(d, [ID_COLUMN], TARGET, 5, SEED).checkpoint()
+
+
+@register("tu1_cross_validate")
+def tu1_cross_validate(spark, sf):
+    return tune.cross_validate(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression",
+                               {"C": 1.0, "max_iter": 30})
+
+
+@register("tu3_baseline_all")
+def tu3_baseline_all(spark, sf):
+    return tune.baseline_all(_cv_frame(spark, sf), FEATURE_COLUMNS,
+                             ["logistic_regression", "decision_tree", "linear_threshold"])
+
+
+def _draws_frame(spark, rows):
+    import json
+    return spark.createDataFrame(
+        [(r["draw"], json.dumps(r["params"], sort_keys=True), json.dumps(r.get("reduction")), r["objective"])
+         for r in rows], "draw int, params string, reduction string, objective double")
+
+
+@register("tu5_grid_search")
+def tu5_grid_search(spark, sf):
+    space = {"max_depth": {"type": "int", "low": 2, "high": 6},
+             "criterion": {"type": "categorical", "choices": ["gini", "entropy"]}}
+    rows = tune.grid_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "decision_tree", space)
+    return _draws_frame(spark, rows)
+
+
+@register("tu6_random_search")
+def tu6_random_search(spark, sf):
+    rows = tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", 3, SEED,
+                              fixed={"max_iter": 30})
+    return _draws_frame(spark, rows)
+
+
+@register("tu7_co_tune_reduction")
+def tu7_co_tune_reduction(spark, sf):
+    rows = tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", 3, SEED,
+                              co_tune_reduction=True, fixed={"max_iter": 30})
+    return _draws_frame(spark, rows)
+
+
+@register("tu9_stacking")
+def tu9_stacking(spark, sf):
+    best = tune.stacking(_cv_frame(spark, sf), FEATURE_COLUMNS,
+                         [("logistic_regression", {"C": 1.0, "max_iter": 30}), ("decision_tree", {"max_depth": 4}),
+                          ("linear_threshold", {"C": 1.0, "max_iter": 30})], meta_c=(0.01, 1.0))
+    rows = [(int(r["fold"]), float(r["roc_auc"] or 0.0), float(r["f1"])) for r in best["fold_metrics"]]
+    return spark.createDataFrame(rows, "fold int, roc_auc double, f1 double").withColumn(
+        "meta_C", F.lit(float(best["C"])))
+
+
+# ---- SC1 ---------------------------------------------------------------------------------------
+@register("sc1_score_batch")
+def sc1_score_batch(spark, sf):
+    """Train on the features frame, then score raw customers (a batch without
+    TotalCharges and with a few fields absent) through FX20 → FX23 → FX19."""
+    from tessera.operators.monitor import score_batch
+    d = with_class_weight(_split(spark, sf).where(~F.col("is_test")), TARGET, "balanced")
+    model = ml.fit_pipeline(d, FEATURE_COLUMNS, "decision_tree", {"max_depth": 5}, None, TARGET, SEED)
+    raw = frames.subscribers(spark, sf).drop("TotalCharges", "Churn", "PaymentMethod")
+    cats = {"InternetService": ["DSL", "Fiber optic", "No"],
+            "PaymentMethod": ["Bank transfer (automatic)", "Credit card (automatic)",
+                              "Electronic check", "Mailed check"]}
+    return score_batch(model, raw, FEATURE_COLUMNS, keep=[ID_COLUMN], categories=cats)

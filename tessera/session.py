@@ -21,6 +21,7 @@ def get_session(master: str | None = None, app: str = "tessera",
     master = master or os.environ.get("SPARK_MASTER", "local[8]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "6g"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
