@@ -124,15 +124,49 @@ def one_hot(df: DataFrame, column: str, categories: Sequence, prefix: str | None
     return df if keep_original else df.drop(column)
 
 
+def learn_categories_many(df: DataFrame, columns: Sequence[str],
+                          limit: int = MAX_ONE_HOT_CATEGORIES) -> dict[str, list]:
+    """Sorted distinct non-null values of several columns in ONE job.
+
+    The columns are unpivoted to (column, value), de-duplicated with a
+    partial + final aggregate and at most ``limit`` values per column (plus
+    one, to detect overflow) reach the driver.
+    """
+    if not columns:
+        return {}
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    pairs = (df.selectExpr(f"stack({len(columns)}, {stack}) AS (__c, __v)")
+               .where(F.col("__v").isNotNull()).distinct())
+    rows = pairs.limit(limit * len(columns) + 1).collect()
+    if len(rows) > limit * len(columns):
+        raise ValueError(f"one-hot of {list(columns)}: more than {limit} categories")
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        out[r["__c"]].append(r["__v"])
+    for c, vals in out.items():
+        if len(vals) > limit:
+            raise ValueError(f"one-hot of {c}: more than {limit} categories")
+        typ = df.schema[c].dataType.typeName()
+        cast = float if typ in ("double", "float") else int if typ in ("integer", "long", "short", "byte") else str
+        out[c] = sorted(cast(v) for v in vals)
+    return out
+
+
 def categorical_encode(df: DataFrame, specs: Sequence[dict],
                        categories: dict | None = None) -> DataFrame:
     """FX5-FX8: binary / ordinal / one-hot per spec; the original column dropped.
 
-    ``categories`` gives the one-hot categories per column; missing entries are
-    learned with :func:`learn_categories` (one small aggregate each).
+    ``categories`` gives the one-hot categories per column; the missing ones
+    are learned together in one small aggregate (:func:`learn_categories_many`).
     Unknown strategies raise at plan time (FX8, stricter than a warning).
     """
     categories = dict(categories or {})
+    for spec in specs:
+        if spec["strategy"] not in ("binary", "ordinal", "one_hot"):
+            raise ValueError(f"unknown categorical strategy {spec['strategy']!r} for {spec['column']}")
+    to_learn = [s["column"] for s in specs if s["strategy"] == "one_hot"
+                and s["column"] in df.columns and s["column"] not in categories]
+    categories.update(learn_categories_many(df, to_learn))
     for spec in specs:
         c, strategy = spec["column"], spec["strategy"]
         if c not in df.columns:
@@ -142,13 +176,8 @@ def categorical_encode(df: DataFrame, specs: Sequence[dict],
             df = df.withColumn(spec["new_column"], equals_flag(F.col(c), spec["positive_value"])).drop(c)
         elif strategy == "ordinal":
             df = df.withColumn(spec["new_column"], map_lookup(F.col(c), spec["ordinal_map"])).drop(c)
-        elif strategy == "one_hot":
-            cats = categories.get(c)
-            if cats is None:
-                cats = learn_categories(df, c)
-            df = one_hot(df, c, cats, spec.get("prefix"), spec.get("drop_first", False))
         else:
-            raise ValueError(f"unknown categorical strategy {strategy!r} for {c}")
+            df = one_hot(df, c, categories[c], spec.get("prefix"), spec.get("drop_first", False))
     return df
 
 

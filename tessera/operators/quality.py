@@ -71,57 +71,6 @@ def _in_set_cond(col: Column, values: Sequence) -> Column:
     return col.isin(list(values))
 
 
-def _check_struct(i: int, chk: Check, df: DataFrame, schema_cols: list[str]) -> Column:
-    """Struct of result fields for one check; aggregates only (used inside ``agg``)."""
-    n = F.count(F.lit(1))
-    typ, kw = chk.type, chk.kwargs
-    null = F.lit(None)
-    observed = null.cast("double")
-    if typ == "row_count_between":
-        lo, hi = kw.get("min_value"), kw.get("max_value")
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (n >= lo)
-        if hi is not None:
-            cond = cond & (n <= hi)
-        return F.struct(*_fields(i, chk, n, null, null, null, null, null, null,
-                                 n.cast("double"), cond))
-    if typ == "columns_match_set":
-        want = list(kw["column_set"])
-        ok = (set(want) == set(schema_cols)) if kw.get("exact_match", True) else set(want) <= set(schema_cols)
-        return F.struct(*_fields(i, chk, null, null, null, null, null, null, null, observed, F.lit(ok)))
-    key = chk.key
-    missing = F.count_if(_any_null(key))
-    nonmissing = n - missing
-    mostly = float(kw.get("mostly", 1.0))
-    c = _q(chk.column)
-    if typ == "not_null":
-        unexpected = missing
-        pct = _pct(unexpected, n)
-        success = F.when(n == 0, F.lit(True)).otherwise(
-            (n - unexpected).cast("double") / n >= F.lit(mostly))
-        return F.struct(*_fields(i, chk, n, missing, _pct(missing, n), unexpected, pct,
-                                 pct, _pct(unexpected, nonmissing), observed, success))
-    if typ == "in_set":
-        unexpected = F.count_if(c.isNotNull() & ~_in_set_cond(c, kw["value_set"]))
-    elif typ == "between":
-        bad = F.lit(False)
-        if kw.get("min_value") is not None:
-            bad = bad | (c < F.lit(kw["min_value"]))
-        if kw.get("max_value") is not None:
-            bad = bad | (c > F.lit(kw["max_value"]))
-        unexpected = F.count_if(c.isNotNull() & bad)
-    elif typ == "unique":
-        unexpected = F.first(_unique_dupes(df, key))
-    else:
-        raise ValueError(f"unknown check type {typ!r}")
-    pct_nm = _pct(unexpected, nonmissing)
-    success = F.when(nonmissing == 0, F.lit(True)).otherwise(
-        (nonmissing - unexpected).cast("double") / nonmissing >= F.lit(mostly))
-    return F.struct(*_fields(i, chk, n, missing, _pct(missing, n), unexpected, pct_nm,
-                             _pct(unexpected, n), pct_nm, observed, success))
-
-
 def _any_null(cols: Sequence[str]) -> Column:
     cond = F.lit(False)
     for k in cols:
@@ -129,37 +78,94 @@ def _any_null(cols: Sequence[str]) -> Column:
     return cond
 
 
-def _fields(i, chk, n, missing, missing_pct, unexpected, unexpected_pct, pct_total, pct_nm,
-            observed, success):
-    return [F.lit(i).alias("check_id"), F.lit(chk.type).alias("type"),
-            F.lit(chk.column).cast("string").alias("column"),
-            F.lit(json.dumps(chk.kwargs, sort_keys=True)).alias("kwargs"),
-            n.cast("bigint").alias("element_count"),
-            missing.cast("bigint").alias("missing_count"),
-            missing_pct.cast("double").alias("missing_percent"),
-            unexpected.cast("bigint").alias("unexpected_count"),
-            unexpected_pct.cast("double").alias("unexpected_percent"),
-            pct_total.cast("double").alias("unexpected_percent_total"),
-            pct_nm.cast("double").alias("unexpected_percent_nonmissing"),
-            observed.cast("double").alias("observed_value"),
-            success.cast("boolean").alias("success")]
+def _counts(i: int, chk: Check, df: DataFrame, cols: list[str]) -> tuple[list[Column], Column]:
+    """Aggregates needed by one check (named ``m{i}``/``u{i}``) and the
+    check's descriptor struct, which only references those names."""
+    typ, kw = chk.type, chk.kwargs
+    aggs: list[Column] = []
+    miss = unexp = F.lit(None).cast("bigint")
+    table_ok = F.lit(None).cast("boolean")
+    if typ == "row_count_between":
+        cond = F.lit(True)
+        if kw.get("min_value") is not None:
+            cond = cond & (F.col("__n") >= kw["min_value"])
+        if kw.get("max_value") is not None:
+            cond = cond & (F.col("__n") <= kw["max_value"])
+        table_ok = cond
+    elif typ == "columns_match_set":
+        want = set(kw["column_set"])
+        table_ok = F.lit(want == set(cols) if kw.get("exact_match", True) else want <= set(cols))
+    elif any(k not in cols for k in chk.key):
+        table_ok = F.lit(False)  # absent column: fails without touching the data
+    else:
+        c = _q(chk.column)
+        aggs.append(F.count_if(_any_null(chk.key)).alias(f"m{i}"))
+        miss = F.col(f"m{i}")
+        if typ == "not_null":
+            unexp = miss
+        elif typ == "in_set":
+            aggs.append(F.count_if(c.isNotNull() & ~c.isin(list(kw["value_set"]))).alias(f"u{i}"))
+            unexp = F.col(f"u{i}")
+        elif typ == "between":
+            bad = F.lit(False)
+            if kw.get("min_value") is not None:
+                bad = bad | (c < F.lit(kw["min_value"]))
+            if kw.get("max_value") is not None:
+                bad = bad | (c > F.lit(kw["max_value"]))
+            aggs.append(F.count_if(c.isNotNull() & bad).alias(f"u{i}"))
+            unexp = F.col(f"u{i}")
+        elif typ == "unique":
+            unexp = _unique_dupes(df, chk.key)
+        else:
+            raise ValueError(f"unknown check type {typ!r}")
+    desc = F.struct(F.lit(i).alias("check_id"), F.lit(typ).alias("type"),
+                    F.lit(chk.column).cast("string").alias("column"),
+                    F.lit(json.dumps(chk.kwargs, sort_keys=True)).alias("kwargs"),
+                    F.lit(float(kw.get("mostly", 1.0))).alias("mostly"),
+                    miss.cast("bigint").alias("missing"), unexp.cast("bigint").alias("unexpected"),
+                    table_ok.alias("table_ok"))
+    return aggs, desc
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """QC1-QC7: one row per check, from one aggregate over ``df``.
-
-    Column checks whose column is absent fail without touching the data
-    (``success`` false, counts NULL).
+    """QC1-QC7: one row per check.
+
+    One aggregate over ``df`` computes the row count and, per column check,
+    a NULL count and an unexpected count (flat named columns, so the
+    generated code stays small); each ``unique`` check is one grouped count
+    on its key, referenced as a scalar subquery.  The one-row result is
+    exploded into check rows and every ratio and verdict is one generic
+    expression over those rows.
     """
     cols = df.columns
-    structs = []
+    aggs, descs = [F.count(F.lit(1)).alias("__n")], []
     for i, chk in enumerate(checks):
-        if chk.column is not None and any(k not in cols for k in chk.key):
-            structs.append(F.struct(*_fields(i, chk, *([F.lit(None)] * 8), F.lit(False))))
-        else:
-            structs.append(_check_struct(i, chk, df, cols))
-    one = df.agg(F.array(*structs).alias("r"))
-    return one.select(F.explode("r").alias("r")).select("r.*")
+        a, d = _counts(i, chk, df, cols)
+        aggs += a
+        descs.append(d)
+    one = df.agg(*aggs)
+    rows = one.select(F.col("__n").alias("n"), F.explode(F.array(*descs)).alias("d")).select("n", "d.*")
+    n, miss, unexp = F.col("n"), F.col("missing"), F.col("unexpected")
+    is_table = F.col("type").isin("row_count_between", "columns_match_set")
+    not_null = F.col("type") == "not_null"
+    nonmissing = n - miss
+    den = F.when(not_null, n).otherwise(nonmissing)
+    verdict = F.when(den == 0, F.lit(True)).otherwise(
+        (den - unexp).cast("double") / den >= F.col("mostly"))
+    success = F.when(is_table | F.col("table_ok").isNotNull(), F.col("table_ok")).otherwise(verdict)
+    counted = miss.isNotNull()
+    return rows.select(
+        "check_id", "type", "column", "kwargs",
+        F.when(F.col("type") == "columns_match_set", F.lit(None)).when(
+            counted | (F.col("type") == "row_count_between"), n).cast("bigint").alias("element_count"),
+        miss.alias("missing_count"),
+        _pct(miss, n).alias("missing_percent"),
+        unexp.alias("unexpected_count"),
+        _pct(unexp, den).alias("unexpected_percent"),
+        _pct(unexp, n).alias("unexpected_percent_total"),
+        _pct(unexp, nonmissing).alias("unexpected_percent_nonmissing"),
+        F.when(F.col("type") == "row_count_between", n.cast("double")).alias("observed_value"),
+        success.cast("boolean").alias("success"))
 
 
 def run_suite(df: DataFrame, suite: dict) -> DataFrame:
