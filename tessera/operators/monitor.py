@@ -37,12 +37,15 @@ def assign_batches(df: DataFrame, key: Sequence[str], n_batches: int, seed=13,
 
 def metrics_by_batch(df: DataFrame, y: str = "y", p: str = "p", batch: str = "batch",
                      threshold: float = 0.5) -> DataFrame:
-    """SC4: AUC, F1, precision, recall, accuracy, real and predicted rate per batch."""
+    """SC4: AUC, F1, precision, recall, accuracy, real and predicted rate per
+    batch.  The rates come from the same confusion counts (real = (tp+fn)/n,
+    predicted = (tp+fp)/n), so the batch frame is aggregated once plus the
+    grouped AUC."""
     m = classification_metrics(df, y, p, threshold=threshold, by=[batch])
-    rates = df.groupBy(batch).agg(F.avg(F.col(y).cast("double")).alias("rate_real"),
-                                  F.avg((F.col(p) >= threshold).cast("double")).alias("rate_predicted"))
-    return m.join(rates, batch).select(batch, "roc_auc", "f1", "precision", "recall", "accuracy",
-                                       "rate_real", "rate_predicted")
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return m.select(batch, "roc_auc", "f1", "precision", "recall", "accuracy",
+                    ((F.col("tp") + F.col("fn")) / n).alias("rate_real"),
+                    ((F.col("tp") + F.col("fp")) / n).alias("rate_predicted"))
 
 
 def moving_average(per_batch: DataFrame, value: str, window: int, batch: str = "batch",

@@ -198,3 +198,107 @@ def sc1_score_batch(spark, sf):
             "PaymentMethod": ["Bank transfer (automatic)", "Credit card (automatic)",
                               "Electronic check", "Mailed check"]}
     return score_batch(model, raw, FEATURE_COLUMNS, keep=[ID_COLUMN], categories=cats)
+
+
+# ---- FR2 / FR3 / FR4, LN7 --------------------------------------------------------------------
+from tessera.operators import reduce as fr  # noqa: E402
+from tessera.operators import metrics as me  # noqa: E402
+from tessera.plans.config import PCA_COMPONENTS, RFE_FEATURES, SCALE_COLUMNS  # noqa: E402
+
+
+@register("fr2_pca")
+def fr2_pca(spark, sf):
+    d = _split(spark, sf).checkpoint()
+    proj = fr.fit_pca(d.where(~F.col("is_test")), FEATURE_COLUMNS, PCA_COMPONENTS)
+    return proj.transform(d, keep=[ID_COLUMN])
+
+
+@register("fr3_lda")
+def fr3_lda(spark, sf):
+    d = _split(spark, sf).checkpoint()
+    proj = fr.fit_lda(d.where(~F.col("is_test")), FEATURE_COLUMNS, TARGET)
+    return proj.transform(d, keep=[ID_COLUMN, TARGET])
+
+
+@register("fr4_rfe")
+def fr4_rfe(spark, sf):
+    d = _split(spark, sf).where(~F.col("is_test")).checkpoint()
+    keep = fr.rfe(d, FEATURE_COLUMNS, TARGET, RFE_FEATURES, ranker="ridge")
+    return spark.createDataFrame(list(enumerate(keep)), "rank int, feature string")
+
+
+@register("ln7_column_transformer")
+def ln7_column_transformer(spark, sf):
+    from tessera.operators import learned as ln
+    d = frames.features(spark, sf)
+    scaler = ln.RobustScaler(["tenure", "MonthlyCharges", "TotalCharges"]).fit(d)
+    onehot = ln.OneHotLearned(["contract_encoded"]).fit(d)
+    out = ln.column_transformer(d, [(scaler, ["tenure", "MonthlyCharges", "TotalCharges"]),
+                                    (onehot, ["contract_encoded"])], passthrough=["SeniorCitizen"])
+    from pyspark.ml.functions import vector_to_array
+    return out.select(ID_COLUMN, vector_to_array("features").alias("features"))
+
+
+# ---- ME9 / ME10 / ME12 / ME16 ----------------------------------------------------------------
+def _fitted(spark, sf, name, params):
+    d = _split(spark, sf).checkpoint()
+    train = d.where(~F.col("is_test"))
+    p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
+    if ml.uses_weights(name, p):
+        train = with_class_weight(train, TARGET, "balanced" if p.get("class_weight") == "balanced"
+                                  else float(p["scale_pos_weight"]))
+    model = ml.fit_pipeline(train, FEATURE_COLUMNS, name, params, None, TARGET, SEED, train.count())
+    return d, model
+
+
+@register("me9_feature_importance")
+def me9_feature_importance(spark, sf):
+    _, model = _fitted(spark, sf, "random_forest", {"n_estimators": 30, "max_depth": 6})
+    rows = ml.feature_importance(model.stages[-1], FEATURE_COLUMNS)
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+        F.desc("importance")).limit(15)
+
+
+@register("me10_permutation_importance")
+def me10_permutation_importance(spark, sf):
+    d, model = _fitted(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
+    test = d.where(F.col("is_test"))
+    return me.permutation_importance(model, test, FEATURE_COLUMNS, [ID_COLUMN], TARGET, repeats=5)
+
+
+@register("me12_holdout_evaluation")
+def me12_holdout_evaluation(spark, sf):
+    d, model = _fitted(spark, sf, "decision_tree", {"max_depth": 5})
+    parts = []
+    for name, part in (("holdout", d.where(F.col("is_test"))), ("train", d.where(~F.col("is_test")))):
+        pr = ml.predict(model, part, keep=[TARGET]).withColumnRenamed(TARGET, "y")
+        parts.append(me.classification_metrics(pr).withColumn("split", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
+@register("me16_coefficients_table")
+def me16_coefficients_table(spark, sf):
+    _, model = _fitted(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
+    lr = model.stages[-1]
+    rows = [(f, float(c)) for f, c in zip(FEATURE_COLUMNS, lr.coefficients.toArray())]
+    rows.append(("intercept", float(lr.intercept)))
+    t = spark.createDataFrame(rows, "feature string, coefficient double")
+    return t.orderBy(F.desc(F.abs("coefficient"))).limit(15)
+
+
+# ---- RG1 / RG5 ---------------------------------------------------------------------------------
+@register("rg1_rg5_registry_roundtrip")
+def rg1_rg5_registry_roundtrip(spark, sf):
+    """Log a CV run, promote its model, load the current version back and score."""
+    from tessera.plans import registry as rg
+    from tessera.sources.io import scratch_dir
+    root = scratch_dir(spark, "registry")
+    cv = _cv_frame(spark, sf)
+    fm = tune.cross_validate(cv, FEATURE_COLUMNS, "decision_tree", {"max_depth": 4})
+    summary = tune.summarize(fm)
+    rg.log_run(spark, root, "run-1", "decision_tree", {"max_depth": 4}, fm, summary)
+    d, model = _fitted(spark, sf, "decision_tree", {"max_depth": 4})
+    rg.promote_if_better(spark, root, "run-1", "decision_tree", summary["cv_roc_auc_mean"],
+                         summary["cv_f1_mean"], model)
+    loaded = rg.load_model(spark, root)
+    return ml.predict(loaded, d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
