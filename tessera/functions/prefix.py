@@ -33,24 +33,45 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+def edge_values(df: DataFrame, cols: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
+                accuracy: int = 10000) -> dict[str, list[float]]:
+    """Approximate-percentile bucket edges per column, from ONE aggregate.
+
+    At most ``n_buckets - 1`` doubles per column reach the driver (a bound
+    fixed by the caller, not by the data).
+    """
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    row = df.agg(*[F.percentile_approx(_q(c).cast("double"), probs, accuracy).alias(f"e{i}")
+                   for i, c in enumerate(cols)]).first()
+    return {c: sorted({e for e in (row[f"e{i}"] or []) if e is not None and e == e})
+            for i, c in enumerate(cols)}
+
+
+def bucketize(df: DataFrame, cols: Sequence[str], edges: dict[str, list[float]],
+              outs: Sequence[str]) -> DataFrame:
+    """Bucket ids by binary search over the edges (Spark ML ``Bucketizer``,
+    JVM-side), monotone in each column; NULL/NaN go to an extra last bucket."""
+    from pyspark.ml.feature import Bucketizer
+    tmp = [f"__bz{i}" for i in range(len(cols))]
+    splits = [[float("-inf")] + (edges[c] or [0.0]) + [float("inf")] for c in cols]
+    src = df.withColumns({t: F.coalesce(_q(c).cast("double"), F.lit(float("nan")))
+                          for t, c in zip(tmp, cols)})
+    out = Bucketizer(splitsArray=splits, inputCols=tmp, outputCols=[f"{t}_b" for t in tmp],
+                     handleInvalid="keep").transform(src)
+    return out.withColumns({o: F.col(f"{t}_b").cast("int") for o, t in zip(outs, tmp)}) \
+              .drop(*tmp, *[f"{t}_b" for t in tmp])
+
+
 def with_edge_buckets(df: DataFrame, x: str, per: Sequence[str] = (),
                       n_buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
-    """Add ``__bkt`` = number of approximate-percentile edges below ``x``.
+    """Add ``__bkt``: the approximate-percentile bucket of ``x``.
 
-    Edges are computed per ``per`` group (e.g. per column of a long table) by
-    one aggregate; the edge table has one row per group, each holding
-    ``n_buckets - 1`` doubles.  Monotone in ``x`` within a group.
+    The edges are global (one small aggregate, collected), so the bucket is
+    monotone in ``x`` inside every ``per`` group as well; groups only change
+    how evenly rows spread over buckets, never correctness.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.groupBy(*[_q(c) for c in per]).agg(
-        F.percentile_approx(_q(x).cast("double"), probs, accuracy).alias("__edges"))
-    if per:
-        j = df.join(edges, list(per), "left")
-    else:
-        # one row: a scalar subquery instead of a join
-        j = df.withColumn("__edges", edges.select("__edges").scalar())
-    bucket = F.size(F.filter(F.col("__edges"), lambda e: e < _q(x).cast("double")))
-    return j.withColumn(BUCKET, F.coalesce(bucket, F.lit(0))).drop("__edges")
+    edges = edge_values(df, [x], n_buckets, accuracy)
+    return bucketize(df, [x], edges, [BUCKET])
 
 
 def with_hash_bucket(df: DataFrame, hex_col: str, digits: int = HASH_BUCKET_HEX) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.prefix import prefix_sums, with_edge_buckets
+from tessera.functions.prefix import BUCKET, bucketize, edge_values, prefix_sums
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -26,11 +26,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     NULLs are skipped; a group with no values is absent.
     """
     by = list(by)
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
-    long = df.selectExpr(*[f"`{b}`" for b in by],
-                         f"stack({len(columns)}, {stack}) AS (column, x)").where("x IS NOT NULL")
-    vc = long.groupBy(*by, "column", "x").agg(F.count(F.lit(1)).alias("c"))
-    vc = with_edge_buckets(vc, "x", per=["column"], n_buckets=n_buckets)
+    edges = edge_values(df, columns, n_buckets)
+    bcols = [f"__b{i}" for i in range(len(columns))]
+    wide = bucketize(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*by, *columns])]),
+                     columns, edges, bcols)
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE), {b}" for c, b in zip(columns, bcols))
+    long = wide.selectExpr(*[f"`{b}`" for b in by],
+                           f"stack({len(columns)}, {stack}) AS (column, x, {BUCKET})").where("x IS NOT NULL")
+    vc = long.groupBy(*by, "column", "x", BUCKET).agg(F.count(F.lit(1)).alias("c"))
     ps = prefix_sums(vc, ["x"], ["c"], by + ["column"])
     # each distinct value covers 0-based ranks [cum_c - c, cum_c)
     hits = []
