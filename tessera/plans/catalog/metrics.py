@@ -13,6 +13,7 @@ from tessera.plans.catalog.common import rnd
 from tessera.plans.catalog.sqlgen import (HASH_KEY_SQL, KEY_SQL, auc_sql, cls_metrics_sql,
                                           counts_sql, rank_sql, rates_sql)
 from tessera.plans.config import ID_COLUMN, SEED, TARGET
+from tessera.session import materialize
 from tessera.sources import frames, scorers
 from tessera.sources.frames import SCORED_KEY
 
@@ -185,7 +186,8 @@ batched AS (SELECT *, CAST(ntile({N_BATCHES}) OVER (ORDER BY md5('{SEED}-' || {H
 
 
 def _batched(spark, sf):
-    return sc.assign_batches(_scored(spark, sf), SCORED_KEY, N_BATCHES, SEED)
+    # batch assignment is read by several aggregates: materialise it once
+    return materialize(sc.assign_batches(_scored(spark, sf), SCORED_KEY, N_BATCHES, SEED))
 
 
 @register("sc3_assign_batches", "WITH " + _BATCHED + """

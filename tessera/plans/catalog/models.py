@@ -13,7 +13,7 @@ from tessera.operators.learned import with_class_weight
 from tessera.plans import tune
 from tessera.plans.catalog import register
 from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, SEED, TARGET
-from tessera.session import table
+from tessera.session import materialize, table
 from tessera.sources import frames
 
 
@@ -22,7 +22,7 @@ def _split(spark, sf):
 
 
 def _fit_predict(spark, sf, name, params=None, reduction=None):
-    d = _split(spark, sf).checkpoint()
+    d = materialize(_split(spark, sf))
     train = d.where(~F.col("is_test"))
     p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
     if ml.uses_weights(name, p):
@@ -131,7 +131,7 @@ def ml6_knn_distance_manhattan(spark, sf):
 # ---- TU1 / TU3 / TU5 / TU6 / TU7 / TU9 ----------------------------------------------------------
 def _cv_frame(spark, sf):
     d = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
-    return sp.stratified_kfold(d, [ID_COLUMN], TARGET, 5, SEED).checkpoint()
+    return materialize(sp.stratified_kfold(d, [ID_COLUMN], TARGET, 5, SEED))
 
 
 @register("tu1_cross_validate")
@@ -208,21 +208,21 @@ from tessera.plans.config import PCA_COMPONENTS, RFE_FEATURES, SCALE_COLUMNS  #
 
 @register("fr2_pca")
 def fr2_pca(spark, sf):
-    d = _split(spark, sf).checkpoint()
+    d = materialize(_split(spark, sf))
     proj = fr.fit_pca(d.where(~F.col("is_test")), FEATURE_COLUMNS, PCA_COMPONENTS)
     return proj.transform(d, keep=[ID_COLUMN])
 
 
 @register("fr3_lda")
 def fr3_lda(spark, sf):
-    d = _split(spark, sf).checkpoint()
+    d = materialize(_split(spark, sf))
     proj = fr.fit_lda(d.where(~F.col("is_test")), FEATURE_COLUMNS, TARGET)
     return proj.transform(d, keep=[ID_COLUMN, TARGET])
 
 
 @register("fr4_rfe")
 def fr4_rfe(spark, sf):
-    d = _split(spark, sf).where(~F.col("is_test")).checkpoint()
+    d = materialize(_split(spark, sf).where(~F.col("is_test")))
     keep = fr.rfe(d, FEATURE_COLUMNS, TARGET, RFE_FEATURES, ranker="ridge")
     return spark.createDataFrame(list(enumerate(keep)), "rank int, feature string")
 
@@ -241,7 +241,7 @@ def ln7_column_transformer(spark, sf):
 
 # ---- ME9 / ME10 / ME12 / ME16 ----------------------------------------------------------------
 def _fitted(spark, sf, name, params):
-    d = _split(spark, sf).checkpoint()
+    d = materialize(_split(spark, sf))
     train = d.where(~F.col("is_test"))
     p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
     if ml.uses_weights(name, p):

@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 from tessera.operators import metrics as me
 from tessera.operators.learned import with_class_weight
 from tessera.operators.models import SEARCH_SPACES, fit_pipeline, predict, uses_weights, DEFAULTS
@@ -150,7 +152,7 @@ def stacking(df: DataFrame, features: Sequence[str], base: Sequence[tuple[str, d
         p = oof_predictions(df, features, name, params, None, label, key, fold, seed, parallelism) \
             .select(*key, fold, "y", F.col("p").alias(f"p{i}"))
         oof = p if oof is None else oof.join(p.drop("y", fold), list(key))
-    oof = oof.checkpoint()
+    oof = materialize(oof)
     meta_feats = [f"p{i}" for i in range(len(base))]
     best = None
     for c in meta_c:

@@ -55,3 +55,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables, read lazily (pruning and pushdown apply)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and return the frame read
+    from there (lineage cut: a lost executor re-reads files instead of
+    recomputing the plan).
+
+    The plan is persisted for the duration of the write, so the reliable
+    checkpoint (which writes in a second job) reads the persisted blocks
+    instead of computing the plan twice; the blocks are released afterwards.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

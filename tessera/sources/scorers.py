@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.features import round_to
 from tessera.operators.split import stratified_kfold
-from tessera.session import table
+from tessera.session import materialize, table
 from tessera.sources.frames import SCORED_KEY
 
 # FIXED VALUES: candidate score definitions (name -> expression over lineitem)
@@ -40,7 +40,9 @@ def long_scores(spark: SparkSession, sf_dir: str, with_folds: bool = True) -> Da
     """(key, y, fold, model, p): one row per lineitem row and candidate."""
     w = wide_scores(spark, sf_dir)
     if with_folds:
-        w = stratified_kfold(w, SCORED_KEY, "y", N_FOLDS, FOLD_SEED)
+        # the fold table is reused by every evaluation: materialise it once in
+        # the shared checkpoint folder (lineage cut, survives executor loss)
+        w = materialize(stratified_kfold(w, SCORED_KEY, "y", N_FOLDS, FOLD_SEED))
     ids = SCORED_KEY + ["y"] + (["fold"] if with_folds else [])
     return w.unpivot(ids, list(CANDIDATES), "model", "p")
 
