@@ -9,7 +9,7 @@ restarted job resumes exactly where it stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,13 +56,25 @@ def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType |
     (window_start, window_end, by..., metrics).
     """
     src = (spark.readStream.schema(schema).parquet(stream_path(spark, source_dir))
-           .withColumn("ts", F.col("ts").cast("timestamp")))
+           .withColumn("ts", as_utc_instant(F.col("ts"))))
     run_available(window_metrics(src, "ts", window, watermark, by), sink_path, checkpoint)
     out = spark.read.parquet(sink_path)
-    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+    return out.select(utc_wall_clock(F.col("window.start")).alias("window_start"),
+                      utc_wall_clock(F.col("window.end")).alias("window_end"),
                       *by, "n", "n_error", "value_sum", "value_min", "value_max")
 
 
+def as_utc_instant(ntz: Column) -> Column:
+    """TIMESTAMP_NTZ read as a UTC wall clock → TIMESTAMP (instant), whatever
+    the session time zone (watermarks need TIMESTAMP)."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ntz.cast("timestamp_ntz")).cast("timestamp")
+
+
+def utc_wall_clock(ts: Column) -> Column:
+    """TIMESTAMP (instant) → its UTC wall clock as TIMESTAMP_NTZ."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def stream_ingest(spark: SparkSession, csv_dir: str, schema: T.StructType | str, output_path: str,
                   checkpoint: str, compression: str = "snappy") -> DataFrame:
     """IO11: CSV files appended to a Parquet table as they arrive (file source,
