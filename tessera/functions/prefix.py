@@ -121,11 +121,14 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed, by: Sequence[str] =
     """0-based rank of each row within ``by`` in md5(seed-key) order (ties by key),
     plus ``group_n``, the size of its group.  No single-partition sort."""
     h = df.withColumn("__h", hash_order(seed, key_cols)).withColumn("__one", F.lit(1))
+    # the first 15 hex digits as a non-negative long: same order as the md5
+    # string on those digits, compared as a primitive; md5 and key break ties
+    h = h.withColumn("__hl", F.conv(F.substring("__h", 1, 15), 16, 10).cast("bigint"))
     h = with_hash_bucket(h, "__h")
-    r = prefix_sums(h, ["__h", *key_cols], ["__one"], by)
+    r = prefix_sums(h, ["__hl", "__h", *key_cols], ["__one"], by)
     return (r.withColumn(rank_col, (F.col("cum___one") - 1).cast("bigint"))
              .withColumn("group_n", F.col("tot___one").cast("bigint"))
-             .drop("__h", "__one", BUCKET, "cum___one", "tot___one"))
+             .drop("__h", "__hl", "__one", BUCKET, "cum___one", "tot___one"))
 
 
 def ordered_rank(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
