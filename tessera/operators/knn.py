@@ -55,20 +55,22 @@ def _block_topk(k: int, metric: str, exclude_self: bool):
         if exclude_self:
             d[qid[:, None] == rid[None, :]] = np.inf
         kk = min(k, r.shape[0])
-        out_q, out_r, out_d = [], [], []
-        for i in range(q.shape[0]):
-            order = np.lexsort((rid, d[i]))[:kk]
-            order = order[np.isfinite(d[i][order])]
-            out_q.append(np.full(len(order), qid[i]))
-            out_r.append(rid[order])
-            out_d.append(d[i][order])
-        if not out_q:
-            return pd.DataFrame({c: [] for c in cols})
-        rr = np.concatenate(out_r)
-        lab = pd.Series(rdf["label"].to_numpy(), index=rid)
-        return pd.DataFrame({"qid": np.concatenate(out_q).astype("int64"), "rid": rr.astype("int64"),
-                             "rlabel": lab.loc[rr].to_numpy().astype("int32"),
-                             "dist": np.concatenate(out_d)})
+        # exact top-k without a sort per query: the kk-th smallest distance of
+        # each row is its cut, every reference at or below the cut (ties at
+        # the cut included) is a candidate, and only the candidates are
+        # ordered by (query, distance, reference id)
+        cut = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+        cut = np.where(np.isnan(cut), np.inf, cut)
+        qi, ri = np.nonzero(d <= cut[:, None])
+        dd = d[qi, ri]
+        order = np.lexsort((rid[ri], dd, qi))
+        qi, ri, dd = qi[order], ri[order], dd[order]
+        pos = np.arange(len(qi)) - np.searchsorted(qi, qi, side="left")
+        keep = (pos < kk) & np.isfinite(dd)
+        qi, ri, dd = qi[keep], ri[keep], dd[keep]
+        return pd.DataFrame({"qid": qid[qi].astype("int64"), "rid": rid[ri].astype("int64"),
+                             "rlabel": rdf["label"].to_numpy()[ri].astype("int32"),
+                             "dist": dd.astype("float64")})
     return fn
 
 

@@ -66,12 +66,12 @@ def missing_explained_by(df: DataFrame, missing_col: Column, condition: Column)
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """AG4: count and share per value (NULL counted as its own value).
 
-    The total is a window over the tiny grouped result (one row per value),
-    not over input rows.
+    The total is a scalar subquery over the grouped result: a column with
+    many distinct values never meets in one task (no unpartitioned window),
+    and no join with a one-row table is needed.
     """
-    from pyspark.sql import Window
     g = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("share", round_to(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
+    return g.withColumn("share", round_to(F.col("n") / g.agg(F.sum("n")).scalar(), 4))
 
 
 def rate_by_group(df: DataFrame, group: str, target: str = "Churn") -> DataFrame:

@@ -29,6 +29,7 @@ from tessera.plans.selection import expand_grid
 
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
+MAX_FOLD_THREADS = 10
 
 
 def _prepare(df: DataFrame, label: str, name: str, params: dict) -> DataFrame:
@@ -41,7 +42,7 @@ def _prepare(df: DataFrame, label: str, name: str, params: dict) -> DataFrame:
 
 def oof_predictions(df: DataFrame, features: Sequence[str], name: str, params: dict | None = None,
                     reduction: dict | None = None, label: str = "Churn", key: Sequence[str] = ("customerID",),
-                    fold: str = "fold", seed: int = 13, parallelism: int = 4) -> DataFrame:
+                    fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> DataFrame:
     """Out-of-fold predictions: for every fold, fit on the other folds and
     score this one; the per-fold results are unioned (key, fold, y, p, yhat)."""
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
@@ -55,7 +56,10 @@ def oof_predictions(df: DataFrame, features: Sequence[str], name: str, params: d
         test = df.where(F.col(fold) == f)
         return predict(model, test, keep=[*key, fold, label])
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+    # one driver thread per fold by default: every fold fit is submitted at
+    # once, so the cluster scheduler (not the driver) decides the overlap
+    workers = parallelism or min(len(folds), MAX_FOLD_THREADS)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as ex:
         parts = list(ex.map(one, folds))
     out = parts[0]
     for p in parts[1:]:
@@ -65,7 +69,7 @@ def oof_predictions(df: DataFrame, features: Sequence[str], name: str, params: d
 
 def cross_validate(df: DataFrame, features: Sequence[str], name: str, params: dict | None = None,
                    reduction: dict | None = None, label: str = "Churn", key=("customerID",),
-                   fold: str = "fold", seed: int = 13, parallelism: int = 4) -> DataFrame:
+                   fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> DataFrame:
     """TU1: five metrics per fold (one grouped metrics job over all folds)."""
     oof = oof_predictions(df, features, name, params, reduction, label, key, fold, seed, parallelism)
     m = me.classification_metrics(oof, "y", "p", by=[fold])
@@ -143,7 +147,7 @@ def random_search(df: DataFrame, features: Sequence[str], name: str, n_iter: int
 
 def stacking(df: DataFrame, features: Sequence[str], base: Sequence[tuple[str, dict]],
              meta_c: Sequence[float] = (1e-2, 1.0, 1e2), label: str = "Churn", key=("customerID",),
-             fold: str = "fold", seed: int = 13, parallelism: int = 4) -> dict:
+             fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> dict:
     """TU9: out-of-fold probabilities of the base learners (joined on the key)
     feed a logistic meta-model (no pass-through) whose C is tuned by CV on
     the out-of-fold table.  Returns the best C and its fold metrics."""
