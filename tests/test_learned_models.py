@@ -101,6 +101,31 @@ def test_knn_matches_bruteforce(spark):
         assert pred[i] == int(np.argmax(counts))
 
 
+def test_knn_block_topk_ties_match_sort():
+    """Per-block top-k (partition + candidate sort) equals a full sort by
+    (distance, reference id), including ties at the cut and the self row."""
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        nq, nr, dim, k = (int(x) for x in (rng.integers(1, 25), rng.integers(1, 25),
+                                           rng.integers(1, 4), rng.integers(1, 8)))
+        qv = rng.integers(0, 3, (nq, dim)).astype(float)
+        rv = rng.integers(0, 3, (nr, dim)).astype(float)
+        qid, rid = rng.permutation(50)[:nq], rng.permutation(50)[:nr]
+        qdf = pd.DataFrame({"id": qid, "vec": list(qv)})
+        rdf = pd.DataFrame({"id": rid, "vec": list(rv), "label": rng.integers(0, 2, nr)})
+        for metric in ("euclidean", "manhattan"):
+            out = knn._block_topk(k, metric, True)(qdf, rdf)
+            want = []
+            for i in range(nq):
+                diff = qv[i] - rv
+                dist = (np.sqrt((diff * diff).sum(axis=1)) if metric == "euclidean"
+                        else np.abs(diff).sum(axis=1))
+                dist[rid == qid[i]] = np.inf
+                order = [j for j in np.lexsort((rid, dist))[:k] if np.isfinite(dist[j])]
+                want += [(qid[i], rid[j]) for j in order]
+            assert list(zip(out.qid, out.rid)) == want
+
+
 def test_expand_grid():
     g = sel.expand_grid({"a": {"type": "categorical", "choices": ["x", "y"]},
                          "b": {"type": "int", "low": 1, "high": 3},
