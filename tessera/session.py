@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,18 +59,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return the frame read
-    from there (lineage cut: a lost executor re-reads files instead of
-    recomputing the plan).
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return the frame read from there.
 
-    The plan is persisted for the duration of the write, so the reliable
-    checkpoint (which writes in a second job) reads the persisted blocks
-    instead of computing the plan twice; the blocks are released afterwards.
+    The lineage is cut (a lost executor re-reads files instead of recomputing
+    the plan) and the plan runs once.  Reading the table back, the file source
+    sizes partitions by ``spark.sql.files.maxPartitionBytes``, so a small
+    frame becomes a few partitions and a large one stays spread; filters and
+    column pruning of later plans reach the scan.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
