@@ -3,15 +3,15 @@
 Exact kNN compares every query with every reference vector; the plan keeps
 that work spread evenly and never materialises one row per pair:
 
-1. queries and references are split into B hash blocks each (balanced
-   whatever the labels; B from the row count);
-2. every query row is sent to the B reference blocks (``explode`` of the
-   block ids — a generate, not a join) and every reference row to the B
+1. queries and references are split into hash blocks (balanced whatever
+   the labels; Bq and Br from each side's row count);
+2. every query row is sent to the Br reference blocks (``explode`` of the
+   block ids — a generate, not a join) and every reference row to the Bq
    query blocks, then ``cogroup`` on (query block, reference block) gives
    one task per block pair;
 3. inside the task numpy computes the block's distance matrix and keeps
    only the k best references per query (ties by reference id);
-4. a grouped merge per query keeps the global k best of the B × k
+4. a grouped merge per query keeps the global k best of the Br × k
    candidates, and the vote is an aggregate over those k rows.
 
 Distances are accumulated dimension by dimension in float64, left to right,
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 ROWS_PER_BLOCK = 4096
 
 
-def n_blocks(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
-    return max(1, math.ceil(n_rows / rows_per_block))
+def n_blocks(n_rows: int, rows_per_block: int | None = None) -> int:
+    return max(1, math.ceil(n_rows / (rows_per_block or ROWS_PER_BLOCK)))
 
 
 def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
@@ -77,16 +77,24 @@ def _block_topk(k: int, metric: str, exclude_self: bool):
 def knn_neighbors(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclidean",
                   id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                   exclude_self: bool = True, blocks: int | None = None) -> DataFrame:
-    """(qid, rid, rlabel, dist, rank) for the k nearest references of every query."""
+    """(qid, rid, rlabel, dist, rank) for the k nearest references of every query.
+
+    Each side gets its own block count (from its own row count), and every
+    row is copied once per block of the *other* side: a small query set
+    scored against a large reference set copies only the queries, never
+    the references.
+    """
     if blocks is None:
-        blocks = n_blocks(max(queries.count(), refs.count()))
-    qb = F.abs(F.xxhash64(F.col(id_col), F.lit(1))) % blocks
-    rb = F.abs(F.xxhash64(F.col(id_col), F.lit(2))) % blocks
+        bq, br = n_blocks(queries.count()), n_blocks(refs.count())
+    else:
+        bq = br = blocks
+    qb = F.abs(F.xxhash64(F.col(id_col), F.lit(1))) % bq
+    rb = F.abs(F.xxhash64(F.col(id_col), F.lit(2))) % br
     q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
-                       qb.alias("qb")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                       qb.alias("qb")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
     r = refs.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
                     F.col(label_col).cast("int").alias("label"), rb.alias("rb")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     cand = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
              .applyInPandas(_block_topk(k, metric, exclude_self),
                             "qid long, rid long, rlabel int, dist double"))

@@ -101,6 +101,28 @@ def test_knn_matches_bruteforce(spark):
         assert pred[i] == int(np.argmax(counts))
 
 
+def test_knn_small_queries_against_many_references(spark, monkeypatch):
+    """Separate block counts per side (1 query block, 8 reference blocks)
+    give the same neighbours as brute force."""
+    monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 16)
+    rng = np.random.default_rng(7)
+    nr, nq, d = 120, 10, 3
+    rv = rng.integers(0, 4, (nr, d)).astype(np.float32)
+    qv = rng.integers(0, 4, (nq, d)).astype(np.float32)
+    refs = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(nr), "embedding": list(rv),
+                                               "label": rng.integers(0, 2, nr)}),
+                                 "vec_id long, embedding array<float>, label int")
+    qs = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(1000, 1000 + nq), "embedding": list(qv),
+                                             "label": np.zeros(nq, dtype=int)}),
+                               "vec_id long, embedding array<float>, label int")
+    got = sorted((r.qid, r.rank, r.rid) for r in knn.knn_neighbors(qs, refs, 4, "manhattan").collect())
+    want = []
+    for i in range(nq):
+        dist = np.abs(rv.astype(np.float64) - qv[i]).sum(axis=1)
+        want += [(1000 + i, j + 1, int(r)) for j, r in enumerate(np.lexsort((np.arange(nr), dist))[:4])]
+    assert got == sorted(want)
+
+
 def test_knn_block_topk_ties_match_sort():
     """Per-block top-k (partition + candidate sort) equals a full sort by
     (distance, reference id), including ties at the cut and the self row."""
