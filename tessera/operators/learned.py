@@ -227,12 +227,31 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return cc.withColumn("weight", n / (k * F.col("n_c")))
 
 
+MAX_CLASSES = 1000
+
+
 def with_class_weight(df: DataFrame, label: str, mode: str | float = "balanced",
                       out: str = "weight") -> DataFrame:
-    """LN8: add a weight column: 'balanced', or a fixed weight for class 1."""
+    """LN8: add a weight column: 'balanced', or a fixed weight for class 1.
+
+    Balanced weights come from one grouped count whose size is the class
+    count (checked against ``MAX_CLASSES``); they are applied as a literal
+    ``CASE`` on the label, not a join: a join keyed on a label with two
+    values would send each class to one task if it were not broadcast.
+    A NULL label gets a NULL weight (it counts in n and k, like any class).
+    """
     if mode == "balanced":
-        w = balanced_weights(df, label).select(_q(label).alias("__l"), F.col("weight").alias(out))
-        return df.join(w, _q(label) == F.col("__l"), "left").drop("__l")
+        rows = class_counts(df, label).limit(MAX_CLASSES + 1).collect()
+        if len(rows) > MAX_CLASSES:
+            raise ValueError(f"{label}: more than {MAX_CLASSES} classes")
+        n, k = sum(r["n_c"] for r in rows), len(rows)
+        expr = None
+        for r in rows:
+            if r[label] is None:
+                continue
+            cond, w = _q(label) == F.lit(r[label]), F.lit(n / (k * r["n_c"]))
+            expr = F.when(cond, w) if expr is None else expr.when(cond, w)
+        return df.withColumn(out, (expr if expr is not None else F.lit(None)).cast("double"))
     return df.withColumn(out, F.when(_q(label) == 1, F.lit(float(mode))).otherwise(F.lit(1.0)))
 
 

@@ -210,3 +210,12 @@ def test_streaming_windows(spark):
                          scratch_dir(spark, "t-sink"), scratch_dir(spark, "t-ck"))
     batch = table(spark, sf, "events").agg(F.count("*")).first()[0]
     assert 0 < out.agg(F.sum("n")).first()[0] <= batch
+
+
+def test_balanced_weight_column_matches_weight_table(spark):
+    df = spark.createDataFrame([(0,), (0,), (0,), (1,), (None,)], "y int")
+    table = {r.y: r.weight for r in ln.balanced_weights(df, "y").collect()}
+    got = sorted((r.y if r.y is not None else -1, r.weight)
+                 for r in ln.with_class_weight(df, "y").collect())
+    assert table[0] == 5 / 9 and table[1] == 5 / 3
+    assert got == [(-1, None), (0, table[0]), (0, table[0]), (0, table[0]), (1, table[1])]
