@@ -76,15 +76,15 @@ class GroupMedianImputer:
         glob = _per_column(df, [self.column], [0.5])[self.column][0]
         table, n_groups = None, 0
         if self.group:
-            from tessera.session import materialize
+            from tessera.session import small_side
             # the learned table is written once (a model holds parameters,
-            # not a plan to recompute) and its size decides the join below
-            table = materialize(
+            # not a plan to recompute) and broadcast under a measured bound
+            table = small_side(
                 exact_quantiles(df.where(_q(self.group).isNotNull()), [self.column], [0.5],
                                 by=[self.group])
-                .select(_q(self.group).alias("__g"), F.col("q0").alias("__gm")))
-            n_groups = table.count()
-        return GroupMedianImputerModel(self.column, self.group, glob, table, n_groups)
+                .select(_q(self.group).alias("__g"), F.col("q0").alias("__gm")),
+                MAX_BROADCAST_GROUPS)
+        return GroupMedianImputerModel(self.column, self.group, glob, table)
 
 
 @dataclass
@@ -93,19 +93,17 @@ class GroupMedianImputerModel:
     group: str | None
     global_median: float | None
     medians: DataFrame | None  # (__g, __gm): one row per group
-    n_groups: int = 0
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Left join on the group.  A group column has few values (a join
-        keyed on it would put each group in one task), so the medians table
-        is broadcast whenever its measured row count is within
+        keyed on it would put each group in one task), so ``fit`` marks the
+        medians table for broadcast when its measured row count is within
         ``MAX_BROADCAST_GROUPS``; beyond that the planner's shuffle join (AQE
         splits a hot group) applies."""
         glob = F.lit(self.global_median).cast("double")
         if self.medians is None:
             return df.withColumn(self.column, F.coalesce(_q(self.column), glob))
-        m = F.broadcast(self.medians) if self.n_groups <= MAX_BROADCAST_GROUPS else self.medians
-        j = df.join(m, _q(self.group).eqNullSafe(F.col("__g")), "left")
+        j = df.join(self.medians, _q(self.group).eqNullSafe(F.col("__g")), "left")
         return j.withColumn(self.column, F.coalesce(_q(self.column), F.col("__gm"), glob)).drop("__g", "__gm")
 
     def params(self) -> DataFrame:

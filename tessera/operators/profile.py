@@ -213,6 +213,9 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None,
     return g
 
 
+MAX_BROADCAST_GROUPS = 200_000
+
+
 def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     """AG13: five-number summary, 1.5-IQR whiskers and outlier count per group.
 
@@ -221,11 +224,15 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     whisker ends and outlier counts.
     """
     from tessera.operators.quantiles import exact_quantiles
+    from tessera.session import small_side
     q = exact_quantiles(df, [column], [0.25, 0.5, 0.75], by=[by]).select(
         by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     x = _q(column).cast("double")
     fences = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
               .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    # the fences table has one row per group: broadcast under a measured
+    # bound, so the rows are never shuffled on the (few-valued) group key
+    fences = small_side(fences, MAX_BROADCAST_GROUPS)
     rows = df.select(_q(by).alias(by), x.alias("__x")).where(F.col("__x").isNotNull())
     j = rows.join(fences, by)
     inside = (F.col("__x") >= F.col("lo_fence")) & (F.col("__x") <= F.col("hi_fence"))

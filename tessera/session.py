@@ -72,3 +72,15 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """The small side of a join keyed on a low-cardinality column (a class,
+    a category): written once (``materialize``), counted, and marked for
+    broadcast when it has at most ``max_rows`` rows — a measured bound, not
+    an estimate.  Larger tables are returned unmarked, so the planner's
+    shuffle join (with AQE skew splitting) applies.
+    """
+    from pyspark.sql import functions as F
+    t = materialize(df)
+    return F.broadcast(t) if t.count() <= max_rows else t
