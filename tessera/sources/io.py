@@ -4,7 +4,9 @@ CSV ingestion reads with an explicit schema (no inference) and FAILFAST
 parsing; Parquet scans are plain ``spark.read.parquet`` so pruning and
 pushdown apply.  File listing, existence checks and the ingest audit use the
 Hadoop FileSystem of the session, so paths may be local, HDFS or object
-stores alike.  Small reports are written with ``coalesce(1)``.
+stores alike.  Small reports are written with ``coalesce(1)``: it keeps the
+row order of a sorted report (a ``repartition(1)`` shuffle would not), and
+after a sort or an aggregate it only merges that last, small stage.
 """
 
 from __future__ import annotations
