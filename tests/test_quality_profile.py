@@ -82,3 +82,35 @@ def test_sample_rows_reproducible(spark):
     a = [r.k for r in ag.sample_rows(df, 10, 42, ["k"]).collect()]
     b = [r.k for r in ag.sample_rows(df.repartition(7), 10, 42, ["k"]).collect()]
     assert a == b and len(set(a)) == 10
+
+
+def test_small_side_broadcast_only_under_measured_bound(spark):
+    from tessera.session import small_side
+    big = spark.range(1000).withColumn("g", F.col("id") % 3)
+    groups = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "g long, name string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def plan(t):
+            j = big.join(t, "g")
+            return j._jdf.queryExecution().executedPlan().toString(), j.count()
+        text, n = plan(small_side(groups, 3))
+        assert "BroadcastHashJoin" in text and n == 1000
+        text, n = plan(small_side(groups, 2))
+        assert "BroadcastHashJoin" not in text and n == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_box_stats_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 400), "x": rng.normal(size=400).round(2)})
+    r = {row.g: row for row in ag.box_stats(spark.createDataFrame(pdf), "x", "g").collect()}
+    for g, part in pdf.groupby("g"):
+        q1, med, q3 = np.quantile(part.x, [0.25, 0.5, 0.75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = part.x[(part.x >= lo) & (part.x <= hi)]
+        row = r[g]
+        assert row.n == len(part) and abs(row.median - med) < 1e-9 and abs(row.q1 - q1) < 1e-9
+        assert row.whisker_lo == inside.min() and row.whisker_hi == inside.max()
+        assert row.n_outliers == len(part) - len(inside)
