@@ -33,6 +33,25 @@ def stratified_kfold(df: DataFrame, key: Sequence[str], label: str, k: int = 5,
     return r.withColumn(fold, (F.col("rank") % k).cast("int")).drop("rank", "group_n")
 
 
+def stratified_holdout_kfold(df: DataFrame, key: Sequence[str], label: str, share: float = 0.2,
+                             k: int = 5, seed=13, flag: str = "is_test",
+                             fold: str = "fold") -> DataFrame:
+    """SP1 then SP2 on the remaining rows, from ONE hash rank.
+
+    With the same seed and key, the remaining rows of a class keep their
+    hash order and are exactly the ranks ``n_test .. n-1``, so their rank
+    among the remaining rows is ``rank - n_test``: the result equals
+    ``stratified_kfold(stratified_holdout(df).where(~is_test))`` (fold NULL
+    on test rows) with one shuffle and sort instead of two.
+    """
+    r = hash_rank(df, list(key), seed, by=[label])
+    n_test = F.round(F.col("group_n") * F.lit(float(share)))
+    is_test = F.col("rank") < n_test
+    return (r.withColumn(flag, is_test)
+             .withColumn(fold, F.when(~is_test, ((F.col("rank") - n_test) % k).cast("int")))
+             .drop("rank", "group_n"))
+
+
 def tuning_subsample(df: DataFrame, key: Sequence[str], n: int, seed=13) -> DataFrame:
     """SP3: at most n rows for slow learners (seeded, without replacement)."""
     from tessera.operators.profile import sample_rows

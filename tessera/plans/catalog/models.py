@@ -130,8 +130,9 @@ def ml6_knn_distance_manhattan(spark, sf):
 
 # ---- TU1 / TU3 / TU5 / TU6 / TU7 / TU9 ----------------------------------------------------------
 def _cv_frame(spark, sf):
-    d = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
-    return materialize(sp.stratified_kfold(d, [ID_COLUMN], TARGET, 5, SEED))
+    # holdout and folds of the remaining rows from one hash rank (same seed)
+    d = sp.stratified_holdout_kfold(frames.features(spark, sf), [ID_COLUMN], TARGET, 0.2, 5, SEED)
+    return materialize(d.where(~F.col("is_test")).drop("is_test"))
 
 
 @register("tu1_cross_validate")

@@ -69,6 +69,18 @@ def test_folds_disjoint_complete_balanced(spark):
     assert ((share - 0.2).abs() < 0.01).all()
 
 
+def test_holdout_kfold_in_one_rank_equals_composition(spark):
+    df = spark.range(1003).select(F.col("id").alias("k"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    two = sp.stratified_kfold(sp.stratified_holdout(df, ["k"], "y", 0.2, 7).where(~F.col("is_test"))
+                              .drop("is_test"), ["k"], "y", 5, 7)
+    one = sp.stratified_holdout_kfold(df, ["k"], "y", 0.2, 5, 7)
+    assert sorted(map(tuple, two.select("k", "fold").collect())) == \
+        sorted(map(tuple, one.where(~F.col("is_test")).select("k", "fold").collect()))
+    held = sp.stratified_holdout(df, ["k"], "y", 0.2, 7).select("k", "is_test")
+    assert held.exceptAll(one.select("k", "is_test")).count() == 0
+    assert one.where("is_test AND fold IS NOT NULL").count() == 0
+
+
 def test_batches_ntile(spark):
     df = spark.range(103).withColumnRenamed("id", "k")
     b = sc.assign_batches(df, ["k"], 10).groupBy("batch").count().orderBy("batch").toPandas()
