@@ -99,9 +99,13 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str],
         *by, bucket,
         *[F.coalesce(F.sum(f"__t_{v}").over(ex), F.lit(0)).alias(f"__o_{v}") for v in values],
         *[F.sum(f"__t_{v}").over(wg).alias(f"tot_{v}") for v in values])
+    # null-safe keys: a NULL group is a group of its own (as in SQL's
+    # PARTITION BY), not rows lost by an equi-join
+    ren = {k: f"__pk{i}" for i, k in enumerate(by + [bucket])}
+    totals = totals.withColumnsRenamed(ren)
     if not by:
         totals = F.broadcast(totals)  # bounded by the bucket count
-    j = df.join(totals, by + [bucket])
+    j = df.join(totals, [_q(k).eqNullSafe(F.col(r)) for k, r in ren.items()]).drop(*ren.values())
     wl = (Window.partitionBy(*by, bucket).orderBy(*[_q(c) for c in order])
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return j.select(*[_q(c) for c in df.columns],

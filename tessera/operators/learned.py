@@ -73,17 +73,29 @@ class GroupMedianImputer:
 
     def fit(self, df: DataFrame) -> "GroupMedianImputerModel":
         _require(df, [self.column] + ([self.group] if self.group else []), "GroupMedianImputer.fit")
-        glob = _per_column(df, [self.column], [0.5])[self.column][0]
-        table, n_groups = None, 0
-        if self.group:
-            from tessera.session import small_side
-            # the learned table is written once (a model holds parameters,
-            # not a plan to recompute) and broadcast under a measured bound
-            table = small_side(
-                exact_quantiles(df.where(_q(self.group).isNotNull()), [self.column], [0.5],
-                                by=[self.group])
-                .select(_q(self.group).alias("__g"), F.col("q0").alias("__gm")),
-                MAX_BROADCAST_GROUPS)
+        if not self.group:
+            glob = _per_column(df, [self.column], [0.5])[self.column][0]
+            return GroupMedianImputerModel(self.column, None, glob, None)
+        from tessera.session import materialize
+        # group medians and the global median in ONE plan: every row counts
+        # once at its group (level 0; NULL groups left out) and once at the
+        # top (level 1, group NULL).  The learned table is written once (a
+        # model holds parameters, not a plan to recompute) and its measured
+        # size decides the broadcast in ``transform``.
+        gtype = df.schema[self.group].dataType
+        levels = F.explode(F.array(
+            F.struct(F.lit(0).alias("__lvl"), _q(self.group).alias("__g")),
+            F.struct(F.lit(1).alias("__lvl"), F.lit(None).cast(gtype).alias("__g"))))
+        long = (df.select(levels.alias("__k"), _q(self.column).alias("__x"))
+                  .select("__k.*", "__x")
+                  .where((F.col("__lvl") == 1) | F.col("__g").isNotNull()))
+        learned = materialize(exact_quantiles(long, ["__x"], [0.5], by=["__lvl", "__g"])
+                              .select("__lvl", "__g", F.col("q0").alias("__gm")))
+        top = learned.where(F.col("__lvl") == 1).select("__gm").collect()  # one row at most
+        glob = top[0]["__gm"] if top else None
+        table = learned.where(F.col("__lvl") == 0).select("__g", "__gm")
+        if table.count() <= MAX_BROADCAST_GROUPS:
+            table = F.broadcast(table)
         return GroupMedianImputerModel(self.column, self.group, glob, table)
 
 

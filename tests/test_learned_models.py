@@ -219,3 +219,16 @@ def test_balanced_weight_column_matches_weight_table(spark):
                  for r in ln.with_class_weight(df, "y").collect())
     assert table[0] == 5 / 9 and table[1] == 5 / 3
     assert got == [(-1, None), (0, table[0]), (0, table[0]), (0, table[0]), (1, table[1])]
+
+
+def test_group_median_one_pass_fit(spark):
+    pdf = pd.DataFrame({"g": ["a", "a", "a", "b", "b", None, None, "c"],
+                        "x": [1.0, 2.0, 10.0, 4.0, None, 7.0, None, None]})
+    df = spark.createDataFrame(pdf, "g string, x double")
+    m = ln.GroupMedianImputer("x", "g").fit(df)
+    assert m.global_median == float(np.median([1.0, 2.0, 10.0, 4.0, 7.0]))
+    assert {r.g: r.median for r in m.params().collect()} == {"a": 2.0, "b": 4.0}
+    out = sorted(m.transform(df).select("g", "x").collect(), key=lambda r: (str(r.g), r.x))
+    filled = {(r.g, r.x) for r in out}
+    assert ("b", 4.0) in filled and (None, 4.0) in filled and ("c", 4.0) in filled
+    assert len(out) == 8

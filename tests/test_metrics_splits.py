@@ -104,3 +104,14 @@ def test_ntile_formula(spark):
     df = spark.range(7).select(F.col("id").alias("r"), F.lit(7).alias("n"))
     out = [x[0] for x in df.select(ntile(F.col("r"), F.col("n"), 3)).collect()]
     assert out == [1, 1, 1, 2, 2, 3, 3]
+
+
+def test_null_group_is_a_group_not_lost_rows(spark):
+    """A NULL class is ranked as its own group (SQL PARTITION BY semantics)."""
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(40)], "k int, y int")
+    r = hash_rank(df, ["k"], 13, by=["y"]).toPandas()
+    assert len(r) == 40
+    sizes = r.groupby(r.y.fillna(-1)).group_n.first().to_dict()
+    assert sizes == {-1: 10, 0: 10, 1: 20}
+    for _, g in r.groupby(r.y.fillna(-1)):
+        assert sorted(g["rank"]) == list(range(len(g)))
