@@ -64,6 +64,7 @@ class MedianImputerModel:
 # ---- LN2 -----------------------------------------------------------------------
 MAX_BROADCAST_GROUPS = 200_000  # (group value, median) rows: a few MB at most
 
+
 class GroupMedianImputer:
     """LN2: NULL → median of its group; unseen group, NULL group or a group
     without values → global median."""
