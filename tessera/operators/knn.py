@@ -84,7 +84,9 @@ def knn_neighbors(queries: DataFrame, refs: DataFrame, k: int, metric: str = "eu
     scored against a large reference set copies only the queries, never
     the references.
     """
-    if blocks is None:
+    if blocks is None and queries is refs:  # leave-one-out: one count
+        bq = br = n_blocks(queries.count())
+    elif blocks is None:
         bq, br = n_blocks(queries.count()), n_blocks(refs.count())
     else:
         bq = br = blocks
