@@ -119,7 +119,11 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str | None = "p",
     score_col = p if p else yhat
     auc = roc_auc(df, y, score_col, by)
     if by:
-        out = rates.join(auc, list(by), "left")
+        # null-safe on the group: a NULL group keeps its AUC
+        ren = {c: f"__a{i}" for i, c in enumerate(by)}
+        a = auc.withColumnsRenamed(ren)
+        out = rates.join(a, [_q(c).eqNullSafe(F.col(r)) for c, r in ren.items()], "left") \
+                   .drop(*ren.values())
     else:
         out = rates.withColumn("auc", auc.select("auc").scalar())
     return out.select(*by, F.col("auc").alias("roc_auc"), "f1", "precision", "recall", "accuracy",

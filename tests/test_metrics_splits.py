@@ -115,3 +115,10 @@ def test_null_group_is_a_group_not_lost_rows(spark):
     assert sizes == {-1: 10, 0: 10, 1: 20}
     for _, g in r.groupby(r.y.fillna(-1)):
         assert sorted(g["rank"]) == list(range(len(g)))
+
+
+def test_grouped_metrics_keep_null_group(spark):
+    df = spark.createDataFrame([(g, y, p) for g in (None, 1) for y, p in ((0, 0.1), (1, 0.9), (0, 0.8), (1, 0.3))],
+                               "g int, y int, p double")
+    m = {r.g: r.roc_auc for r in me.classification_metrics(df, "y", "p", by=["g"]).collect()}
+    assert m[None] == m[1] == 0.75  # 3 of 4 (pos, neg) pairs ordered
