@@ -38,3 +38,61 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *args), *args)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text; long ones are spliced from overlapping chunks."""
+    from tessera.llm import token_counts
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), bpe_path(), public_tokenizers.PATTERN)
+
+
+N_SHARDS = 16
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen equal shards by rendezvous hashing of doc_id, and the shard among seventeen."""
+    from tessera.llm import sharding
+    out = sharding.assign(table(spark, sf_dir, "documents"), [1.0] * N_SHARDS,
+                          grown_weights=[1.0] * (N_SHARDS + 1))
+    return out.withColumn("law", F.lit("key"))
+
+
+@query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format every conversation and one that spells control strings; read all back."""
+    from tessera.llm import chat
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.format_chats(turns.unionByName(extra)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+                       F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("bigint").alias("loss_chars"),
+                       F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+                       F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+ORACLES["op9_chat_formatting"] = r"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, replace(replace(role, '\', '\\'), '<|', '<\|') AS erole,
+         replace(replace(text, '\', '\\'), '<|', '<\|') AS etext,
+         lag(role) OVER w IS DISTINCT FROM role AS opens,
+         lead(role) OVER w IS DISTINCT FROM role AS closes
+  FROM raw WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(etext) + CASE WHEN opens THEN 16 + length(erole) ELSE 8 END
+                + CASE WHEN closes THEN 8 ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
