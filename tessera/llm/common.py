@@ -35,25 +35,23 @@ def join_by_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size:
                   n_rows: int) -> DataFrame:
     """Left join of ``rows`` to ``groups`` (unique on ``keys``) without a hot task.
 
-    Groups of at least ``n_rows / HEAVY_PARTS`` rows — at most HEAVY_PARTS of
-    them exist — are broadcast.  Rows that met a heavy group join the rest
-    under a key of their own, so they spread over all tasks instead of
-    following their hot key.
+    ``size`` holds how many of the ``n_rows`` rows have the key.  Keys of at
+    least ``n_rows / HEAVY_PARTS`` rows — at most HEAVY_PARTS of them exist —
+    are broadcast.  Rows that met a heavy key join the rest under a hash of
+    their own columns, so they spread over all tasks instead of following it.
     """
     values = [c for c in groups.columns if c not in keys]
     heavy_at = max(2, -(-n_rows // HEAVY_PARTS))
-    heavy = groups.filter(F.col(size) >= heavy_at).withColumn("__hit", F.lit(True))
-    heavy = heavy.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                         *[F.col(v).alias(f"__h_{v}") for v in values], "__hit")
-    light = groups.filter(F.col(size) < heavy_at)
-    light = light.select(F.lit(0).cast("bigint").alias("__salt"),
-                         *[F.col(k).alias(f"__k_{k}") for k in keys],
-                         *[F.col(v).alias(f"__l_{v}") for v in values])
+    heavy = groups.filter(F.col(size) >= heavy_at).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        *[F.col(v).alias(f"__h_{v}") for v in values], F.lit(True).alias("__hit"))
+    light = groups.filter(F.col(size) < heavy_at).select(
+        F.lit(0).cast("bigint").alias("__salt"), *[F.col(k).alias(f"__k_{k}") for k in keys],
+        *[F.col(v).alias(f"__l_{v}") for v in values])
+    own = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 40)) + 1  # never the light side's 0
     out = rows.join(F.broadcast(heavy), [F.col(k) == F.col(f"__k_{k}") for k in keys], "left") \
-              .drop(*[f"__k_{k}" for k in keys])
-    # 1 + |hash|: never the 0 of the light side, another value for nearly every row
-    own = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 40)) + 1
-    out = out.withColumn("__rs", F.when(F.col("__hit"), own).otherwise(F.lit(0).cast("bigint")))
+              .drop(*[f"__k_{k}" for k in keys]) \
+              .withColumn("__rs", F.when(F.col("__hit"), own).otherwise(F.lit(0).cast("bigint")))
     out = out.join(light, [F.col("__rs") == F.col("__salt")]
                    + [F.col(k) == F.col(f"__k_{k}") for k in keys], "left")
     return out.select(*[F.col(c) for c in rows.columns],

@@ -96,3 +96,25 @@ SELECT conv_id, count(*) AS n_turns,
                 + CASE WHEN closes THEN 8 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of byte-equal texts; the largest doc_id of each stays."""
+    from tessera.llm import exact_dedup
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of four-word shingles; components of links of at most four bits."""
+    from tessera.llm import simhash
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
