@@ -118,3 +118,48 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import simhash
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all sources to weights 5, 2, 1 at 150 % of all words, none above twice its size."""
+    from tessera.llm import mixing
+    return mixing.mix(table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2.0)
+
+
+ORACLES["op7_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '/mix') AS h FROM documents),
+s AS (
+  SELECT source, sum(size) AS source_size,
+         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w
+  FROM d GROUP BY source),
+f AS (
+  SELECT *, (1.5 * sum(source_size) OVER ()
+             - coalesce(sum(2.0 * source_size) OVER (ORDER BY 2.0 * source_size / w, source
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY 2.0 * source_size / w, source
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
+t AS (SELECT source, source_size::BIGINT AS source_size,
+             least(2.0 * source_size, max(level) OVER () * w)::DOUBLE AS target FROM f),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS take,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(greatest(0, least(start + size, take) - start)
+            + greatest(0, least(start + size + source_size, take) - (start + source_size)) AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query
+def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match signatures of every text, of its edited text, and their likeness."""
+    from tessera.llm import imatch
+    out = imatch.compare_edits(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+                      F.concat_ws("", "sigs").alias("fingerprint"),
+                      F.concat_ws("", "edited_sigs").alias("edited_fingerprint"), "near_edited", "near_next")
