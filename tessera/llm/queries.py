@@ -163,3 +163,26 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
                       F.concat_ws("", "sigs").alias("fingerprint"),
                       F.concat_ws("", "edited_sigs").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+TOXIC_AT, QUALITY_AT = 0.3, 0.5
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels outside fold 2 of 4."""
+    from tessera.llm import labelled, toxicity
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), 4, 2))
+    return out.select("doc_id", (labelled.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                      (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from the labels outside fold 1 of 3."""
+    from tessera.llm import labelled, quality_net
+    docs = table(spark, sf_dir, "documents")
+    out = quality_net.score(docs, quality_net.fit(docs, table(spark, sf_dir, "labels"), 3, 1))
+    return out.select("doc_id", (labelled.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
