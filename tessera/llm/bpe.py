@@ -8,10 +8,10 @@ stacked, so one numpy step advances thousands of words; a word longer than
 ``SHORT`` bytes (whitespace or letter runs) is merged with a heap, since
 rescanning would be quadratic there.
 
-Texts are cut at single spaces between two non-space characters before the
-pre-tokenising pattern runs.  Every alternative of the pattern either starts
-with such a space or cannot cross it, so the pieces between them encode
-independently and a bounded per-process table of pieces serves most words.
+Texts are cut at single spaces and line ends between two non-space characters
+before the pre-tokenising pattern runs.  Every alternative of the pattern either
+starts with such a character or cannot cross it, so the pieces between them
+encode independently and a bounded per-process table of pieces serves most words.
 
 Spark side: ``encode`` and ``decode`` are Arrow-batched map stages without any
 shuffle; memory is bounded by ``STEP_CHARS`` plus one text.
@@ -21,17 +21,19 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tessera.llm.common import id_of, text_of
 
 SHORT = 96            # longest word (bytes) merged by the rank array
-STEP_CHARS = 2 << 20  # characters encoded together
+STEP_CHARS = 1 << 20  # characters encoded together
 MAX_PIECES = 300_000  # pieces remembered per process
 NO_RANK = np.int32(2**31 - 1)
 
@@ -70,8 +72,9 @@ class ByteBpe:
         self.pair_keys, self.pair_rank = keys[order], order.astype(np.int32)
         self.pair_of = dict(zip(keys.tolist(), range(len(pairs))))
         self.pattern = regex.compile(pattern)
-        self.unsafe = regex.compile(r" \s|\s ")
+        self.run_of_space = re.compile(r"\s\s")
         self.safe_space = regex.compile(r"(?<=\S) (?=\S)")
+        self.safe_line = re.compile(r"(?<=\S)(?=\n\S)")
         self.special_split = (regex.compile("(" + "|".join(
             regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
             if self.special else None)
@@ -165,18 +168,26 @@ class ByteBpe:
 
     # -- texts -----------------------------------------------------------
     def _pieces(self, text: str) -> list[str]:
-        """Keys of the pieces of a text without special tokens.  A key that starts
-        with a space is the first piece as it is (its space is only a mark); any
-        other key is a piece that a space precedes."""
-        cut = self.safe_space.split(text) if self.unsafe.search(text) else text.split(" ")
+        """Keys of the pieces of a text without special tokens: a key that starts with
+        a space is the first piece as it is (its space is only a mark), one that
+        starts with a line end is as it is, any other follows a space."""
+        if not self.run_of_space.search(text):
+            cut = text.replace("\n", " \n").split(" ")
+        else:
+            cut = []
+            for piece in self.safe_space.split(text):
+                cut += self.safe_line.split(piece) if "\n" in piece else [piece]
         cut[0] = " " + cut[0]
         return cut
 
+    @staticmethod
+    def _spelled(key: str) -> str:
+        return key[1:] if key[:1] == " " else key if key[:1] == "\n" else " " + key
+
     def _learn(self, keys: set[str]) -> None:
         if len(self.index) + len(keys) > MAX_PIECES:
             self._forget()
-        words = {k: [w.encode() for w in self.pattern.findall(k[1:] if k[:1] == " " else " " + k)]
-                 for k in keys}
+        words = {k: [w.encode() for w in self.pattern.findall(self._spelled(k))] for k in keys}
         ids = self.encode_words(list({w for ws in words.values() for w in ws}))
         none = np.zeros(0, np.int32)
         rows = [np.concatenate([ids[w] for w in ws]) if ws else none for ws in words.values()]
@@ -290,10 +301,17 @@ def load(path: str, pattern: str) -> ByteBpe:
     return _LOADED[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+def slices(batches, rows: int = 1_024):
+    """Arrow batches in slices, so that few rows are Python objects at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           with_decoded: bool = False) -> DataFrame:
     """Token ids of every text: ``doc_id``, ``ids`` (little-endian unsigned 32-bit
-    integers), ``n_tokens``.
+    integers), ``n_tokens``; ``with_decoded`` adds ``decoded``, the text of the ids.
 
     ``path`` is a byte-level BPE file that every executor can read and
     ``pattern`` its pre-tokenising expression.  Special tokens inside texts are
@@ -302,30 +320,29 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
     def run(batches):
         bpe = load(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             ids = [x.astype("<u4") for x in bpe.encode_many(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([x.tobytes() for x in ids], pa.binary()),
-                 pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "n_tokens"])
+            out = {"doc_id": b.column(0), "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
+                   "n_tokens": pa.array([len(x) for x in ids], pa.int64())}
+            if with_decoded:
+                out["decoded"] = pa.array([bpe.decode(x) for x in ids], pa.string())
+            yield pa.RecordBatch.from_pydict(out)
 
     src = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("t"))
-    return src.mapInArrow(run, "doc_id bigint, ids binary, n_tokens bigint")
+    return src.mapInArrow(run, "doc_id bigint, ids binary, n_tokens bigint" + ", decoded string" * with_decoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids",
            out_col: str = "decoded") -> DataFrame:
-    """Add the decoded text of packed token ids to every row (null ids: empty)."""
-    schema = encoded.schema
+    """Add the text of packed token ids to every row (null ids: empty)."""
     if out_col in encoded.columns:
         raise ValueError(f"column {out_col} already exists")
     at = encoded.columns.index(ids_col)
 
     def run(batches):
         bpe = load(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             got = [bpe.decode(np.frombuffer(x or b"", "<u4")) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())],
                                              [*b.schema.names, out_col])
-
-    from pyspark.sql import types as T
-    return encoded.mapInArrow(run, T.StructType([*schema.fields, T.StructField(out_col, T.StringType())]))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())]))

@@ -34,8 +34,7 @@ def bpe_path() -> str:
 def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again, digest both."""
     from tessera.llm import bpe
-    args = bpe_path(), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *args), *args)
+    out = bpe.encode(table(spark, sf_dir, "documents"), bpe_path(), public_tokenizers.PATTERN, with_decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

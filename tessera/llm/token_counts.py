@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import load
+from tessera.llm.bpe import load, slices
 from tessera.llm.common import id_of, text_of
 from tessera.session import materialize
 
@@ -40,7 +40,7 @@ def _number_rows(docs: DataFrame, chunk_chars: int, path: str, pattern: str) ->
     def run(batches):
         from pyspark import TaskContext
         bpe, task, n = load(path, pattern), TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             short = [i for i, t in enumerate(texts) if len(t) <= chunk_chars]
             count: list[int | None] = [None] * len(texts)
