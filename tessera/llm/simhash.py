@@ -64,13 +64,15 @@ def fingerprint(text: str, shingle: int, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text",
                  seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed integer), null texts as empty ones."""
+    """``doc_id, text_hash, fp`` (64 bits as signed integers), null texts as empty ones."""
     def run(batches):
         for b in slices(batches):
-            got = np.fromiter((fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], ["doc_id", "fp"])
-    src = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("t"))
-    return src.mapInArrow(run, "doc_id bigint, fp bigint")
+            got = np.fromiter((fingerprint(t, shingle, seed) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got.view(np.int64))],
+                                             ["doc_id", "text_hash", "fp"])
+    src = docs.select(id_of(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
+                      text_of(text_col).alias("t"))
+    return src.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 # -- the embedding and its grid ---------------------------------------------
@@ -247,38 +249,58 @@ def components(links: DataFrame) -> DataFrame:
     return label
 
 
+def _map_numbers(df: DataFrame, names: str, by: int) -> DataFrame:
+    """Multiply 64-bit columns (odd ``by``: a permutation of all numbers)."""
+    cols = names.split()
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array((
+                c.to_numpy(zero_copy_only=False).view(np.uint64) * np.uint64(by)).view(np.int64)) for c in b.columns], cols)
+    return df.mapInArrow(run, ", ".join(f"{c} bigint" for c in cols))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text", seed: int = SEED) -> DataFrame:
-    """``doc_id, fp, component_id`` — one row per input row.
+    """``doc_id, text_hash, fp, root, component_id`` — one row per input row.
 
     ``component_id`` is the smallest key reachable over links of at most
-    ``max_bits`` differing bits (null keys are skipped; null if all are null).
-    Texts without words (null, empty, blank) have the fingerprint 0 and link
-    like any other.  Repeated rows share everything.
+    ``max_bits`` differing bits (null keys are skipped; null if all are null);
+    ``root`` is a fingerprint of the component and names it.  Texts without
+    words (null, empty, blank) have the fingerprint 0 and link like any other.
+    Repeated rows share everything.
     """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col, seed))
     n_rows = rows.count()
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
-    # components run on mixed numbers; the mix is undone by the same table
-    linked = link_fingerprints(nodes, max_bits)
-
-    def mixed(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((c.to_numpy(zero_copy_only=False).view(np.uint64) * MIX).view(np.int64)) for c in b.columns], ["a", "b"])
-
-    def unmixed(batches):
-        back = np.uint64(pow(int(MIX), -1, 1 << 64))
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) * back).view(np.int64)), b.column(1)],
-                ["fp", "root"])
-    label = components(linked.mapInArrow(mixed, "a bigint, b bigint")).mapInArrow(unmixed, "fp bigint, root bigint")
+    # contraction needs an order without meaning: it runs on multiplied fingerprints
+    links = _map_numbers(link_fingerprints(nodes, max_bits), "a b", int(MIX))
+    label = _map_numbers(components(links), "fp root", pow(int(MIX), -1, 1 << 64))
     label = materialize(label.join(nodes, "fp"))
     least = label.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("m"))
-    of_linked = join_by_group(label.select("fp", "root"), least, ["root"], "m", label.count()).select("fp", "component_id")
-    named = nodes.join(of_linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "first").alias("component_id"))
-    return join_by_group(rows, materialize(named), ["fp"], "n", n_rows).select("doc_id", "fp", "component_id")
+    linked = join_by_group(label.select("fp", "root"), least, ["root"], "m", label.count())
+    linked = linked.select("fp", F.col("root").alias("__root"), F.col("component_id").alias("__id"))
+    named = nodes.join(linked, "fp", "left").select(
+        "fp", "n", F.coalesce("__root", "fp").alias("root"),
+        F.when(F.col("__root").isNull(), F.col("first")).otherwise(F.col("__id")).alias("component_id"))
+    return join_by_group(rows, materialize(named), ["fp"], "n", n_rows) \
+        .select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, one of each component: that with
+    the smallest key (of several with this key, the smallest text hash).  Rows
+    must be unique on (key, text), as after exact deduplication."""
+    rows = materialize(near_duplicates(docs, shingle, max_bits, id_col, text_col))
+    head = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = rows.filter(head).groupBy("root").agg(F.min("text_hash").alias("__h"), F.count(F.lit(1)).alias("__n"))
+    first = first.filter("__n > 1").select(F.col("root").alias("__root"), "__h")
+    more = rows.filter(head).join(first, F.col("root") == F.col("__root")).filter("text_hash <> __h")
+    drop = rows.filter(~head).select("doc_id", "text_hash").unionByName(more.select("doc_id", "text_hash"))
+    drop = counted_side(drop.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")))
+    return docs.join(drop, id_of(id_col).eqNullSafe(F.col("__d"))
+                     & (F.xxhash64(text_of(text_col)) == F.col("__t")), "left_anti")
 
 
 def hex_of(fp: str):

@@ -312,3 +312,21 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     src = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("t"))
     return src.mapInArrow(run, "doc_id bigint, score double, "
                                "passages array<struct<start:bigint,end:bigint,score:double,e_value:double>>")
+
+
+def keep_clean(docs: DataFrame, model: ToxicModel, at: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below ``at``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    column = docs.columns.index(text_col)
+
+    def run(batches):
+        m = shared.value
+        finder = Finder(m.table)
+        for b in slices(batches):
+            keep = []
+            for text in b.column(column).to_pylist():
+                low = lowered(text or "")
+                got = passages(finder.hits(low), m.table, low, m.drift)
+                keep.append(m.score(m.evidence(got, n_words_of(low))) < at)
+            yield b.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
