@@ -24,6 +24,12 @@ def id_of(col: str) -> Column:
     return F.col(f"`{col}`").cast("bigint")
 
 
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """All columns of ``df`` as the struct ``row``, beside ``more``: no name can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[c.alias(k) for k, c in more.items()])
+
+
 def counted_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Write ``df`` (fixed-width rows), count it, and mark it for broadcast only
     when the count is within ``max_rows``; larger tables join by shuffle."""

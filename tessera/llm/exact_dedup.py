@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, text_of
+from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, packed, text_of
 from tessera.session import materialize
 
 FLUSH_ROWS = 1 << 20  # fingerprints that one task holds before it emits filters
@@ -187,16 +187,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that ``exact_groups`` keeps."""
     rows = materialize(exact_groups(docs, id_col, text_col))
-    drop = rows.filter(~F.col("kept")).groupBy("doc_id", "text_sha256").count()
-    drop = counted_side(drop.select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__s")))
-    same = id_of(id_col).eqNullSafe(F.col("__d")) & (F.sha2(text_of(text_col), 256) == F.col("__s"))
-    out = docs.join(drop, same, "left_anti")
+    key = packed(docs, d=id_of(id_col), s=F.sha2(text_of(text_col), 256))
+    drop = rows.filter(~F.col("kept")).groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    drop = counted_side(drop.select("doc_id", "text_sha256"))
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("s") == F.col("text_sha256"))
+    out = key.join(drop, same, "left_anti").select("row.*")
     # a key and text that occur more than once and stay once
-    once = rows.filter("kept").join(drop, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_sha256") == F.col("__s")),
-                                    "left_semi").select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__s"))
-    once = counted_side(once)
+    stay = rows.filter("kept").select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"))
+    once = counted_side(stay.join(drop, same, "left_semi").withColumnsRenamed({"d": "doc_id", "s": "text_sha256"}))
     if not once.isEmpty():
-        first = docs.join(once, same).withColumn("__r", F.row_number().over(
-            Window.partitionBy("__d", "__s").orderBy(F.lit(0)))).filter("__r = 1")
-        out = out.unionByName(first.select(*[F.col(f"`{c}`") for c in docs.columns]))
+        first = Window.partitionBy("d", "s").orderBy(F.lit(0))
+        out = out.unionByName(key.join(once, same).withColumn("r", F.row_number().over(first))
+                              .filter("r = 1").select("row.*"))
     return out

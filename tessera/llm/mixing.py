@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import counted_side, id_of, join_by_group, n_buckets, text_of
+from tessera.llm.common import counted_side, id_of, join_by_group, n_buckets, packed, text_of
 from tessera.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -170,12 +170,12 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ratio
     # a document's words in one pass are contiguous: blocks follow one another
     part = p.groupBy("doc_id", "text_hash", "size", "pass").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     # one row per document with its one or few passes, joined once
-    part = materialize(part.groupBy(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("size").alias("__n"))
-                       .agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("__p")))
-    kept = docs.join(part, id_of(id_col).eqNullSafe(F.col("__d")) & (F.xxhash64(text_of(text_col)) == F.col("__t")))
-    kept = kept.withColumn("__e", F.explode("__p"))
-    lo, hi = F.col("__e.lo").cast("int"), F.col("__e.hi").cast("int")
-    some = F.array_join(F.slice(F.regexp_extract_all(text_of(text_col), F.lit(WORD), 0), lo + 1, hi - lo), " ")
-    text = F.when((lo == 0) & (hi == F.col("__n")), F.col(f"`{text_col}`")).otherwise(some)
-    return kept.withColumn("__text", text).select(
-        *[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    part = materialize(part.groupBy("doc_id", "text_hash", "size")
+                       .agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("passes")))
+    key = packed(docs, d=id_of(id_col), t=F.xxhash64(text_of(text_col)), text=text_of(text_col))
+    kept = key.join(part, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")))
+    kept = kept.withColumn("e", F.explode("passes"))
+    lo, hi = F.col("e.lo").cast("int"), F.col("e.hi").cast("int")
+    some = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), lo + 1, hi - lo), " ")
+    text = F.when((lo == 0) & (hi == F.col("size")), F.col("text")).otherwise(some)
+    return kept.select(F.col("row").withField(f"`{text_col}`", text).alias("row")).select("row.*")

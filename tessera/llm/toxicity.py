@@ -330,3 +330,8 @@ def keep_clean(docs: DataFrame, model: ToxicModel, at: float, text_col: str = "t
                 keep.append(m.score(m.evidence(got, n_words_of(low))) < at)
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
+
+
+def score_of_nothing(model: ToxicModel) -> float:
+    """Score of a text without any passage."""
+    return model.score(0.0)
