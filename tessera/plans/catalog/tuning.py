@@ -135,16 +135,22 @@ def tu14_search_history(spark, sf):
 
 
 ORDER_SQL = "CASE model " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(scorers.CANDIDATES)) + " END"
+# the runs in order, each against the version current at its time (a fold, so recursive)
 _RUNS = f"""
 WITH runs AS (SELECT {ORDER_SQL} AS run, model, cv_roc_auc_mean, cv_f1_mean FROM cv_summary),
-b AS (SELECT r.*, (SELECT max({{'a': q.cv_roc_auc_mean, 'f': q.cv_f1_mean}}) FROM runs q WHERE q.run < r.run) AS best
-      FROM runs r),
-p AS (SELECT *, best IS NULL OR cv_roc_auc_mean > best.a
-                OR (abs(cv_roc_auc_mean - best.a) < 1e-6 AND cv_f1_mean > best.f) AS promoted FROM b),
+n AS (SELECT *, row_number() OVER (ORDER BY run) AS i FROM runs),
+fold AS (
+  SELECT i, run, model, cv_roc_auc_mean, cv_f1_mean, true AS promoted, 1 AS version,
+         cv_roc_auc_mean AS cur_auc, cv_f1_mean AS cur_f1 FROM n WHERE i = 1
+  UNION ALL
+  SELECT s.i, s.run, s.model, s.cv_roc_auc_mean, s.cv_f1_mean, s.ok, f.version + CAST(s.ok AS INTEGER),
+         CASE WHEN s.ok THEN s.cv_roc_auc_mean ELSE f.cur_auc END, CASE WHEN s.ok THEN s.cv_f1_mean ELSE f.cur_f1 END
+  FROM fold f JOIN LATERAL (
+    SELECT n.*, n.cv_roc_auc_mean > f.cur_auc
+                OR (abs(n.cv_roc_auc_mean - f.cur_auc) < 1e-6 AND n.cv_f1_mean > f.cur_f1) AS ok
+    FROM n WHERE n.i = f.i + 1) s ON true),
 seq AS (SELECT run, model, round(cv_roc_auc_mean, 6) AS cv_roc_auc_mean, round(cv_f1_mean, 6) AS cv_f1_mean,
-               promoted,
-               CAST(CASE WHEN promoted THEN sum(CAST(promoted AS INTEGER)) OVER (ORDER BY run
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS INTEGER) AS version FROM p)
+               promoted, CAST(CASE WHEN promoted THEN version END AS INTEGER) AS version FROM fold)
 """
 
 

@@ -198,7 +198,7 @@ def with_frames(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    head = "WITH " + ",\n".join(CTES[n][0].strip() for n in order)
+    head = "WITH RECURSIVE " + ",\n".join(CTES[n][0].strip() for n in order)  # RECURSIVE only permits it
     stripped = body.lstrip()
     if stripped[:5].upper() == "WITH ":
         return head + ",\n" + stripped[5:]

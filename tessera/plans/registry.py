@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import os
-import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,11 +29,13 @@ def _path(root: str, name: str) -> str:
 
 
 def _read(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """A registry table; empty only where its folder does not exist.  Any error of
+    an existing table rises: taking it for empty would restart at version 1."""
+    from tessera.sources.io import path_exists
     p = _path(root, name)
-    try:
-        return spark.read.schema(schema).parquet(p)
-    except Exception:  # noqa: BLE001 - absent table reads as empty
+    if not path_exists(spark, p):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(p)
 
 
 # ---- RG1 -------------------------------------------------------------------------------
@@ -81,20 +82,29 @@ def should_promote(cur_auc: Column, cur_f1: Column, new_auc: Column, new_f1: Col
 
 
 def promotion_sequence(runs: DataFrame, order: str = "run", auc: str = "cv_roc_auc_mean",
-                       f1: str = "cv_f1_mean") -> DataFrame:
-    """RG3 over a sequence of runs: each run is compared with the best
-    earlier run (highest AUC, F1 breaking ties), which is the current
-    version under the promotion rule; ``version`` numbers the promoted runs.
-    Window over the small runs table (one row per run)."""
-    prev = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    best = F.max(F.struct(F.col(auc).alias("a"), F.col(f1).alias("f"))).over(prev)
-    out = runs.withColumn("__best", best)
-    out = out.withColumn("promoted", should_promote(F.col("__best.a"), F.col("__best.f"),
-                                                    F.col(auc), F.col(f1)))
-    out = out.withColumn("version", F.when(
-        F.col("promoted"), F.sum(F.col("promoted").cast("int")).over(upto)).cast("int"))
-    return out.drop("__best")
+                       f1: str = "cv_f1_mean", eps: float = PROMOTION_TIE_EPS) -> DataFrame:
+    """RG3 over a sequence of runs, with the rule of ``promote_if_better``: each run
+    is compared with the version current at its time, i.e. the last promoted run.
+
+    That is a fold over the runs in order (a run's comparison depends on the
+    decisions before it).  The runs table has one row per experiment; it is
+    collected in order as structs and folded by one array aggregate.
+    """
+    cols = list(runs.columns)
+    seq = runs.agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__o"), F.struct(*cols).alias("r")))).alias("s"))
+    state = F.struct(F.lit(None).cast("double").alias("auc"), F.lit(None).cast("double").alias("f1"),
+                     F.lit(0).alias("version"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc, x):
+        ok = should_promote(acc["auc"], acc["f1"], x["r"][auc], x["r"][f1], eps=eps)
+        return F.struct(
+            F.when(ok, x["r"][auc]).otherwise(acc["auc"]).alias("auc"),
+            F.when(ok, x["r"][f1]).otherwise(acc["f1"]).alias("f1"),
+            (acc["version"] + F.when(ok, 1).otherwise(0)).alias("version"),
+            F.concat(acc["out"], F.array(F.when(ok, acc["version"] + 1).cast("int"))).alias("out"))
+    folded = seq.select("s", F.aggregate("s", state, step)["out"].alias("v"))
+    rows = folded.select(F.explode(F.arrays_zip("s", "v")).alias("z"))
+    return rows.select("z.s.r.*", F.col("z.v").isNotNull().alias("promoted"), F.col("z.v").alias("version"))
 
 
 def promote_if_better(spark: SparkSession, root: str, run_id: str, model_name: str,
@@ -112,8 +122,8 @@ def promote_if_better(spark: SparkSession, root: str, run_id: str, model_name: s
         return None
     version = cur_v + 1
     path = _path(root, f"models/v{version}")
-    if model is not None:
-        model.write().overwrite().save(path)
+    if model is not None:  # never over an existing version
+        model.save(path)
     spark.createDataFrame([(version, run_id, model_name, float(cv_auc), float(cv_f1), path, None)],
                           VERSIONS_SCHEMA).withColumn("promoted_at", F.current_timestamp()) \
         .write.mode("append").parquet(_path(root, "model_versions"))
@@ -130,16 +140,14 @@ def experiment_summary(cv_summary: DataFrame, digits: int = 4, score: str = "cv_
 
 
 def load_model(spark: SparkSession, root: str):
-    """RG5: the ``PipelineModel`` of the latest version."""
+    """RG5: the model of the latest version, with the preparation saved in it."""
     from pyspark.ml import PipelineModel
+
+    from tessera.operators.models import KnnPipeline
+    from tessera.sources.io import path_exists
     cur = current_version(_read(spark, root, "model_versions", VERSIONS_SCHEMA)).first()
     if cur is None:
         raise FileNotFoundError(f"no model version under {root}")
+    if path_exists(spark, f"{cur['path']}/refs"):
+        return KnnPipeline.load(spark, cur["path"])
     return PipelineModel.load(cur["path"])
-
-
-def timed(fn, *args, **kwargs):
-    """Run ``fn`` and return (result, seconds)."""
-    t0 = time.time()
-    out = fn(*args, **kwargs)
-    return out, time.time() - t0
