@@ -53,15 +53,18 @@ def io1_ingest_csv(spark, sf):
     return spark.read.parquet(out)
 
 
-@register("io5_ingest_audit", "SELECT count(*) AS rows FROM customer")
+@register("io5_ingest_audit", "SELECT count(*) AS rows, 3 AS files, true AS bytes_known FROM customer")
 def io5_ingest_audit(spark, sf):
     src = _customer_csv(spark, sf)
     files = io.list_files(spark, f"{src}/*.csv")
     audit = io.ingest_audit(io.read_csv(spark, files, CUSTOMER_SCHEMA))
-    return audit.agg(F.sum("rows").alias("rows"))
+    return audit.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).cast("int").alias("files"),
+                     (F.min("bytes") > 0).alias("bytes_known"))
 
 
-@register("io2_io3_write_codecs")
+@register("io2_io3_write_codecs", """
+SELECT codec, (SELECT count(*) FROM orders) AS rows, false AS rewritten
+FROM (VALUES ('snappy'), ('gzip'), ('none')) AS c(codec)""")
 def io2_io3_write_codecs(spark, sf):
     o = table(spark, sf, "orders")
     rows = []
@@ -99,7 +102,9 @@ def io9_write_stats_csv(spark, sf):
     return spark.read.option("header", True).csv(p)
 
 
-@register("io10_verify_written")
+@register("io10_verify_written", """
+SELECT count(*) AS rows_written, count(*) AS rows_expected,
+       (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE lineitem)) AS columns, true AS schema_equal, true AS ok FROM lineitem""")
 def io10_verify_written(spark, sf):
     li = table(spark, sf, "lineitem")
     p = io.scratch_dir(spark, "lineitem-copy")

@@ -15,7 +15,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,14 +38,20 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (st or []) if s.isFile())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def exists_nonempty(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a completed Spark write (``_SUCCESS``) or any file."""
+    """True when ``path`` is a file with content or a completed Spark write (it has
+    ``_SUCCESS``); what a failed write left behind does not count."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
     if fs.isFile(p):
         return fs.getFileStatus(p).getLen() > 0
-    return any(True for _ in (fs.listStatus(p) or []))
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -69,8 +75,13 @@ def schema_profile(df: DataFrame) -> DataFrame:
 
 # ---- IO1 / IO5 -------------------------------------------------------------------------
 def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """Header, comma, '"' quotes with doubled quotes, no embedded newlines, FAILFAST."""
-    return (spark.read.schema(schema)
+    """Header, comma, '"' quotes with doubled quotes, no embedded newlines, FAILFAST.
+
+    ``enforceSchema`` is off: the reader compares the header of every file with
+    the schema, name by name, and fails on a file with other or reordered columns
+    instead of putting values under wrong names.
+    """
+    return (spark.read.schema(schema).option("enforceSchema", False)
             .option("header", True).option("sep", ",").option("quote", '"').option("escape", '"')
             .option("multiLine", False).option("mode", "FAILFAST")
             .csv(list(paths)))
@@ -90,8 +101,9 @@ def ingest_csv(spark: SparkSession, raw_dir: str, output_path: str, schema: T.St
     """IO1: every ``*.csv`` of a folder (sorted) → one Parquet table, audited.
 
     Missing input → error.  With ``skip_if_exists`` a non-empty output is
-    left alone unless ``force`` (IO3).  Returns the audit: files, rows per
-    file and in total, bytes in and out, ratio, seconds.
+    left alone unless ``force`` (IO3).  Returns the audit: files, rows in
+    total, bytes in and out, ratio, seconds, and ``per_file``, a DataFrame with
+    rows and bytes per file (evaluated only when it is used).
     """
     t0 = time.time()
     files = list_files(spark, f"{raw_dir.rstrip('/')}/*.csv")
@@ -101,13 +113,12 @@ def ingest_csv(spark: SparkSession, raw_dir: str, output_path: str, schema: T.St
         return {"skipped": True, "output": output_path}
     df = read_csv(spark, files, schema)
     require_columns(df, required_columns)
-    per_file = [r.asDict() for r in ingest_audit(df).collect()]  # one row per input file
-    write_parquet(df, output_path, compression, mode="overwrite")
-    bytes_out = _dir_size(spark, output_path)
-    bytes_in = sum(r["bytes"] for r in per_file)
-    return {"skipped": False, "files": len(files), "per_file": per_file,
-            "rows": sum(r["rows"] for r in per_file), "bytes_in": bytes_in, "bytes_out": bytes_out,
-            "ratio": (bytes_in / bytes_out) if bytes_out else None, "seconds": time.time() - t0}
+    seen = Observation()  # counted while the rows are written: the files are parsed once
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), output_path, compression, mode="overwrite")
+    bytes_out, bytes_in = _dir_size(spark, output_path), sum(_dir_size(spark, f) for f in files)
+    return {"skipped": False, "files": len(files), "rows": seen.get["rows"], "bytes_in": bytes_in,
+            "bytes_out": bytes_out, "ratio": (bytes_in / bytes_out) if bytes_out else None,
+            "per_file": ingest_audit(df), "seconds": time.time() - t0}
 
 
 def _dir_size(spark: SparkSession, path: str) -> int:

@@ -79,7 +79,7 @@ def stream_ingest(spark: SparkSession, csv_dir: str, schema: T.StructType | str,
                   checkpoint: str, compression: str = "snappy") -> DataFrame:
     """IO11: CSV files appended to a Parquet table as they arrive (file source,
     exactly-once file sink), returned as a batch read of the table."""
-    src = (spark.readStream.schema(schema).option("header", True).option("quote", '"')
+    src = (spark.readStream.schema(schema).option("enforceSchema", False).option("header", True).option("quote", '"')
            .option("escape", '"').option("mode", "FAILFAST").csv(csv_dir))
     q = (src.writeStream.format("parquet").option("compression", compression)
          .option("path", output_path).option("checkpointLocation", checkpoint)
