@@ -98,20 +98,10 @@ def unmapped_counts(df: DataFrame, columns: Sequence[str], mapping: dict) -> Dat
 
 
 # ---- FX5-FX8 categorical ------------------------------------------------------
-MAX_ONE_HOT_CATEGORIES = 1000
-
-
-def learn_categories(df: DataFrame, column: str, limit: int = MAX_ONE_HOT_CATEGORIES) -> list:
-    """Sorted distinct non-null values of one column.
-
-    A grouped aggregate (partial, then final) that returns at most ``limit``
-    + 1 rows to the driver; above the limit one-hot encoding is refused.
-    """
-    vals = [r[0] for r in df.select(column).where(F.col(column).isNotNull())
-            .distinct().orderBy(column).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"one-hot of {column}: more than {limit} categories")
-    return vals
+def learn_categories(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values of one column: the names of its one-hot
+    columns, so as many as the result will have columns."""
+    return learn_categories_many(df, [column])[column]
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence, prefix: str | None = None,
@@ -124,28 +114,22 @@ def one_hot(df: DataFrame, column: str, categories: Sequence, prefix: str | None
     return df if keep_original else df.drop(column)
 
 
-def learn_categories_many(df: DataFrame, columns: Sequence[str],
-                          limit: int = MAX_ONE_HOT_CATEGORIES) -> dict[str, list]:
+def learn_categories_many(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
     """Sorted distinct non-null values of several columns in ONE job.
 
-    The columns are unpivoted to (column, value), de-duplicated with a
-    partial + final aggregate and at most ``limit`` values per column (plus
-    one, to detect overflow) reach the driver.
+    The columns are unpivoted to (column, value) and de-duplicated with a
+    partial and a final aggregate; the driver gets the names of the columns
+    that the encoded frame will have.
     """
     if not columns:
         return {}
     stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
-    pairs = (df.selectExpr(f"stack({len(columns)}, {stack}) AS (__c, __v)")
-               .where(F.col("__v").isNotNull()).distinct())
-    rows = pairs.limit(limit * len(columns) + 1).collect()
-    if len(rows) > limit * len(columns):
-        raise ValueError(f"one-hot of {list(columns)}: more than {limit} categories")
+    rows = (df.selectExpr(f"stack({len(columns)}, {stack}) AS (__c, __v)")
+              .where(F.col("__v").isNotNull()).distinct().collect())
     out: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         out[r["__c"]].append(r["__v"])
     for c, vals in out.items():
-        if len(vals) > limit:
-            raise ValueError(f"one-hot of {c}: more than {limit} categories")
         typ = df.schema[c].dataType.typeName()
         cast = float if typ in ("double", "float") else int if typ in ("integer", "long", "short", "byte") else str
         out[c] = sorted(cast(v) for v in vals)

@@ -135,22 +135,6 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed, by: Sequence[str] =
              .drop("__h", "__hl", "__one", BUCKET, "cum___one", "tot___one"))
 
 
-def ordered_rank(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
-                 rank_col: str = "rank", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """0-based rank in ``order`` (first column numeric; rest break ties) within ``by``.
-
-    Buckets come from the first column, so rows sharing one value of it are
-    ranked inside one task: use it on (nearly) unique first columns.  The
-    library's own ranks avoid that case — AUC and curves rank distinct score
-    levels with counts, splits and batches rank unique md5 hashes.
-    """
-    b = with_edge_buckets(df.withColumn("__one", F.lit(1)), order[0], by, n_buckets)
-    r = prefix_sums(b, order, ["__one"], by)
-    return (r.withColumn(rank_col, (F.col("cum___one") - 1).cast("bigint"))
-             .withColumn("group_n", F.col("tot___one").cast("bigint"))
-             .drop("__one", BUCKET, "cum___one", "tot___one"))
-
-
 def ntile(rank: Column, n_rows: Column, n: int) -> Column:
     """NTILE(n) from a 0-based rank and the row count: the first ``N mod n``
     tiles hold one extra row (same as SQL ``ntile``)."""

@@ -189,15 +189,15 @@ class RobustScalerModel:
 # ---- LN6 -------------------------------------------------------------------------
 class OneHotLearned:
     """LN6: categories learned from training rows, sorted, first dropped;
-    unknown or NULL → all zeros.  Refuses more than ``max_categories``."""
+    unknown or NULL → all zeros.  All columns are learned in one job; a
+    category is an output column, so their number is the width of the result."""
 
-    def __init__(self, columns: Sequence[str], drop_first: bool = True, max_categories: int = 1000):
-        self.columns, self.drop_first, self.max_categories = list(columns), drop_first, max_categories
+    def __init__(self, columns: Sequence[str], drop_first: bool = True):
+        self.columns, self.drop_first = list(columns), drop_first
 
     def fit(self, df: DataFrame) -> "OneHotModel":
-        from tessera.functions.features import learn_categories
-        return OneHotModel({c: learn_categories(df, c, self.max_categories) for c in self.columns},
-                           self.drop_first)
+        from tessera.functions.features import learn_categories_many
+        return OneHotModel(learn_categories_many(df, self.columns), self.drop_first)
 
 
 @dataclass
@@ -252,32 +252,38 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return cc.withColumn("weight", n / (k * F.col("n_c")))
 
 
-MAX_CLASSES = 1000
+CASE_CLASSES = 1000  # classes up to which weights are a literal CASE
 
 
 def with_class_weight(df: DataFrame, label: str, mode: str | float = "balanced",
                       out: str = "weight") -> DataFrame:
     """LN8: add a weight column: 'balanced', or a fixed weight for class 1.
 
-    Balanced weights come from one grouped count whose size is the class
-    count (checked against ``MAX_CLASSES``); they are applied as a literal
-    ``CASE`` on the label, not a join: a join keyed on a label with two
-    values would send each class to one task if it were not broadcast.
-    A NULL label gets a NULL weight (it counts in n and k, like any class).
+    Balanced weights come from one grouped count (one row per class, written
+    once).  Few classes are applied as a literal ``CASE`` on the label: a join
+    keyed on a label with two values would send each class to one task.  With
+    more than ``CASE_CLASSES`` classes the table is joined, hot classes by
+    broadcast.  A NULL label gets a NULL weight (it counts in n and k, like any
+    class).
     """
-    if mode == "balanced":
-        rows = class_counts(df, label).limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"{label}: more than {MAX_CLASSES} classes")
-        n, k = sum(r["n_c"] for r in rows), len(rows)
-        expr = None
-        for r in rows:
-            if r[label] is None:
-                continue
-            cond, w = _q(label) == F.lit(r[label]), F.lit(n / (k * r["n_c"]))
-            expr = F.when(cond, w) if expr is None else expr.when(cond, w)
-        return df.withColumn(out, (expr if expr is not None else F.lit(None)).cast("double"))
-    return df.withColumn(out, F.when(_q(label) == 1, F.lit(float(mode))).otherwise(F.lit(1.0)))
+    if mode != "balanced":
+        return df.withColumn(out, F.when(_q(label) == 1, F.lit(float(mode))).otherwise(F.lit(1.0)))
+    from tessera.session import materialize
+    counts = materialize(class_counts(df, label))
+    total = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("n_c").alias("n")).first()
+    n, k = total["n"] or 0, total["k"]
+    if k <= CASE_CLASSES:
+        expr = F.lit(None).cast("double")
+        for r in counts.where(_q(label).isNotNull()).collect():
+            expr = F.when(_q(label) == F.lit(r[label]), F.lit(n / (k * r["n_c"]))).otherwise(expr)
+        return df.withColumn(out, expr)
+    heavy = F.col("n_c") >= n / CASE_CLASSES  # at most CASE_CLASSES classes
+    weights = counts.select(_q(label).alias("__c"), (F.lit(float(n)) / (k * F.col("n_c"))).alias("__w"), heavy.alias("__heavy"))
+    j = df.join(F.broadcast(weights.where("__heavy")).drop("__heavy").withColumnsRenamed({"__c": "__hc", "__w": "__hw"}),
+                _q(label) == F.col("__hc"), "left")
+    rest = F.when(F.col("__hw").isNull(), _q(label))  # rows with a heavy class need no second match
+    j = j.join(weights.where("NOT __heavy").drop("__heavy"), rest == F.col("__c"), "left")
+    return j.withColumn(out, F.coalesce("__hw", "__w")).drop("__hc", "__hw", "__c", "__w")
 
 
 # ---- LN9 -------------------------------------------------------------------------

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 from tessera.functions.features import round_to
 from tessera.functions.prefix import prefix_sums, with_edge_buckets
 
@@ -56,14 +58,19 @@ def confusion_matrix(df: DataFrame, y: str = "y", p: str = "p", threshold: float
 
 # ---- ROC AUC and curves --------------------------------------------------------------
 def score_levels(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, distinct score): positives and negatives at that score."""
-    return df.groupBy(*by, _q(p).alias("score")).agg(
+    """One row per (group, distinct score): positives and negatives at that score.
+
+    Rows without a label or a score take no part in any metric: they are left
+    out here and in the confusion counts alike."""
+    return df.where(_q(y).isNotNull() & _q(p).isNotNull()).groupBy(*by, _q(p).alias("score")).agg(
         F.sum(_q(y).cast("long")).alias("pos"),
         (F.count(F.lit(1)) - F.sum(_q(y).cast("long"))).alias("neg"))
 
 
 def _cumulated(df: DataFrame, y: str, p: str, by: Sequence[str], n_buckets: int) -> DataFrame:
-    lv = score_levels(df, y, p, by)
+    """Running counts over score levels.  The levels are written once: edges, totals
+    and running sums then read that small table, and the input is read once."""
+    lv = materialize(score_levels(df, y, p, by))
     lv = with_edge_buckets(lv, "score", per=list(by), n_buckets=n_buckets)
     return prefix_sums(lv, ["score"], ["neg", "pos"], list(by))
 
@@ -112,20 +119,27 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str | None = "p",
     The class is ``p >= threshold`` unless ``yhat`` is given; AUC uses the
     probability when present, else the class (as the original did).
     """
-    cls = _q(yhat) if yhat else predicted(_q(p), threshold)
-    counts = df.groupBy(*by).agg(*confusion_aggs(_q(y), cls))
-    rates = counts.select(*by, *rates_from_counts(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")),
-                          "tp", "fp", "fn", "tn")
-    score_col = p if p else yhat
-    auc = roc_auc(df, y, score_col, by)
-    if by:
-        # null-safe on the group: a NULL group keeps its AUC
-        ren = {c: f"__a{i}" for i, c in enumerate(by)}
-        a = auc.withColumnsRenamed(ren)
-        out = rates.join(a, [_q(c).eqNullSafe(F.col(r)) for c, r in ren.items()], "left") \
-                   .drop(*ren.values())
+    score = p if p else yhat
+    if yhat and p:  # the class is not a function of the score: count it beside
+        rows = df.where(_q(y).isNotNull() & _q(p).isNotNull() & _q(yhat).isNotNull())
+        counts = rows.groupBy(*by).agg(*confusion_aggs(_q(y), _q(yhat)))
+        auc = roc_auc(rows, y, p, by).withColumnsRenamed({c: f"__a{i}" for i, c in enumerate(by)})
+        on = [_q(c).eqNullSafe(F.col(f"__a{i}")) for i, c in enumerate(by)]
+        out = counts.join(auc, on, "left") if by else counts.withColumn("auc", auc.select("auc").scalar())
     else:
-        out = rates.withColumn("auc", auc.select("auc").scalar())
+        # one pass: AUC and confusion counts all follow from the score levels
+        c = _cumulated(df, y, score, by, 256)
+        one = predicted(F.col("score"), threshold) == 1 if p else F.col("score") == 1
+        contrib = F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("neg"))
+
+        def total(what, when):
+            return F.coalesce(F.sum(F.when(when, F.col(what))), F.lit(0))
+        out = c.groupBy(*by).agg(
+            F.try_divide(F.sum(contrib), F.max("tot_pos").cast("double") * F.max("tot_neg")).alias("auc"),
+            total("pos", one).alias("tp"), total("neg", one).alias("fp"),
+            total("pos", ~one).alias("fn"), total("neg", ~one).alias("tn"))
+    out = out.select(*by, "auc", *rates_from_counts(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")),
+                     "tp", "fp", "fn", "tn")
     return out.select(*by, F.col("auc").alias("roc_auc"), "f1", "precision", "recall", "accuracy",
                       "tp", "fp", "fn", "tn")
 

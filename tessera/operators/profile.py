@@ -148,12 +148,9 @@ def distinct_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, n_unique, min, max)")
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """AG9: sorted distinct values of a low-cardinality column (bounded collect)."""
-    vals = [r[0] for r in df.select(column).distinct().orderBy(column).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{column}: more than {limit} distinct values")
-    return vals
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """AG9: sorted distinct values of a column, as a table of whatever size."""
+    return df.select(column).distinct().orderBy(column)
 
 
 # ---- AG10 / AG11 -----------------------------------------------------------------

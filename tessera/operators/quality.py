@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.features import round_to
 
-REPORT_VALUE_LIMIT = 500
 
 
 @dataclass
@@ -183,14 +182,11 @@ def suite_summary(results: DataFrame) -> DataFrame:
 
 
 def suite_report(results: DataFrame) -> DataFrame:
-    """QC8: one JSON document ``{success,total,passed,failed,details:[...]}``;
-    string values longer than 500 characters are cut.  One aggregate over the
-    check rows (one row per check, so the ``collect_list`` is bounded by the
+    """QC8: one JSON document ``{success,total,passed,failed,details:[...]}`` with
+    whole values.  One aggregate over the check rows (one row per check, so the ``collect_list`` is bounded by the
     suite size, not by the data)."""
-    kw = F.when(F.length("kwargs") > REPORT_VALUE_LIMIT,
-                F.substring("kwargs", 1, REPORT_VALUE_LIMIT)).otherwise(F.col("kwargs"))
     d = F.struct(
-        "check_id", "type", "column", "success", kw.alias("kwargs"),
+        "check_id", "type", "column", "success", "kwargs",
         F.struct("element_count", "missing_count", "missing_percent", "unexpected_count",
                  "unexpected_percent", "unexpected_percent_total",
                  "unexpected_percent_nonmissing", "observed_value").alias("result"))

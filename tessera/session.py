@@ -22,6 +22,7 @@ def get_session(master: str | None = None, app: str = "tessera",
     master = master or os.environ.get("SPARK_MASTER", "local[8]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "6g"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
@@ -39,8 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Uses whatever the cluster configured (``spark.checkpoint.dir`` or the
-    context's checkpoint dir); only when nothing is set (local tests) a
-    scratch folder is created and registered.
+    context's checkpoint dir).  Only a local session without one (tests, bench)
+    gets a scratch folder; on a cluster executors would not share it, so there
+    a missing setting raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -71,7 +75,21 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written so far; call it when the
+    results that read them have been used.  Returns how many there were."""
+    jvm, n = spark.sparkContext._jvm, len(_WRITTEN)
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
