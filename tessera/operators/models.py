@@ -2,10 +2,11 @@
 
 A fixed table maps every configured learner to a Spark ML estimator; its
 parameters are translated from the original (scikit-learn style) names.
-``fit_pipeline`` (ML8) assembles the feature vector, standardises, optionally
-reduces, and fits — one ``pyspark.ml.Pipeline``, fitted with distributed
-jobs; the learned model is a ``PipelineModel`` (saved/loaded by the
-registry).  P(class 1) is extracted JVM-side with ``vector_to_array``.
+``fit_pipeline`` (ML8) imputes NULL features with training medians, scales the
+configured columns, reduces (none, PCA, LDA, RFE) and fits the learner.  Every
+fitted step is a plain Spark ML stage (the learned numbers are literals of a
+``SQLTransformer``), so the whole ``PipelineModel`` saves, loads and scores raw
+feature rows.  P(class 1) is extracted JVM-side with ``vector_to_array``.
 """
 
 from __future__ import annotations
@@ -13,15 +14,16 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEATURES, RAW, LABEL, WEIGHT = "features", "__raw", "label", "weight"
+MAX_DEPTH = 30  # the deepest tree that Spark ML grows; the default, as the original sets no bound
 
 # FIXED VALUES: search spaces of the configured learners, in the original
 # parameter names (low/high/choices as configured).
@@ -61,9 +63,11 @@ DEFAULTS: dict = {
     "xgboost": {"n_estimators": 100, "scale_pos_weight": 2.77},
     "lightgbm": {"n_estimators": 100, "class_weight": "balanced"},
     "svc": {"C": 1.0, "class_weight": "balanced"},
+    "knn": {"n_neighbors": 5, "weights": "uniform", "metric": "euclidean"},
     "linear_threshold": {},
 }
-# Spark's tree learners are capped at depth 30; boosted presets use these depths
+REDUCTIONS = ("none", "pca", "lda", "rfe")
+# depths that the boosted presets use by default
 BOOSTED_DEFAULT_DEPTH = {"gradient_boosting": 3, "xgboost": 6, "lightgbm": 5}
 
 
@@ -76,80 +80,135 @@ def uses_weights(name: str, params: dict) -> bool:
     return params.get("class_weight") == "balanced" or "scale_pos_weight" in params
 
 
-def build_estimator(name: str, params: dict | None = None, n_rows: int | None = None,
+def check_names(name: str, reduction: dict | None = None) -> None:
+    """Raise on a learner or reduction that does not exist, before any job runs."""
+    if name not in DEFAULTS:
+        raise ValueError(f"unknown learner {name!r}; known: {sorted(DEFAULTS)}")
+    method = (reduction or {}).get("method", "none")
+    if method not in REDUCTIONS:
+        raise ValueError(f"unknown reduction {method!r}; known: {REDUCTIONS}")
+
+
+def _depth(p: dict) -> int:
+    d = int(p.get("max_depth") or MAX_DEPTH)
+    if d > MAX_DEPTH:
+        raise ValueError(f"max_depth {d}: Spark ML trees are at most {MAX_DEPTH} deep")
+    return d
+
+
+def build_estimator(name: str, params: dict | None = None, n_rows: float | None = None,
                     seed: int = 13) -> Estimator:
     """ML1-ML5, ML7: the Spark estimator for a learner name and its parameters.
 
     ``n_rows`` (total training weight) converts the inverse strength C of
     the original into Spark's mean-loss ``regParam = 1 / (C · n)``.
     """
-    p = {**DEFAULTS.get(name, {}), **(params or {})}
-    w = WEIGHT if uses_weights(name, p) else None
+    check_names(name)
+    p = {**DEFAULTS[name], **(params or {})}
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
-    if w:
-        common["weightCol"] = w
+    if uses_weights(name, p):
+        common["weightCol"] = WEIGHT
+    n = float(n_rows or 1)
     if name == "logistic_regression":
-        n = float(n_rows or 1)
         return LogisticRegression(regParam=1.0 / (float(p["C"]) * n),
                                   elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0,
                                   standardization=False, maxIter=int(p.get("max_iter", 100)), **common)
     if name == "decision_tree":
-        return DecisionTreeClassifier(impurity=p.get("criterion", "gini"),
-                                      maxDepth=min(int(p.get("max_depth", 5)), 30),
+        return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=_depth(p),
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                       seed=seed, **common)
     if name == "random_forest":
         mf = p.get("max_features")
-        return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
-                                      maxDepth=min(int(p.get("max_depth", 5)), 30),
+        return RandomForestClassifier(numTrees=int(p["n_estimators"]), maxDepth=_depth(p),
                                       featureSubsetStrategy=str(float(mf)) if mf else "sqrt",
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                       seed=seed, **common)
     if name in ("gradient_boosting", "xgboost", "lightgbm"):
         cs = p.get("colsample_bytree")
-        return GBTClassifier(maxIter=int(p.get("n_estimators", 100)),
-                             maxDepth=int(p.get("max_depth", BOOSTED_DEFAULT_DEPTH[name])),
+        return GBTClassifier(maxIter=int(p["n_estimators"]),
+                             maxDepth=_depth({"max_depth": p.get("max_depth", BOOSTED_DEFAULT_DEPTH[name])}),
                              stepSize=float(p.get("learning_rate", 0.1)),
                              subsamplingRate=float(p.get("subsample", 1.0)),
                              featureSubsetStrategy=str(float(cs)) if cs else "all",
                              seed=seed, **common)
     if name in ("svc", "linear_threshold"):
-        n = float(n_rows or 1)
         return LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", 100)),
                          standardization=False, **common)
-    raise ValueError(f"unknown learner {name!r}")
+    raise ValueError(f"{name!r} is not fitted as one estimator")
+
 
+# ---- preparation: impute, scale -------------------------------------------------------------
+def fit_preparation(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None) -> SQLTransformer:
+    """Training medians for NULL features and LN3 scaling of ``scale`` (default: the
+    configured columns among ``features``; a constant column stays as it is).
 
-class PlattSVC(Estimator):
-    """ML5: linear SVC with probabilities: the SVC margin is calibrated by a
-    one-variable logistic regression (Platt scaling), both fitted by Spark."""
+    One aggregate gives null counts, means and deviations of all features.
+    Columns with NULLs take the exact median of LN1 (and their moments once
+    more after imputing); columns without take an approximate median, which
+    only serves rows scored later.  The result adds ``__x0 .. __xn``.
+    """
+    from tessera.operators.learned import MedianImputer
+    if scale is None:
+        from tessera.plans.config import SCALE_COLUMNS
+        scale = [c for c in SCALE_COLUMNS if c in features]
+    xs = {c: F.col(f"`{c}`").cast("double") for c in features}
 
-    def __init__(self, svc: LinearSVC):
-        super().__init__()
-        self.svc = svc
+    def moments(cols):
+        return [(F.avg(cols[c]).alias(f"m{i}"), F.stddev_samp(cols[c]).alias(f"s{i}"))
+                for i, c in enumerate(features) if c in scale]
+    row = df.agg(*[F.count_if(x.isNull()).alias(f"n{i}") for i, x in enumerate(xs.values())],
+                 *[F.percentile_approx(x, 0.5).alias(f"q{i}") for i, x in enumerate(xs.values())],
+                 *[a for pair in moments(xs) for a in pair]).first().asDict()
+    holes = [c for i, c in enumerate(features) if row[f"n{i}"]]
+    median = {c: row[f"q{i}"] or 0.0 for i, c in enumerate(features)}
+    if holes:
+        exact = MedianImputer(holes).fit(df).medians
+        median.update({c: float(v) if v is not None else 0.0 for c, v in exact.items()})
+        if set(holes) & set(scale):
+            filled = {c: F.coalesce(x, F.lit(median[c])) for c, x in xs.items()}
+            row.update(df.agg(*[a for pair in moments(filled) for a in pair]).first().asDict())
+    parts = []
+    for i, c in enumerate(features):
+        expr = f"coalesce(CAST(`{c}` AS DOUBLE), {median[c]!r}D)"
+        sd = row.get(f"s{i}")
+        if c in scale and sd:
+            expr = f"({expr} - {float(row[f'm{i}'])!r}D) / {float(sd)!r}D"
+        parts.append(f"{expr} AS __x{i}")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
-    def _fit(self, df: DataFrame) -> "PlattSVCModel":
-        svm = self.svc.fit(df)
-        m = svm.transform(df).withColumn("__margin", vector_to_array("rawPrediction")[1])
-        m = VectorAssembler(inputCols=["__margin"], outputCol="__mv").transform(m)
-        m = m.drop("rawPrediction", "prediction")
-        kw = {"weightCol": self.svc.getWeightCol()} if self.svc.isSet("weightCol") else {}
-        platt = LogisticRegression(featuresCol="__mv", labelCol=self.svc.getLabelCol(), regParam=0.0,
-                                   **kw).fit(m)
-        return PlattSVCModel(svm, platt)
 
+def fit_reduction(df: DataFrame, columns: Sequence[str], reduction: dict | None, label: str, seed: int) -> list:
+    """Fitted stages from the prepared columns to the ``features`` vector."""
+    from tessera.operators import reduce as fr
+    r = reduction or {}
+    method = r.get("method", "none")
+    if method == "pca":
+        assemble = VectorAssembler(inputCols=list(columns), outputCol=RAW)
+        k = max(1, min(int(r.get("n_components", 15)), len(columns) - 1))
+        return [assemble, PCA(k=k, inputCol=RAW, outputCol=FEATURES).fit(assemble.transform(df))]
+    if method == "lda":
+        p = fr.fit_lda(df, columns, label)
+        outs = [f"__ld{j}" for j in range(p.weights.shape[1])]
+        exprs = [" + ".join(f"(`{c}` - {float(p.mean[i])!r}D) * {float(p.weights[i, j])!r}D"
+                            for i, c in enumerate(columns)) + f" AS {o}" for j, o in enumerate(outs)]
+        return [SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"),
+                VectorAssembler(inputCols=outs, outputCol=FEATURES)]
+    if method == "rfe":
+        keep = fr.rfe(df, columns, label, min(int(r.get("n_features", 15)), len(columns)),
+                      r.get("ranker", "ridge"), seed=seed)
+        return [VectorAssembler(inputCols=keep, outputCol=FEATURES)]
+    return [VectorAssembler(inputCols=list(columns), outputCol=FEATURES)]
 
-class PlattSVCModel(Model):
-    def __init__(self, svm, platt):
-        super().__init__()
-        self.svm, self.platt = svm, platt
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        s = self.svm.transform(df).withColumn("__margin", vector_to_array("rawPrediction")[1])
-        s = VectorAssembler(inputCols=["__margin"], outputCol="__mv").transform(s)
-        s = s.drop("rawPrediction", "prediction")
-        out = self.platt.transform(s)
-        return out.drop("__margin", "__mv")
+def fit_platt_svc(svc: LinearSVC, data: DataFrame) -> list:
+    """ML5: the SVC, its margin, and a one-variable logistic regression of the label
+    on it (Platt scaling) — three plain stages that save and load."""
+    svm = svc.copy({svc.rawPredictionCol: "__svc_raw", svc.predictionCol: "__svc_class"}).fit(data)
+    margin = VectorSlicer(inputCol="__svc_raw", outputCol="__svc_margin", indices=[1])
+    scored = margin.transform(svm.transform(data))
+    kw = {"weightCol": svc.getWeightCol()} if svc.isSet("weightCol") else {}
+    platt = LogisticRegression(featuresCol="__svc_margin", labelCol=svc.getLabelCol(), regParam=0.0, **kw)
+    return [svm, margin, platt.fit(scored)]
 
 
 def linear_threshold_table(model) -> list[tuple[str, float]]:
@@ -157,32 +216,91 @@ def linear_threshold_table(model) -> list[tuple[str, float]]:
     return list(enumerate(model.coefficients.toArray().tolist())) + [("intercept", float(model.intercept))]
 
 
+def with_weights(df: DataFrame, name: str, params: dict | None, label: str) -> DataFrame:
+    """The class weights that a learner's parameters ask for, as column ``weight``."""
+    from tessera.operators.learned import with_class_weight
+    p = {**DEFAULTS[name], **(params or {})}
+    if WEIGHT in df.columns or not uses_weights(name, p):
+        return df
+    return with_class_weight(df, label, "balanced" if p.get("class_weight") == "balanced"
+                             else float(p["scale_pos_weight"]))
+
+
 def fit_pipeline(df: DataFrame, features: Sequence[str], name: str, params: dict | None = None,
                  reduction: dict | None = None, label: str = "Churn", seed: int = 13,
-                 n_rows: int | None = None) -> PipelineModel:
-    """ML8: assemble → standardise → (PCA) → estimator, as one Spark Pipeline.
+                 preparation: SQLTransformer | None = None):
+    """ML8: impute → scale the configured columns → reduce → learner.
 
-    The frame must carry ``label`` (0/1) and, for balanced learners, a
-    ``weight`` column (see ``tessera.operators.learned.with_class_weight``).
+    Unknown names raise before any job.  ``preparation`` may be shared by fits
+    on the same rows.  Class weights are added unless ``weight`` is there.
+    Returns a ``PipelineModel``; for ``knn`` a ``KnnPipeline``.
     """
-    stages = [VectorAssembler(inputCols=list(features), outputCol=RAW, handleInvalid="keep"),
-              StandardScaler(inputCol=RAW, outputCol=FEATURES + "_s", withMean=True, withStd=True)]
-    vec = FEATURES + "_s"
-    if reduction and reduction.get("method") == "pca":
-        k = min(int(reduction.get("n_components", 15)), len(features) - 1)
-        stages.append(PCA(k=k, inputCol=vec, outputCol=FEATURES))
-    else:
-        stages.append(VectorAssembler(inputCols=[vec], outputCol=FEATURES))
-    est = build_estimator(name, params, n_rows, seed)
-    if name == "svc":
-        est = PlattSVC(est)
-    stages.append(est)
-    data = df.withColumn(LABEL, F.col(f"`{label}`").cast("double"))
-    return Pipeline(stages=stages).fit(data)
+    check_names(name, reduction)
+    build_estimator(name, params, 1, seed) if name != "knn" else None  # parameters raise here
+    prep = preparation or fit_preparation(df, features)
+    data = with_weights(df, name, params, label).withColumn(LABEL, F.col(f"`{label}`").cast("double"))
+    data = prep.transform(data)
+    stages = [prep, *fit_reduction(data, [f"__x{i}" for i in range(len(features))], reduction, label, seed)]
+    for stage in stages[1:]:
+        data = stage.transform(data)
+    if name == "knn":
+        return KnnPipeline.fit(PipelineModel(stages), data, {**DEFAULTS["knn"], **(params or {})})
+    n = None
+    if name in ("logistic_regression", "svc", "linear_threshold"):
+        n = data.agg(F.sum(WEIGHT) if WEIGHT in data.columns else F.count(F.lit(1))).first()[0]
+    est = build_estimator(name, params, n, seed)
+    return PipelineModel(stages + (fit_platt_svc(est, data) if name == "svc" else [est.fit(data)]))
+
 
+class KnnPipeline:
+    """ML6 as a learner: prepared reference vectors in a written table; scoring is
+    the blocked exact search of ``tessera.operators.knn``."""
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    def __init__(self, prepared: PipelineModel, refs: DataFrame, params: dict):
+        self.prepared, self.refs, self.params = prepared, refs, params
+
+    @staticmethod
+    def fit(prepared: PipelineModel, data: DataFrame, params: dict) -> "KnnPipeline":
+        from tessera.session import materialize
+        refs = materialize(data.select(F.monotonically_increasing_id().alias("vec_id"),
+                                       vector_to_array(FEATURES).alias("embedding"),
+                                       F.col(LABEL).cast("int").alias("label")))
+        return KnnPipeline(prepared, refs, params)
+
+    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        from tessera.operators.knn import knn_neighbors
+        from tessera.session import materialize
+        q = materialize(self.prepared.transform(df).select(
+            F.monotonically_increasing_id().alias("vec_id"), vector_to_array(FEATURES).alias("embedding"),
+            *[F.col(f"`{k}`") for k in keep]))
+        near = knn_neighbors(q, self.refs, int(self.params["n_neighbors"]), self.params["metric"], exclude_self=False)
+        one = F.col("rlabel").cast("double")
+        if self.params["weights"] == "distance":  # exact matches alone decide where there are any
+            exact = F.col("dist") == 0
+            p = F.coalesce(F.avg(F.when(exact, one)), F.sum(F.when(~exact, one / F.col("dist")))
+                           / F.sum(F.when(~exact, 1 / F.col("dist"))))
+        else:
+            p = F.avg(one)
+        p = near.groupBy(F.col("qid").alias("vec_id")).agg(p.alias("p"))
+        return q.join(p, "vec_id").select(*[F.col(f"`{k}`") for k in keep], "p", (F.col("p") > 0.5).cast("int").alias("yhat"))
+
+    def save(self, path: str) -> None:
+        spark = self.refs.sparkSession
+        self.prepared.write().save(f"{path}/prepared")
+        self.refs.write.mode("error").parquet(f"{path}/refs")
+        spark.createDataFrame([(int(self.params["n_neighbors"]), self.params["weights"], self.params["metric"])],
+                              "n_neighbors int, weights string, metric string").write.mode("error").parquet(f"{path}/params")
+
+    @staticmethod
+    def load(spark, path: str) -> "KnnPipeline":
+        params = spark.read.parquet(f"{path}/params").first().asDict()
+        return KnnPipeline(PipelineModel.load(f"{path}/prepared"), spark.read.parquet(f"{path}/refs"), params)
+
+
+def predict(model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Probability of class 1 and the predicted class, plus ``keep`` columns."""
+    if hasattr(model, "predict"):  # kNN and ensembles
+        return model.predict(df, keep)
     out = model.transform(df)
     prob = (probability_of_one("probability") if "probability" in out.columns
             else (F.col("prediction") == 1).cast("double"))
@@ -190,18 +308,26 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> Da
                       F.col("prediction").cast("int").alias("yhat"))
 
 
-def tree_rules(model, feature_names: Sequence[str], max_depth: int = 3) -> dict:
-    """ML9: depth, node count and the text rules down to ``max_depth``."""
-    text = model.toDebugString
-    lines = []
-    for line in text.splitlines()[1:]:
-        depth = (len(line) - len(line.lstrip())) // 1 - 1
-        if depth // 1 > max_depth:
-            continue
-        line = re.sub(r"feature (\d+)", lambda m: feature_names[int(m.group(1))]
+def tree_rules(model, feature_names: Sequence[str], max_depth: int | None = None) -> dict:
+    """ML9: depth, node and leaf counts, and the rules with their predictions.
+
+    ``max_depth`` (None: all) replaces each deeper branch by one line that
+    says how many of its lines were left out."""
+    def named(line):
+        return re.sub(r"feature (\d+)", lambda m: feature_names[int(m.group(1))]
                       if int(m.group(1)) < len(feature_names) else m.group(0), line)
-        lines.append(line)
-    return {"depth": model.depth, "num_nodes": model.numNodes, "rules": lines}
+    lines, hidden = [], 0
+    for line in [*model.toDebugString.splitlines()[1:], ""]:
+        depth = len(line) - len(line.lstrip()) - 2
+        if line and max_depth is not None and (depth > max_depth or depth == max_depth and "Predict" not in line):
+            hidden += 1
+            continue
+        if hidden:
+            lines.append(" " * (max_depth + 2) + f"... truncated: {hidden} lines")
+            hidden = 0
+        if line.strip():
+            lines.append(named(line))
+    return {"depth": model.depth, "num_nodes": model.numNodes, "num_leaves": (model.numNodes + 1) // 2, "rules": lines}
 
 
 def feature_importance(model, feature_names: Sequence[str]) -> list[tuple[str, float]]:

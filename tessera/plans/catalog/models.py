@@ -9,76 +9,95 @@ from pyspark.sql import functions as F
 from tessera.operators import knn
 from tessera.operators import models as ml
 from tessera.operators import split as sp
-from tessera.operators.learned import with_class_weight
 from tessera.plans import tune
 from tessera.plans.catalog import register
-from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, SEED, TARGET
+from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, PCA_COMPONENTS, RFE_FEATURES, SEED, TARGET
 from tessera.session import materialize, table
 from tessera.sources import frames
 
+SEARCH_DRAWS = tune.N_ITER
+
 
 def _split(spark, sf):
     return sp.stratified_holdout(frames.features(spark, sf), [ID_COLUMN], TARGET, 0.2, SEED)
 
 
-def _fit_predict(spark, sf, name, params=None, reduction=None):
+def _fitted(spark, sf, name, params=None, reduction=None):
+    """The split frame (written once) and a pipeline fitted on its training part."""
     d = materialize(_split(spark, sf))
-    train = d.where(~F.col("is_test"))
-    p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
-    if ml.uses_weights(name, p):
-        mode = "balanced" if p.get("class_weight") == "balanced" else float(p["scale_pos_weight"])
-        train = with_class_weight(train, TARGET, mode)
-    n = train.count()
-    model = ml.fit_pipeline(train, FEATURE_COLUMNS, name, params, reduction, TARGET, SEED, n)
+    return d, ml.fit_pipeline(d.where(~F.col("is_test")), FEATURE_COLUMNS, name, params, reduction, TARGET, SEED)
+
+
+def _fit_predict(spark, sf, name, params=None, reduction=None):
+    d, model = _fitted(spark, sf, name, params, reduction)
     return ml.predict(model, d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
 
 
 @register("ml1_logistic_regression")
 def ml1_logistic_regression(spark, sf):
-    return _fit_predict(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
+    return _fit_predict(spark, sf, "logistic_regression")
 
 
 @register("ml2_decision_tree")
 def ml2_decision_tree(spark, sf):
-    return _fit_predict(spark, sf, "decision_tree", {"max_depth": 5, "criterion": "entropy"})
+    return _fit_predict(spark, sf, "decision_tree", {"max_depth": 7, "criterion": "entropy"})
 
 
 @register("ml3_random_forest")
 def ml3_random_forest(spark, sf):
-    return _fit_predict(spark, sf, "random_forest", {"n_estimators": 30, "max_depth": 6,
-                                                     "max_features": 0.5})
+    return _fit_predict(spark, sf, "random_forest", {"max_depth": 10, "max_features": 0.5})
 
 
 @register("ml4_boosted_trees")
 def ml4_boosted_trees(spark, sf):
-    return _fit_predict(spark, sf, "xgboost", {"n_estimators": 20, "max_depth": 3,
-                                               "learning_rate": 0.1, "subsample": 0.8})
+    """The three boosted presets with their default number of trees."""
+    d = materialize(_split(spark, sf))
+    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
+    prep = ml.fit_preparation(train, FEATURE_COLUMNS)
+    out = None
+    for name in ml.BOOSTED_DEFAULT_DEPTH:
+        model = ml.fit_pipeline(train, FEATURE_COLUMNS, name, None, None, TARGET, SEED, prep)
+        p = ml.predict(model, test, keep=[ID_COLUMN, TARGET]).withColumn("model", F.lit(name))
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 @register("ml5_svc_platt")
 def ml5_svc_platt(spark, sf):
-    return _fit_predict(spark, sf, "svc", {"C": 1.0, "max_iter": 30})
+    return _fit_predict(spark, sf, "svc")
+
+
+@register("ml6_knn_learner")
+def ml6_knn_learner(spark, sf):
+    return _fit_predict(spark, sf, "knn", {"n_neighbors": 15, "weights": "distance"})
 
 
 @register("ml7_linear_threshold")
 def ml7_linear_threshold(spark, sf):
-    return _fit_predict(spark, sf, "linear_threshold", {"C": 1.0, "max_iter": 30})
+    return _fit_predict(spark, sf, "linear_threshold")
 
 
 @register("ml8_pipeline_with_pca")
 def ml8_pipeline_with_pca(spark, sf):
-    return _fit_predict(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30},
-                        {"method": "pca", "n_components": 15})
+    return _fit_predict(spark, sf, "logistic_regression", None, {"method": "pca", "n_components": PCA_COMPONENTS})
+
+
+@register("ml8_pipeline_with_lda")
+def ml8_pipeline_with_lda(spark, sf):
+    return _fit_predict(spark, sf, "logistic_regression", None, {"method": "lda"})
+
+
+@register("ml8_pipeline_with_rfe")
+def ml8_pipeline_with_rfe(spark, sf):
+    return _fit_predict(spark, sf, "logistic_regression", None, {"method": "rfe", "n_features": RFE_FEATURES})
 
 
 @register("ml9_tree_rules")
 def ml9_tree_rules(spark, sf):
-    d = with_class_weight(_split(spark, sf).where(~F.col("is_test")), TARGET, "balanced")
-    model = ml.fit_pipeline(d, FEATURE_COLUMNS, "decision_tree", {"max_depth": 4}, None, TARGET, SEED)
-    info = ml.tree_rules(model.stages[-1], FEATURE_COLUMNS, 3)
-    rows = [(i, line) for i, line in enumerate(info["rules"])]
-    return spark.createDataFrame(rows, "line int, rule string").withColumn(
-        "depth", F.lit(info["depth"])).withColumn("num_nodes", F.lit(info["num_nodes"]))
+    _, model = _fitted(spark, sf, "decision_tree", {"max_depth": 4})
+    info = ml.tree_rules(model.stages[-1], FEATURE_COLUMNS)
+    return spark.createDataFrame(list(enumerate(info["rules"])), "line int, rule string").withColumns(
+        {c: F.lit(info[c]) for c in ("depth", "num_nodes", "num_leaves")})
 
 
 # ---- ML6 kNN ---------------------------------------------------------------------------------
@@ -93,7 +112,6 @@ def _dist_sql(metric):
 def _knn_sql(k, metric, weights):
     score = "sum(1.0)" if weights == "uniform" else \
         "CASE WHEN max(CAST(dist = 0 AS INTEGER)) = 1 THEN sum(CAST(dist = 0 AS DOUBLE)) ELSE sum(1.0 / dist) END"
-    zero = "" if weights == "uniform" else ""
     return f"""
 WITH pairs AS (SELECT a.vec_id AS qid, b.vec_id AS rid, b.label AS rlabel, {_dist_sql(metric)} AS dist
                FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id),
@@ -105,16 +123,12 @@ votes AS (SELECT nn.qid, rlabel, sum(CASE WHEN z.has_zero = 1 THEN CAST(dist = 0
           FROM nn JOIN z ON nn.qid = z.qid GROUP BY nn.qid, rlabel),
 pred AS (SELECT qid, rlabel AS pred FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rlabel)
          AS r FROM votes) WHERE r = 1)
-SELECT e.vec_id, e.label, p.pred FROM embeddings e JOIN pred p ON e.vec_id = p.qid{zero}"""
+SELECT e.vec_id, e.label, p.pred FROM embeddings e JOIN pred p ON e.vec_id = p.qid"""
 
 
 def _knn(spark, sf, k, metric, weights):
     e = table(spark, sf, "embeddings")
-    nb = knn.knn_neighbors(e, e, k, metric)
-    if weights == "uniform":
-        # uniform votes ignore distances, except that exact matches win as with distance weights
-        pass
-    pred = knn.knn_predict(nb, weights)
+    pred = knn.knn_predict(knn.knn_neighbors(e, e, k, metric), weights)
     return e.select("vec_id", "label").join(pred.withColumnRenamed("qid", "vec_id"), "vec_id")
 
 
@@ -137,74 +151,75 @@ def _cv_frame(spark, sf):
 
 @register("tu1_cross_validate")
 def tu1_cross_validate(spark, sf):
-    return tune.cross_validate(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression",
-                               {"C": 1.0, "max_iter": 30})
+    return tune.cross_validate(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression")
 
 
 @register("tu3_baseline_all")
 def tu3_baseline_all(spark, sf):
-    return tune.baseline_all(_cv_frame(spark, sf), FEATURE_COLUMNS,
-                             ["logistic_regression", "decision_tree", "linear_threshold"])
+    """All eight learners with default parameters over five folds."""
+    return tune.baseline_all(_cv_frame(spark, sf), FEATURE_COLUMNS)
 
 
 def _draws_frame(spark, rows):
     import json
     return spark.createDataFrame(
-        [(r["draw"], json.dumps(r["params"], sort_keys=True), json.dumps(r.get("reduction")), r["objective"])
-         for r in rows], "draw int, params string, reduction string, objective double")
+        [(r["draw"], json.dumps(r["params"], sort_keys=True), json.dumps(r.get("reduction")), r["objective"], r["failed"])
+         for r in rows], "draw int, params string, reduction string, objective double, failed boolean")
 
 
 @register("tu5_grid_search")
 def tu5_grid_search(spark, sf):
-    space = {"max_depth": {"type": "int", "low": 2, "high": 6},
-             "criterion": {"type": "categorical", "choices": ["gini", "entropy"]}}
-    rows = tune.grid_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "decision_tree", space)
-    return _draws_frame(spark, rows)
+    return _draws_frame(spark, tune.grid_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "decision_tree"))
 
 
 @register("tu6_random_search")
 def tu6_random_search(spark, sf):
-    rows = tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", 3, SEED,
-                              fixed={"max_iter": 30})
-    return _draws_frame(spark, rows)
+    return _draws_frame(spark, tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", SEARCH_DRAWS, SEED))
 
 
 @register("tu7_co_tune_reduction")
 def tu7_co_tune_reduction(spark, sf):
-    rows = tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", 3, SEED,
-                              co_tune_reduction=True, fixed={"max_iter": 30})
-    return _draws_frame(spark, rows)
+    return _draws_frame(spark, tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression",
+                                                  SEARCH_DRAWS, SEED, co_tune_reduction=True))
+
+
+STACK_BASE = [("logistic_regression", {"C": 1.0}), ("svc", {"C": 1.0}), ("decision_tree", {"max_depth": 7})]
 
 
 @register("tu9_stacking")
 def tu9_stacking(spark, sf):
-    best = tune.stacking(_cv_frame(spark, sf), FEATURE_COLUMNS,
-                         [("logistic_regression", {"C": 1.0, "max_iter": 30}), ("decision_tree", {"max_depth": 4}),
-                          ("linear_threshold", {"C": 1.0, "max_iter": 30})], meta_c=(0.01, 1.0))
+    best = tune.stacking(_cv_frame(spark, sf), FEATURE_COLUMNS, STACK_BASE)
     rows = [(int(r["fold"]), float(r["roc_auc"] or 0.0), float(r["f1"])) for r in best["fold_metrics"]]
     return spark.createDataFrame(rows, "fold int, roc_auc double, f1 double").withColumn(
         "meta_C", F.lit(float(best["C"])))
 
 
+@register("tu10_voting_model")
+def tu10_voting_model(spark, sf):
+    """A fitted soft vote scored on the holdout."""
+    d = materialize(_split(spark, sf))
+    folds = materialize(sp.stratified_kfold(d.where(~F.col("is_test")).drop("is_test"), [ID_COLUMN], TARGET, 5, SEED))
+    vote = tune.fit_voting(folds, FEATURE_COLUMNS, STACK_BASE, [10, 1, 6])
+    return ml.predict(vote, d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
+
+
 # ---- SC1 ---------------------------------------------------------------------------------------
 @register("sc1_score_batch")
 def sc1_score_batch(spark, sf):
     """Train on the features frame, then score raw customers (a batch without
     TotalCharges and with a few fields absent) through FX20 → FX23 → FX19."""
     from tessera.operators.monitor import score_batch
-    d = with_class_weight(_split(spark, sf).where(~F.col("is_test")), TARGET, "balanced")
-    model = ml.fit_pipeline(d, FEATURE_COLUMNS, "decision_tree", {"max_depth": 5}, None, TARGET, SEED)
-    raw = frames.subscribers(spark, sf).drop("TotalCharges", "Churn", "PaymentMethod")
-    cats = {"InternetService": ["DSL", "Fiber optic", "No"],
-            "PaymentMethod": ["Bank transfer (automatic)", "Credit card (automatic)",
-                              "Electronic check", "Mailed check"]}
-    return score_batch(model, raw, FEATURE_COLUMNS, keep=[ID_COLUMN], categories=cats)
+    from tessera.functions.features import learn_categories_many
+    _, model = _fitted(spark, sf, "decision_tree", {"max_depth": 7})
+    raw = frames.subscribers(spark, sf)
+    cats = learn_categories_many(raw, ["InternetService", "PaymentMethod"])  # as at training time
+    batch = raw.drop("TotalCharges", "Churn", "PaymentMethod")
+    return score_batch(model, batch, FEATURE_COLUMNS, keep=[ID_COLUMN], categories=cats)
 
 
 # ---- FR2 / FR3 / FR4, LN7 --------------------------------------------------------------------
 from tessera.operators import reduce as fr  # noqa: E402
 from tessera.operators import metrics as me  # noqa: E402
-from tessera.plans.config import PCA_COMPONENTS, RFE_FEATURES, SCALE_COLUMNS  # noqa: E402
 
 
 @register("fr2_pca")
@@ -241,30 +256,17 @@ def ln7_column_transformer(spark, sf):
 
 
 # ---- ME9 / ME10 / ME12 / ME16 ----------------------------------------------------------------
-def _fitted(spark, sf, name, params):
-    d = materialize(_split(spark, sf))
-    train = d.where(~F.col("is_test"))
-    p = {**ml.DEFAULTS.get(name, {}), **(params or {})}
-    if ml.uses_weights(name, p):
-        train = with_class_weight(train, TARGET, "balanced" if p.get("class_weight") == "balanced"
-                                  else float(p["scale_pos_weight"]))
-    model = ml.fit_pipeline(train, FEATURE_COLUMNS, name, params, None, TARGET, SEED, train.count())
-    return d, model
-
-
 @register("me9_feature_importance")
 def me9_feature_importance(spark, sf):
-    _, model = _fitted(spark, sf, "random_forest", {"n_estimators": 30, "max_depth": 6})
-    rows = ml.feature_importance(model.stages[-1], FEATURE_COLUMNS)
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance")).limit(15)
+    _, model = _fitted(spark, sf, "random_forest", {"max_depth": 10})
+    return spark.createDataFrame(ml.feature_importance(model.stages[-1], FEATURE_COLUMNS),
+                                 "feature string, importance double")
 
 
 @register("me10_permutation_importance")
 def me10_permutation_importance(spark, sf):
-    d, model = _fitted(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
-    test = d.where(F.col("is_test"))
-    return me.permutation_importance(model, test, FEATURE_COLUMNS, [ID_COLUMN], TARGET, repeats=5)
+    d, model = _fitted(spark, sf, "logistic_regression")
+    return me.permutation_importance(model, d.where(F.col("is_test")), FEATURE_COLUMNS, [ID_COLUMN], TARGET, repeats=5)
 
 
 @register("me12_holdout_evaluation")
@@ -279,12 +281,11 @@ def me12_holdout_evaluation(spark, sf):
 
 @register("me16_coefficients_table")
 def me16_coefficients_table(spark, sf):
-    _, model = _fitted(spark, sf, "logistic_regression", {"C": 1.0, "max_iter": 30})
+    _, model = _fitted(spark, sf, "logistic_regression")
     lr = model.stages[-1]
     rows = [(f, float(c)) for f, c in zip(FEATURE_COLUMNS, lr.coefficients.toArray())]
     rows.append(("intercept", float(lr.intercept)))
-    t = spark.createDataFrame(rows, "feature string, coefficient double")
-    return t.orderBy(F.desc(F.abs("coefficient"))).limit(15)
+    return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
 # ---- RG1 / RG5 ---------------------------------------------------------------------------------

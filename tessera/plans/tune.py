@@ -1,8 +1,9 @@
 """Cross-validation, search and ensembles (TU1, TU3, TU5-TU7, TU9, TU10).
 
 The outer loops (folds × parameter draws × learners) are driver-side; every
-fit and every score inside them is a distributed Spark job.  The fold
-frame is checkpointed once (shared checkpoint folder) and reused by every fit.
+fit and every score inside them is a distributed Spark job.  The fold frame is
+written once (shared checkpoint folder) and its training parts are prepared
+once (``Folds``), whatever the number of draws.
 Fold metrics are computed with the exact distributed metrics of
 ``tessera.operators.metrics`` over the union of all out-of-fold predictions
 (one job per evaluation, not one per fold).  Fits of independent folds run
@@ -17,63 +18,94 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
 from tessera.operators import metrics as me
-from tessera.operators.learned import with_class_weight
-from tessera.operators.models import SEARCH_SPACES, fit_pipeline, predict, uses_weights, DEFAULTS
+from tessera.operators.models import SEARCH_SPACES, check_names, fit_pipeline, fit_preparation, predict
 from tessera.plans.selection import expand_grid
 
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
 MAX_FOLD_THREADS = 10
+MAX_FOLDS = 1000
+N_ITER = 30  # draws of a search, as configured
 
 
-def _prepare(df: DataFrame, label: str, name: str, params: dict) -> DataFrame:
-    p = {**DEFAULTS.get(name, {}), **(params or {})}
-    if uses_weights(name, p):
-        mode = "balanced" if p.get("class_weight") == "balanced" else float(p["scale_pos_weight"])
-        return with_class_weight(df, label, mode)
-    return df
+class Folds:
+    """A written fold table with what all fits on it share: the fold numbers (of a
+    fold assignment, so a handful) and the preparation of each training part."""
 
+    def __init__(self, df: DataFrame, features: Sequence[str], label: str = "Churn",
+                 key: Sequence[str] = ("customerID",), fold: str = "fold"):
+        self.df, self.features, self.label, self.key, self.fold = df, list(features), label, list(key), fold
+        self.folds = [r[0] for r in df.groupBy(fold).count().orderBy(fold).limit(MAX_FOLDS + 1).collect()]
+        if len(self.folds) > MAX_FOLDS:
+            raise ValueError(f"{fold}: more than {MAX_FOLDS} folds")
+        self._preparations: dict = {}
 
-def oof_predictions(df: DataFrame, features: Sequence[str], name: str, params: dict | None = None,
+    def train(self, without: Sequence) -> DataFrame:
+        return self.df.where(~F.col(self.fold).isin(list(without)))
+
+    def part(self, f) -> DataFrame:
+        return self.df.where(F.col(self.fold) == f)
+
+    def preparation(self, without: tuple):
+        if without not in self._preparations:
+            self._preparations[without] = fit_preparation(self.train(without), self.features)
+        return self._preparations[without]
+
+    def fit(self, without: Sequence, name: str, params: dict | None, reduction: dict | None = None, seed: int = 13):
+        return fit_pipeline(self.train(without), self.features, name, params, reduction, self.label, seed,
+                            self.preparation(tuple(without)))
+
+
+def as_folds(df, features, label="Churn", key=("customerID",), fold="fold") -> Folds:
+    return df if isinstance(df, Folds) else Folds(df, features, label, key, fold)
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def oof_predictions(df, features: Sequence[str], name: str, params: dict | None = None,
                     reduction: dict | None = None, label: str = "Churn", key: Sequence[str] = ("customerID",),
-                    fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> DataFrame:
-    """Out-of-fold predictions: for every fold, fit on the other folds and
-    score this one; the per-fold results are unioned (key, fold, y, p, yhat)."""
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
+                    fold: str = "fold", seed: int = 13, parallelism: int | None = None,
+                    without: Sequence = ()) -> DataFrame:
+    """Out-of-fold predictions (key, fold, y, p, yhat), written once: for every
+    fold, fit on the others and score this one.  ``without`` leaves folds out
+    altogether (the inner folds of a nested evaluation)."""
+    check_names(name, reduction)
+    fd = as_folds(df, features, label, key, fold)
+    folds = [f for f in fd.folds if f not in without]
 
     def one(f):
-        train = _prepare(df.where(F.col(fold) != f), label, name, params or {})
-        n = None
-        if name in ("logistic_regression", "svc", "linear_threshold"):
-            n = train.agg(F.sum(F.col("weight")) if "weight" in train.columns else F.count(F.lit(1))).first()[0]
-        model = fit_pipeline(train, features, name, params, reduction, label, seed, n)
-        test = df.where(F.col(fold) == f)
-        return predict(model, test, keep=[*key, fold, label])
+        model = fd.fit((*without, f), name, params, reduction, seed)
+        return predict(model, fd.part(f), keep=[*fd.key, fd.fold, fd.label])
 
     # one driver thread per fold by default: every fold fit is submitted at
     # once, so the cluster scheduler (not the driver) decides the overlap
     workers = parallelism or min(len(folds), MAX_FOLD_THREADS)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as ex:
         parts = list(ex.map(one, folds))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumnRenamed(label, "y")
+    return materialize(_union(parts).withColumnRenamed(fd.label, "y"))
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], name: str, params: dict | None = None,
+def cross_validate(df, features: Sequence[str], name: str, params: dict | None = None,
                    reduction: dict | None = None, label: str = "Churn", key=("customerID",),
                    fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> DataFrame:
     """TU1: five metrics per fold (one grouped metrics job over all folds)."""
-    oof = oof_predictions(df, features, name, params, reduction, label, key, fold, seed, parallelism)
-    m = me.classification_metrics(oof, "y", "p", by=[fold])
-    return m.select(fold, *METRIC_NAMES)
+    check_names(name, reduction)
+    fd = as_folds(df, features, label, key, fold)
+    oof = oof_predictions(fd, features, name, params, reduction, seed=seed, parallelism=parallelism)
+    m = me.classification_metrics(oof, "y", "p", by=[fd.fold])
+    return m.select(fd.fold, *METRIC_NAMES)
 
 
 def summarize(fold_metrics: DataFrame) -> dict:
@@ -81,8 +113,13 @@ def summarize(fold_metrics: DataFrame) -> dict:
     return me.aggregate_folds(fold_metrics).first().asDict()
 
 
-def baseline_all(df: DataFrame, features: Sequence[str], names: Sequence[str], **kw) -> DataFrame:
-    """TU3: every learner with default parameters → (model, fold, metrics...)."""
+def baseline_all(df, features: Sequence[str], names: Sequence[str] | None = None, **kw) -> DataFrame:
+    """TU3: every learner (default: all there are) with default parameters →
+    (model, fold, metrics...)."""
+    names = list(names or SEARCH_SPACES)
+    for n in names:
+        check_names(n)
+    df = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
     out = None
     for n in names:
         fm = cross_validate(df, features, n, None, **kw).withColumn("model", F.lit(n))
@@ -90,23 +127,24 @@ def baseline_all(df: DataFrame, features: Sequence[str], names: Sequence[str], *
     return out
 
 
-def _score(df, features, name, params, reduction, **kw) -> float:
-    """Mean CV ROC AUC; a failing draw scores 0 instead of stopping the search."""
+def _score(df, features, name, params, reduction, **kw) -> dict:
+    """Mean CV ROC AUC of one draw.  Parameters that the learner refuses score 0 and
+    are marked as failed; every other error rises."""
     try:
         fm = cross_validate(df, features, name, params, reduction, **kw)
-        return float(fm.agg(F.avg("roc_auc")).first()[0] or 0.0)
-    except Exception as e:  # noqa: BLE001
-        log.warning("draw %s %s failed: %s", name, params, e)
-        return 0.0
+    except (ValueError, IllegalArgumentException) as e:
+        log.warning("draw %s %s refused: %s", name, params, e)
+        return {"objective": 0.0, "failed": True}
+    return {"objective": float(fm.agg(F.avg("roc_auc")).first()[0] or 0.0), "failed": False}
 
 
-def grid_search(df: DataFrame, features: Sequence[str], name: str, space: dict | None = None,
-                **kw) -> list[dict]:
+def grid_search(df, features: Sequence[str], name: str, space: dict | None = None, **kw) -> list[dict]:
     """TU5: exhaustive grid (TU4 expansion), scored by mean CV ROC AUC of the
     full pipeline; returns draws sorted best first."""
-    grid = expand_grid(space or SEARCH_SPACES[name])
-    rows = [{"draw": i, "params": g, "objective": _score(df, features, name, g, None, **kw)}
-            for i, g in enumerate(grid)]
+    check_names(name)
+    fd = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
+    rows = [{"draw": i, "params": g, **_score(fd, features, name, g, None, **kw)}
+            for i, g in enumerate(expand_grid(space or SEARCH_SPACES[name]))]
     return sorted(rows, key=lambda r: -r["objective"])
 
 
@@ -126,43 +164,114 @@ def draw_params(space: dict, rng: np.random.Generator) -> dict:
     return out
 
 
-REDUCTION_SPACE = {"method": {"type": "categorical", "choices": ["none", "pca"]},
-                   "n_components": {"type": "int", "low": 5, "high": 28}}
+# FIXED VALUES: the reductions that are tuned jointly with a learner
+REDUCTION_SPACE = {"method": {"type": "categorical", "choices": ["none", "pca", "lda", "rfe"]},
+                   "n_components": {"type": "int", "low": 5, "high": 28},
+                   "n_features": {"type": "int", "low": 5, "high": 28}}
 
 
-def random_search(df: DataFrame, features: Sequence[str], name: str, n_iter: int, seed: int = 13,
+def random_search(df, features: Sequence[str], name: str, n_iter: int = N_ITER, seed: int = 13,
                   space: dict | None = None, co_tune_reduction: bool = False,
                   fixed: dict | None = None, **kw) -> list[dict]:
-    """TU6 (and TU7 with ``co_tune_reduction``): seeded draws, the reduction
-    method and its parameters drawn jointly with the learner's."""
+    """TU6 (and TU7 with ``co_tune_reduction``): seeded draws in the order drawn, the
+    reduction method and its parameters drawn jointly with the learner's."""
+    check_names(name)
+    fd = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
     rng = np.random.default_rng(seed)
     rows = []
     for i in range(n_iter):
         params = {**draw_params(space or SEARCH_SPACES[name], rng), **(fixed or {})}
         red = draw_params(REDUCTION_SPACE, rng) if co_tune_reduction else None
-        rows.append({"draw": i, "params": params, "reduction": red,
-                     "objective": _score(df, features, name, params, red, **kw)})
+        rows.append({"draw": i, "params": params, "reduction": red, **_score(fd, features, name, params, red, **kw)})
     return rows
 
 
-def stacking(df: DataFrame, features: Sequence[str], base: Sequence[tuple[str, dict]],
-             meta_c: Sequence[float] = (1e-2, 1.0, 1e2), label: str = "Churn", key=("customerID",),
-             fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> dict:
-    """TU9: out-of-fold probabilities of the base learners (joined on the key)
-    feed a logistic meta-model (no pass-through) whose C is tuned by CV on
-    the out-of-fold table.  Returns the best C and its fold metrics."""
-    oof = None
+def refit_best(df: DataFrame, features: Sequence[str], name: str, draws: Sequence[dict], label: str = "Churn",
+               seed: int = 13):
+    """The best draw (the first of equals) and the pipeline refitted with it on all rows."""
+    best = max(draws, key=lambda r: (r["objective"], -r["draw"]))
+    return best, fit_pipeline(df, features, name, best["params"], best.get("reduction"), label, seed)
+
+
+# ---- TU9 / TU10: fitted ensembles --------------------------------------------------------------
+class VotingModel:
+    """Soft voting: weighted mean of the members' probabilities (joined on the key)."""
+
+    def __init__(self, members: Sequence, weights: Sequence[float], key: Sequence[str]):
+        self.members, self.weights, self.key = list(members), list(weights), list(key)
+
+    def scores(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        out = None
+        for i, m in enumerate(self.members):
+            cols = [*dict.fromkeys([*self.key, *keep])] if out is None else self.key
+            p = predict(m, df, keep=cols).withColumnRenamed("p", f"p{i}").drop("yhat")
+            out = p if out is None else out.join(p, self.key)
+        return out
+
+    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        s = self.scores(df, keep)
+        p = sum((F.lit(float(w)) * F.col(f"p{i}") for i, w in enumerate(self.weights)), F.lit(0.0)) / sum(self.weights)
+        return s.select(*[F.col(f"`{k}`") for k in keep], p.alias("p")).withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
+
+
+class StackingModel(VotingModel):
+    """Members whose probabilities feed a logistic meta-model (no pass-through)."""
+
+    def __init__(self, members: Sequence, meta, key: Sequence[str]):
+        super().__init__(members, [1.0] * len(members), key)
+        self.meta = meta
+
+    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        return predict(self.meta, self.scores(df, keep), keep)
+
+
+def _joined_oof(fd: Folds, base, seed, parallelism, without=()) -> DataFrame:
+    out = None
     for i, (name, params) in enumerate(base):
-        p = oof_predictions(df, features, name, params, None, label, key, fold, seed, parallelism) \
-            .select(*key, fold, "y", F.col("p").alias(f"p{i}"))
-        oof = p if oof is None else oof.join(p.drop("y", fold), list(key))
-    oof = materialize(oof)
-    meta_feats = [f"p{i}" for i in range(len(base))]
+        p = oof_predictions(fd, fd.features, name, params, None, seed=seed, parallelism=parallelism, without=without)
+        p = p.select(*fd.key, fd.fold, F.col("y").alias(fd.label), F.col("p").alias(f"p{i}"))
+        out = p if out is None else out.join(p.drop(fd.fold, fd.label), fd.key)
+    return materialize(out)
+
+
+def stacking(df, features: Sequence[str], base: Sequence[tuple[str, dict]],
+             meta_c: Sequence[float] = (1e-4, 1e-2, 1.0, 1e2, 1e4), label: str = "Churn", key=("customerID",),
+             fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> dict:
+    """TU9: stacked generalisation, evaluated without a leak.
+
+    For outer fold f the meta-model learns from out-of-fold probabilities made
+    inside the other folds only (neither f's rows nor its labels), the members
+    are refitted on the other folds, and the stack scores f.  ``C`` of the
+    meta-model is the one with the best mean AUC over the outer folds.
+    Returns C, the objective, fold metrics, and the stack fitted on all folds.
+    """
+    for name, _ in base:
+        check_names(name)
+    fd = as_folds(df, features, label, key, fold)
+    cols = [f"p{i}" for i in range(len(base))]
+    parts = {c: [] for c in meta_c}
+    for f in fd.folds:
+        inner = _joined_oof(fd, base, seed, parallelism, (f,))
+        members = VotingModel([fd.fit((f,), n, p, None, seed) for n, p in base], [1.0] * len(base), fd.key)
+        outer = materialize(members.scores(fd.part(f), [*fd.key, fd.fold, fd.label]))
+        for c in meta_c:
+            meta = fit_pipeline(inner, cols, "logistic_regression", {"C": c, "class_weight": None}, None, fd.label, seed)
+            parts[c].append(predict(meta, outer, [*fd.key, fd.fold, fd.label]))
     best = None
     for c in meta_c:
-        fm = cross_validate(oof.withColumnRenamed("y", label), meta_feats, "logistic_regression",
-                            {"C": c, "class_weight": None}, None, label, key, fold, seed, parallelism)
-        auc = float(fm.agg(F.avg("roc_auc")).first()[0] or 0.0)
+        fm = me.classification_metrics(materialize(_union(parts[c])), fd.label, "p", by=[fd.fold]) \
+            .select(fd.fold, *METRIC_NAMES).collect()  # one row per fold
+        auc = sum(r["roc_auc"] or 0.0 for r in fm) / len(fm)
         if best is None or auc > best["objective"]:
-            best = {"C": c, "objective": auc, "fold_metrics": fm.collect()}
+            best = {"C": c, "objective": auc, "fold_metrics": fm}
+    meta = fit_pipeline(_joined_oof(fd, base, seed, parallelism), cols, "logistic_regression",
+                        {"C": best["C"], "class_weight": None}, None, fd.label, seed)
+    best["model"] = StackingModel([fd.fit((), n, p, None, seed) for n, p in base], meta, fd.key)
     return best
+
+
+def fit_voting(df, features: Sequence[str], base: Sequence[tuple[str, dict]], weights: Sequence[float],
+               label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13) -> VotingModel:
+    """TU10: the members fitted on all rows, voting with ``weights``."""
+    fd = as_folds(df, features, label, key, fold)
+    return VotingModel([fd.fit((), n, p, None, seed) for n, p in base], weights, fd.key)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import knn
 from tessera.operators import learned as ln
+from tessera.operators import metrics as me
 from tessera.operators import models as ml
 from tessera.operators import reduce as fr
 from tessera.plans import registry as rg
@@ -76,7 +77,9 @@ def test_pca_lda_shapes(spark):
     pdf["y"] = (pdf.a + pdf.b > 0).astype(int)
     df = spark.createDataFrame(pdf)
     p = fr.fit_pca(df, list("abcd"), 10)
-    assert p.weights.shape == (4, 3) and abs(sum(p.explained) - 1) > -1
+    assert p.weights.shape == (4, 3)
+    vals = np.sort(np.linalg.eigvalsh(np.cov(pdf[list("abcd")].to_numpy().T)))[::-1]
+    assert np.allclose(p.explained, vals[:3] / vals.sum())
     lda = fr.fit_lda(df, list("abcd"), "y")
     assert lda.output_columns() == ["ld_1"]
     out = lda.transform(df, keep=["y"]).toPandas()
@@ -152,7 +155,29 @@ def test_expand_grid():
     g = sel.expand_grid({"a": {"type": "categorical", "choices": ["x", "y"]},
                          "b": {"type": "int", "low": 1, "high": 3},
                          "c": {"type": "log_float", "low": 1e-2, "high": 1e2}})
-    assert len(g) == 12 and {round(x["c"], 6) for x in g} == {0.01, 1.0, 100.0}
+    assert len(g) == 12 and {round(x["c"], 6) for x in g} == {0.01, 1.0, 100.0} and {x["b"] for x in g} == {1, 3}
+    with pytest.raises(ValueError):
+        sel.expand_grid({"a": {"type": "odd", "low": 1, "high": 2}})
+
+
+def test_promotion_sequence_is_the_action(spark, tmp_path):
+    """Each run meets the version current at its time, also along chains of near ties."""
+    scores = [(0.8, 0.5), (0.8 - 9e-7, 0.6), (0.8 - 1.5e-6, 0.7), (0.7, 0.9), (0.81, 0.1), (0.81, 0.1)]
+    runs = spark.createDataFrame([(i, a, f) for i, (a, f) in enumerate(scores)],
+                                 "run int, cv_roc_auc_mean double, cv_f1_mean double")
+    got = [r.version for r in rg.promotion_sequence(runs).orderBy("run").collect()]
+    root = str(tmp_path / "seq")
+    assert got == [rg.promote_if_better(spark, root, f"r{i}", "m", a, f) for i, (a, f) in enumerate(scores)]
+    assert got == [1, 2, 3, None, 4, None]
+
+
+def test_registry_errors_rise(spark, tmp_path):
+    root = tmp_path / "bad"
+    assert rg.promote_if_better(spark, str(root), "r1", "m", 0.8, 0.5) == 1
+    for f in (root / "model_versions").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        rg.promote_if_better(spark, str(root), "r2", "m", 0.1, 0.1)
 
 
 def test_promotion_rule(spark):
@@ -179,26 +204,143 @@ def test_registry_roundtrip(spark, tmp_path):
     assert loaded.transform(df).count() == 4
 
 
+def churn_frame(spark, n=300, seed=6, holes=False):
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n), "tenure": rng.normal(50, 20, n)})
+    pdf["Churn"] = (pdf.a + 0.02 * (pdf.tenure - 50) + 0.5 * rng.normal(size=n) > 0).astype(int)
+    if holes:
+        pdf.loc[::7, "a"] = None
+        pdf.loc[::11, "tenure"] = None
+    pdf["customerID"] = [f"c{i}" for i in range(n)]
+    return spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None),
+                                 "a double, b double, tenure double, Churn int, customerID string")
+
+
+COLS = ["a", "b", "tenure"]
+
+
 def test_models_fit_and_cv(spark):
-    rng = np.random.default_rng(6)
-    pdf = pd.DataFrame({"a": rng.normal(size=300), "b": rng.normal(size=300)})
-    pdf["Churn"] = (pdf.a + 0.5 * rng.normal(size=300) > 0).astype(int)
-    pdf["customerID"] = [f"c{i}" for i in range(300)]
-    df = spark.createDataFrame(pdf)
     from tessera.operators.split import stratified_kfold
-    f = stratified_kfold(df, ["customerID"], "Churn", 3, 1).checkpoint()
-    fm = tune.cross_validate(f, ["a", "b"], "logistic_regression", {"max_iter": 20}, parallelism=2)
+    from tessera.session import materialize
+    f = tune.Folds(materialize(stratified_kfold(churn_frame(spark), ["customerID"], "Churn", 3, 1)), COLS)
+    fm = tune.cross_validate(f, COLS, "logistic_regression", parallelism=2)
     assert fm.count() == 3 and fm.agg(F.avg("roc_auc")).first()[0] > 0.8
-    svc = tune.cross_validate(f, ["a", "b"], "svc", {"max_iter": 20}, parallelism=2)
-    assert svc.agg(F.avg("roc_auc")).first()[0] > 0.8
+    draws = tune.random_search(f, COLS, "decision_tree", 2, 1)
+    assert len(draws) == 2 and not any(d["failed"] for d in draws)
+    best, model = tune.refit_best(f.df, COLS, "decision_tree", draws)
+    assert ml.predict(model, f.df).count() == 300 and best in draws
+    refused = tune.random_search(f, COLS, "decision_tree", 1, 1, fixed={"max_depth": 99})
+    assert refused[0]["failed"] and refused[0]["objective"] == 0.0
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "svc", "decision_tree", "knn", "lightgbm"])
+def test_learners_train_with_nulls_and_reload(spark, tmp_path, name):
+    """A NULL feature is imputed; the saved model scores raw rows as the fitted one."""
+    df = churn_frame(spark, holes=True)
+    params = {"n_estimators": 5} if name == "lightgbm" else {"max_depth": 4} if name == "decision_tree" else None
+    model = ml.fit_pipeline(df, COLS, name, params)
+    p = {r.customerID: r.p for r in ml.predict(model, df, ["customerID"]).collect()}
+    root = str(tmp_path / "reg")
+    assert rg.promote_if_better(spark, root, "r", name, 0.8, 0.5, model) == 1
+    again = {r.customerID: r.p for r in ml.predict(rg.load_model(spark, root), df, ["customerID"]).collect()}
+    assert len(p) == 300 and all(abs(p[k] - again[k]) < 1e-12 and 0 <= p[k] <= 1 for k in p)
+
+
+def test_preparation_imputes_and_scales(spark):
+    df = churn_frame(spark, holes=True)
+    out = ml.fit_preparation(df, COLS).transform(df).toPandas()
+    med = df.toPandas().median(numeric_only=True)
+    assert np.allclose(out["__x0"], out["a"].fillna(med["a"]))           # not a scaled column
+    filled = out["tenure"].fillna(med["tenure"])
+    assert np.allclose(out["__x2"], (filled - filled.mean()) / filled.std(ddof=1))
+
+
+@pytest.mark.parametrize("reduction,width", [({"method": "pca", "n_components": 2}, 2), ({"method": "lda"}, 1),
+                                             ({"method": "rfe", "n_features": 2}, 2), (None, 3)])
+def test_reductions(spark, reduction, width):
+    df = churn_frame(spark)
+    model = ml.fit_pipeline(df, COLS, "logistic_regression", None, reduction)
+    assert len(model.stages[-1].coefficients) == width
+    auc = me.roc_auc(ml.predict(model, df, ["Churn"]).withColumnRenamed("Churn", "y")).first().auc
+    assert auc > (0.6 if reduction and reduction["method"] == "pca" else 0.8)
+
+
+def test_unknown_names_raise_before_any_job(spark):
+    df = churn_frame(spark, 20)
+    for name, red in (("nonsense", None), ("svc", {"method": "nonsense"})):
+        with pytest.raises(ValueError):
+            ml.fit_pipeline(df, COLS, name, None, red)
+        with pytest.raises(ValueError):
+            tune.cross_validate(df, COLS, name, None, red)
+    with pytest.raises(ValueError):
+        ml.fit_pipeline(df, COLS, "random_forest", {"max_depth": 31})
+
+
+def test_stacking_does_not_leak(spark):
+    """With permuted labels the stack is no better than chance; with real ones it predicts."""
+    from tessera.operators.split import stratified_kfold
+    base = [("logistic_regression", {}), ("decision_tree", {"max_depth": 8})]
+    df = churn_frame(spark, 240)
+    rng = np.random.default_rng(9)
+    noise = spark.createDataFrame([(f"c{i}", int(v)) for i, v in enumerate(rng.integers(0, 2, 240))], "customerID string, z int")
+    for frame, low, high in ((df, 0.75, 1.0), (df.join(noise, "customerID").drop("Churn").withColumnRenamed("z", "Churn"), 0.3, 0.64)):
+        f = stratified_kfold(frame, ["customerID"], "Churn", 3, 1)
+        best = tune.stacking(f, COLS, base, meta_c=(1.0,))
+        assert low < best["objective"] < high
+    assert {r.yhat for r in ml.predict(best["model"], df.drop("Churn"), ["customerID"]).collect()} <= {0, 1}
+
+
+def test_voting_is_the_weighted_mean(spark):
+    from tessera.operators.split import stratified_kfold
+    f = stratified_kfold(churn_frame(spark, 120), ["customerID"], "Churn", 2, 1)
+    vote = tune.fit_voting(f, COLS, [("logistic_regression", {}), ("decision_tree", {"max_depth": 3})], [3, 1])
+    a, b = ({r.customerID: r.p for r in ml.predict(m, f, ["customerID"]).collect()} for m in vote.members)
+    for r in ml.predict(vote, f, ["customerID"]).collect():
+        assert abs(r.p - (3 * a[r.customerID] + b[r.customerID]) / 4) < 1e-12
 
 
 def test_tree_rules(spark):
     df = spark.createDataFrame([(float(i % 10), float(i % 10 > 4)) for i in range(100)], "x double, Churn double")
-    model = ml.fit_pipeline(df.withColumn("weight", F.lit(1.0)), ["x"], "decision_tree",
-                            {"max_depth": 2}, None, "Churn")
-    info = ml.tree_rules(model.stages[-1], ["x"], 3)
-    assert info["depth"] >= 1 and any("x" in line for line in info["rules"])
+    model = ml.fit_pipeline(df, ["x"], "decision_tree", {"max_depth": 2}, None, "Churn")
+    info = ml.tree_rules(model.stages[-1], ["x"])
+    assert info["depth"] == 1 and info["num_leaves"] == 2
+    assert [line.strip().split(" ")[0] for line in info["rules"]] == ["If", "Predict:", "Else", "Predict:"]
+    cut = ml.tree_rules(model.stages[-1], ["x"], 0)
+    assert cut["rules"] == ["  ... truncated: 4 lines"]
+
+
+def test_csv_header_is_checked(spark, tmp_path):
+    from tessera.sources import io
+    schema = "id bigint, name string"
+    for case, text in (("good", "id,name\n1,a\n"), ("swapped", "name,id\n2,1\n"), ("other", "id,other\n1,a\n")):
+        d = tmp_path / case
+        d.mkdir()
+        (d / "part.csv").write_text(text)
+        (d / "rest.csv").write_text("id,name\n7,z\n8,y\n")
+        if case == "good":
+            audit = io.ingest_csv(spark, str(d), str(tmp_path / "out"), schema, required_columns=["id", "name"])
+            assert (audit["rows"], audit["files"]) == (3, 2)
+            assert {r.file_name: r.rows for r in audit["per_file"].collect()} == {"part.csv": 1, "rest.csv": 2}
+        else:
+            with pytest.raises(Exception):
+                io.ingest_csv(spark, str(d), str(tmp_path / f"out-{case}"), schema, required_columns=["id", "name"])
+
+
+def test_failed_write_does_not_count(spark, tmp_path):
+    from tessera.sources import io
+    p = tmp_path / "out"
+    (p / "_temporary" / "0").mkdir(parents=True)
+    assert not io.exists_nonempty(spark, str(p))
+    assert io.write_once(spark, spark.range(3), str(p)) and not io.write_once(spark, spark.range(9), str(p))
+    assert spark.read.parquet(str(p)).count() == 3
+
+
+def test_many_categories_and_classes(spark, monkeypatch):
+    from tessera.functions.features import learn_categories
+    df = spark.range(2400).selectExpr("CAST(id % 1200 AS STRING) AS c", "CAST(id % 1200 AS INT) AS y")
+    assert len(learn_categories(df, "c")) == 1200
+    out = ln.with_class_weight(df, "y").agg(F.min("weight"), F.max("weight"), F.count("weight")).first()
+    assert tuple(out) == (1.0, 1.0, 2400)
 
 
 def test_streaming_windows(spark):

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tessera.functions.prefix import hash_rank, ntile, ordered_rank
+from tessera.functions.prefix import hash_rank, ntile
 from tessera.operators import metrics as me
 from tessera.operators import monitor as sc
 from tessera.operators import split as sp
@@ -48,14 +48,22 @@ def test_classification_zero_division(spark):
     assert r.precision == 0.0 and r.recall == 0.0 and r.f1 == 0.0 and r.accuracy == 1.0
 
 
-def test_ranks_match_sort(spark):
-    rng = np.random.default_rng(2)
-    pdf = pd.DataFrame({"k": np.arange(5000), "g": rng.integers(0, 3, 5000), "x": rng.random(5000)})
-    df = spark.createDataFrame(pdf)
-    r = ordered_rank(df, ["x", "k"], by=["g"], n_buckets=16).toPandas()
-    exp = pdf.sort_values(["g", "x", "k"]).groupby("g").cumcount()
-    merged = r.set_index("k").loc[pdf.sort_values(["g", "x", "k"]).k]
-    assert (merged["rank"].to_numpy() == exp.to_numpy()).all()
+def test_null_scores_and_labels_take_no_part(spark):
+    rows = [(1, 0.9), (0, 0.2), (1, 0.4), (0, 0.6)]
+    full = me.classification_metrics(spark.createDataFrame(rows, "y int, p double")).first()
+    holes = spark.createDataFrame(rows + [(1, None), (None, 0.7), (None, None)], "y int, p double")
+    assert me.classification_metrics(holes).first() == full
+    assert (full.roc_auc, full.tp, full.fp, full.fn, full.tn) == (0.75, 1, 1, 1, 1)
+
+
+def test_metrics_by_group_and_given_class(spark):
+    rows = [("a", 1, 0.9, 1), ("a", 0, 0.1, 1), (None, 1, 0.2, 0), (None, 0, 0.3, 0), ("b", 1, 0.4, 1)]
+    df = spark.createDataFrame(rows, "g string, y int, p double, c int")
+    by_score = {r.g: r for r in me.classification_metrics(df, by=["g"]).collect()}
+    assert by_score["a"].roc_auc == 1.0 and by_score["b"].roc_auc is None and by_score[None].roc_auc == 0.0
+    assert (by_score["a"].tp, by_score["a"].fp, by_score[None].fn, by_score[None].tn) == (1, 0, 1, 1)
+    by_class = {r.g: r for r in me.classification_metrics(df, yhat="c", by=["g"]).collect()}
+    assert (by_class["a"].tp, by_class["a"].fp) == (1, 1) and by_class["a"].roc_auc == 1.0
 
 
 def test_folds_disjoint_complete_balanced(spark):
