@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import slices
-from tessera.llm.common import counted_side, id_of, join_by_group, text_of
+from tessera.llm.common import counted_side, id_of, join_by_group, packed, text_of
 from tessera.session import materialize
 
 SEED = 42
@@ -242,7 +242,7 @@ def components(links: DataFrame) -> DataFrame:
     for to in reversed(steps[:-1]):
         # a node's target is in the next step's table unless its component was finished
         used = to.groupBy("to").agg(F.count(F.lit(1)).alias("m"))
-        named = used.join(label, used.to == label.node, "left").select(
+        named = used.join(label, F.col("to") == F.col("node"), "left").select(
             "to", F.coalesce("root", "to").alias("root"), "m")
         label = materialize(join_by_group(to.select(F.col("a").alias("node"), "to"), named, ["to"], "m", to.count())
                             .select("node", "root"))
@@ -298,9 +298,10 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str =
     first = first.filter("__n > 1").select(F.col("root").alias("__root"), "__h")
     more = rows.filter(head).join(first, F.col("root") == F.col("__root")).filter("text_hash <> __h")
     drop = rows.filter(~head).select("doc_id", "text_hash").unionByName(more.select("doc_id", "text_hash"))
-    drop = counted_side(drop.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")))
-    return docs.join(drop, id_of(id_col).eqNullSafe(F.col("__d"))
-                     & (F.xxhash64(text_of(text_col)) == F.col("__t")), "left_anti")
+    drop = counted_side(drop)
+    key = packed(docs, d=id_of(id_col), t=F.xxhash64(text_of(text_col)))
+    return key.join(drop, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")), "left_anti") \
+        .select("row.*")
 
 
 def hex_of(fp: str):
