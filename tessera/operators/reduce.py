@@ -1,11 +1,10 @@
 """Feature reduction and selection (FR1-FR6).
 
-PCA and LDA need only first and second moments: one distributed aggregate
-produces the (d × d) scatter matrices, which are tiny, and the eigen problem
-is solved on the driver with numpy; projecting is a per-row dot product done
-by Spark ML (``PCA`` model / ``VectorAssembler`` + matrix ops).  RFE refits a
-Spark ML ranker on the cached assembled frame and drops the weakest feature
-each round.  The ANOVA F statistic of FR5 is a grouped aggregate.
+PCA, LDA and ridge RFE need only first and second moments: distributed
+aggregates produce the (d × d) scatter matrices, which are tiny, and the small
+linear algebra runs on the driver with numpy; projecting is a per-row dot
+product of column expressions.  RFE with a forest refits it on a written frame
+and drops the weakest feature each round.  The ANOVA F statistic of FR5 is a grouped aggregate.
 """
 
 from __future__ import annotations
@@ -61,21 +60,29 @@ def selected_features(ranked: DataFrame) -> list[str]:
 
 # ---- moments ------------------------------------------------------------------------
 def moments(df: DataFrame, features: Sequence[str], label: str | None = None) -> list[dict]:
-    """Per class (or overall): n, sum vector, cross-product matrix — one aggregate
-    with d + d(d+1)/2 sums; returns k small dicts."""
-    d = len(features)
-    xs = [_q(c).cast("double") for c in features]
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    g = df.groupBy(_q(label)) if label else df.groupBy()
+    """Per class (or overall): n, mean vector and centred scatter matrix.
+
+    Counts, means and variances come from one ``Summarizer`` aggregate, the
+    correlations from Spark's distributed Gram matrix of the centred vectors (one
+    job per class): no raw cross products, so large means lose no precision.
+    Only d × d numbers per class reach the driver.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation, Summarizer
+    x = df.select(*[_q(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+                  *([_q(label).alias("y")] if label else []))
+    x = VectorAssembler(inputCols=[f"x{i}" for i in range(len(features))], outputCol="v").transform(x)
+    stats = Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s")
+    rows = (x.groupBy("y") if label else x.groupBy()).agg(stats).collect()
     out = []
-    for r in g.agg(*aggs).collect():
-        s = np.array([r[f"s{i}"] for i in range(d)], dtype=float)
-        P = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                P[i, j] = P[j, i] = r[f"p{i}_{j}"]
-        out.append({"label": r[label] if label else None, "n": r["n"], "sum": s, "cross": P})
+    for r in rows:
+        n, mean, var = r["s"]["count"], r["s"]["mean"].toArray(), r["s"]["variance"].toArray()
+        part = x.where(F.col("y").eqNullSafe(F.lit(r["y"]))) if label else x
+        corr = Correlation.corr(part, "v").first()[0].toArray() if n > 1 else np.eye(len(features))
+        sd = np.sqrt(np.maximum(var, 0))
+        scatter = np.nan_to_num(corr) * np.outer(sd, sd) * max(n - 1, 0)
+        np.fill_diagonal(scatter, var * max(n - 1, 0))
+        out.append({"label": r["y"] if label else None, "n": n, "mean": mean, "scatter": scatter})
     return out
 
 
@@ -107,9 +114,7 @@ class Projection:
 def fit_pca(df: DataFrame, features: Sequence[str], n_components: int) -> Projection:
     """FR2: centred PCA (sample covariance), n capped at features − 1."""
     m = moments(df, features)[0]
-    n, s, P = m["n"], m["sum"], m["cross"]
-    mean = s / n
-    cov = (P - n * np.outer(mean, mean)) / max(n - 1, 1)
+    mean, cov = m["mean"], m["scatter"] / max(m["n"] - 1, 1)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
     k = min(n_components, len(features) - 1)
@@ -127,12 +132,11 @@ def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> Projection:
     ms = moments(df, features, label)
     d = len(features)
     n_tot = sum(m["n"] for m in ms)
-    grand = sum(m["sum"] for m in ms) / n_tot
+    grand = sum(m["n"] * m["mean"] for m in ms) / n_tot
     Sw, Sb = np.zeros((d, d)), np.zeros((d, d))
     for m in ms:
-        mu = m["sum"] / m["n"]
-        Sw += m["cross"] - m["n"] * np.outer(mu, mu)
-        diff = (mu - grand)[:, None]
+        Sw += m["scatter"]
+        diff = (m["mean"] - grand)[:, None]
         Sb += m["n"] * diff @ diff.T
     k = max(1, len(ms) - 1)
     vals, vecs = np.linalg.eig(np.linalg.pinv(Sw) @ Sb)
@@ -152,31 +156,28 @@ def rfe(df: DataFrame, features: Sequence[str], label: str, n_keep: int,
         ranker: str = "ridge", reg: float = 1.0, seed: int = 13) -> list[str]:
     """FR4: refit the ranker, drop the weakest feature, repeat until n_keep.
 
-    The assembled frame is cached once and unpersisted at the end; every
-    round is one distributed fit.  Ridge ranks by |coefficient| on
-    standardised inputs; the forest by impurity importance.
+    Ridge ranks by |coefficient| on standardised inputs: every round solves
+    (R + reg·I) β = r for the features left, from moments computed once.  The
+    forest ranks by impurity importance and is refitted on a written frame.
     """
+    if ranker == "ridge":
+        m = moments(df, [*features, label])[0]
+        cov = m["scatter"] / max(m["n"] - 1, 1)
+        sd = np.sqrt(np.maximum(np.diag(cov), 0))
+        unit = np.where(sd > 0, sd, 1)
+        corr, with_y = (cov / np.outer(unit, unit))[:-1, :-1], cov[:-1, -1] / unit[:-1]
+        left = list(range(len(features)))
+        while len(left) > n_keep:
+            beta = np.linalg.solve(corr[np.ix_(left, left)] + reg * np.eye(len(left)), with_y[left])
+            left.pop(int(np.argmin(np.abs(beta))))
+        return [features[i] for i in left]
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.feature import VectorAssembler
+    from tessera.session import materialize
     cur = list(features)
-    base = df.select(*[_q(c).cast("double").alias(c) for c in cur], _q(label).cast("double").alias("__y"))
-    base = base.cache()
-    try:
-        while len(cur) > n_keep:
-            va = VectorAssembler(inputCols=cur, outputCol="__raw", handleInvalid="keep")
-            x = va.transform(base)
-            if ranker == "ridge":
-                x = StandardScaler(inputCol="__raw", outputCol="__v", withMean=True,
-                                   withStd=True).fit(x).transform(x)
-                model = LinearRegression(featuresCol="__v", labelCol="__y", regParam=reg,
-                                         elasticNetParam=0.0).fit(x)
-                imp = np.abs(model.coefficients.toArray())
-            else:
-                model = RandomForestClassifier(featuresCol="__raw", labelCol="__y", numTrees=50,
-                                               seed=seed).fit(x)
-                imp = model.featureImportances.toArray()
-            cur.pop(int(np.argmin(imp)))
-    finally:
-        base.unpersist()
+    base = materialize(df.select(*[_q(c).cast("double").alias(c) for c in cur], _q(label).cast("double").alias("__y")))
+    while len(cur) > n_keep:
+        x = VectorAssembler(inputCols=cur, outputCol="__raw", handleInvalid="keep").transform(base)
+        model = RandomForestClassifier(featuresCol="__raw", labelCol="__y", numTrees=50, seed=seed).fit(x)
+        cur.pop(int(np.argmin(model.featureImportances.toArray())))
     return cur

@@ -335,6 +335,15 @@ def test_failed_write_does_not_count(spark, tmp_path):
     assert spark.read.parquet(str(p)).count() == 3
 
 
+def test_rfe_keeps_the_informative_features(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(1e6, 1, size=(400, 5))  # large means must not matter
+    y = (x[:, 1] - 1e6 + 2 * (x[:, 3] - 1e6) > 0).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({**{f"f{i}": x[:, i] for i in range(5)}, "y": y}))
+    assert fr.rfe(df, [f"f{i}" for i in range(5)], "y", 2) == ["f1", "f3"]
+    assert set(fr.rfe(df, [f"f{i}" for i in range(5)], "y", 2, ranker="forest")) == {"f1", "f3"}
+
+
 def test_many_categories_and_classes(spark, monkeypatch):
     from tessera.functions.features import learn_categories
     df = spark.range(2400).selectExpr("CAST(id % 1200 AS STRING) AS c", "CAST(id % 1200 AS INT) AS y")
