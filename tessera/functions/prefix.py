@@ -25,21 +25,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bkt"
-DEFAULT_BUCKETS = 512
-HASH_BUCKET_HEX = 3  # 4096 buckets from the leading hex digits of md5
+MIN_BUCKETS, MAX_BUCKETS = 256, 65_536  # of ordered values; the edges pass through the driver
+MIN_HEX, MAX_HEX = 3, 6  # leading hex digits of an md5 key: 4096 to 16.7 million buckets
+
+
+def bucket_count(spark) -> int:
+    """Buckets of ordered values: two for each shuffle partition.  That setting is
+    what a session scales with its data, so buckets stay as large as its tasks."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, 2 * n))
+
+
+def hex_digits(spark) -> int:
+    """Leading md5 digits that give at least four buckets for each shuffle partition."""
+    n, digits = 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_HEX
+    while 16 ** digits < n and digits < MAX_HEX:
+        digits += 1
+    return digits
 
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def edge_values(df: DataFrame, cols: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
-                accuracy: int = 10000) -> dict[str, list[float]]:
+def edge_values(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None,
+                accuracy: int | None = None) -> dict[str, list[float]]:
     """Approximate-percentile bucket edges per column, from ONE aggregate.
 
-    At most ``n_buckets - 1`` doubles per column reach the driver (a bound
-    fixed by the caller, not by the data).
+    At most ``MAX_BUCKETS`` doubles per column reach the driver, whatever the
+    data.
     """
+    n_buckets = n_buckets or bucket_count(df.sparkSession)
+    accuracy = accuracy or max(10_000, 20 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.agg(*[F.percentile_approx(_q(c).cast("double"), probs, accuracy).alias(f"e{i}")
                    for i, c in enumerate(cols)]).first()
@@ -63,7 +80,7 @@ def bucketize(df: DataFrame, cols: Sequence[str], edges: dict[str, list[float]],
 
 
 def with_edge_buckets(df: DataFrame, x: str, per: Sequence[str] = (),
-                      n_buckets: int = DEFAULT_BUCKETS, accuracy: int = 10000) -> DataFrame:
+                      n_buckets: int | None = None, accuracy: int | None = None) -> DataFrame:
     """Add ``__bkt``: the approximate-percentile bucket of ``x``.
 
     The edges are global (one small aggregate, collected), so the bucket is
@@ -74,8 +91,9 @@ def with_edge_buckets(df: DataFrame, x: str, per: Sequence[str] = (),
     return bucketize(df, [x], edges, [BUCKET])
 
 
-def with_hash_bucket(df: DataFrame, hex_col: str, digits: int = HASH_BUCKET_HEX) -> DataFrame:
+def with_hash_bucket(df: DataFrame, hex_col: str, digits: int | None = None) -> DataFrame:
     """Add ``__bkt`` from the leading hex digits of an md5 string column."""
+    digits = digits or hex_digits(df.sparkSession)
     return df.withColumn(BUCKET, F.conv(F.substring(_q(hex_col), 1, digits), 16, 10).cast("int"))
 
 

@@ -67,7 +67,7 @@ def score_levels(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] =
         (F.count(F.lit(1)) - F.sum(_q(y).cast("long"))).alias("neg"))
 
 
-def _cumulated(df: DataFrame, y: str, p: str, by: Sequence[str], n_buckets: int) -> DataFrame:
+def _cumulated(df: DataFrame, y: str, p: str, by: Sequence[str], n_buckets: int | None) -> DataFrame:
     """Running counts over score levels.  The levels are written once: edges, totals
     and running sums then read that small table, and the input is read once."""
     lv = materialize(score_levels(df, y, p, by))
@@ -76,7 +76,7 @@ def _cumulated(df: DataFrame, y: str, p: str, by: Sequence[str], n_buckets: int)
 
 
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
-            n_buckets: int = 256) -> DataFrame:
+            n_buckets: int | None = None) -> DataFrame:
     """ME2: exact ROC AUC per group (column ``auc``); NULL for a one-class group.
 
     AUC = Σ_s pos_s · (neg_below_s + ½ neg_s) / (P · N).  All terms are
@@ -89,7 +89,7 @@ def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
          .alias("auc"))
 
 
-def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 256) -> DataFrame:
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """ME3: (threshold, fpr, tpr) at every distinct score, classifying ``p >= threshold``."""
     c = _cumulated(df, y, p, (), n_buckets)
     tp = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
@@ -99,7 +99,7 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 256) -
                     F.try_divide(tp.cast("double"), F.col("tot_pos")).alias("tpr"))
 
 
-def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int = 256) -> DataFrame:
+def pr_curve(df: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """ME4: (threshold, precision, recall, prevalence) at every distinct score."""
     c = _cumulated(df, y, p, (), n_buckets)
     tp = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
@@ -128,7 +128,7 @@ def classification_metrics(df: DataFrame, y: str = "y", p: str | None = "p",
         out = counts.join(auc, on, "left") if by else counts.withColumn("auc", auc.select("auc").scalar())
     else:
         # one pass: AUC and confusion counts all follow from the score levels
-        c = _cumulated(df, y, score, by, 256)
+        c = _cumulated(df, y, score, by, None)
         one = predicted(F.col("score"), threshold) == 1 if p else F.col("score") == 1
         contrib = F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("neg"))
 

@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.prefix import BUCKET, bucketize, edge_values, prefix_sums
+from tessera.session import materialize
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), n_buckets: int = 256) -> DataFrame:
+                    by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """One row per (by..., column) with ``q0..q{k-1}`` for ``probs`` and ``n``.
 
     NULLs are skipped; a group with no values is absent.
@@ -34,6 +35,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     long = wide.selectExpr(*[f"`{b}`" for b in by],
                            f"stack({len(columns)}, {stack}) AS (column, x, {BUCKET})").where("x IS NOT NULL")
     vc = long.groupBy(*by, "column", "x", BUCKET).agg(F.count(F.lit(1)).alias("c"))
+    vc = materialize(vc)  # the input is read for the edges and for this table, nothing more
     ps = prefix_sums(vc, ["x"], ["c"], by + ["column"])
     # each distinct value covers 0-based ranks [cum_c - c, cum_c)
     hits = []

@@ -137,7 +137,6 @@ BOX_COLUMNS = ["tenure", "MonthlyCharges", "TotalCharges"]
 SEED = 13
 HOLDOUT_SHARE = 0.20
 N_FOLDS = 5
-RISK_BANDS = [(0.30, "low"), (0.60, "medium")]   # else "high"
 ROBUSTNESS_BANDS = [(0.05, "good"), (0.10, "moderate")]  # else "bad"
 PROMOTION_TIE_EPS = 1e-6
 CALIBRATION_BINS = 10
@@ -148,5 +147,4 @@ SCALE_COLUMNS = ["tenure", "log_tenure", "MonthlyCharges", "TotalCharges", "log_
                  "avg_monthly_per_service"]
 PCA_COMPONENTS = 15
 RFE_FEATURES = 15
-POSITIVE_CLASS_WEIGHT = 2.77
 SVC_TUNING_ROWS = 3000

@@ -118,7 +118,7 @@ def voted(models: Sequence[str], weights: Sequence[Column | float]) -> Column:
 
 
 def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]],
-                       y: str = "y", n_buckets: int = 256) -> DataFrame:
+                       y: str = "y", n_buckets: int | None = None) -> DataFrame:
     """TU10: exact AUC of the weighted-mean probability for every weight vector.
 
     Rows → distinct (y, p_1..p_k) with counts (partial aggregation), then

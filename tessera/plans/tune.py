@@ -26,6 +26,8 @@ from tessera.session import materialize
 
 from tessera.operators import metrics as me
 from tessera.operators.models import SEARCH_SPACES, check_names, fit_pipeline, fit_preparation, predict
+from tessera.operators.split import tuning_subsample
+from tessera.plans.config import SVC_TUNING_ROWS
 from tessera.plans.selection import expand_grid
 
 log = logging.getLogger(__name__)
@@ -172,10 +174,18 @@ REDUCTION_SPACE = {"method": {"type": "categorical", "choices": ["none", "pca",
 
 def random_search(df, features: Sequence[str], name: str, n_iter: int = N_ITER, seed: int = 13,
                   space: dict | None = None, co_tune_reduction: bool = False,
-                  fixed: dict | None = None, **kw) -> list[dict]:
+                  fixed: dict | None = None, tuning_rows: int | None = None, **kw) -> list[dict]:
     """TU6 (and TU7 with ``co_tune_reduction``): seeded draws in the order drawn, the
-    reduction method and its parameters drawn jointly with the learner's."""
+    reduction method and its parameters drawn jointly with the learner's.
+
+    ``tuning_rows`` bounds the rows that the draws are fitted and scored on (SP3;
+    as configured, ``SVC_TUNING_ROWS`` for the SVC and all rows for others)."""
     check_names(name)
+    tuning_rows = tuning_rows or (SVC_TUNING_ROWS if name == "svc" else None)
+    if tuning_rows:
+        if isinstance(df, Folds):
+            raise ValueError("a subsample is drawn from a frame, not from prepared folds")
+        df = materialize(tuning_subsample(df, list(kw.get("key", ("customerID",))), tuning_rows, seed))
     fd = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
     rng = np.random.default_rng(seed)
     rows = []

@@ -25,19 +25,32 @@ def stream_path(spark: SparkSession, path: str) -> str:
     return path
 
 
-def window_metrics(stream: DataFrame, ts: str = "ts", window: str = "1 day",
-                   watermark: str = "1 hour", by: tuple[str, ...] = ()) -> DataFrame:
-    """SC7 plan: event-time windows (late rows beyond the watermark dropped)
-    with count, error count and rate, and value statistics."""
+def window_metrics(stream: DataFrame, ts: str = "ts", window: str = "1 day", watermark: str = "1 hour",
+                   by: tuple[str, ...] = (), real: Column | None = None, predicted: Column | None = None) -> DataFrame:
+    """SC7 plan: event-time windows (late rows beyond the watermark dropped) with the
+    count, confusion counts of ``predicted`` against ``real`` (0/1 columns; by
+    default the class is "error" and nothing is predicted), and value statistics.
+    """
+    y = (F.col("event_type") == "error").cast("int") if real is None else real
+    yhat = F.lit(0) if predicted is None else predicted
     w = F.window(F.col(ts), window)
     return (stream.withWatermark(ts, watermark)
             .groupBy(w.alias("window"), *by)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum((F.col("event_type") == "error").cast("long")).alias("n_error"),
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(y.cast("long")).alias("n_error"),
+                 *[F.sum(((y == a) & (yhat == b)).cast("long")).alias(name)
+                   for name, a, b in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))],
                  F.sum("value").alias("value_sum"),
                  F.min("value").alias("value_min"), F.max("value").alias("value_max")))
 
 
+def with_rates(windows: DataFrame) -> DataFrame:
+    """Real and predicted share of class 1, and the accuracy, of every window."""
+    n = F.col("n").cast("double")
+    return windows.withColumns({"real_rate": (F.col("tp") + F.col("fn")) / n,
+                                "predicted_rate": (F.col("tp") + F.col("fp")) / n,
+                                "accuracy": (F.col("tp") + F.col("tn")) / n})
+
+
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet") -> None:
     """Run a streaming plan over everything available, then stop."""
@@ -49,7 +62,8 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "a
 
 def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType | str, sink_path: str,
                    checkpoint: str, window: str = "1 day", watermark: str = "1 hour",
-                   by: tuple[str, ...] = ()) -> DataFrame:
+                   by: tuple[str, ...] = (), real: Column | None = None,
+                   predicted: Column | None = None) -> DataFrame:
     """SC7: parquet event files → windowed metrics (append mode: closed windows) → sink.
 
     Returns the sink read back as a batch table, flattened to
@@ -57,11 +71,12 @@ def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType |
     """
     src = (spark.readStream.schema(schema).parquet(stream_path(spark, source_dir))
            .withColumn("ts", as_utc_instant(F.col("ts"))))
-    run_available(window_metrics(src, "ts", window, watermark, by), sink_path, checkpoint)
-    out = spark.read.parquet(sink_path)
+    run_available(window_metrics(src, "ts", window, watermark, by, real, predicted), sink_path, checkpoint)
+    out = with_rates(spark.read.parquet(sink_path))
     return out.select(utc_wall_clock(F.col("window.start")).alias("window_start"),
                       utc_wall_clock(F.col("window.end")).alias("window_end"),
-                      *by, "n", "n_error", "value_sum", "value_min", "value_max")
+                      *by, "n", "n_error", "tp", "fp", "fn", "tn", "real_rate", "predicted_rate", "accuracy",
+                      "value_sum", "value_min", "value_max")
 
 
 def as_utc_instant(ntz: Column) -> Column:
