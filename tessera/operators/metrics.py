@@ -240,28 +240,41 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: S
                            label: str, repeats: int = 5, seed: int = 13) -> DataFrame:
     """ME10: AUC drop when one feature's values are shuffled across rows.
 
-    One plan for every (feature, repeat): rows are ranked once in a base
-    hash order; for each (feature, repeat) a second hash order assigns every
-    row the feature value of the row with the same base rank (an equi-join
-    on rank, no pairs).  The n × d × repeats scored rows go through the
-    model in one ``transform`` and one grouped exact AUC.
+    Rows get one hash rank, written once.  A (feature, repeat) permutes the ranks
+    by a random affine map r → a·r + b mod n (a coprime to n), so no further
+    sort is needed.  What is shuffled for each (row, feature, repeat) is only the
+    rank and one value; the full row is joined back inside the scoring task.
+    All features × repeats go through the model in one ``transform`` and one
+    grouped exact AUC.
     """
+    import math
+
+    import numpy as np
+
     from tessera.functions.prefix import hash_rank
     from tessera.operators.models import predict
-    base = hash_rank(df, list(key), f"{seed}-base", rank_col="__r").drop("group_n")
-    donors = base.select(F.col("__r").alias("__dr"),
-                         *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(features)])
-    combos = F.array(*[F.struct(F.lit(i).alias("__fi"), F.lit(r).alias("__rep"))
-                       for i in range(len(features)) for r in range(repeats)])
-    long = base.select("*", F.explode(combos).alias("__c")).select("*", "__c.*").drop("__c", "__r")
-    long = long.withColumn("__seedkey", F.concat_ws("|", F.col("__fi").cast("string"),
-                                                    F.col("__rep").cast("string")))
-    shuffled = hash_rank(long, [*key, "__seedkey"], f"{seed}-perm", by=["__fi", "__rep"], rank_col="__sr") \
-        .drop("group_n")
-    j = shuffled.join(donors, F.col("__sr") == F.col("__dr"))
-    repl = {c: F.when(F.col("__fi") == i, F.col(f"__v{i}")).otherwise(F.col(f"`{c}`"))
-            for i, c in enumerate(features)}
-    permuted = j.withColumns(repl)
+    base = materialize(hash_rank(df, list(key), f"{seed}-base", rank_col="__r").drop("group_n"))
+    n, rng = base.count(), np.random.default_rng(seed)
+
+    def permutation():
+        a = int(rng.integers(1, max(2, n)))
+        while math.gcd(a, max(1, n)) != 1:
+            a = int(rng.integers(1, max(2, n)))
+        return a, int(rng.integers(0, max(1, n)))
+    combos = []
+    for i in range(len(features)):
+        for rep in range(repeats):
+            a, b = permutation()
+            combos.append(F.struct(F.lit(i).alias("__fi"), F.lit(rep).alias("__rep"), F.lit(a).cast("decimal(38,0)").alias("a"),
+                                   F.lit(b).cast("decimal(38,0)").alias("b")))
+    moved = base.select("__r", F.explode(F.array(*combos)).alias("c")).select(
+        "__r", "c.__fi", "c.__rep", F.pmod(F.col("c.a") * F.col("__r").cast("decimal(19,0)") + F.col("c.b"), F.lit(max(1, n)))
+        .cast("bigint").alias("__from"))
+    values = base.select(F.col("__r").alias("__from"), F.posexplode(
+        F.array(*[F.col(f"`{c}`").cast("double") for c in features])).alias("__fi", "__value"))
+    permuted = moved.join(values, ["__from", "__fi"]).drop("__from").join(base, "__r")
+    permuted = permuted.withColumns({c: F.when(F.col("__fi") == i, F.col("__value")).otherwise(F.col(f"`{c}`"))
+                                     for i, c in enumerate(features)})
     scored = predict(model, permuted, keep=["__fi", "__rep", label]).withColumnRenamed(label, "y")
     auc = roc_auc(scored, "y", "p", by=["__fi", "__rep"])
     base_auc = roc_auc(predict(model, df, keep=[label]).withColumnRenamed(label, "y")).select("auc").scalar()

@@ -344,6 +344,14 @@ def test_rfe_keeps_the_informative_features(spark):
     assert set(fr.rfe(df, [f"f{i}" for i in range(5)], "y", 2, ranker="forest")) == {"f1", "f3"}
 
 
+def test_permutation_importance_finds_the_signal(spark):
+    df = churn_frame(spark, 200)
+    model = ml.fit_pipeline(df, COLS, "logistic_regression")
+    got = {r.feature: r.importance for r in me.permutation_importance(
+        model, df, COLS, ["customerID"], "Churn", repeats=3).collect()}
+    assert set(got) == set(COLS) and got["a"] > 0.15 > abs(got["b"])
+
+
 def test_many_categories_and_classes(spark, monkeypatch):
     from tessera.functions.features import learn_categories
     df = spark.range(2400).selectExpr("CAST(id % 1200 AS STRING) AS c", "CAST(id % 1200 AS INT) AS y")
