@@ -30,11 +30,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import id_of, text_of
+from tessera.llm.common import id_of, lean, text_of
 
 SHORT = 96            # longest word (bytes) merged by the rank array
 STEP_CHARS = 1 << 20  # characters encoded together
-MAX_PIECES = 300_000  # pieces remembered per process
+MAX_PIECES = 200_000  # pieces remembered per process
 NO_RANK = np.int32(2**31 - 1)
 
 
@@ -78,9 +78,10 @@ class ByteBpe:
         self.special_split = (regex.compile("(" + "|".join(
             regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
             if self.special else None)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the piece table (a task calls this when it ends)."""
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.used = 0
@@ -186,7 +187,7 @@ class ByteBpe:
 
     def _learn(self, keys: set[str]) -> None:
         if len(self.index) + len(keys) > MAX_PIECES:
-            self._forget()
+            self.forget()
         words = {k: [w.encode() for w in self.pattern.findall(self._spelled(k))] for k in keys}
         ids = self.encode_words(list({w for ws in words.values() for w in ws}))
         none = np.zeros(0, np.int32)
@@ -318,6 +319,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     recognised; none are added.  Null text: no tokens.  Repeated rows: one
     result row each.
     """
+    @lean
     def run(batches):
         bpe = load(path, pattern)
         for b in slices(batches):
@@ -327,6 +329,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             if with_decoded:
                 out["decoded"] = pa.array([bpe.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_pydict(out)
+        bpe.forget()
 
     src = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("t"))
     return src.mapInArrow(run, "doc_id bigint, ids binary, n_tokens bigint" + ", decoded string" * with_decoded)
@@ -339,6 +342,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids",
         raise ValueError(f"column {out_col} already exists")
     at = encoded.columns.index(ids_col)
 
+    @lean
     def run(batches):
         bpe = load(path, pattern)
         for b in slices(batches):

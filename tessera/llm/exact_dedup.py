@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, packed, text_of
+from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, lean, packed, text_of
 from tessera.session import materialize
 
 FLUSH_ROWS = 1 << 20  # fingerprints that one task holds before it emits filters
@@ -117,6 +117,7 @@ def _filters(hashes: DataFrame, prefix_bits: int) -> DataFrame:
                zip(np.split(value, cuts[1:]), np.split(count, cuts[1:]))]
         return pa.RecordBatch.from_arrays([pa.array(lead[cuts]), pa.array(raw, pa.binary())], ["range", "filter"])
 
+    @lean
     def run(batches):
         parts, held = [], 0
         for b in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import slices, steps
-from tessera.llm.common import id_of, text_of
+from tessera.llm.common import id_of, lean, text_of
 from tessera.llm.labelled import fit_sample
 
 MAX_PER_CLASS = 20_000  # labelled documents of either class that the fit reads at most
@@ -33,7 +33,7 @@ NONZERO = 2             # entries of an index vector
 BLOCK_IDS = 128         # word ids per row when context tables are summed
 HIDDEN = 32
 EPOCHS = 40
-MAX_WORDS = 200_000     # words remembered per process
+MAX_WORDS = 100_000     # words remembered per process
 PLAIN = re.compile(r"[^\W\d_]+[.,;:!?]?\Z")
 LETTERS = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
@@ -76,6 +76,7 @@ def context_counts(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray,
     Each task sums one table; tables meet in ``VOCAB / BLOCK_IDS`` blocks, and
     only the final table, of fixed size, reaches the driver.
     """
+    @lean
     def run(batches):
         at, sign = index_vectors()
         table, seen = np.zeros(VOCAB * DIMS), np.zeros(VOCAB)
@@ -205,6 +206,7 @@ def features(docs: DataFrame, vectors: np.ndarray, key_col: str, text_col: str)
     """``key, x``: pooled features as packed 32-bit floats."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
+    @lean
     def run(batches):
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(
@@ -218,6 +220,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     empty texts are scored on features of zero."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def run(batches):
         m = shared.value
         for b in slices(batches):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import slices
-from tessera.llm.common import counted_side, id_of, join_by_group, packed, text_of
+from tessera.llm.common import counted_side, id_of, join_by_group, lean, packed, text_of
 from tessera.session import materialize
 
 SEED = 42
@@ -65,6 +65,7 @@ def fingerprint(text: str, shingle: int, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text",
                  seed: int = SEED) -> DataFrame:
     """``doc_id, text_hash, fp`` (64 bits as signed integers), null texts as empty ones."""
+    @lean
     def run(batches):
         for b in slices(batches):
             got = np.fromiter((fingerprint(t, shingle, seed) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
@@ -114,6 +115,7 @@ def cells(fp: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _cell_rows(nodes: DataFrame, max_bits: int) -> DataFrame:
+    @lean
     def run(batches):
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -176,6 +178,7 @@ def _links(dealt: DataFrame, max_bits: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0].view(np.int64)), pa.array(pair[:, 1].view(np.int64))],
                                           ["a", "b"]) if len(pair) else None
 
+    @lean
     def run(batches):
         c, f = np.zeros((0, 2), np.int64), np.zeros(0, np.uint64)
         held = []
@@ -253,6 +256,7 @@ def _map_numbers(df: DataFrame, names: str, by: int) -> DataFrame:
     """Multiply 64-bit columns (odd ``by``: a permutation of all numbers)."""
     cols = names.split()
 
+    @lean
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array((

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import load, slices
-from tessera.llm.common import id_of, text_of
+from tessera.llm.common import id_of, lean, text_of
 from tessera.session import materialize
 
 CHUNK_CHARS = 32_768
@@ -37,6 +37,7 @@ WIDEN = 16
 def _number_rows(docs: DataFrame, chunk_chars: int, path: str, pattern: str) -> DataFrame:
     """Count short texts; hand long ones on.  ``row_key`` (task, position) tells
     repeated rows apart and holds because the result is written once."""
+    @lean
     def run(batches):
         from pyspark import TaskContext
         bpe, task, n = load(path, pattern), TaskContext.get().partitionId(), 0
@@ -52,11 +53,13 @@ def _number_rows(docs: DataFrame, chunk_chars: int, path: str, pattern: str) ->
                 pa.array([t if c is None else None for t, c in zip(texts, count)], pa.string())],
                 ["row_key", "doc_id", "n_bytes", "n_tokens", "long_text"])
             n += len(texts)
+        bpe.forget()
     return docs.mapInArrow(run, "row_key string, doc_id bigint, n_bytes bigint, n_tokens bigint, long_text string")
 
 
 def _cut(long_docs: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
     """(row_key, k, of, text) with chunk k = [k·c, (k+1)·c + overlap) of the text."""
+    @lean
     def run(batches):
         for b in batches:
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -100,6 +103,7 @@ def _encode_chunks(chunks: DataFrame, chunk_chars: int, overlap: int, path: str,
     schema = pa.schema([("row_key", pa.string()), ("k", pa.int64()), ("of", pa.int64()), ("n", pa.int64()),
                         *[(c, pa.list_(pa.int64())) for c in ("head", "head_n", "tail", "tail_n")]])
 
+    @lean
     def run(batches):
         bpe = load(path, pattern)
         # a special token's string may be cut by the chunk's end: starts within its
