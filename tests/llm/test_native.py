@@ -32,6 +32,19 @@ def test_sharding_laws(spark, monkeypatch):
     assert sorted(got) == sorted(again)
 
 
+def test_rendezvous_equals_its_definition(spark):
+    weights = [1.0, 2.0, 0.5, 1.0]
+
+    def best(key):
+        def score(j):
+            h = int(hashlib.md5(f"{key}/{j}".encode()).hexdigest()[:12], 16)
+            return weights[j] / -math.log((h + 0.5) / 2**48)
+        return max(range(len(weights)), key=lambda j: (score(j), -j))
+    df = spark.range(500).selectExpr("id * 7919 - 1000 AS doc_id", "'' AS text")
+    for r in sharding.assign(df, weights).collect():
+        assert r.shard == best(r.doc_id)
+
+
 def test_weighted_shards(spark):
     df = spark.range(4000).selectExpr("id AS doc_id", "'' AS text")
     n = Counter(r.shard for r in sharding.assign(df, [1.0, 3.0]).collect())
