@@ -31,7 +31,7 @@ from tessera.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 1 << 14          # equal-token blocks of the whole mix
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 4_096
 SEED = "mix"
 
 
