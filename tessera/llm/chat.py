@@ -10,14 +10,15 @@ can occur inside a text and the escape can be undone in one scan.  Nothing
 trusts the input: texts that spell control strings come back unchanged.
 
 One aggregate collects the turns of a conversation as structs; array
-functions sort them, merge adjacent turns of a role, and concatenate.  The
-result of a conversation is one text, so its turns meet in one row by nature;
-conversations are independent and spread by key.
+functions sort them, merge adjacent turns of a role, and concatenate.  A window
+on the same partitioning gives the offsets, so the work is linear in the turns.
+The result of a conversation is one text, so its turns meet in one row by
+nature; conversations are independent and spread by key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TEXT, NEXT, END = "<|turn|>", "<|text|>", "<|next|>", "<|end|>\n"
@@ -43,34 +44,29 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     """
     q = lambda c: F.col(f"`{c}`")
     rows = turns.select(
-        q(conv_col).alias("conv_id"),
-        F.struct(q(turn_col).cast("bigint").alias("turn"),
-                 F.coalesce(q(role_col).cast("string"), F.lit("")).alias("role"),
-                 F.coalesce(q(text_col).cast("string"), F.lit("")).alias("text")).alias("t"))
-    one = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    # one struct per turn: does it open a block, does it close one, and its texts
+        q(conv_col).alias("conv_id"), q(turn_col).cast("bigint").alias("turn"),
+        F.coalesce(q(role_col).cast("string"), F.lit("")).alias("role"),
+        F.coalesce(q(text_col).cast("string"), F.lit("")).alias("text"))
+    # where each turn's text starts in the formatted text: a running sum in the order
+    # of the turns, on the partitioning that the aggregate below uses again
+    w = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    opens, closes = ~F.lag("role").over(w).eqNullSafe(F.col("role")), ~F.lead("role").over(w).eqNullSafe(F.col("role"))
+    before = F.when(opens, len(TURN) + F.length(escape(F.col("role"))) + len(TEXT)).otherwise(len(NEXT))
+    rows = rows.withColumns({"before": before, "length": F.length(escape(F.col("text"))).cast("bigint"),
+                             "after": F.when(closes, len(END)).otherwise(0)})
+    end = F.sum(F.col("before") + F.col("length") + F.col("after")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("start", (end - F.col("after") - F.col("length")).cast("bigint"))
+    one = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(
+        F.struct("turn", "role", "text", "start", "length"))).alias("turns"))
+    # merge adjacent turns of a role: the first opens a block, the last closes it
     n = F.size("turns")
-    parts = F.transform(F.col("turns"), lambda t, i: F.struct(
-        ((i == 0) | (F.get("turns", i - 1)["role"] != t["role"])).alias("opens"),
-        ((i == n - 1) | (F.get("turns", i + 1)["role"] != t["role"])).alias("closes"),
-        t["role"].isin(*loss_roles).alias("loss"),
-        escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
-    one = one.select("conv_id", parts.alias("parts"))
-    pieces = F.transform("parts", lambda p: F.struct(
-        F.when(p["opens"], F.concat(F.lit(TURN), p["role"], F.lit(TEXT))).otherwise(F.lit(NEXT)).alias("lead"),
-        p["text"].alias("text"), F.when(p["closes"], F.lit(END)).otherwise(F.lit("")).alias("tail"),
-        p["loss"].alias("loss")))
-    one = one.select("conv_id", pieces.alias("p"))
-    formatted = F.array_join(F.transform("p", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "")
-    # running offsets by one aggregate over the pieces
-    state = F.struct(F.lit(0).cast("bigint").alias("at"),
-                     F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    spans = F.aggregate("p", state, lambda s, p: F.struct(
-        (s["at"] + F.length(p["lead"]) + F.length(p["text"]) + F.length(p["tail"])).alias("at"),
-        F.when(p["loss"], F.concat(s["spans"], F.array(F.struct(
-            (s["at"] + F.length(p["lead"])).alias("start"),
-            F.length(p["text"]).cast("bigint").alias("length"))))).otherwise(s["spans"]).alias("spans")))
-    return one.select("conv_id", formatted.alias("formatted"), spans["spans"].alias("loss_spans"))
+    pieces = F.transform(F.col("turns"), lambda t, i: F.concat(
+        F.when((i == 0) | (F.get("turns", i - 1)["role"] != t["role"]), F.concat(F.lit(TURN), escape(t["role"]), F.lit(TEXT)))
+        .otherwise(F.lit(NEXT)), escape(t["text"]),
+        F.when((i == n - 1) | (F.get("turns", i + 1)["role"] != t["role"]), F.lit(END)).otherwise(F.lit(""))))
+    spans = F.transform(F.filter("turns", lambda t: t["role"].isin(*loss_roles)), lambda t: F.struct(
+        t["start"].alias("start"), t["length"].alias("length")))
+    return one.select("conv_id", F.array_join(pieces, "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
