@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import slices
-from tessera.llm.common import id_of, text_of
+from tessera.llm.common import id_of, lean, text_of
 from tessera.llm.labelled import fit_sample
 from tessera.session import materialize
 
@@ -40,7 +40,7 @@ PRIOR = 0.1             # pseudo-counts as a share of the sample's tokens
 DRIFT = 0.5             # cost of every other token
 FOLDS = 4               # parts of the sample; a text is calibrated on tables learned from the others
 COUNTS = ("toxic_n", "clean_n", "toxic_docs")
-FLUSH_WORDS = 200_000   # distinct words counted by a task before it emits them
+FLUSH_WORDS = 50_000   # distinct words counted by a task before it emits them
 
 WORD = regex.compile(r"[^\W\d_]+")
 
@@ -96,18 +96,22 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(int(f), int(e), r - lft) for lft, r, f, e in found]
 
 
-def passages(hits: list[tuple[int, int, str]], table: dict[str, float], low: str, drift: float):
+def passages(hits: list[tuple[int, int, str]], table: dict[str, float], low: str, drift: float,
+             once: bool = False):
     """Maximal segments (start, end, score) of a text given the scored tokens in it;
-    the tokens between two of them are counted by the spaces there."""
+    the tokens between two of them are counted by the spaces there.  With ``once``
+    a token scores at its first occurrence only."""
     scores: list[float] = []
     where: list[int] = []
     end = None
+    seen: set[str] = set()
     for k, (start, stop, w) in enumerate(hits):
         if end is not None:
             gap = max(0, low.count(" ", end, start) + low.count("\n", end, start) - 1)
             scores.append(-drift * gap)
             where.append(-1)
-        scores.append(table[w])
+        scores.append(0.0 if once and w in seen else table[w])
+        seen.add(w)
         where.append(k)
         end = stop
     return [(hits[where[a]][0], hits[where[b]][1], s) for a, b, s in maximal_segments(scores)]
@@ -130,6 +134,14 @@ class ToxicModel:
             out -= math.log(-math.expm1(-e)) if e > 1e-12 else math.log(1e-12)
         return out
 
+    def judge(self, finder: Finder, low: str):
+        """(passages, words, evidence) of a lower-cased text.  All passages are found;
+        the evidence counts every token once, since words of a text repeat far
+        more often than the clean model of independent tokens allows."""
+        hits, n = finder.hits(low), n_words_of(low)
+        new = passages(hits, self.table, low, self.drift, once=True)
+        return passages(hits, self.table, low, self.drift), n, self.evidence(new, n)
+
     def score(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.slope * math.log1p(evidence)))))
 
@@ -140,6 +152,7 @@ def n_words_of(low: str) -> int:
 
 def word_counts(sample: DataFrame) -> DataFrame:
     """``word`` and arrays by fold ``toxic_n, clean_n, toxic_docs`` over the labelled sample."""
+    @lean
     def run(batches):
         count: dict[tuple[str, int], list[int]] = {}
 
@@ -168,6 +181,7 @@ def corpus_counts(docs: DataFrame, words: list[str], text_col: str) -> tuple[dic
     """Occurrences of ``words`` in all documents, and the tokens there are."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
+    @lean
     def run(batches):
         finder, seen, total = Finder(dict.fromkeys(shared.value, 1.0)), Counter(), 0
         for b in slices(batches):
@@ -248,14 +262,15 @@ def segment_stats(sample: DataFrame, models: list[ToxicModel]) -> np.ndarray:
     text under the model that was learned without its fold."""
     shared = sample.sparkSession.sparkContext.broadcast(models)
 
+    @lean
     def run(batches):
         finders = [Finder(m.table) for m in shared.value]
         for b in slices(batches):
             out = []
             for text, y, fold in zip(*(b.column(i).to_pylist() for i in range(3))):
                 m, low = shared.value[fold], lowered(text)
-                got = passages(finders[fold].hits(low), m.table, low, m.drift)
-                out.append((y, n_words_of(low), len(got), m.evidence(got, n_words_of(low))))
+                got, n, evidence = m.judge(finders[fold], low)
+                out.append((y, n, len(got), evidence))
             yield pa.RecordBatch.from_arrays([pa.array([float(r[i]) for r in out], pa.float64()) for i in range(4)],
                                              ["y", "n", "found", "evidence"])
     rows = sample.select("text", "y", "fold").mapInArrow(
@@ -295,6 +310,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())])
 
+    @lean
     def run(batches):
         m = shared.value
         finder = Finder(m.table)
@@ -302,9 +318,8 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
             scores, spans = [], []
             for text in b.column(1).to_pylist():
                 low = lowered(text)
-                n = n_words_of(low)
-                got = passages(finder.hits(low), m.table, low, m.drift)
-                scores.append(m.score(m.evidence(got, n)))
+                got, n, evidence = m.judge(finder, low)
+                scores.append(m.score(evidence))
                 spans.append([{"start": a, "end": z, "score": s, "e_value": m.k * n * math.exp(-m.lam * s)}
                               for a, z, s in got])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
@@ -319,6 +334,7 @@ def keep_clean(docs: DataFrame, model: ToxicModel, at: float, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(model)
     column = docs.columns.index(text_col)
 
+    @lean
     def run(batches):
         m = shared.value
         finder = Finder(m.table)
@@ -326,8 +342,7 @@ def keep_clean(docs: DataFrame, model: ToxicModel, at: float, text_col: str = "t
             keep = []
             for text in b.column(column).to_pylist():
                 low = lowered(text or "")
-                got = passages(finder.hits(low), m.table, low, m.drift)
-                keep.append(m.score(m.evidence(got, n_words_of(low))) < at)
+                keep.append(m.score(m.judge(finder, low)[2]) < at)
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 
