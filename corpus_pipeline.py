@@ -38,7 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row per document and pass that the schedule takes words of."""
+    """The mix: a row per document and pass that the schedule takes words of, sorted in
+    the schedule's order (part files in the order of their names)."""
     out = mixing.mixed_documents(docs.select(COLUMNS))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 

@@ -12,7 +12,9 @@ each source lists its own slots, and their rank orders its blocks.
 
 Blocks: the documents of a source, shuffled by a hash, form a stream of words
 that repeats; block r covers the r-th equal piece of it.  Joining slots and
-blocks on (source, rank) gives the words that each document contributes.
+blocks on (source, rank) gives the words that each document contributes, and
+the slot and the position in the block where they stand in the mix.  These
+pieces are written sorted by slot; counts and mixed documents derive from them.
 Stream offsets come from totals per (source, hash bucket), so no task sorts a
 whole source, however large.  The schedule has a fixed number of slots at any
 input size and is broadcast.
@@ -26,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import counted_side, id_of, join_by_group, n_buckets, packed, text_of
+from tessera.llm.common import counted_side, id_of, join_by_group, n_buckets, text_of
 from tessera.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -116,8 +118,9 @@ def streams(docs: DataFrame, weights: Sequence[float], ratio: float, limit: floa
 
 
 def _pieces(docs, weights, ratio, limit, id_col, text_col, source_col, seed, slots) -> DataFrame:
-    """One row per document, pass over its source and block; ``lo``, ``hi`` are the
-    words of the document in it (null without a block)."""
+    """One row per document, pass over its source and block, written in the order of
+    the mix; ``lo``, ``hi`` are the words of the document in it, ``pos`` the words of
+    the block before them (null, and last, without a block)."""
     rows, sources = streams(docs, weights, ratio, limit, id_col, text_col, source_col, seed)
     total = sources.agg(F.sum("take")).first()[0] or 0
     block = max(1, math.ceil(total / slots))
@@ -134,8 +137,28 @@ def _pieces(docs, weights, ratio, limit, id_col, text_col, source_col, seed, slo
     hit = F.col("slot").isNotNull()
     lo = F.greatest(F.col("at"), F.col("rank") * block) - F.col("at")
     hi = F.least(F.col("to"), (F.col("rank") + 1) * block) - F.col("at")
-    return rows.select("doc_id", "text_hash", "size", "src", "source_size", "target", "start", "pass", "slot",
-                       F.when(hit, lo).alias("lo"), F.when(hit, hi).alias("hi"))
+    pos = F.greatest(F.col("at") - F.col("rank") * block, F.lit(0))
+    rows = rows.select("doc_id", "text_hash", "size", "src", "source_size", "target", "start", "pass", "slot",
+                       F.when(hit, pos).cast("bigint").alias("pos"), F.when(hit, lo).alias("lo"),
+                       F.when(hit, hi).alias("hi"))
+    return materialize(in_order(rows))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows sorted by their place in the mix, in ranges of it."""
+    place = [F.asc_nulls_last("slot"), F.asc("pos"), F.asc("doc_id")]
+    return rows.repartitionByRange(*place).sortWithinPartitions(*place)
+
+
+def interleave(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ratio: float = 1.5, limit: float = 2.0,
+               id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
+               slots: int = SLOTS) -> DataFrame:
+    """``slot, pos, doc_id, text_hash, src, pass, lo, hi``: the mix as pieces of
+    documents.  Sorted by (slot, pos) the words ``lo`` to ``hi`` of the documents are
+    the mix, in which every prefix holds the sources near their shares.
+    """
+    p = _pieces(docs, weights, ratio, limit, id_col, text_col, source_col, seed, slots)
+    return p.filter("slot IS NOT NULL").select("slot", "pos", "doc_id", "text_hash", "src", "pass", "lo", "hi")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ratio: float = 1.5, limit: float = 2.0,
@@ -160,22 +183,28 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ratio: float = 1.
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), ratio: float = 1.5, limit: float = 2.0,
                     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
-                    slots: int = SLOTS) -> DataFrame:
+                    slots: int = SLOTS, with_place: bool = False) -> DataFrame:
     """The mix itself: all columns of ``docs``, one row per document and pass that the
-    mix takes words of.  A document that a pass takes in part (at the end of its
+    mix takes words of, sorted by the place of its first word; ``with_place`` adds this
+    place as ``slot, pos`` (written files keep no order between them).  A document that a pass takes in part (at the end of its
     source's target) holds the words taken, joined by spaces; all others keep their
     text.  Rows must be unique on (key, text), as after deduplication.
     """
     p = _pieces(docs, weights, ratio, limit, id_col, text_col, source_col, seed, slots).filter("slot IS NOT NULL")
     # a document's words in one pass are contiguous: blocks follow one another
-    part = p.groupBy("doc_id", "text_hash", "size", "pass").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    part = p.groupBy("doc_id", "text_hash", "size", "pass").agg(
+        F.min(F.struct("lo", "slot", "pos")).alias("first"), F.max("hi").alias("hi"))
     # one row per document with its one or few passes, joined once
     part = materialize(part.groupBy("doc_id", "text_hash", "size")
-                       .agg(F.sort_array(F.collect_list(F.struct("pass", "lo", "hi"))).alias("passes")))
-    key = packed(docs, d=id_of(id_col), t=F.xxhash64(text_of(text_col)), text=text_of(text_col))
+                       .agg(F.sort_array(F.collect_list(F.struct("pass", "first", "hi"))).alias("passes")))
+    named = {f"__c{i}": c for i, c in enumerate(docs.columns)}
+    key = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in named.items()], id_of(id_col).alias("d"),
+                      F.xxhash64(text_of(text_col)).alias("t"), text_of(text_col).alias("text"))
     kept = key.join(part, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")))
     kept = kept.withColumn("e", F.explode("passes"))
-    lo, hi = F.col("e.lo").cast("int"), F.col("e.hi").cast("int")
+    lo, hi = F.col("e.first.lo").cast("int"), F.col("e.hi").cast("int")
     some = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), lo + 1, hi - lo), " ")
     text = F.when((lo == 0) & (hi == F.col("size")), F.col("text")).otherwise(some)
-    return kept.select(F.col("row").withField(f"`{text_col}`", text).alias("row")).select("row.*")
+    kept = in_order(kept.select(*[(text if c == text_col else F.col(k)).alias(k) for k, c in named.items()],
+                                "e.first.slot", "e.first.pos", "doc_id"))
+    return kept.select(*[F.col(k).alias(c) for k, c in named.items()], *["slot", "pos"] * with_place)

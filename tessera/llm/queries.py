@@ -154,6 +154,13 @@ FROM p
 """
 
 
+@query
+def op7_mixing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mix as pieces of documents at their slots."""
+    from tessera.llm import mixing
+    return mixing.interleave(table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2.0)
+
+
 @query
 def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match signatures of every text, of its edited text, and their likeness."""

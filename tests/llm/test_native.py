@@ -137,6 +137,49 @@ def test_mixed_documents(spark):
     assert {k: v for k, v in want.items() if v} == dict(words)
 
 
+def shares_apart(order, shares, slack):
+    """Whether some prefix of (source, words) rows leaves a source's share by more than ``slack`` words."""
+    at, got = 0, Counter()
+    for src, n in order:
+        at, got[src] = at + n, got[src] + n
+        if any(abs(got[s] - x * at) > slack for s, x in shares.items()):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("slots", [mixing.SLOTS, 1_024])
+def test_mix_interleaves_its_sources(spark, slots):
+    docs = list({d[1]: d for d in rows(300, 8)}.values())
+    df = spark.createDataFrame(docs, DOC_SCHEMA)
+    source, text = {d[0]: d[3] for d in docs}, {d[0]: d[1] for d in docs}
+    want = {i: n for i, _, _, _, n in brute_mix(docs)}
+    per = Counter()
+    for d in docs:
+        per[d[3]] += want[str(d[0])]
+    total = sum(per.values())
+    block = -(-total // slots)
+    shares = {s: n / total for s, n in per.items()}
+    got = mixing.interleave(df, slots=slots).collect()
+    words, filled = Counter(), Counter()
+    for r in sorted(got, key=lambda r: (r.slot, r.pos)):
+        assert r.pos == filled[r.slot]  # the pieces of a block follow one another
+        filled[r.slot] += r.hi - r.lo
+        words[str(r.doc_id)] += r.hi - r.lo
+    assert dict(words) == {k: v for k, v in want.items() if v}
+    assert max(filled.values()) == block and len({(r.slot, r.src) for r in got}) == len(filled)
+    order = [(source[r.doc_id], r.hi - r.lo) for r in sorted(got, key=lambda r: (r.slot, r.pos))]
+    assert not shares_apart(order, shares, 12 * block)
+    # whole documents come in the same order; each is at most 400 words ahead
+    out = mixing.mixed_documents(df, slots=slots, with_place=True).collect()
+    assert [(r.slot, r.pos) for r in out] == sorted((r.slot, r.pos) for r in out)
+    first = {(r.slot, r.pos): r.doc_id for r in got}
+    assert all(first[r.slot, r.pos] == r.doc_id for r in out)
+    order = [(source[r.doc_id], len(r.text.split())) for r in mixing.mixed_documents(df, slots=slots).collect()]
+    longest = max(len(t.split()) for t in text.values())
+    assert not shares_apart(order, shares, 12 * block + longest * len(per))
+    assert shares_apart(sorted(order), shares, 12 * block + longest * len(per))  # one source after another
+
+
 # -- I-Match -------------------------------------------------------------------------
 def order_of(docs):
     return sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0)))
