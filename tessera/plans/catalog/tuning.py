@@ -92,7 +92,7 @@ def tu13_fold_scores_of_best(spark, sf):
 
 
 VOTE_MODELS = ["price", "net_price", "quantity"]
-GRID = sel.weight_grid(VOTE_MODELS, 1, 3)
+GRID = sel.weight_grid(VOTE_MODELS, 1, 10)  # modeling.yaml: weight_low, weight_high
 
 
 def _voting_sql():

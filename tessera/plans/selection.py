@@ -5,7 +5,7 @@ parameter set) that Spark derives from scored data; the operators are
 ordinary sorts, windows and aggregates over them.  The one operator that
 touches rows, soft voting (TU10), first reduces the rows to distinct
 (label, scores) tuples with counts, then scores every weight combination of
-a bounded grid with one grouped exact AUC.
+a bounded grid, a batch of them at a time, with one grouped exact AUC.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.prefix import prefix_sums, with_edge_buckets
+from tessera.functions.prefix import BUCKET, bucketize, edge_values, prefix_sums
 from tessera.operators.metrics import robustness_band
+from tessera.session import materialize
 
 METRICS = ("roc_auc", "f1", "precision", "recall", "accuracy")
 
@@ -117,28 +118,45 @@ def voted(models: Sequence[str], weights: Sequence[Column | float]) -> Column:
     return num / den
 
 
-def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]],
-                       y: str = "y", n_buckets: int | None = None) -> DataFrame:
-    """TU10: exact AUC of the weighted-mean probability for every weight vector.
+#: Weight vectors scored by one job; the rows of the explosion are at most this times
+#: the distinct (label, scores) tuples.
+VECTORS_PER_BATCH = 100
 
-    Rows → distinct (y, p_1..p_k) with counts (partial aggregation), then
-    × grid (a bounded literal array, generate not join), then one grouped
-    score-level count and bucketed prefix sum per combination.
-    """
-    lv = scores.groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w"))
+
+def _vote_aucs(lv: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]], first: int, y: str,
+               edges: dict[str, list[float]]) -> DataFrame:
+    """``combo, roc_auc`` of some vectors, numbered from ``first``."""
     combos = F.array(*[F.struct(F.lit(i).alias("combo"),
                                 *[F.lit(int(w)).alias(f"w_{m}") for m, w in zip(models, ws)])
-                       for i, ws in enumerate(grid)])
+                       for i, ws in enumerate(grid, first)])
     x = lv.select("*", F.explode(combos).alias("__c")).select("*", "__c.*").drop("__c")
     x = x.withColumn("p_vote", voted(models, [F.col(f"w_{m}") for m in models]))
     sl = x.groupBy("combo", "p_vote").agg(
         F.sum(F.when(F.col(y) == 1, F.col("__w")).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(y) == 0, F.col("__w")).otherwise(0)).alias("neg"))
-    sl = with_edge_buckets(sl, "p_vote", per=["combo"], n_buckets=n_buckets)
-    c = prefix_sums(sl, ["p_vote"], ["neg", "pos"], ["combo"])
+    c = prefix_sums(bucketize(sl, ["p_vote"], edges, [BUCKET]), ["p_vote"], ["neg", "pos"], ["combo"])
     contrib = F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("neg"))
-    auc = c.groupBy("combo").agg(
+    return c.groupBy("combo").agg(
         F.try_divide(F.sum(contrib), F.max("tot_pos").cast("double") * F.max("tot_neg")).alias("roc_auc"))
+
+
+def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]],
+                       y: str = "y", n_buckets: int | None = None,
+                       per_batch: int = VECTORS_PER_BATCH) -> DataFrame:
+    """TU10: exact AUC of the weighted-mean probability for every weight vector.
+
+    Rows → distinct (y, p_1..p_k) with counts, written once, then for every
+    batch of vectors × batch (a bounded literal array, generate not join) and
+    one grouped score-level count and bucketed prefix sum per combination.
+    The bucket edges are those of the unweighted mean: edges decide how evenly
+    levels spread, not the result.
+    """
+    lv = materialize(scores.groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w")))
+    edges = edge_values(lv.select(voted(models, [1] * len(models)).alias("p_vote")), ["p_vote"], n_buckets)
+    auc = None
+    for first in range(0, len(grid), per_batch):
+        part = materialize(_vote_aucs(lv, models, grid[first:first + per_batch], first, y, edges))
+        auc = part if auc is None else auc.unionByName(part)
     weights = scores.sparkSession.createDataFrame(
         [(i, *map(int, ws)) for i, ws in enumerate(grid)],
         "combo int, " + ", ".join(f"w_{m} int" for m in models))

@@ -290,6 +290,27 @@ def test_stacking_does_not_leak(spark):
     assert {r.yhat for r in ml.predict(best["model"], df.drop("Churn"), ["customerID"]).collect()} <= {0, 1}
 
 
+def test_voting_search_finds_ratios_above_three(spark):
+    import random
+    from tessera.plans.catalog import load_all
+    load_all()
+    from tessera.plans.catalog import tuning
+    assert len(set(tuning.GRID)) == 1000 and all(1 <= w <= 10 for ws in tuning.GRID for w in ws)
+    rnd = random.Random(5)
+    rows = [tuple(rnd.randrange(101) / 100 for _ in tuning.VOTE_MODELS) for _ in range(300)]
+    rows = [(int(10 * a + b + 6 * c > 8.5), a, b, c) for a, b, c in rows]
+    df = spark.createDataFrame(rows, "y int, " + ", ".join(f"{m} double" for m in tuning.VOTE_MODELS))
+    got = {r.combo: r.roc_auc for r in sel.soft_voting_search(df, tuning.VOTE_MODELS, tuning.GRID, per_batch=400).collect()}
+    assert sorted(got) == list(range(1000))
+    for k in range(0, 1000, 37):
+        u, v, w = tuning.GRID[k]
+        p = [(y, (u * a + v * b + w * c) / (u + v + w)) for y, a, b, c in rows]
+        pairs = [(a, b) for y, a in p if y for z, b in p if not z]
+        assert abs(got[k] - sum((a > b) + 0.5 * (a == b) for a, b in pairs) / len(pairs)) < 1e-9
+    small = max(v for k, v in got.items() if max(tuning.GRID[k]) <= 3)
+    assert got[tuning.GRID.index((10, 1, 6))] > 0.99999 > small
+
+
 def test_voting_is_the_weighted_mean(spark):
     from tessera.operators.split import stratified_kfold
     f = stratified_kfold(churn_frame(spark, 120), ["customerID"], "Churn", 2, 1)
