@@ -269,16 +269,29 @@ def me10_permutation_importance(spark, sf):
     return me.permutation_importance(model, d.where(F.col("is_test")), FEATURE_COLUMNS, [ID_COLUMN], TARGET, repeats=5)
 
 
-@register("me12_holdout_evaluation")
-def me12_holdout_evaluation(spark, sf):
+def _holdout_predictions(spark, sf):
+    """split, y, p of the holdout and the training rows, written once."""
     d, model = _fitted(spark, sf, "decision_tree", {"max_depth": 5})
-    parts = []
-    for name, part in (("holdout", d.where(F.col("is_test"))), ("train", d.where(~F.col("is_test")))):
-        pr = ml.predict(model, part, keep=[TARGET]).withColumnRenamed(TARGET, "y")
-        parts.append(me.classification_metrics(pr).withColumn("split", F.lit(name)))
+    pr = ml.predict(model, d, keep=["is_test", TARGET]).withColumnRenamed(TARGET, "y")
+    return materialize(pr.withColumn("split", F.when(F.col("is_test"), "holdout").otherwise("train")).drop("is_test"))
+
+
+def _by_split(pr, metric):
+    parts = [metric(pr.where(F.col("split") == name)).withColumn("split", F.lit(name)) for name in ("holdout", "train")]
     return parts[0].unionByName(parts[1])
 
 
+@register("me12_holdout_evaluation")
+def me12_holdout_evaluation(spark, sf):
+    return _by_split(_holdout_predictions(spark, sf), me.classification_metrics)
+
+
+@register("me12_holdout_roc")
+def me12_holdout_roc(spark, sf):
+    """The ROC curves that belong to me12_holdout_evaluation."""
+    return _by_split(_holdout_predictions(spark, sf), me.roc_curve)
+
+
 @register("me16_coefficients_table")
 def me16_coefficients_table(spark, sf):
     _, model = _fitted(spark, sf, "logistic_regression")

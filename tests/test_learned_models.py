@@ -290,6 +290,19 @@ def test_stacking_does_not_leak(spark):
     assert {r.yhat for r in ml.predict(best["model"], df.drop("Churn"), ["customerID"]).collect()} <= {0, 1}
 
 
+def test_holdout_evaluation_has_both_curves(spark, monkeypatch):
+    from tessera.plans.catalog import load_all
+    load_all()
+    from tessera.plans.catalog import models as cat
+    pred = spark.createDataFrame([("holdout", 1, 0.9), ("holdout", 0, 0.9), ("holdout", 0, 0.1),
+                                  ("train", 1, 0.7), ("train", 0, 0.2)], "split string, y int, p double")
+    monkeypatch.setattr(cat, "_holdout_predictions", lambda spark, sf: pred)
+    got = sorted(tuple(r) for r in cat.me12_holdout_roc(spark, "").select("split", "threshold", "fpr", "tpr").collect())
+    assert got == [("holdout", 0.1, 1.0, 1.0), ("holdout", 0.9, 0.5, 1.0), ("train", 0.2, 1.0, 1.0), ("train", 0.7, 0.0, 1.0)]
+    rates = {r.split: r.roc_auc for r in cat.me12_holdout_evaluation(spark, "").collect()}
+    assert rates == {"holdout": 0.75, "train": 1.0}
+
+
 def test_voting_search_finds_ratios_above_three(spark):
     import random
     from tessera.plans.catalog import load_all
