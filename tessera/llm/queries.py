@@ -192,3 +192,138 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_net.score(docs, quality_net.fit(docs, table(spark, sf_dir, "labels"), 3, 1))
     return out.select("doc_id", (labelled.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                       (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the 5 % drawn."""
+    from tessera.llm import resample
+    return resample.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=5)
+
+
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle trees per language under one root; a seventh of the rows claims one
+    character more than it has."""
+    from tessera.llm import merkle
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    claims = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    out = merkle.manifest(docs, LEAF_COLUMNS, "lang", claims=claims)
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                      F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _joined(spans):
+    """``kind:start:end`` of all spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text by pattern, and the terms around it that give it away."""
+    from tessera.llm import pii
+    out = pii.find(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return out.select("doc_id", *[count(k) for k in pii.KINDS],
+                      F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                      _joined(F.col("spans")).alias("spans"))
+
+
+def _crc32_sql(hex_text: str) -> str:
+    """DuckDB SQL: CRC-32 of the bytes whose hex digits are ``hex_text`` (a column).
+    The checksum is linear, so a table entry is the sum of those of its bits."""
+    one_bit = []
+    for i in range(8):
+        v = 1 << i
+        for _ in range(8):
+            v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
+        one_bit.append(v)
+    step = "(a >> 8)"
+    for i, v in enumerate(one_bit):
+        step = f"xor({step}, ((xor(a & 255, b) >> {i}) & 1) * {v})"
+    data = f"list_transform(range(0, length({hex_text}) // 2), lambda i: CAST('0x' || substr({hex_text}, 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce({data}, lambda a, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = ["doc_id", "source", "lang", n_chars, "text"]
+    parts = [f"coalesce(octet_length(encode(CAST({v} AS VARCHAR))) || ':' || CAST({v} AS VARCHAR), '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE ids AS (SELECT *, hex(encode(CAST(doc_id AS VARCHAR))) AS id_hex FROM documents),
+seen AS (SELECT *, n_chars + CAST({_crc32_sql('id_hex')} % 7 = 0 AS INTEGER) AS told FROM ids),
+leaves AS (SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf, {_leaf_sql('told')} AS claimed FROM seen),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos,
+              count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS lvl, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2, n),
+subs AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, n, h FROM subs
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 2, n),
+steps AS (
+  SELECT a.lang, a.pos, l.lvl, (a.pos >> l.lvl) & 1 AS side, s.h AS sib
+  FROM placed a JOIN (SELECT DISTINCT lang, lvl FROM nodes WHERE n > 1) l ON a.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM a.lang AND s.lvl = l.lvl AND s.pos = xor(a.pos >> l.lvl, 1)
+  UNION ALL
+  SELECT a.lang, a.pos, 1000 + l.lvl, (g.pos >> l.lvl) & 1, s.h
+  FROM placed a JOIN subs g ON a.lang IS NOT DISTINCT FROM g.lang JOIN (SELECT DISTINCT lvl FROM tops WHERE n > 1) l ON true
+  LEFT JOIN tops s ON s.lvl = l.lvl AND s.pos = xor(g.pos >> l.lvl, 1)),
+paths AS (SELECT lang, pos, list(side || coalesce(sib, '') ORDER BY lvl) AS path, coalesce(string_agg(sib, '' ORDER BY lvl), '') AS sibs
+          FROM steps GROUP BY lang, pos),
+done AS (
+  SELECT a.doc_id, a.leaf, g.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(coalesce(p.sibs, '')) AS proof_sha256,
+         coalesce(list_reduce(p.path, lambda x, s: sha256(CASE WHEN s[1] = '1' THEN s[2:] || x ELSE x || s[2:] END), a.claimed),
+                  a.claimed) AS folded_root
+  FROM placed a JOIN subs g ON a.lang IS NOT DISTINCT FROM g.lang
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM a.lang AND p.pos = a.pos)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+
+def _words_sql(texts: str) -> str:
+    """DuckDB SQL: ``r, f``, every run of 1 to 3 words of the texts of a table with ``r``."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+  WITH x AS (SELECT r, unnest(w) AS w1, generate_subscripts(w, 1) AS i
+             FROM (SELECT r, regexp_extract_all({lower}, '{word}') AS w FROM {texts})),
+  n AS (SELECT r, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM x WINDOW o AS (PARTITION BY r ORDER BY i))
+  SELECT r, 1 AS words, w1 AS f FROM n UNION ALL SELECT r, 0, w1 || ' ' || w2 FROM n WHERE w2 IS NOT NULL
+  UNION ALL SELECT r, 0, w1 || ' ' || w2 || ' ' || w3 FROM n WHERE w3 IS NOT NULL"""
+
+
+ORACLES["op13_importance_resampling"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+b AS (SELECT row_number() OVER () AS r, text FROM benchmark),
+df AS ({_words_sql('d')}), bf AS ({_words_sql('b')}),
+hashed AS (SELECT f, {_crc32_sql('h')} % 10000 AS k
+           FROM (SELECT DISTINCT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION ALL SELECT f FROM bf))),
+s AS (SELECT k, count(*) AS n FROM df JOIN hashed USING (f) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bf JOIN hashed USING (f) GROUP BY k),
+g AS (SELECT a.k, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)
+             / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)))) AS gain
+      FROM range(0, 10000) a(k) LEFT JOIN s ON s.k = a.k LEFT JOIN t ON t.k = a.k),
+w AS (SELECT r, sum(words) AS words, count(*) AS n_features, sum(gain) AS weight
+      FROM df JOIN hashed USING (f) JOIN g USING (k) GROUP BY r),
+z AS (SELECT doc_id, coalesce(words, 0) AS words, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN w USING (r)),
+c AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM z),
+o AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) END AS place FROM c)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= (SELECT 5 * count(*) // 100 FROM o WHERE words >= 20) THEN place END AS rank FROM o
+"""
