@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEATURES, RAW, LABEL, WEIGHT = "features", "__raw", "label", "weight"
+MAX_ITER = 1000  # of a linear learner that configures none: it ends at its tolerance
 MAX_DEPTH = 30  # the deepest tree that Spark ML grows; the default, as the original sets no bound
 
 # FIXED VALUES: search spaces of the configured learners, in the original
@@ -56,7 +57,7 @@ SEARCH_SPACES: dict = {
 }
 # FIXED VALUES: default parameters (original names)
 DEFAULTS: dict = {
-    "logistic_regression": {"C": 1.0, "penalty": "l2", "class_weight": "balanced"},
+    "logistic_regression": {"C": 1.0, "penalty": "l2", "class_weight": "balanced", "max_iter": 1000},
     "decision_tree": {"class_weight": "balanced"},
     "random_forest": {"n_estimators": 100, "class_weight": "balanced"},
     "gradient_boosting": {"n_estimators": 100},
@@ -112,7 +113,7 @@ def build_estimator(name: str, params: dict | None = None, n_rows: float | None
     if name == "logistic_regression":
         return LogisticRegression(regParam=1.0 / (float(p["C"]) * n),
                                   elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0,
-                                  standardization=False, maxIter=int(p.get("max_iter", 100)), **common)
+                                  standardization=False, maxIter=int(p["max_iter"]), **common)
     if name == "decision_tree":
         return DecisionTreeClassifier(impurity=p.get("criterion", "gini"), maxDepth=_depth(p),
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
@@ -132,20 +133,21 @@ def build_estimator(name: str, params: dict | None = None, n_rows: float | None
                              featureSubsetStrategy=str(float(cs)) if cs else "all",
                              seed=seed, **common)
     if name in ("svc", "linear_threshold"):
-        return LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", 100)),
+        return LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", MAX_ITER)),
                          standardization=False, **common)
     raise ValueError(f"{name!r} is not fitted as one estimator")
 
 
 # ---- preparation: impute, scale -------------------------------------------------------------
-def fit_preparation(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None) -> SQLTransformer:
-    """Training medians for NULL features and LN3 scaling of ``scale`` (default: the
-    configured columns among ``features``; a constant column stays as it is).
+def preparation_numbers(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None) -> list[tuple]:
+    """Per feature (value for NULL, centre, scale): training medians, and LN3 scaling of
+    ``scale`` (default: the configured columns among ``features``; others and constant
+    columns have centre 0 and scale 1).
 
     One aggregate gives null counts, means and deviations of all features.
     Columns with NULLs take the exact median of LN1 (and their moments once
     more after imputing); columns without take an approximate median, which
-    only serves rows scored later.  The result adds ``__x0 .. __xn``.
+    only serves rows scored later.
     """
     from tessera.operators.learned import MedianImputer
     if scale is None:
@@ -167,16 +169,37 @@ def fit_preparation(df: DataFrame, features: Sequence[str], scale: Sequence[str]
         if set(holes) & set(scale):
             filled = {c: F.coalesce(x, F.lit(median[c])) for c, x in xs.items()}
             row.update(df.agg(*[a for pair in moments(filled) for a in pair]).first().asDict())
+    scaled = {c for i, c in enumerate(features) if c in scale and row.get(f"s{i}")}
+    return [(float(median[c]), float(row[f"m{i}"]) if c in scaled else 0.0, float(row[f"s{i}"]) if c in scaled else 1.0)
+            for i, c in enumerate(features)]
+
+
+def fit_preparation(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None) -> SQLTransformer:
+    """Imputation and scaling by ``preparation_numbers`` as a stage that adds
+    ``__x0 .. __xn``."""
+    return preparation_stage(features, preparation_numbers(df, features, scale))
+
+
+def preparation_stage(features: Sequence[str], numbers: Sequence[tuple]) -> SQLTransformer:
     parts = []
-    for i, c in enumerate(features):
-        expr = f"coalesce(CAST(`{c}` AS DOUBLE), {median[c]!r}D)"
-        sd = row.get(f"s{i}")
-        if c in scale and sd:
-            expr = f"({expr} - {float(row[f'm{i}'])!r}D) / {float(sd)!r}D"
+    for i, (c, (fill, centre, scale)) in enumerate(zip(features, numbers)):
+        expr = f"coalesce(CAST(`{c}` AS DOUBLE), {fill!r}D)"
+        if (centre, scale) != (0.0, 1.0):
+            expr = f"({expr} - {centre!r}D) / {scale!r}D"
         parts.append(f"{expr} AS __x{i}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
+def without_summary(model):
+    """A fitted model without its training summary, which holds on to the session: it is
+    of no use for scoring, and what the session refers to may not be serialisable."""
+    java = getattr(model, "_java_obj", None)
+    if java is not None and getattr(model, "hasSummary", False):
+        from pyspark import SparkContext
+        java.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def fit_reduction(df: DataFrame, columns: Sequence[str], reduction: dict | None, label: str, seed: int) -> list:
     """Fitted stages from the prepared columns to the ``features`` vector."""
     from tessera.operators import reduce as fr
@@ -203,12 +226,12 @@ def fit_reduction(df: DataFrame, columns: Sequence[str], reduction: dict | None,
 def fit_platt_svc(svc: LinearSVC, data: DataFrame) -> list:
     """ML5: the SVC, its margin, and a one-variable logistic regression of the label
     on it (Platt scaling) — three plain stages that save and load."""
-    svm = svc.copy({svc.rawPredictionCol: "__svc_raw", svc.predictionCol: "__svc_class"}).fit(data)
+    svm = without_summary(svc.copy({svc.rawPredictionCol: "__svc_raw", svc.predictionCol: "__svc_class"}).fit(data))
     margin = VectorSlicer(inputCol="__svc_raw", outputCol="__svc_margin", indices=[1])
     scored = margin.transform(svm.transform(data))
     kw = {"weightCol": svc.getWeightCol()} if svc.isSet("weightCol") else {}
     platt = LogisticRegression(featuresCol="__svc_margin", labelCol=svc.getLabelCol(), regParam=0.0, **kw)
-    return [svm, margin, platt.fit(scored)]
+    return [svm, margin, without_summary(platt.fit(scored))]
 
 
 def linear_threshold_table(model) -> list[tuple[str, float]]:
@@ -249,7 +272,7 @@ def fit_pipeline(df: DataFrame, features: Sequence[str], name: str, params: dict
     if name in ("logistic_regression", "svc", "linear_threshold"):
         n = data.agg(F.sum(WEIGHT) if WEIGHT in data.columns else F.count(F.lit(1))).first()[0]
     est = build_estimator(name, params, n, seed)
-    return PipelineModel(stages + (fit_platt_svc(est, data) if name == "svc" else [est.fit(data)]))
+    return PipelineModel(stages + (fit_platt_svc(est, data) if name == "svc" else [without_summary(est.fit(data))]))
 
 
 class KnnPipeline:

@@ -111,26 +111,28 @@ class Projection:
         return df.select(*[_q(k) for k in keep], *cols)
 
 
+def principal_axes(cov: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest eigenvalues of a covariance and their vectors, the largest loading positive."""
+    vals, vecs = np.linalg.eigh(cov)
+    order = np.argsort(vals)[::-1][:k]
+    vals, vecs = vals[order], vecs[:, order]
+    signs = np.sign(vecs[np.argmax(np.abs(vecs), axis=0), range(vecs.shape[1])])
+    return vals, vecs * np.where(signs == 0, 1, signs)
+
+
 def fit_pca(df: DataFrame, features: Sequence[str], n_components: int) -> Projection:
     """FR2: centred PCA (sample covariance), n capped at features − 1."""
     m = moments(df, features)[0]
     mean, cov = m["mean"], m["scatter"] / max(m["n"] - 1, 1)
-    vals, vecs = np.linalg.eigh(cov)
-    order = np.argsort(vals)[::-1]
     k = min(n_components, len(features) - 1)
-    vals, vecs = vals[order][:k], vecs[:, order][:, :k]
-    # deterministic sign: largest |loading| positive
-    signs = np.sign(vecs[np.argmax(np.abs(vecs), axis=0), range(k)])
-    vecs = vecs * np.where(signs == 0, 1, signs)
+    vals, vecs = principal_axes(cov, k)
     total = float(np.trace(cov))
     return Projection(list(features), mean, vecs, "pc_", [float(v / total) if total else 0.0 for v in vals])
 
 
-def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> Projection:
-    """FR3: linear discriminant directions (classes − 1 outputs) from class
-    means and the pooled within-class scatter."""
-    ms = moments(df, features, label)
-    d = len(features)
+def discriminant_axes(ms: Sequence[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Grand mean and unit discriminant directions from the moments of the classes."""
+    d = len(ms[0]["mean"])
     n_tot = sum(m["n"] for m in ms)
     grand = sum(m["n"] * m["mean"] for m in ms) / n_tot
     Sw, Sb = np.zeros((d, d)), np.zeros((d, d))
@@ -143,6 +145,14 @@ def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> Projection:
     order = np.argsort(vals.real)[::-1][:k]
     W = vecs[:, order].real
     W = W / np.where(np.linalg.norm(W, axis=0) == 0, 1, np.linalg.norm(W, axis=0))
+    return grand, W
+
+
+def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> Projection:
+    """FR3: linear discriminant directions (classes − 1 outputs) from class
+    means and the pooled within-class scatter."""
+    ms = moments(df, features, label)
+    grand, W = discriminant_axes(ms)
     return Projection(list(features), grand, W, "ld_")
 
 
@@ -151,6 +161,19 @@ def reduce_none(df: DataFrame) -> DataFrame:
     return df
 
 
+def ridge_elimination(cov: np.ndarray, n_keep: int, reg: float = 1.0) -> list[int]:
+    """Features left when the weakest ridge coefficient goes, round by round; ``cov``
+    is of the features and, last, the label."""
+    sd = np.sqrt(np.maximum(np.diag(cov), 0))
+    unit = np.where(sd > 0, sd, 1)
+    corr, with_y = (cov / np.outer(unit, unit))[:-1, :-1], cov[:-1, -1] / unit[:-1]
+    left = list(range(len(cov) - 1))
+    while len(left) > n_keep:
+        beta = np.linalg.solve(corr[np.ix_(left, left)] + reg * np.eye(len(left)), with_y[left])
+        left.pop(int(np.argmin(np.abs(beta))))
+    return left
+
+
 # ---- FR4 -------------------------------------------------------------------------
 def rfe(df: DataFrame, features: Sequence[str], label: str, n_keep: int,
         ranker: str = "ridge", reg: float = 1.0, seed: int = 13) -> list[str]:
@@ -163,14 +186,7 @@ def rfe(df: DataFrame, features: Sequence[str], label: str, n_keep: int,
     if ranker == "ridge":
         m = moments(df, [*features, label])[0]
         cov = m["scatter"] / max(m["n"] - 1, 1)
-        sd = np.sqrt(np.maximum(np.diag(cov), 0))
-        unit = np.where(sd > 0, sd, 1)
-        corr, with_y = (cov / np.outer(unit, unit))[:-1, :-1], cov[:-1, -1] / unit[:-1]
-        left = list(range(len(features)))
-        while len(left) > n_keep:
-            beta = np.linalg.solve(corr[np.ix_(left, left)] + reg * np.eye(len(left)), with_y[left])
-            left.pop(int(np.argmin(np.abs(beta))))
-        return [features[i] for i in left]
+        return [features[i] for i in ridge_elimination(cov, n_keep, reg)]
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
     from tessera.session import materialize

@@ -15,8 +15,6 @@ from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, PCA_COMPONENTS, RFE
 from tessera.session import materialize, table
 from tessera.sources import frames
 
-SEARCH_DRAWS = tune.N_ITER
-
 
 def _split(spark, sf):
     return sp.stratified_holdout(frames.features(spark, sf), [ID_COLUMN], TARGET, 0.2, SEED)
@@ -174,13 +172,13 @@ def tu5_grid_search(spark, sf):
 
 @register("tu6_random_search")
 def tu6_random_search(spark, sf):
-    return _draws_frame(spark, tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", SEARCH_DRAWS, SEED))
+    return _draws_frame(spark, tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression", seed=SEED))
 
 
 @register("tu7_co_tune_reduction")
 def tu7_co_tune_reduction(spark, sf):
     return _draws_frame(spark, tune.random_search(_cv_frame(spark, sf), FEATURE_COLUMNS, "logistic_regression",
-                                                  SEARCH_DRAWS, SEED, co_tune_reduction=True))
+                                                  seed=SEED, co_tune_reduction=True))
 
 
 STACK_BASE = [("logistic_regression", {"C": 1.0}), ("svc", {"C": 1.0}), ("decision_tree", {"max_depth": 7})]

@@ -3,7 +3,8 @@
 The outer loops (folds × parameter draws × learners) are driver-side; every
 fit and every score inside them is a distributed Spark job.  The fold frame is
 written once (shared checkpoint folder) and its training parts are prepared
-once (``Folds``), whatever the number of draws.
+once (``Folds``), whatever the number of draws.  Logistic regressions of all draws
+and training parts are solved together (``linear_many``).
 Fold metrics are computed with the exact distributed metrics of
 ``tessera.operators.metrics`` over the union of all out-of-fold predictions
 (one job per evaluation, not one per fold).  Fits of independent folds run
@@ -24,8 +25,11 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
+from tessera.operators import linear_many as lm
 from tessera.operators import metrics as me
-from tessera.operators.models import SEARCH_SPACES, check_names, fit_pipeline, fit_preparation, predict
+from tessera.operators import reduce as fr
+from tessera.operators.models import (DEFAULTS, SEARCH_SPACES, build_estimator, check_names, fit_pipeline,
+                                      preparation_numbers, preparation_stage, predict)
 from tessera.operators.split import tuning_subsample
 from tessera.plans.config import SVC_TUNING_ROWS
 from tessera.plans.selection import expand_grid
@@ -33,8 +37,8 @@ from tessera.plans.selection import expand_grid
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
 MAX_FOLD_THREADS = 10
-MAX_FOLDS = 1000
-N_ITER = 30  # draws of a search, as configured
+# FIXED VALUES: draws of a random search and of a search tuned jointly with the reduction
+N_ITER, N_TRIALS = 50, 30
 
 
 class Folds:
@@ -44,10 +48,9 @@ class Folds:
     def __init__(self, df: DataFrame, features: Sequence[str], label: str = "Churn",
                  key: Sequence[str] = ("customerID",), fold: str = "fold"):
         self.df, self.features, self.label, self.key, self.fold = df, list(features), label, list(key), fold
-        self.folds = [r[0] for r in df.groupBy(fold).count().orderBy(fold).limit(MAX_FOLDS + 1).collect()]
-        if len(self.folds) > MAX_FOLDS:
-            raise ValueError(f"{fold}: more than {MAX_FOLDS} folds")
-        self._preparations: dict = {}
+        self.folds = [r[0] for r in df.groupBy(fold).count().orderBy(fold).collect()]  # one row a fold
+        self._numbers: dict = {}
+        self._rows = None
 
     def train(self, without: Sequence) -> DataFrame:
         return self.df.where(~F.col(self.fold).isin(list(without)))
@@ -55,10 +58,21 @@ class Folds:
     def part(self, f) -> DataFrame:
         return self.df.where(F.col(self.fold) == f)
 
+    def numbers(self, without: tuple) -> list[tuple]:
+        """Preparation of the rows outside ``without``, in whatever order it is given."""
+        key = frozenset(without)
+        if key not in self._numbers:
+            self._numbers[key] = preparation_numbers(self.train(without), self.features)
+        return self._numbers[key]
+
     def preparation(self, without: tuple):
-        if without not in self._preparations:
-            self._preparations[without] = fit_preparation(self.train(without), self.features)
-        return self._preparations[without]
+        return preparation_stage(self.features, self.numbers(without))
+
+    def rows(self) -> DataFrame:
+        """The table that ``linear_many`` passes over, written once."""
+        if self._rows is None:
+            self._rows = lm.rows_table(self.df, self.features, self.label, self.fold, self.key)
+        return self._rows
 
     def fit(self, without: Sequence, name: str, params: dict | None, reduction: dict | None = None, seed: int = 13):
         return fit_pipeline(self.train(without), self.features, name, params, reduction, self.label, seed,
@@ -76,6 +90,86 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+# ---- logistic regressions, all draws and parts at once ------------------------------------------
+def solved_together(name: str, reduction: dict | None) -> bool:
+    """Whether ``linear_many`` covers a draw: logistic regression, on no or a linear reduction."""
+    return name == "logistic_regression" and (reduction or {}).get("ranker", "ridge") == "ridge"
+
+
+def _basis(reduction: dict | None, moments: dict | None, d: int) -> np.ndarray:
+    """The linear map of a reduction fitted on a training part (offsets move the intercept only)."""
+    r = reduction or {}
+    method = r.get("method", "none")
+    if method == "none":
+        return np.eye(d)
+    ms = [m for m in moments.values() if m["n"]]
+    if method == "lda":
+        return fr.discriminant_axes(ms)[1]
+    n = sum(m["n"] for m in ms)
+    mean = sum(m["n"] * np.append(m["mean"], m["label"]) for m in ms) / n
+    cov = np.zeros((d + 1, d + 1))
+    for m in ms:
+        cov[:d, :d] += m["scatter"]
+        cov += m["n"] * np.outer(np.append(m["mean"], m["label"]) - mean, np.append(m["mean"], m["label"]) - mean)
+    cov /= max(n - 1, 1)
+    if method == "pca":
+        return fr.principal_axes(cov[:d, :d], max(1, min(int(r.get("n_components", 15)), d - 1)))[1]
+    return np.eye(d)[:, fr.ridge_elimination(cov, min(int(r.get("n_features", 15)), d))]
+
+
+def _class_weights(params: dict, n0: float, n1: float) -> tuple[float, float]:
+    if params.get("class_weight") == "balanced":
+        k = (n0 > 0) + (n1 > 0)
+        return tuple((n0 + n1) / (k * n) if n else 0.0 for n in (n0, n1))
+    return 1.0, float(params.get("scale_pos_weight", 1.0))
+
+
+def linear_oof(fd: Folds, draws: Sequence[tuple], without: Sequence = ()) -> DataFrame:
+    """``draw, fold, y, key, p``: out-of-fold probabilities of many logistic regressions
+    ((params, reduction) each), every fold scored by the fit on the others.  The
+    passes over the rows do not grow with the number of draws."""
+    table, d = fd.rows(), len(fd.features)
+    folds = [f for f in fd.folds if f not in without]
+    parts = []
+    for f in folds:
+        fill, centre, scale = map(np.array, zip(*fd.numbers((*without, f))))
+        parts.append(lm.Part(tuple(str(x) for x in (*without, f)), str(f), fill, centre, scale))
+    counts = {(r["fold"], r["y"]): r["count"] for r in table.groupBy("fold", "y").count().collect()}  # folds × classes
+    reduced = any((r or {}).get("method", "none") != "none" for _, r in draws)
+    moments = lm.class_moments(table, parts, d) if reduced else [None] * len(parts)
+    problems = {}
+    for k, part in enumerate(parts):
+        n0, n1 = (sum(n for (f, y), n in counts.items() if y == c and f not in part.without) for c in (0, 1))
+        for i, (params, reduction) in enumerate(draws):
+            p = {**DEFAULTS["logistic_regression"], **(params or {})}
+            w0, w1 = _class_weights(p, n0, n1)
+            problems[i, k] = lm.Problem(k, float(p["C"]), p["penalty"] == "l1", w0, w1,
+                                        _basis(reduction, moments[k], d), n0 * w0 + n1 * w1)
+    passes = lm.solve(table, parts, list(problems.values()), d)
+    log.info("%d regressions solved in %d passes", len(problems), passes)
+    out = lm.scores(table, parts, {k: p.theta() for k, p in problems.items()}, d)
+    return out.withColumn("fold", F.col("fold").cast(fd.df.schema[fd.fold].dataType))
+
+
+def _linear_draws(fd: Folds, draws: Sequence[tuple], seed: int) -> list[dict]:
+    """Objective of every draw (mean AUC over the folds), all in one metrics job."""
+    ok, out = [], [{"objective": 0.0, "failed": True} for _ in draws]
+    for i, (params, reduction) in enumerate(draws):
+        try:
+            check_names("logistic_regression", reduction)
+            build_estimator("logistic_regression", params, 1, seed)
+            if float({**DEFAULTS["logistic_regression"], **(params or {})}["C"]) <= 0:
+                raise ValueError("C must be positive")
+            ok.append(i)
+        except (ValueError, IllegalArgumentException) as e:
+            log.warning("draw %s refused: %s", params, e)
+    if ok:
+        auc = me.roc_auc(linear_oof(fd, [draws[i] for i in ok]), "y", "p", by=["draw", "fold"])
+        for r in auc.groupBy("draw").agg(F.avg("auc").alias("auc")).collect():  # one row a draw
+            out[ok[r["draw"]]] = {"objective": float(r["auc"] or 0.0), "failed": False}
+    return out
+
+
 def oof_predictions(df, features: Sequence[str], name: str, params: dict | None = None,
                     reduction: dict | None = None, label: str = "Churn", key: Sequence[str] = ("customerID",),
                     fold: str = "fold", seed: int = 13, parallelism: int | None = None,
@@ -86,6 +180,10 @@ def oof_predictions(df, features: Sequence[str], name: str, params: dict | None
     check_names(name, reduction)
     fd = as_folds(df, features, label, key, fold)
     folds = [f for f in fd.folds if f not in without]
+    if solved_together(name, reduction):
+        out = linear_oof(fd, [(params, reduction)], without)
+        return materialize(out.select("key.*", F.col("fold").alias(fd.fold), F.col("y").cast(fd.df.schema[fd.label].dataType),
+                                      "p", (F.col("p") > 0.5).cast("int").alias("yhat")))
 
     def one(f):
         model = fd.fit((*without, f), name, params, reduction, seed)
@@ -140,13 +238,21 @@ def _score(df, features, name, params, reduction, **kw) -> dict:
     return {"objective": float(fm.agg(F.avg("roc_auc")).first()[0] or 0.0), "failed": False}
 
 
+def _scores(fd, features, name, draws, **kw) -> list[dict]:
+    """The objectives of many draws: together where the learner allows it, else one by one."""
+    if all(solved_together(name, r) for _, r in draws):
+        return _linear_draws(fd, draws, kw.get("seed", 13))
+    return [_score(fd, features, name, p, r, **kw) for p, r in draws]
+
+
 def grid_search(df, features: Sequence[str], name: str, space: dict | None = None, **kw) -> list[dict]:
     """TU5: exhaustive grid (TU4 expansion), scored by mean CV ROC AUC of the
     full pipeline; returns draws sorted best first."""
     check_names(name)
     fd = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
-    rows = [{"draw": i, "params": g, **_score(fd, features, name, g, None, **kw)}
-            for i, g in enumerate(expand_grid(space or SEARCH_SPACES[name]))]
+    grid = expand_grid(space or SEARCH_SPACES[name])
+    rows = [{"draw": i, "params": g, **got} for i, (g, got) in enumerate(zip(grid, _scores(
+        fd, features, name, [(g, None) for g in grid], **kw)))]
     return sorted(rows, key=lambda r: -r["objective"])
 
 
@@ -172,11 +278,12 @@ REDUCTION_SPACE = {"method": {"type": "categorical", "choices": ["none", "pca",
                    "n_features": {"type": "int", "low": 5, "high": 28}}
 
 
-def random_search(df, features: Sequence[str], name: str, n_iter: int = N_ITER, seed: int = 13,
+def random_search(df, features: Sequence[str], name: str, n_iter: int | None = None, seed: int = 13,
                   space: dict | None = None, co_tune_reduction: bool = False,
                   fixed: dict | None = None, tuning_rows: int | None = None, **kw) -> list[dict]:
     """TU6 (and TU7 with ``co_tune_reduction``): seeded draws in the order drawn, the
-    reduction method and its parameters drawn jointly with the learner's.
+    reduction method and its parameters drawn jointly with the learner's.  Without
+    ``n_iter`` the configured number (``N_ITER``, jointly ``N_TRIALS``).
 
     ``tuning_rows`` bounds the rows that the draws are fitted and scored on (SP3;
     as configured, ``SVC_TUNING_ROWS`` for the SVC and all rows for others)."""
@@ -188,12 +295,12 @@ def random_search(df, features: Sequence[str], name: str, n_iter: int = N_ITER,
         df = materialize(tuning_subsample(df, list(kw.get("key", ("customerID",))), tuning_rows, seed))
     fd = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
     rng = np.random.default_rng(seed)
-    rows = []
-    for i in range(n_iter):
+    draws = []
+    for _ in range(n_iter or (N_TRIALS if co_tune_reduction else N_ITER)):
         params = {**draw_params(space or SEARCH_SPACES[name], rng), **(fixed or {})}
-        red = draw_params(REDUCTION_SPACE, rng) if co_tune_reduction else None
-        rows.append({"draw": i, "params": params, "reduction": red, **_score(fd, features, name, params, red, **kw)})
-    return rows
+        draws.append((params, draw_params(REDUCTION_SPACE, rng) if co_tune_reduction else None))
+    return [{"draw": i, "params": p, "reduction": r, **got}
+            for i, ((p, r), got) in enumerate(zip(draws, _scores(fd, features, name, draws, **kw)))]
 
 
 def refit_best(df: DataFrame, features: Sequence[str], name: str, draws: Sequence[dict], label: str = "Churn",

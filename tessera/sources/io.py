@@ -15,7 +15,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,10 +113,10 @@ def ingest_csv(spark: SparkSession, raw_dir: str, output_path: str, schema: T.St
         return {"skipped": True, "output": output_path}
     df = read_csv(spark, files, schema)
     require_columns(df, required_columns)
-    seen = Observation()  # counted while the rows are written: the files are parsed once
-    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), output_path, compression, mode="overwrite")
+    write_parquet(df, output_path, compression, mode="overwrite")
+    rows = spark.read.schema(df.schema).parquet(output_path).count()  # from the footers: no column is read
     bytes_out, bytes_in = _dir_size(spark, output_path), sum(_dir_size(spark, f) for f in files)
-    return {"skipped": False, "files": len(files), "rows": seen.get["rows"], "bytes_in": bytes_in,
+    return {"skipped": False, "files": len(files), "rows": rows, "bytes_in": bytes_in,
             "bytes_out": bytes_out, "ratio": (bytes_in / bytes_out) if bytes_out else None,
             "per_file": ingest_audit(df), "seconds": time.time() - t0}
 
