@@ -186,6 +186,7 @@ STACK_BASE = [("logistic_regression", {"C": 1.0}), ("svc", {"C": 1.0}), ("decisi
 
 @register("tu9_stacking")
 def tu9_stacking(spark, sf):
+    """Nested stacking of three members; C of the meta-model is the best of 30 draws."""
     best = tune.stacking(_cv_frame(spark, sf), FEATURE_COLUMNS, STACK_BASE)
     rows = [(int(r["fold"]), float(r["roc_auc"] or 0.0), float(r["f1"])) for r in best["fold_metrics"]]
     return spark.createDataFrame(rows, "fold int, roc_auc double, f1 double").withColumn(
@@ -194,11 +195,17 @@ def tu9_stacking(spark, sf):
 
 @register("tu10_voting_model")
 def tu10_voting_model(spark, sf):
-    """A fitted soft vote scored on the holdout."""
+    """All learners cross-validated, the best three voting with the best weights of
+    their out-of-fold scores; logged, promoted, loaded back and scored on the holdout."""
+    from tessera.plans import registry as rg
+    from tessera.sources.io import scratch_dir
     d = materialize(_split(spark, sf))
     folds = materialize(sp.stratified_kfold(d.where(~F.col("is_test")).drop("is_test"), [ID_COLUMN], TARGET, 5, SEED))
-    vote = tune.fit_voting(folds, FEATURE_COLUMNS, STACK_BASE, [10, 1, 6])
-    return ml.predict(vote, d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
+    vote = tune.best_vote(folds, FEATURE_COLUMNS)
+    root, cv = scratch_dir(spark, "registry"), tune.summarize(vote["fold_metrics"])
+    rg.log_run(spark, root, "vote", "voting", {"members": vote["names"], "weights": vote["weights"]}, vote["fold_metrics"], cv)
+    rg.promote_if_better(spark, root, "vote", "voting", cv["cv_roc_auc_mean"], cv["cv_f1_mean"], vote["model"])
+    return ml.predict(rg.load_model(spark, root), d.where(F.col("is_test")), keep=[ID_COLUMN, TARGET])
 
 
 # ---- SC1 ---------------------------------------------------------------------------------------

@@ -125,6 +125,17 @@ def tu10_soft_voting(spark, sf):
     return _voting(spark, sf)
 
 
+@register("tu10_best_vote", _voting_sql().replace("round(a.roc_auc, 6) AS roc_auc", "a.roc_auc") + f"""
+SELECT combo, {', '.join('w_' + m for m in VOTE_MODELS)}, round(roc_auc, 6) AS roc_auc FROM voting
+ORDER BY voting.roc_auc DESC, combo LIMIT 1""", ("scores_wide",))
+def tu10_best_vote(spark, sf):
+    """The winner of the whole grid, found by bounds: few vectors are scored exactly."""
+    won = sel.best_weights(scorers.wide_scores(spark, sf), VOTE_MODELS, GRID)
+    row = (won["combo"], *[int(won["weights"][m]) for m in VOTE_MODELS], won["roc_auc"])
+    out = spark.createDataFrame([row], "combo int, " + ", ".join(f"w_{m} int" for m in VOTE_MODELS) + ", roc_auc double")
+    return me.round_metrics(out)
+
+
 @register("tu14_search_history", _voting_sql() + """
 SELECT combo AS draw, roc_auc AS objective,
        max(roc_auc) OVER (ORDER BY combo ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far

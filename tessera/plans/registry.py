@@ -2,16 +2,23 @@
 
 Tables under a registry root (a shared folder on a cluster):
 ``runs`` (run_id, model, params JSON, tags JSON, seconds, logged_at),
-``metrics`` (run_id, fold, metric, value; fold NULL for aggregates) and
-``model_versions`` (version, run_id, model, cv_roc_auc_mean, cv_f1_mean,
-path, promoted_at).  Appends only; a version's model is a saved
-``PipelineModel`` under ``models/v<version>``.
+``metrics`` (run_id, fold, metric, value; fold NULL for aggregates), appended
+to, and ``model_versions`` (version, run_id, model, cv_roc_auc_mean, cv_f1_mean,
+path, promoted_at), one JSON manifest per version.
+
+A promotion saves its model in a folder of its own and commits it last, by
+creating the manifest of the next version, which fails where that exists.  So a
+crash before it leaves a folder that no version names, a crash while it is
+written leaves an empty manifest that counts as no version, and of two promoters
+one gets the version; the other decides again against the new current one.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,14 +35,30 @@ def _path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
-def _read(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """A registry table; empty only where its folder does not exist.  Any error of
-    an existing table rises: taking it for empty would restart at version 1."""
-    from tessera.sources.io import path_exists
-    p = _path(root, name)
-    if not path_exists(spark, p):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(p)
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """The committed versions; a manifest that cannot be read raises."""
+    from tessera.sources.io import list_files
+    files = list_files(spark, f"{_path(root, 'model_versions')}/*.json")
+    if not files:
+        return spark.createDataFrame([], VERSIONS_SCHEMA)
+    return spark.read.schema(VERSIONS_SCHEMA).option("mode", "FAILFAST").json(files)
+
+
+def _commit(spark: SparkSession, root: str, row: dict) -> bool:
+    """Create the manifest of a version; False if it exists already."""
+    from py4j.protocol import Py4JJavaError
+
+    from tessera.sources.io import _fs
+    fs, p = _fs(spark, f"{_path(root, 'model_versions')}/v{row['version']:08d}.json")
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+    out.write(bytearray(json.dumps(row).encode()))
+    out.close()
+    return True
 
 
 # ---- RG1 -------------------------------------------------------------------------------
@@ -109,25 +132,28 @@ def promotion_sequence(runs: DataFrame, order: str = "run", auc: str = "cv_roc_a
 
 def promote_if_better(spark: SparkSession, root: str, run_id: str, model_name: str,
                       cv_auc: float, cv_f1: float, model=None, force: bool = False) -> int | None:
-    """RG3 action: compare with the current version, append a version row and
-    save the model when promoted.  Returns the new version or None."""
-    versions = _read(spark, root, "model_versions", VERSIONS_SCHEMA)
-    cur = current_version(versions).select("version", "cv_roc_auc_mean", "cv_f1_mean").first()
-    cur_v = cur["version"] if cur else 0
-    decision = spark.range(1).select(should_promote(
-        F.lit(cur["cv_roc_auc_mean"] if cur else None).cast("double"),
-        F.lit(cur["cv_f1_mean"] if cur else None).cast("double"),
-        F.lit(float(cv_auc)), F.lit(float(cv_f1)), force).alias("ok")).first()["ok"]
-    if not decision:
-        return None
-    version = cur_v + 1
-    path = _path(root, f"models/v{version}")
-    if model is not None:  # never over an existing version
-        model.save(path)
-    spark.createDataFrame([(version, run_id, model_name, float(cv_auc), float(cv_f1), path, None)],
-                          VERSIONS_SCHEMA).withColumn("promoted_at", F.current_timestamp()) \
-        .write.mode("append").parquet(_path(root, "model_versions"))
-    return version
+    """RG3 action: compare with the current version; when promoted, save the model and
+    commit the next version.  Returns that version or None."""
+    from tessera.sources.io import list_files
+    path = None
+    while True:
+        cur = current_version(versions(spark, root)).select("cv_roc_auc_mean", "cv_f1_mean").first()
+        decision = spark.range(1).select(should_promote(
+            F.lit(cur["cv_roc_auc_mean"] if cur else None).cast("double"),
+            F.lit(cur["cv_f1_mean"] if cur else None).cast("double"),
+            F.lit(float(cv_auc)), F.lit(float(cv_f1)), force).alias("ok")).first()["ok"]
+        if not decision:
+            return None
+        taken = [int(f.rsplit("/v", 1)[1][:-5]) for f in list_files(spark, f"{_path(root, 'model_versions')}/v*.json")]
+        version = max(taken, default=0) + 1
+        if path is None:
+            path = _path(root, f"models/v{version}-{uuid.uuid4().hex[:12]}")
+            if model is not None:
+                model.save(path)
+        now = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        if _commit(spark, root, {"version": version, "run_id": run_id, "model": model_name, "cv_roc_auc_mean": float(cv_auc),
+                                 "cv_f1_mean": float(cv_f1), "path": path, "promoted_at": now}):
+            return version
 
 
 # ---- RG4 / RG5 -------------------------------------------------------------------------
@@ -140,14 +166,10 @@ def experiment_summary(cv_summary: DataFrame, digits: int = 4, score: str = "cv_
 
 
 def load_model(spark: SparkSession, root: str):
-    """RG5: the model of the latest version, with the preparation saved in it."""
-    from pyspark.ml import PipelineModel
-
-    from tessera.operators.models import KnnPipeline
-    from tessera.sources.io import path_exists
-    cur = current_version(_read(spark, root, "model_versions", VERSIONS_SCHEMA)).first()
+    """RG5: the model of the latest version (a pipeline, kNN or an ensemble), with the
+    preparation saved in it."""
+    from tessera.operators import ensemble
+    cur = current_version(versions(spark, root)).first()
     if cur is None:
         raise FileNotFoundError(f"no model version under {root}")
-    if path_exists(spark, f"{cur['path']}/refs"):
-        return KnnPipeline.load(spark, cur["path"])
-    return PipelineModel.load(cur["path"])
+    return ensemble.load(spark, cur["path"])

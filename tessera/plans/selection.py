@@ -13,6 +13,10 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,3 +165,76 @@ def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[
         [(i, *map(int, ws)) for i, ws in enumerate(grid)],
         "combo int, " + ", ".join(f"w_{m} int" for m in models))
     return weights.join(auc, "combo")
+
+
+#: Cells (weight vectors × score bins) of one bounding pass; bins of the finest pass at most.
+CELLS, MOST_BINS = 1 << 20, 1 << 16
+
+
+def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int, y: str = "y") -> np.ndarray:
+    """Lower and upper AUC of every weight vector from histograms of its votes.
+
+    Levels in different bins are ordered as their bins; within a bin all pairs
+    may be right or wrong.  One pass: a task adds up a histogram per vector, Spark
+    sums them, the driver receives two numbers a vector.
+    """
+    k, v = len(models), len(grid)
+    share = grid / grid.sum(axis=1, keepdims=True)
+
+    def run(batches):
+        total = np.zeros((v, 2, bins))
+        for b in batches:
+            for i in range(0, b.num_rows, 1_024):
+                s = b.slice(i, 1_024)
+                x = np.column_stack([s.column(j).to_numpy(zero_copy_only=False) for j in range(k)])
+                pos = s.column(k).to_numpy(zero_copy_only=False) == 1
+                w = s.column(k + 1).to_numpy(zero_copy_only=False).astype(float)
+                cell = np.clip((x @ share.T * bins).astype(np.int64), 0, bins - 1)
+                for side, mine in ((0, ~pos), (1, pos)):
+                    at = (np.arange(v) * bins + cell[mine]).ravel()
+                    total[:, side] += np.bincount(at, np.repeat(w[mine], v), v * bins).reshape(v, bins)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(v), pa.int32()), pa.array(
+                list(total.reshape(v, -1)), pa.list_(pa.float64()))], ["k", "v"])
+    sums = lv.select(*models, F.col(y), "__w").mapInArrow(run, "k int, v array<double>") \
+        .groupBy("k").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
+
+    def bounds(batches):
+        for b in batches:
+            h = np.array(b.column(1).to_pylist()).reshape(-1, 2, bins)
+            neg, pos = h[:, 0], h[:, 1]
+            pairs = np.maximum(neg.sum(axis=1) * pos.sum(axis=1), 1)
+            low = (pos * (np.cumsum(neg, axis=1) - neg)).sum(axis=1) / pairs
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(low), pa.array(low + (pos * neg).sum(axis=1) / pairs)],
+                                             ["k", "low", "high"])
+    out = np.zeros((v, 2))
+    for r in sums.select("k", vector_to_array("v").alias("v")).mapInArrow(bounds, "k int, low double, high double").collect():
+        out[r["k"]] = r["low"], r["high"]
+    return out
+
+
+def best_weights(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]], y: str = "y",
+                 few: float = 0.05) -> dict:
+    """TU10: the weight vector with the highest AUC (the first of equals), its exact AUC
+    and how many vectors were scored exactly.
+
+    Vectors whose upper bound is under the best lower bound cannot win; the others
+    are bounded again with more bins, until at most ``few`` of all are left or
+    bins are at their finest.  What is left is scored exactly, so the result is
+    that of the whole grid.  Scores are probabilities.
+    """
+    lv = materialize(scores.where(F.col(y).isNotNull()).groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w")))
+    left, all_w = np.arange(len(grid)), np.array(grid, float)
+    bins = 0
+    while len(left) > max(1, few * len(grid)) and bins < MOST_BINS:
+        bins = min(MOST_BINS, max(2 * bins, CELLS // len(left)))
+        b = auc_bounds(lv, models, all_w[left], bins, y)
+        left = left[b[:, 1] >= b[:, 0].max() - 1e-9]  # a margin for rounding at the edges of bins
+    edges = edge_values(lv.select(voted(models, [1] * len(models)).alias("p_vote")), ["p_vote"])
+    exact = None
+    for first in range(0, len(left), VECTORS_PER_BATCH):
+        part = _vote_aucs(lv, models, [grid[i] for i in left[first:first + VECTORS_PER_BATCH]], first, y, edges)
+        exact = part if exact is None else exact.unionByName(part)
+    auc = {int(left[r["combo"]]): r["roc_auc"] or 0.0 for r in exact.collect()}  # one row a vector left
+    best = min(auc, key=lambda i: (-auc[i], i)) if auc else 0
+    return {"combo": best, "weights": dict(zip(models, grid[best])), "roc_auc": auc.get(best), "scored": len(left)}

@@ -32,7 +32,8 @@ from tessera.operators.models import (DEFAULTS, SEARCH_SPACES, build_estimator,
                                       preparation_numbers, preparation_stage, predict)
 from tessera.operators.split import tuning_subsample
 from tessera.plans.config import SVC_TUNING_ROWS
-from tessera.plans.selection import expand_grid
+from tessera.operators.ensemble import StackingModel, VotingModel, member_column
+from tessera.plans.selection import best_weights, expand_grid, top_n_models, voted, weight_grid
 
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
@@ -213,18 +214,41 @@ def summarize(fold_metrics: DataFrame) -> dict:
     return me.aggregate_folds(fold_metrics).first().asDict()
 
 
-def baseline_all(df, features: Sequence[str], names: Sequence[str] | None = None, **kw) -> DataFrame:
+def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13, parallelism: int | None = None,
+             without: Sequence = ()) -> DataFrame:
+    """Out-of-fold probabilities of several learners side by side, written once: key,
+    fold, label and one column per learner (``ensemble.member_column``).  The rows
+    of a fold go through the learners fitted on the others one after the other."""
+    folds = [f for f in fd.folds if f not in without]
+    for f in folds:
+        fd.numbers((*without, f))  # prepared before the fits ask for it at once
+    jobs = [(f, n, p) for f in folds for n, p in base]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs)))) as ex:
+        models = dict(zip([(f, i) for f in folds for i in range(len(base))],
+                          ex.map(lambda j: fd.fit((*without, j[0]), j[1], j[2], None, seed), jobs)))
+    cols = [*fd.key, fd.fold, fd.label, *map(member_column, range(len(base)))]
+    parts = [VotingModel([models[f, i] for i in range(len(base))], [1.0] * len(base)).scores(fd.part(f))
+             .select(*[F.col(f"`{c}`") for c in cols]) for f in folds]
+    return materialize(_union(parts))
+
+
+def fold_metrics_of(wide: DataFrame, names: Sequence[str], fd: Folds) -> DataFrame:
+    """(model, fold, metrics...) of all learners in ``wide``, in one metrics job."""
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(member_column(i)).alias("p"))
+                                for i, n in enumerate(names)]))
+    long = wide.select(F.col(fd.label).alias("y"), fd.fold, named.alias("m")).select("y", fd.fold, "m.model", "m.p")
+    return me.classification_metrics(long, "y", "p", by=["model", fd.fold]).select(fd.fold, *METRIC_NAMES, "model")
+
+
+def baseline_all(df, features: Sequence[str], names: Sequence[str] | None = None, label: str = "Churn",
+                 key=("customerID",), fold: str = "fold", **kw) -> DataFrame:
     """TU3: every learner (default: all there are) with default parameters →
     (model, fold, metrics...)."""
     names = list(names or SEARCH_SPACES)
     for n in names:
         check_names(n)
-    df = as_folds(df, features, **{k: kw.pop(k) for k in ("label", "key", "fold") if k in kw})
-    out = None
-    for n in names:
-        fm = cross_validate(df, features, n, None, **kw).withColumn("model", F.lit(n))
-        out = fm if out is None else out.unionByName(fm)
-    return out
+    fd = as_folds(df, features, label, key, fold)
+    return fold_metrics_of(wide_oof(fd, [(n, None) for n in names], **kw), names, fd)
 
 
 def _score(df, features, name, params, reduction, **kw) -> dict:
@@ -311,79 +335,65 @@ def refit_best(df: DataFrame, features: Sequence[str], name: str, draws: Sequenc
 
 
 # ---- TU9 / TU10: fitted ensembles --------------------------------------------------------------
-class VotingModel:
-    """Soft voting: weighted mean of the members' probabilities (joined on the key)."""
-
-    def __init__(self, members: Sequence, weights: Sequence[float], key: Sequence[str]):
-        self.members, self.weights, self.key = list(members), list(weights), list(key)
-
-    def scores(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        out = None
-        for i, m in enumerate(self.members):
-            cols = [*dict.fromkeys([*self.key, *keep])] if out is None else self.key
-            p = predict(m, df, keep=cols).withColumnRenamed("p", f"p{i}").drop("yhat")
-            out = p if out is None else out.join(p, self.key)
-        return out
-
-    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        s = self.scores(df, keep)
-        p = sum((F.lit(float(w)) * F.col(f"p{i}") for i, w in enumerate(self.weights)), F.lit(0.0)) / sum(self.weights)
-        return s.select(*[F.col(f"`{k}`") for k in keep], p.alias("p")).withColumn("yhat", (F.col("p") >= 0.5).cast("int"))
-
-
-class StackingModel(VotingModel):
-    """Members whose probabilities feed a logistic meta-model (no pass-through)."""
-
-    def __init__(self, members: Sequence, meta, key: Sequence[str]):
-        super().__init__(members, [1.0] * len(members), key)
-        self.meta = meta
-
-    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        return predict(self.meta, self.scores(df, keep), keep)
-
-
-def _joined_oof(fd: Folds, base, seed, parallelism, without=()) -> DataFrame:
-    out = None
-    for i, (name, params) in enumerate(base):
-        p = oof_predictions(fd, fd.features, name, params, None, seed=seed, parallelism=parallelism, without=without)
-        p = p.select(*fd.key, fd.fold, F.col("y").alias(fd.label), F.col("p").alias(f"p{i}"))
-        out = p if out is None else out.join(p.drop(fd.fold, fd.label), fd.key)
-    return materialize(out)
-
-
-def stacking(df, features: Sequence[str], base: Sequence[tuple[str, dict]],
-             meta_c: Sequence[float] = (1e-4, 1e-2, 1.0, 1e2, 1e4), label: str = "Churn", key=("customerID",),
-             fold: str = "fold", seed: int = 13, parallelism: int | None = None) -> dict:
+# FIXED VALUES: the meta-model's C, the weights of a vote, and the members of an ensemble
+META_C = {"C": {"type": "log_float", "low": 1e-4, "high": 1e4}}
+VOTE_LOW, VOTE_HIGH, N_MEMBERS = 1, 10, 3
+
+
+def _meta_objectives(fd: Folds, inner: dict, outer: dict, cols: Sequence[str], meta_c: Sequence[float]):
+    """Fold metrics of the meta-model for every C: all C and outer folds in one solve."""
+    rows = None
+    for f in fd.folds:  # rows tagged by the outer fold they train, or are scored in
+        for tag, frame in ((f"train {f}", inner[f]), (f"score {f}", outer[f])):
+            part = frame.select(F.lit(tag).alias("__tag"), F.col(fd.label), *cols, fd.fold)
+            rows = part if rows is None else rows.unionByName(part)
+    tags = [f"{kind} {f}" for kind in ("train", "score") for f in fd.folds]
+    table, d = lm.rows_table(rows, cols, fd.label, "__tag", [fd.fold]), len(cols)
+    parts = [lm.Part(tuple(t for t in tags if t != f"train {f}"), f"score {f}", np.zeros(d), np.zeros(d), np.ones(d))
+             for f in fd.folds]
+    sizes = {r["fold"]: r["count"] for r in table.groupBy("fold").count().collect()}  # one row a tag
+    problems = {(i, k): lm.Problem(k, float(c), False, 1.0, 1.0, np.eye(d), float(sizes.get(f"train {f}", 0)))
+                for i, c in enumerate(meta_c) for k, f in enumerate(fd.folds)}
+    lm.solve(table, parts, list(problems.values()), d)
+    scored = lm.scores(table, parts, {k: p.theta() for k, p in problems.items()}, d)
+    m = me.classification_metrics(scored.select("draw", f"key.{fd.fold}", "y", "p"), "y", "p", by=["draw", fd.fold])
+    return m.select("draw", fd.fold, *METRIC_NAMES).collect()  # one row per C and fold
+
+
+def stacking(df, features: Sequence[str], base: Sequence[tuple[str, dict]], meta_c: Sequence[float] | None = None,
+             label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13,
+             parallelism: int | None = None) -> dict:
     """TU9: stacked generalisation, evaluated without a leak.
 
     For outer fold f the meta-model learns from out-of-fold probabilities made
     inside the other folds only (neither f's rows nor its labels), the members
     are refitted on the other folds, and the stack scores f.  ``C`` of the
-    meta-model is the one with the best mean AUC over the outer folds.
-    Returns C, the objective, fold metrics, and the stack fitted on all folds.
+    meta-model (``meta_c``; default ``N_TRIALS`` log-uniform draws) is the one
+    with the best mean AUC over the outer folds, the first of equals.  Returns
+    C, the objective, fold metrics, all objectives, and the stack fitted on all folds.
     """
     for name, _ in base:
         check_names(name)
+    if meta_c is None:
+        rng = np.random.default_rng(seed)
+        meta_c = [draw_params(META_C, rng)["C"] for _ in range(N_TRIALS)]
     fd = as_folds(df, features, label, key, fold)
-    cols = [f"p{i}" for i in range(len(base))]
-    parts = {c: [] for c in meta_c}
+    cols = [member_column(i) for i in range(len(base))]
+    inner, outer = {}, {}
     for f in fd.folds:
-        inner = _joined_oof(fd, base, seed, parallelism, (f,))
-        members = VotingModel([fd.fit((f,), n, p, None, seed) for n, p in base], [1.0] * len(base), fd.key)
-        outer = materialize(members.scores(fd.part(f), [*fd.key, fd.fold, fd.label]))
-        for c in meta_c:
-            meta = fit_pipeline(inner, cols, "logistic_regression", {"C": c, "class_weight": None}, None, fd.label, seed)
-            parts[c].append(predict(meta, outer, [*fd.key, fd.fold, fd.label]))
-    best = None
-    for c in meta_c:
-        fm = me.classification_metrics(materialize(_union(parts[c])), fd.label, "p", by=[fd.fold]) \
-            .select(fd.fold, *METRIC_NAMES).collect()  # one row per fold
-        auc = sum(r["roc_auc"] or 0.0 for r in fm) / len(fm)
-        if best is None or auc > best["objective"]:
-            best = {"C": c, "objective": auc, "fold_metrics": fm}
-    meta = fit_pipeline(_joined_oof(fd, base, seed, parallelism), cols, "logistic_regression",
+        inner[f] = wide_oof(fd, base, seed, parallelism, (f,))
+        members = VotingModel([fd.fit((f,), n, p, None, seed) for n, p in base], [1.0] * len(base))
+        outer[f] = materialize(members.scores(fd.part(f)).select(fd.fold, fd.label, *cols))
+    got = _meta_objectives(fd, inner, outer, cols, meta_c)
+    history = []
+    for i, c in enumerate(meta_c):
+        fm = [r for r in got if r["draw"] == i]
+        history.append({"C": c, "objective": sum(r["roc_auc"] or 0.0 for r in fm) / len(fm), "fold_metrics": fm})
+    best = dict(max(history, key=lambda h: h["objective"]))
+    meta = fit_pipeline(wide_oof(fd, base, seed, parallelism), cols, "logistic_regression",
                         {"C": best["C"], "class_weight": None}, None, fd.label, seed)
-    best["model"] = StackingModel([fd.fit((), n, p, None, seed) for n, p in base], meta, fd.key)
+    best["history"] = [(h["C"], h["objective"]) for h in history]
+    best["model"] = StackingModel([fd.fit((), n, p, None, seed) for n, p in base], meta)
     return best
 
 
@@ -391,4 +401,23 @@ def fit_voting(df, features: Sequence[str], base: Sequence[tuple[str, dict]], we
                label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13) -> VotingModel:
     """TU10: the members fitted on all rows, voting with ``weights``."""
     fd = as_folds(df, features, label, key, fold)
-    return VotingModel([fd.fit((), n, p, None, seed) for n, p in base], weights, fd.key)
+    return VotingModel([fd.fit((), n, p, None, seed) for n, p in base], weights)
+
+
+def best_vote(df, features: Sequence[str], names: Sequence[str] | None = None, n_members: int = N_MEMBERS,
+              label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13) -> dict:
+    """TU3 → TU11 → TU10: the ``n_members`` learners with the best mean AUC, the integer
+    weights with the best AUC of their out-of-fold votes, and the vote fitted on
+    all folds.  Returns names, weights, fold metrics of the vote and the model."""
+    names = list(names or SEARCH_SPACES)
+    fd = as_folds(df, features, label, key, fold)
+    wide = wide_oof(fd, [(n, None) for n in names], seed)
+    cv = me.aggregate_folds(fold_metrics_of(wide, names, fd), ["model"])
+    top = [r["model"] for r in top_n_models(cv, n_members).collect()]
+    cols = [member_column(names.index(n)) for n in top]
+    won = best_weights(wide.select(F.col(fd.label).alias("y"), *cols), cols, weight_grid(cols, VOTE_LOW, VOTE_HIGH))
+    weights = [won["weights"][c] for c in cols]
+    voted_p = wide.select(F.col(fd.label).alias("y"), fd.fold, voted(cols, weights).alias("p"))
+    fm = me.classification_metrics(voted_p, "y", "p", by=[fd.fold]).select(fd.fold, *METRIC_NAMES)
+    return {"names": top, "weights": weights, "roc_auc": won["roc_auc"], "fold_metrics": fm,
+            "model": fit_voting(fd, features, [(n, None) for n in top], weights, seed=seed)}

@@ -174,8 +174,9 @@ def test_promotion_sequence_is_the_action(spark, tmp_path):
 def test_registry_errors_rise(spark, tmp_path):
     root = tmp_path / "bad"
     assert rg.promote_if_better(spark, str(root), "r1", "m", 0.8, 0.5) == 1
-    for f in (root / "model_versions").glob("*.parquet"):
-        f.write_bytes(b"broken")
+    for f in (root / "model_versions").glob("v*.json"):
+        f.write_bytes(b"{broken")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
     with pytest.raises(Exception):
         rg.promote_if_better(spark, str(root), "r2", "m", 0.1, 0.1)
 
