@@ -62,9 +62,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
-    return the frame read from there.
+    return the frame read from there (``compression``: another codec than the
+    session's).
 
     The lineage is cut (a lost executor re-reads files instead of recomputing
     the plan) and the plan runs once.  Reading the table back, the file source
@@ -74,7 +75,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").parquet(path, compression=compression)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
