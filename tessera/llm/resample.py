@@ -77,8 +77,13 @@ def line_key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def _raw(buckets: np.ndarray) -> bytes:
-    return buckets.astype("<u4").tobytes()
+def _kind(n_buckets: int) -> str:
+    """Packed buckets are little-endian unsigned integers, as short as they can be."""
+    return "<u2" if n_buckets <= 1 << 16 else "<u4"
+
+
+def _raw(buckets: np.ndarray, n_buckets: int) -> bytes:
+    return buckets.astype(_kind(n_buckets)).tobytes()
 
 
 def _binary_text(docs: DataFrame, text_col: str) -> Column:
@@ -87,7 +92,7 @@ def _binary_text(docs: DataFrame, text_col: str) -> Column:
 
 def distinct_lines(docs: DataFrame, text_col: str = "text", n_buckets: int = N_BUCKETS) -> DataFrame:
     """Written table ``key, n, features``: every distinct line with its occurrences
-    and the buckets of its features (little-endian unsigned 32-bit integers)."""
+    and the buckets of its features, packed."""
     @lean
     def count(batches):
         seen, held = Counter(), 0
@@ -115,10 +120,10 @@ def distinct_lines(docs: DataFrame, text_col: str = "text", n_buckets: int = N_B
                 lines = [x.split(b" ") for x in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(map(line_key, lines), pa.binary()), part.column(1),
-                     pa.array([_raw(line_features(x, n_buckets)) for x in lines], pa.binary())], ["key", "n", "features"])
+                     pa.array([_raw(line_features(x, n_buckets), n_buckets) for x in lines], pa.binary())], ["key", "n", "features"])
     lines = docs.select(_binary_text(docs, text_col)).mapInArrow(count, "line binary, n bigint")
     lines = lines.groupBy("line").agg(F.sum("n").alias("n"))
-    return materialize(lines.mapInArrow(hashed, "key binary, n bigint, features binary"))
+    return materialize(lines.mapInArrow(hashed, "key binary, n bigint, features binary"), "zstd")
 
 
 def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -137,7 +142,7 @@ def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     part.column(0), part.column(1), pa.array([sum(map(len, x)) for x in texts], pa.int64()),
                     pa.array([list(k) for k in keys], pa.list_(pa.binary())),
                     pa.array([list(k.values()) for k in keys], pa.list_(pa.int64())),
-                    pa.array([_raw(cross_features(x, n_buckets)) for x in texts], pa.binary())],
+                    pa.array([_raw(cross_features(x, n_buckets), n_buckets) for x in texts], pa.binary())],
                     ["rid", "doc_id", "n_words", "keys", "times", "cross"])
     src = docs.select((F.monotonically_increasing_id() if row_id is None else row_id).alias("rid"),
                       id_of(id_col).alias("doc_id"), _binary_text(docs, text_col))
@@ -153,7 +158,7 @@ def bucket_counts(lines: DataFrame, doc_lines: DataFrame, n_buckets: int = N_BUC
         total = np.zeros(n_buckets, np.int64)
         for b in batches:
             for raw, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                np.add.at(total, np.frombuffer(raw, "<u4"), n)
+                np.add.at(total, np.frombuffer(raw, _kind(n_buckets)), n)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
     both = lines.select("features", "n").unionAll(doc_lines.select("cross", F.lit(1).cast("bigint")))
@@ -173,12 +178,12 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def _gain_sum(df: DataFrame, features: str, gain: np.ndarray) -> DataFrame:
     """``df`` with the column ``features`` replaced by ``weight``, the sum of its gains."""
-    at, keep = df.columns.index(features), [c for c in df.columns if c != features]
+    at, keep, kind = df.columns.index(features), [c for c in df.columns if c != features], _kind(len(gain))
 
     @lean
     def run(batches):
         for b in batches:
-            w = [int(gain[np.frombuffer(x, "<u4")].sum()) for x in b.column(at).to_pylist()]
+            w = [int(gain[np.frombuffer(x, kind)].sum()) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(w, pa.int64())], [*keep, "weight"])
     types = dict(df.dtypes)
     return df.mapInArrow(run, ", ".join([*[f"{c} {types[c]}" for c in keep], "weight bigint"]))
