@@ -68,8 +68,11 @@ class StackingModel(VotingModel):
 
 
 def load(spark: SparkSession, path: str):
-    """A saved model of any kind: ensemble, kNN or pipeline."""
+    """A saved model of any kind: with its feature chain, ensemble, kNN or pipeline."""
     from tessera.sources.io import path_exists
+    if path_exists(spark, f"{path}/chain"):
+        from tessera.operators.raw_model import RawModel
+        return RawModel.load(spark, path)
     if path_exists(spark, f"{path}/ensemble"):
         row = spark.read.parquet(f"{path}/ensemble").first()
         members = [load(spark, f"{path}/member{i}") for i in range(len(row["weights"]))]

@@ -65,20 +65,18 @@ def drift_band(per_batch: DataFrame, value: str, window: int, batch: str = "batc
     return ma.withColumn("lower", F.col("ma") - sd).withColumn("upper", F.col("ma") + sd)
 
 
-def score_batch(model, raw: DataFrame, feature_columns: Sequence[str], keep: Sequence[str] = (),
+def score_batch(model, raw: DataFrame, feature_columns: Sequence[str] | None = None, keep: Sequence[str] = (),
                 categories: dict | None = None) -> DataFrame:
     """SC1: raw customer rows → FX20 → FX23 → FX19 → model → probability, class.
 
-    ``model`` is a fitted ``PipelineModel`` over a ``features`` vector; the
-    one-hot categories are the ones learned at training time (passed in), so
-    a batch with fewer categories still yields every expected column.
+    A ``RawModel`` (what the registry loads) brings feature columns and learned
+    categories itself.  For a model over features they are passed in; either way a
+    batch with fewer categories or columns still yields every expected column.
     """
-    from tessera.functions import features as fx
-    from tessera.plans.feature_chain import feature_chain
-    from tessera.operators.models import probability_of_one
-    x = fx.derive_total_charges(raw)
-    x = feature_chain(x, categories=categories, keep=list(keep))
-    x = fx.conform_to_schema(x, list(keep) + list(feature_columns), fill=0)
-    scored = model.transform(x)
-    return scored.select(*keep, probability_of_one("probability").alias("probability"),
-                         F.col("prediction").cast("int").alias("prediction"))
+    from tessera.operators.models import predict
+    from tessera.operators.raw_model import RawModel, raw_features
+    if isinstance(model, RawModel):
+        scored = model.predict(raw, keep)
+    else:
+        scored = predict(model, raw_features(raw, feature_columns, categories, keep), keep)
+    return scored.withColumnsRenamed({"p": "probability", "yhat": "prediction"})

@@ -211,15 +211,18 @@ def tu10_voting_model(spark, sf):
 # ---- SC1 ---------------------------------------------------------------------------------------
 @register("sc1_score_batch")
 def sc1_score_batch(spark, sf):
-    """Train on the features frame, then score raw customers (a batch without
-    TotalCharges and with a few fields absent) through FX20 → FX23 → FX19."""
+    """Fit on raw customers, promote, and score raw customers (without TotalCharges and
+    PaymentMethod) with what the registry loads and nothing else."""
     from tessera.operators.monitor import score_batch
-    from tessera.functions.features import learn_categories_many
-    _, model = _fitted(spark, sf, "decision_tree", {"max_depth": 7})
-    raw = frames.subscribers(spark, sf)
-    cats = learn_categories_many(raw, ["InternetService", "PaymentMethod"])  # as at training time
-    batch = raw.drop("TotalCharges", "Churn", "PaymentMethod")
-    return score_batch(model, batch, FEATURE_COLUMNS, keep=[ID_COLUMN], categories=cats)
+    from tessera.operators.raw_model import RawModel
+    from tessera.plans import registry as rg
+    from tessera.sources.io import scratch_dir
+    raw, root = materialize(frames.subscribers(spark, sf)), scratch_dir(spark, "registry")
+    model = RawModel.fit(sp.stratified_holdout(raw, [ID_COLUMN], TARGET, 0.2, SEED).where(~F.col("is_test")).drop("is_test"),
+                         "decision_tree", {"max_depth": 7})
+    rg.promote_if_better(spark, root, "sc1", "decision_tree", 0.0, 0.0, model)
+    batch = raw.drop("TotalCharges", TARGET, "PaymentMethod")
+    return score_batch(rg.load_model(spark, root), batch, keep=[ID_COLUMN])
 
 
 # ---- FR2 / FR3 / FR4, LN7 --------------------------------------------------------------------
