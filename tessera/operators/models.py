@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEATURES, RAW, LABEL, WEIGHT = "features", "__raw", "label", "weight"
-MAX_ITER = 1000  # of a linear learner that configures none: it ends at its tolerance
+SVC_ITERATIONS = 100  # of an SVC that configures none (its loss is not smooth: the tolerance is rarely met)
 MAX_DEPTH = 30  # the deepest tree that Spark ML grows; the default, as the original sets no bound
 
 # FIXED VALUES: search spaces of the configured learners, in the original
@@ -133,7 +133,7 @@ def build_estimator(name: str, params: dict | None = None, n_rows: float | None
                              featureSubsetStrategy=str(float(cs)) if cs else "all",
                              seed=seed, **common)
     if name in ("svc", "linear_threshold"):
-        return LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", MAX_ITER)),
+        return LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", SVC_ITERATIONS)),
                          standardization=False, **common)
     raise ValueError(f"{name!r} is not fitted as one estimator")
 

@@ -13,6 +13,7 @@ concurrently from a small driver thread pool (``parallelism``).
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 from collections.abc import Sequence
@@ -214,20 +215,29 @@ def summarize(fold_metrics: DataFrame) -> dict:
     return me.aggregate_folds(fold_metrics).first().asDict()
 
 
+def fit_members(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Sequence[frozenset], seed: int = 13,
+                parallelism: int | None = None) -> dict:
+    """The learners of ``base`` fitted without each set of folds, all submitted from one
+    pool: set → members."""
+    for part in parts:
+        fd.numbers(tuple(part))  # prepared before the fits ask for it at once
+    jobs = [(part, n, p) for part in parts for n, p in base]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs)))) as ex:
+        got = list(ex.map(lambda j: fd.fit(tuple(j[0]), j[1], j[2], None, seed), jobs))
+    return {part: got[i * len(base):(i + 1) * len(base)] for i, part in enumerate(parts)}
+
+
 def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13, parallelism: int | None = None,
-             without: Sequence = ()) -> DataFrame:
+             without: Sequence = (), members: dict | None = None) -> DataFrame:
     """Out-of-fold probabilities of several learners side by side, written once: key,
     fold, label and one column per learner (``ensemble.member_column``).  The rows
-    of a fold go through the learners fitted on the others one after the other."""
+    of a fold go through the learners fitted on the others (``members``, where
+    they are fitted already) one after the other."""
     folds = [f for f in fd.folds if f not in without]
-    for f in folds:
-        fd.numbers((*without, f))  # prepared before the fits ask for it at once
-    jobs = [(f, n, p) for f in folds for n, p in base]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs)))) as ex:
-        models = dict(zip([(f, i) for f in folds for i in range(len(base))],
-                          ex.map(lambda j: fd.fit((*without, j[0]), j[1], j[2], None, seed), jobs)))
+    if members is None:
+        members = fit_members(fd, base, [frozenset((*without, f)) for f in folds], seed, parallelism)
     cols = [*fd.key, fd.fold, fd.label, *map(member_column, range(len(base)))]
-    parts = [VotingModel([models[f, i] for i in range(len(base))], [1.0] * len(base)).scores(fd.part(f))
+    parts = [VotingModel(members[frozenset((*without, f))], [1.0] * len(base)).scores(fd.part(f))
              .select(*[F.col(f"`{c}`") for c in cols]) for f in folds]
     return materialize(_union(parts))
 
@@ -379,21 +389,22 @@ def stacking(df, features: Sequence[str], base: Sequence[tuple[str, dict]], meta
         meta_c = [draw_params(META_C, rng)["C"] for _ in range(N_TRIALS)]
     fd = as_folds(df, features, label, key, fold)
     cols = [member_column(i) for i in range(len(base))]
-    inner, outer = {}, {}
-    for f in fd.folds:
-        inner[f] = wide_oof(fd, base, seed, parallelism, (f,))
-        members = VotingModel([fd.fit((f,), n, p, None, seed) for n, p in base], [1.0] * len(base))
-        outer[f] = materialize(members.scores(fd.part(f)).select(fd.fold, fd.label, *cols))
+    # without f and g is one fit for both, without f serves the outer fold and the final meta-model
+    out = [frozenset(x) for k in (0, 1, 2) for x in itertools.combinations(fd.folds, k)]
+    members = fit_members(fd, base, out, seed, parallelism)
+    inner = {f: wide_oof(fd, base, without=(f,), members=members) for f in fd.folds}
+    final = wide_oof(fd, base, members=members)
+    outer = {f: final.where(F.col(fd.fold) == f) for f in fd.folds}
     got = _meta_objectives(fd, inner, outer, cols, meta_c)
     history = []
     for i, c in enumerate(meta_c):
         fm = [r for r in got if r["draw"] == i]
         history.append({"C": c, "objective": sum(r["roc_auc"] or 0.0 for r in fm) / len(fm), "fold_metrics": fm})
     best = dict(max(history, key=lambda h: h["objective"]))
-    meta = fit_pipeline(wide_oof(fd, base, seed, parallelism), cols, "logistic_regression",
+    meta = fit_pipeline(final, cols, "logistic_regression",
                         {"C": best["C"], "class_weight": None}, None, fd.label, seed)
     best["history"] = [(h["C"], h["objective"]) for h in history]
-    best["model"] = StackingModel([fd.fit((), n, p, None, seed) for n, p in base], meta)
+    best["model"] = StackingModel(members[frozenset()], meta)
     return best
 
 
