@@ -25,7 +25,7 @@ SUBSETS = 12             # subsets used of each level
 INFORMED = 6             # signatures a level needs to speak for itself
 ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS = 100_000    # bounds the bucket edges that pass through the driver
-NONE = "------"
+NONE = "-" * 16         # no term: a signature is 16 hex digits, all 64 bits
 
 
 def terms(text: Column) -> Column:
@@ -43,7 +43,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: flo
 
 
 def _hex(h: Column) -> Column:
-    return F.lower(F.substring(F.lpad(F.hex(h), 16, "0"), 1, len(NONE)))
+    return F.lower(F.lpad(F.hex(h), len(NONE), "0"))
 
 
 def signatures(own: Column, band: Column) -> Column:
