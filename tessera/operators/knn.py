@@ -1,37 +1,44 @@
-"""ML6: exact k-nearest-neighbour classification, blocked and distributed.
-
-Exact kNN compares every query with every reference vector; the plan keeps
-that work spread evenly and never materialises one row per pair:
-
-1. queries and references are split into hash blocks (balanced whatever
-   the labels; Bq and Br from each side's row count);
-2. every query row is sent to the Br reference blocks (``explode`` of the
-   block ids — a generate, not a join) and every reference row to the Bq
-   query blocks, then ``cogroup`` on (query block, reference block) gives
-   one task per block pair;
-3. inside the task numpy computes the block's distance matrix and keeps
-   only the k best references per query (ties by reference id);
-4. a grouped merge per query keeps the global k best of the Br × k
-   candidates, and the vote is an aggregate over those k rows.
+"""ML6: exact k-nearest-neighbour search and classification by pivot cells.
+
+No row per pair is ever made, and pairs that cannot be neighbours are not
+compared:
+
+1. pivots: references of the least id hashes, thinned to a spread-out set
+   (each next pivot is the farthest from those before); at most
+   ``MAX_PIVOTS``, about the square root of the references otherwise;
+2. every reference joins the cell of its nearest pivot; a cell knows its
+   least and largest distance to the pivot and its k least ones;
+3. a query's distances to all pivots plus those k least distances bound its
+   k-th neighbour from above, and the triangle inequality bounds its distance
+   to every cell from below: it visits only cells that can hold a neighbour;
+4. a cell with more than ``ROWS_PER_BLOCK`` rows of a side is dealt into blocks
+   by id hash, so a hot cell spreads over as many tasks as it needs;
+   ``cogroup`` on (cell, query block, reference block) makes the groups;
+5. inside a group numpy computes the distances and keeps the k best references
+   per query (ties by reference id); a grouped merge keeps the k best of all.
 
 Distances are accumulated dimension by dimension in float64, left to right,
-so they are bit-identical to a sequential SQL sum.
+so they are bit-identical to a sequential SQL sum.  Bounds carry a relative
+slack far above rounding, so pruning never drops a neighbour or a tie.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 4096
+from tessera.session import materialize
 
-
-def n_blocks(n_rows: int, rows_per_block: int | None = None) -> int:
-    return max(1, math.ceil(n_rows / (rows_per_block or ROWS_PER_BLOCK)))
+ROWS_PER_BLOCK = 4096  # rows of either side that meet in one group
+MAX_PIVOTS = 1024      # cells; the pivots and a row per cell reach the driver
+SPREAD = 4             # references looked at per pivot
+ROWS_PER_STEP = 256    # queries bounded at a time
+SLACK = 1e-9
 
 
 def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
@@ -74,32 +81,137 @@ def _block_topk(k: int, metric: str, exclude_self: bool):
     return fn
 
 
+@dataclass
+class CellPlan:
+    """Queries with the cells they visit, references with their cell, rows of both per cell."""
+    queries: DataFrame                     # id, vec, cells
+    refs: DataFrame                        # id, vec, label, cell
+    cells: list[tuple[int, int, int]]      # cell, visiting queries, references
+
+    @property
+    def pairs(self) -> int:
+        """Pairs that are compared."""
+        return sum(q * r for _, q, r in self.cells)
+
+
+def _finite(vec: Column) -> Column:
+    return vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+def _rows(df: DataFrame, id_col: str, vec_col: str, *more: Column) -> DataFrame:
+    vec = F.col(f"`{vec_col}`").cast("array<double>")
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), vec.alias("vec"), *more).where(_finite(F.col("vec")))
+
+
+def choose_pivots(refs: DataFrame, n: int, metric: str) -> np.ndarray:
+    """``n`` distinct spread-out vectors (fewer if there are fewer) out of the
+    ``SPREAD * n`` references of the least id hashes."""
+    rows = refs.select("id", "vec").orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SPREAD * n).collect()
+    if not rows:
+        return np.empty((0, 0))
+    seen = np.unique(np.array([r["vec"] for r in rows], float), axis=0)
+    picked, gap = [0], _distances(seen, seen[:1], metric)[:, 0]
+    while len(picked) < min(n, len(seen)):
+        picked.append(int(gap.argmax()))
+        gap = np.minimum(gap, _distances(seen, seen[picked[-1:]], metric)[:, 0])
+    return seen[picked]
+
+
+def _in_cells(pivots: np.ndarray, metric: str):
+    def fn(batches):
+        for pdf in batches:
+            if len(pdf):
+                d = _distances(np.vstack(pdf["vec"].to_numpy()), pivots, metric)
+                cell = d.argmin(1)
+                yield pdf.assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell])
+    return fn
+
+
+def _cell_stats(kk: int):
+    """Per task and cell: rows, largest gap and the ``kk`` least gaps."""
+    def fn(batches):
+        rows, far, near = {}, {}, {}
+        for pdf in batches:
+            for cell, gaps in pdf.groupby("cell")["gap"]:
+                g = gaps.to_numpy()
+                rows[cell] = rows.get(cell, 0) + len(g)
+                far[cell] = max(far.get(cell, 0.0), float(g.max()))
+                near[cell] = np.sort(np.concatenate([near.get(cell, g[:0]), g]))[:kk]
+        yield pd.DataFrame({"cell": pd.Series(list(rows), dtype="int32"), "rows": pd.Series(list(rows.values()), dtype="int64"),
+                            "far": pd.Series([far[c] for c in rows], dtype="float64"), "near": [near[c] for c in rows]})
+    return fn
+
+
+def _visits(pivots: np.ndarray, near: np.ndarray, far: np.ndarray, metric: str):
+    """Cells that can hold one of a query's nearest references (or a tie with the last)."""
+    kk = near.shape[1]
+
+    def fn(batches):
+        for pdf in batches:
+            cells = []
+            for at in range(0, len(pdf), ROWS_PER_STEP):
+                d = _distances(np.vstack(pdf["vec"].iloc[at:at + ROWS_PER_STEP].to_numpy()), pivots, metric)
+                reach = (d[:, :, None] + near[None]).reshape(len(d), -1)
+                bound = np.partition(reach, kk - 1, axis=1)[:, kk - 1:kk]
+                low = np.maximum(d - far, near[:, 0] - d)
+                keep = low <= bound + SLACK * (bound + d + far)
+                cells += [np.flatnonzero(row).astype("int32") for row in keep]
+            yield pdf.assign(cells=cells)
+    return fn
+
+
+def plan_cells(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclidean", id_col: str = "vec_id",
+               vec_col: str = "embedding", label_col: str = "label", exclude_self: bool = True,
+               cells: int | None = None) -> CellPlan | None:
+    """Cells of the references and the visits of the queries; None without a reference."""
+    spark = refs.sparkSession
+    r = _rows(refs, id_col, vec_col, F.col(f"`{label_col}`").cast("int").alias("label"))
+    if cells is None:
+        cells = min(MAX_PIVOTS, max(math.isqrt(refs.count()), spark.sparkContext.defaultParallelism))
+    pivots = choose_pivots(r, cells, metric)
+    if not len(pivots):
+        return None
+    r = materialize(r.mapInPandas(_in_cells(pivots, metric), "id long, vec array<double>, label int, cell int, gap double"))
+    kk = k + int(exclude_self)  # the query itself may be among the nearest
+    stats = r.select("cell", "gap").mapInPandas(_cell_stats(kk), "cell int, rows long, far double, near array<double>") \
+        .groupBy("cell").agg(F.sum("rows").alias("rows"), F.max("far").alias("far"), F.slice(
+            F.sort_array(F.flatten(F.collect_list("near"))), 1, kk).alias("near")).collect()  # a row per cell
+    near, far = np.full((len(pivots), kk), np.inf), np.zeros(len(pivots))
+    for s in stats:
+        near[s["cell"], :len(s["near"])], far[s["cell"]] = s["near"], s["far"]
+    q = materialize(_rows(queries, id_col, vec_col).mapInPandas(
+        _visits(pivots, near, far, metric), "id long, vec array<double>, cells array<int>"))
+    visits = {v["cell"]: v["n"] for v in q.select(F.explode("cells").alias("cell")).groupBy("cell")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    return CellPlan(q, r.drop("gap"), [(s["cell"], visits[s["cell"]], s["rows"]) for s in stats if s["cell"] in visits])
+
+
 def knn_neighbors(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclidean",
                   id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                   exclude_self: bool = True, blocks: int | None = None) -> DataFrame:
-    """(qid, rid, rlabel, dist, rank) for the k nearest references of every query.
+    """(qid, rid, rlabel, dist, rank) for the k nearest references of every query;
+    ``blocks`` sets the number of cells.
 
-    Each side gets its own block count (from its own row count), and every
-    row is copied once per block of the *other* side: a small query set
-    scored against a large reference set copies only the queries, never
-    the references.
+    Rows without a vector, or with a null, NaN or infinite number in it, have
+    no neighbours and are nobody's.  With fewer than k references a query gets
+    them all.
     """
-    if blocks is None and queries is refs:  # leave-one-out: one count
-        bq = br = n_blocks(queries.count())
-    elif blocks is None:
-        bq, br = n_blocks(queries.count()), n_blocks(refs.count())
-    else:
-        bq = br = blocks
-    qb = F.abs(F.xxhash64(F.col(id_col), F.lit(1))) % bq
-    rb = F.abs(F.xxhash64(F.col(id_col), F.lit(2))) % br
-    q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
-                       qb.alias("qb")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
-    r = refs.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
-                    F.col(label_col).cast("int").alias("label"), rb.alias("rb")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    cand = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
-             .applyInPandas(_block_topk(k, metric, exclude_self),
-                            "qid long, rid long, rlabel int, dist double"))
+    plan = plan_cells(queries, refs, k, metric, id_col, vec_col, label_col, exclude_self, blocks)
+    spark = refs.sparkSession
+    schema = "qid long, rid long, rlabel int, dist double"
+    if plan is None:
+        return spark.createDataFrame([], schema + ", rank int")
+    dealt = F.broadcast(spark.createDataFrame(  # at most MAX_PIVOTS rows
+        [(c, math.ceil(q / ROWS_PER_BLOCK), math.ceil(r / ROWS_PER_BLOCK)) for c, q, r in plan.cells],
+        "cell int, qbs int, rbs int"))
+    q = plan.queries.select("id", "vec", F.explode("cells").alias("cell")).join(dealt, "cell").select(
+        "cell", "id", "vec", F.pmod(F.xxhash64("id", F.lit(1)), "qbs").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("rbs") - 1)).alias("rb"))
+    r = plan.refs.join(dealt, "cell").select(
+        "cell", "id", "vec", "label", F.pmod(F.xxhash64("id", F.lit(2)), "rbs").cast("int").alias("rb"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("qbs") - F.lit(1).cast("bigint"))).alias("qb"))
+    cand = (q.groupBy("cell", "qb", "rb").cogroup(r.groupBy("cell", "qb", "rb"))
+             .applyInPandas(_block_topk(k, metric, exclude_self), schema))
     w = Window.partitionBy("qid").orderBy("dist", "rid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -277,7 +277,7 @@ def fit_pipeline(df: DataFrame, features: Sequence[str], name: str, params: dict
 
 class KnnPipeline:
     """ML6 as a learner: prepared reference vectors in a written table; scoring is
-    the blocked exact search of ``tessera.operators.knn``."""
+    the exact cell search of ``tessera.operators.knn``."""
 
     def __init__(self, prepared: PipelineModel, refs: DataFrame, params: dict):
         self.prepared, self.refs, self.params = prepared, refs, params
@@ -285,9 +285,9 @@ class KnnPipeline:
     @staticmethod
     def fit(prepared: PipelineModel, data: DataFrame, params: dict) -> "KnnPipeline":
         from tessera.session import materialize
-        refs = materialize(data.select(F.monotonically_increasing_id().alias("vec_id"),
-                                       vector_to_array(FEATURES).alias("embedding"),
-                                       F.col(LABEL).cast("int").alias("label")))
+        refs = data.select(vector_to_array(FEATURES).alias("embedding"), F.col(LABEL).cast("int").alias("label"))
+        # the id, which orders ties, follows from the row: equal rows are interchangeable
+        refs = materialize(refs.withColumn("vec_id", F.xxhash64("embedding", "label")))
         return KnnPipeline(prepared, refs, params)
 
     def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:

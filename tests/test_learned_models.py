@@ -126,6 +126,47 @@ def test_knn_small_queries_against_many_references(spark, monkeypatch):
     assert got == sorted(want)
 
 
+def _vectors(spark, first, v, labels=None):
+    return spark.createDataFrame(
+        [(first + i, [float(x) for x in row], int(labels[i]) if labels is not None else 0) for i, row in enumerate(v)],
+        "vec_id long, embedding array<double>, label int")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_cells_prune_clustered_vectors(spark, metric, monkeypatch):
+    """Clusters with ties and a hot group of equal vectors: brute force's neighbours
+    from under 30 % of the pairs, over many cells, the hot cell in several blocks."""
+    monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 64)
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-50, 50, (12, 8))
+    v = (centres[rng.integers(0, 12, 400)] + rng.integers(-1, 2, (400, 8))).astype(float)
+    v = np.vstack([v, np.tile(centres[0], (200, 1))])
+    df = _vectors(spark, 0, v, rng.integers(0, 2, len(v)))
+    plan = knn.plan_cells(df, df, 6, metric)
+    assert len(plan.cells) > 8 and max(r for _, _, r in plan.cells) > 64
+    assert plan.pairs < 0.3 * len(v) ** 2
+    got = sorted((r.qid, r.rank, r.rid) for r in knn.knn_neighbors(df, df, 6, metric).collect())
+    want = []
+    for i in range(len(v)):
+        diff = v - v[i]
+        dist = np.sqrt((diff * diff).sum(1)) if metric == "euclidean" else np.abs(diff).sum(1)
+        dist[i] = np.inf
+        want += [(i, j + 1, int(r)) for j, r in enumerate(np.lexsort((np.arange(len(v)), dist))[:6])]
+    assert got == sorted(want)
+
+
+def test_knn_awkward_rows(spark):
+    """Null, NaN and infinite vectors have no neighbours and are nobody's; few
+    references are all returned; none give none."""
+    refs = spark.createDataFrame([(1, [0.0, 0.0], 1), (2, [3.0, 4.0], 0), (3, None, 1), (4, [float("nan"), 0.0], 1),
+                                  (5, [float("inf"), 0.0], 1), (6, [None, 1.0], 1)],
+                                 "vec_id long, embedding array<double>, label int")
+    got = knn.knn_neighbors(refs, refs, 5, "euclidean").collect()
+    assert sorted((r.qid, r.rid, r.dist) for r in got) == [(1, 2, 5.0), (2, 1, 5.0)]
+    assert knn.knn_neighbors(refs, refs.limit(0), 5).count() == 0
+    assert knn.knn_neighbors(refs.limit(0), refs, 5).count() == 0
+
+
 def test_knn_block_topk_ties_match_sort():
     """Per-block top-k (partition + candidate sort) equals a full sort by
     (distance, reference id), including ties at the cut and the self row."""
