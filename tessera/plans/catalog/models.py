@@ -11,6 +11,7 @@ from tessera.operators import models as ml
 from tessera.operators import split as sp
 from tessera.plans import tune
 from tessera.plans.catalog import register
+from tessera.plans.catalog.common import rnd
 from tessera.plans.config import FEATURE_COLUMNS, ID_COLUMN, PCA_COMPONENTS, RFE_FEATURES, SEED, TARGET
 from tessera.session import materialize, table
 from tessera.sources import frames
@@ -251,7 +252,21 @@ def fr4_rfe(spark, sf):
     return spark.createDataFrame(list(enumerate(keep)), "rank int, feature string")
 
 
-@register("ln7_column_transformer")
+_LN7_SCALED = ["tenure", "MonthlyCharges", "TotalCharges"]
+_LN7_SQL = ("WITH q AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS med_{c}, quantile_cont(CAST({c} AS DOUBLE), 0.75) "
+    f"- quantile_cont(CAST({c} AS DOUBLE), 0.25) AS iqr_{c}" for c in _LN7_SCALED) + " FROM features),\n"
+    "cats AS (SELECT v, row_number() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT contract_encoded AS v FROM features "
+    "WHERE contract_encoded IS NOT NULL))\n"
+    + "\nUNION ALL ".join(f"SELECT customerID, {i} AS position, round((CAST({c} AS DOUBLE) - med_{c}) / "
+                          f"CASE WHEN iqr_{c} = 0 THEN 1.0 ELSE iqr_{c} END, 6) AS value FROM features, q"
+                          for i, c in enumerate(_LN7_SCALED))
+    + "\nUNION ALL SELECT customerID, CAST(r + 1 AS INTEGER), CAST((contract_encoded = v) IS TRUE AS DOUBLE) "
+      "FROM features, cats WHERE r > 1"
+      "\nUNION ALL SELECT customerID, CAST((SELECT count(*) + 2 FROM cats) AS INTEGER), CAST(SeniorCitizen AS DOUBLE) FROM features")
+
+
+@register("ln7_column_transformer", _LN7_SQL, ("features",))
 def ln7_column_transformer(spark, sf):
     from tessera.operators import learned as ln
     d = frames.features(spark, sf)
@@ -260,7 +275,8 @@ def ln7_column_transformer(spark, sf):
     out = ln.column_transformer(d, [(scaler, ["tenure", "MonthlyCharges", "TotalCharges"]),
                                     (onehot, ["contract_encoded"])], passthrough=["SeniorCitizen"])
     from pyspark.ml.functions import vector_to_array
-    return out.select(ID_COLUMN, vector_to_array("features").alias("features"))
+    return out.select(ID_COLUMN, F.posexplode(vector_to_array("features")).alias("position", "value")) \
+        .withColumn("value", rnd("value"))
 
 
 # ---- ME9 / ME10 / ME12 / ME16 ----------------------------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality as qc
 from tessera.plans.catalog import register
+from tessera.plans.catalog.quality import RAW_COLUMNS, SUITE, suite_sql
 from tessera.plans.config import QUALITY_SUITE
 from tessera.session import table
 from tessera.sources import frames
@@ -53,6 +54,19 @@ def io1_ingest_csv(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("io5_audit_per_file", """
+SELECT c_nationkey, count(*) AS rows, true AS bytes_known FROM customer GROUP BY c_nationkey""")
+def io5_audit_per_file(spark, sf):
+    """One CSV file per nation; each file's audited rows stand beside its nation."""
+    d = io.scratch_dir(spark, "customer-by-nation")
+    table(spark, sf, "customer").withColumn("nation", F.col("c_nationkey")).repartition("nation").write \
+        .partitionBy("nation").option("header", True).option("quote", '"').option("escape", '"').csv(d)
+    read = io.read_csv(spark, io.list_files(spark, f"{d}/nation=*/*.csv"), CUSTOMER_SCHEMA)
+    of = read.select("c_nationkey", "_metadata.file_path").distinct()
+    return io.ingest_audit(read).join(of, "file_path").groupBy("c_nationkey").agg(
+        F.sum("rows").alias("rows"), (F.min("bytes") > 0).alias("bytes_known"))
+
+
 @register("io5_ingest_audit", "SELECT count(*) AS rows, 3 AS files, true AS bytes_known FROM customer")
 def io5_ingest_audit(spark, sf):
     src = _customer_csv(spark, sf)
@@ -76,14 +90,20 @@ def io2_io3_write_codecs(spark, sf):
     return spark.createDataFrame(rows, "codec string, rows long, rewritten boolean")
 
 
-@register("io4_io7_schema_profile")
+@register("io4_io7_schema_profile", """
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+       CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+            ELSE lower(column_type) END AS type
+FROM (DESCRIBE lineitem)""")
 def io4_io7_schema_profile(spark, sf):
     li = table(spark, sf, "lineitem")
     io.require_columns(li, ["l_orderkey", "l_extendedprice"])
     return io.schema_profile(li)
 
 
-@register("io8_write_report_json")
+@register("io8_write_report_json", f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
+       CAST(count(*) AS INTEGER) AS details FROM ({suite_sql(SUITE, "subscribers", RAW_COLUMNS)})""", ("subscribers",))
 def io8_write_report_json(spark, sf):
     res = qc.run_suite(frames.subscribers(spark, sf), QUALITY_SUITE)
     p = io.scratch_dir(spark, "quality-report")
@@ -94,7 +114,10 @@ def io8_write_report_json(spark, sf):
                                  "total long, passed long, failed long, details int")
 
 
-@register("io9_write_stats_csv")
+@register("io9_write_stats_csv", """
+SELECT o_orderpriority AS value, CAST(count(*) AS VARCHAR) AS n,
+       CAST(round(count(*) / CAST((SELECT count(*) FROM orders) AS DOUBLE), 4) AS VARCHAR) AS share
+FROM orders GROUP BY o_orderpriority""")
 def io9_write_stats_csv(spark, sf):
     from tessera.operators.profile import value_counts
     p = io.scratch_dir(spark, "stats-csv")

@@ -88,11 +88,12 @@ def read_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructType | s
 
 
 def ingest_audit(df: DataFrame) -> DataFrame:
-    """IO5: rows and bytes per input file (one grouped aggregate over the scan)."""
-    return (df.select("_metadata.file_name", "_metadata.file_size")
-              .groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"),
+    """IO5: rows and bytes per input file (one grouped aggregate over the scan); files
+    of one name in several folders stay apart."""
+    return (df.select("_metadata.file_path", "_metadata.file_name", "_metadata.file_size")
+              .groupBy("file_path", "file_name").agg(F.count(F.lit(1)).alias("rows"),
                                         F.max("file_size").alias("bytes"))
-              .orderBy("file_name"))
+              .orderBy("file_path"))
 
 
 def ingest_csv(spark: SparkSession, raw_dir: str, output_path: str, schema: T.StructType | str,
