@@ -20,13 +20,14 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, lean, packed, text_of
 from tessera.session import materialize
 
 FLUSH_ROWS = 1 << 20  # fingerprints that one task holds before it emits filters
+CHUNK_ROWS = 65_536    # equal rows written out by a task at a time
 
 
 class CountingQuotientFilter:
@@ -95,16 +96,26 @@ class CountingQuotientFilter:
 
     @staticmethod
     def merge(filters: Iterable[CountingQuotientFilter]) -> tuple[np.ndarray, np.ndarray]:
-        """All fingerprints of several filters in order, counters added."""
-        value, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for f in filters:
-            v, c = f.decode()
-            v, c = np.concatenate([value, v]), np.concatenate([count, c])
+        """All fingerprints of several filters in order, counters added; equal
+        numbers of filters merge with each other, so a fingerprint moves
+        log(filters) times."""
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []  # filters merged, fingerprints, counts
+
+        def join_last():
+            (n, v, c), (m, w, d) = held.pop(), held.pop()
+            v, c = np.concatenate([w, v]), np.concatenate([d, c])
             order = np.argsort(v, kind="stable")  # two sorted runs: a merge
             v, c = v[order], c[order]
             new = np.append(True, v[1:] != v[:-1])
-            value, count = v[new], np.add.reduceat(c, np.flatnonzero(new)) if len(v) else c
-        return value, count
+            held.append((n + m, v[new], np.add.reduceat(c, np.flatnonzero(new))))
+        for f in filters:
+            if len(f.remainders):
+                held.append((1, *f.decode()))
+                while len(held) > 1 and held[-2][0] <= held[-1][0]:
+                    join_last()
+        while len(held) > 1:
+            join_last()
+        return held[0][1:] if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def _filters(hashes: DataFrame, prefix_bits: int) -> DataFrame:
@@ -176,11 +187,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # a repeated key among equal texts: one of its rows stays
     again = materialize(routed.groupBy("doc_id", "text_sha256").count().filter("count > 1"))
     if not again.isEmpty():
-        w = Window.partitionBy("doc_id", "text_sha256").orderBy(F.lit(0))
-        hit = F.broadcast(again.select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__s"))) \
-            if again.count() <= BROADCAST_ROWS else again.select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__s"))
+        hit = again.select(F.col("doc_id").alias("__d"), F.col("text_sha256").alias("__s"))
+        hit = F.broadcast(hit) if again.count() <= BROADCAST_ROWS else hit
         same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_sha256") == F.col("__s"))
-        twice = out.join(hit, same, "left_semi").withColumn("kept", F.col("kept") & (F.row_number().over(w) == 1))
+        # such rows are equal: counted, then written out again in chunks, the first row kept
+        chunks = out.join(hit, same, "left_semi").groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n")) \
+            .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK_ROWS})"))).repartition("doc_id", "chunk")
+        twice = chunks.withColumn("at", F.explode(F.expr(
+            f"sequence(chunk * {CHUNK_ROWS}, least(n, (chunk + 1) * {CHUNK_ROWS}) - 1)"))) \
+            .withColumn("kept", F.col("kept") & (F.col("at") == 0)).select(*out.columns)
         out = out.join(hit, same, "left_anti").unionByName(twice)
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -197,7 +212,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stay = rows.filter("kept").select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"))
     once = counted_side(stay.join(drop, same, "left_semi").withColumnsRenamed({"d": "doc_id", "s": "text_sha256"}))
     if not once.isEmpty():
-        first = Window.partitionBy("d", "s").orderBy(F.lit(0))
-        out = out.unionByName(key.join(once, same).withColumn("r", F.row_number().over(first))
-                              .filter("r = 1").select("row.*"))
+        stays = key.join(once, same).groupBy("d", "s").agg(F.first("row").alias("row"))  # a row per task shuffles
+        out = out.unionByName(stays.select("row.*"))
     return out

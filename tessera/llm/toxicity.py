@@ -2,9 +2,11 @@
 
 Tokens get log-odds of the toxic against the clean class under an informative
 Dirichlet prior, whose pseudo-counts follow the token's frequency in all
-documents.  Tokens whose log-odds are clearly positive score their lower
-bound; every other token costs ``DRIFT``.  One linear scan finds all maximal
-scoring segments of a text — the toxic passages.  Under the clean model the
+documents.  Every token scores its own log-odds, toxic or clean, drawn towards
+zero by a standard error, less ``DRIFT``; log-odds within ``MIN_Z`` standard errors
+of zero, and those of tokens that the labelled sample does not hold, are zero.  Toxic evidence must occur in ``MIN_DOCS`` toxic documents of the
+sample.  One linear scan over all tokens of a text finds its maximal scoring
+segments — the toxic passages.  Under the clean model the
 scores of maximal segments follow an extreme-value law, so a segment of score
 S in a text of n tokens has the E-value K·n·exp(-λS); λ solves
 E[exp(λ·score)] = 1 for clean tokens and K comes from the segments of clean
@@ -18,13 +20,12 @@ size is bounded by the labelled sample (``max_per_class``).
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from dataclasses import dataclass
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +35,15 @@ from tessera.llm.labelled import fit_sample
 from tessera.session import materialize
 
 MAX_PER_CLASS = 20_000  # labelled documents of either class that the fit reads at most
-MIN_DOCS = 2            # toxic sample documents that a scored token occurs in
-MIN_Z = 2.0             # standard errors that its log-odds lie above zero
+MIN_Z = 2.0             # standard errors that a token's log-odds lie from zero, else they count as zero
+MIN_DOCS = 2            # toxic sample documents that a token with toxic evidence occurs in
 PRIOR = 0.1             # pseudo-counts as a share of the sample's tokens
-DRIFT = 0.5             # cost of every other token
+DRIFT = 0.5             # cost of every token
 FOLDS = 4               # parts of the sample; a text is calibrated on tables learned from the others
 COUNTS = ("toxic_n", "clean_n", "toxic_docs")
 FLUSH_WORDS = 50_000   # distinct words counted by a task before it emits them
 
-WORD = regex.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def lowered(text: str) -> str:
@@ -51,28 +52,6 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-class Finder:
-    """Occurrences of whole tokens of a table in one pass over a text."""
-
-    def __init__(self, table: dict[str, float]):
-        self.table = table
-        self.auto = ahocorasick.Automaton() if table else None
-        for w in table:
-            self.auto.add_word(w, w)
-        if table:
-            self.auto.make_automaton()
-
-    def hits(self, low: str) -> list[tuple[int, int, str]]:
-        """(start, end, token) of each occurrence between non-letters."""
-        out = []
-        for last, w in self.auto.iter(low) if self.auto else ():
-            start, end = last + 1 - len(w), last + 1
-            if (start and low[start - 1].isalpha()) or (end < len(low) and low[end].isalpha()):
-                continue
-            out.append((start, end, w))
-        return out
-
-
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last, score) of a sequence in linear
     time: every segment that no prefix, suffix or neighbour can improve."""
@@ -96,25 +75,31 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(int(f), int(e), r - lft) for lft, r, f, e in found]
 
 
-def passages(hits: list[tuple[int, int, str]], table: dict[str, float], low: str, drift: float,
-             once: bool = False):
-    """Maximal segments (start, end, score) of a text given the scored tokens in it;
-    the tokens between two of them are counted by the spaces there.  With ``once``
-    a token scores at its first occurrence only."""
-    scores: list[float] = []
-    where: list[int] = []
-    end = None
+def passages(words: list[str], table: dict[str, float], drift: float) -> list[tuple[int, int, float, float]]:
+    """Maximal segments (first token, last token, score, new) of a text's tokens.
+    ``new`` is the best segment within where toxic tokens that the text held before
+    score 0: words of a text repeat far more often than the clean model of
+    independent tokens allows."""
+    scores = np.fromiter((table.get(w, -drift) for w in words), float, len(words))
+    up = np.flatnonzero(scores > 0)
+    if not len(up):
+        return []
+    total = np.append(0.0, np.cumsum(scores))
+    steps = np.empty(2 * len(up) - 1)
+    steps[::2], steps[1::2] = scores[up], total[up[1:]] - total[up[:-1] + 1]  # a token, what lies between, a token
+    found = maximal_segments(steps.tolist())
     seen: set[str] = set()
-    for k, (start, stop, w) in enumerate(hits):
-        if end is not None:
-            gap = max(0, low.count(" ", end, start) + low.count("\n", end, start) - 1)
-            scores.append(-drift * gap)
-            where.append(-1)
-        scores.append(0.0 if once and w in seen else table[w])
-        seen.add(w)
-        where.append(k)
-        end = stop
-    return [(hits[where[a]][0], hits[where[b]][1], s) for a, b, s in maximal_segments(scores)]
+    for i, at in enumerate(up.tolist()):
+        if words[at] in seen:
+            steps[2 * i] = 0.0
+        seen.add(words[at])
+    # a segment of the lower scores lies within one of the higher ones
+    new, k = [0.0] * len(found), 0
+    for a, _, s in maximal_segments(steps.tolist()):
+        while found[k][1] < a:
+            k += 1
+        new[k] = max(new[k], s)
+    return [(int(up[a // 2]), int(up[z // 2]), s, n) for (a, z, s), n in zip(found, new)]
 
 
 @dataclass
@@ -129,27 +114,21 @@ class ToxicModel:
     def evidence(self, found, n_words: int) -> float:
         """Sum over passages of -ln P(a clean text of this length has one as good)."""
         out = 0.0
-        for _, _, s in found:
-            e = self.k * max(1, n_words) * math.exp(-self.lam * s)
+        for *_, new in found:
+            e = self.k * max(1, n_words) * math.exp(-self.lam * new)
             out -= math.log(-math.expm1(-e)) if e > 1e-12 else math.log(1e-12)
         return out
 
-    def judge(self, finder: Finder, low: str):
-        """(passages, words, evidence) of a lower-cased text.  All passages are found;
-        the evidence counts every token once, since words of a text repeat far
-        more often than the clean model of independent tokens allows."""
-        hits, n = finder.hits(low), n_words_of(low)
-        new = passages(hits, self.table, low, self.drift, once=True)
-        return passages(hits, self.table, low, self.drift), n, self.evidence(new, n)
+    def judge(self, low: str):
+        """(passages, tokens, evidence) of a lower-cased text."""
+        words = WORD.findall(low)
+        found = passages(words, self.table, self.drift)
+        return found, len(words), self.evidence(found, len(words))
 
     def score(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.slope * math.log1p(evidence)))))
 
 
-def n_words_of(low: str) -> int:
-    return low.count(" ") + low.count("\n") + 1 if low else 0
-
-
 def word_counts(sample: DataFrame) -> DataFrame:
     """``word`` and arrays by fold ``toxic_n, clean_n, toxic_docs`` over the labelled sample."""
     @lean
@@ -183,12 +162,12 @@ def corpus_counts(docs: DataFrame, words: list[str], text_col: str) -> tuple[dic
 
     @lean
     def run(batches):
-        finder, seen, total = Finder(dict.fromkeys(shared.value, 1.0)), Counter(), 0
+        asked, seen, total = set(shared.value), Counter(), 0
         for b in slices(batches):
             for text in b.column(0).to_pylist():
-                low = lowered(text)
-                total += n_words_of(low)
-                seen.update(w for _, _, w in finder.hits(low))
+                found = WORD.findall(lowered(text))
+                total += len(found)
+                seen.update(filter(asked.__contains__, found))
         seen[""] = total
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()),
                                           "n": pa.array(list(seen.values()), pa.int64())})
@@ -210,10 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: int = 2, id_
     if not n_t.sum() or not n_c.sum():
         return ToxicModel({}, DRIFT, 1.0, 1.0, 30.0 if n_t.sum() else -30.0, 0.0)
 
-    def added(c):
-        return F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    likely = counts.filter((added("toxic_docs") >= MIN_DOCS) & (
-        added("toxic_n") / n_t.sum() > 2 * added("clean_n") / n_c.sum())).collect()  # bounded by the sample
+    likely = counts.collect()  # the words of the bounded sample
     corpus, total = corpus_counts(docs, [r["word"] for r in likely], text_col)
     words = [r["word"] for r in likely]
     toxic, clean, in_docs = (np.array([r[c] for r in likely], float).reshape(-1, FOLDS) for c in COUNTS)
@@ -225,16 +201,18 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: int = 2, id_
         t, c = toxic[:, use].sum(1) + prior * common, clean[:, use].sum(1) + prior * common
         delta = np.log(t / (t_n + prior - t)) - np.log(c / (c_n + prior - c))
         error = np.sqrt(1 / t + 1 / c)
-        keep = (delta > MIN_Z * error) & (in_docs[:, use].sum(1) >= MIN_DOCS)
-        table = {w: float(v) for w, v, k in zip(words, delta - error, keep) if k}
-        return ToxicModel(table, DRIFT, _lambda((delta - error)[keep], c[keep] / (c_n + prior), DRIFT), 1.0, 0.0, 0.0)
+        own = np.where(np.abs(delta) > MIN_Z * error, delta - np.sign(delta) * error, 0.0)
+        own[(own > 0) & (in_docs[:, use].sum(1) < MIN_DOCS)] = 0.0
+        known = np.flatnonzero(own)  # the others score as unknown tokens do
+        table = {words[i]: float(own[i] - DRIFT) for i in known}
+        return ToxicModel(table, DRIFT, _lambda(own[known] - DRIFT, c[known] / (c_n + prior), DRIFT), 1.0, 0.0, 0.0)
     every = np.arange(FOLDS)
     model, others = learned(every), [learned(np.delete(every, f)) for f in range(FOLDS)]
     # K: passages that clean texts have under tables learned without them, against
     # exp(-λ·score) at the least score
     got = segment_stats(sample, others)
     none = got[:, 0] == 0
-    least = min(model.table.values(), default=0.0)
+    least = min((x for x in model.table.values() if x > 0), default=0.0)
     k = max(0.1, float(got[none, 2].sum())) / (max(1.0, float(got[none, 1].sum())) * math.exp(-model.lam * least))
     for m in (model, *others):
         m.k = k
@@ -243,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: int = 2, id_
 
 def _lambda(scores: np.ndarray, p: np.ndarray, drift: float) -> float:
     """The positive root of E[exp(λ·score)] = 1 for clean tokens (bisection)."""
-    if not len(scores):
+    if not (scores > 0).any():
         return 1.0
 
     def excess(x):
@@ -264,12 +242,10 @@ def segment_stats(sample: DataFrame, models: list[ToxicModel]) -> np.ndarray:
 
     @lean
     def run(batches):
-        finders = [Finder(m.table) for m in shared.value]
         for b in slices(batches):
             out = []
             for text, y, fold in zip(*(b.column(i).to_pylist() for i in range(3))):
-                m, low = shared.value[fold], lowered(text)
-                got, n, evidence = m.judge(finders[fold], low)
+                got, n, evidence = shared.value[fold].judge(lowered(text))
                 out.append((y, n, len(got), evidence))
             yield pa.RecordBatch.from_arrays([pa.array([float(r[i]) for r in out], pa.float64()) for i in range(4)],
                                              ["y", "n", "found", "evidence"])
@@ -313,15 +289,15 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col:
     @lean
     def run(batches):
         m = shared.value
-        finder = Finder(m.table)
         for b in slices(batches):
             scores, spans = [], []
             for text in b.column(1).to_pylist():
                 low = lowered(text)
-                got, n, evidence = m.judge(finder, low)
+                got, n, evidence = m.judge(low)
                 scores.append(m.score(evidence))
-                spans.append([{"start": a, "end": z, "score": s, "e_value": m.k * n * math.exp(-m.lam * s)}
-                              for a, z, s in got])
+                at = [w.span() for w in WORD.finditer(low)] if got else []
+                spans.append([{"start": at[a][0], "end": at[z][1], "score": s, "e_value": m.k * n * math.exp(-m.lam * s)}
+                              for a, z, s, _ in got])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
                                              ["doc_id", "score", "passages"])
     src = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("t"))
@@ -337,12 +313,10 @@ def keep_clean(docs: DataFrame, model: ToxicModel, at: float, text_col: str = "t
     @lean
     def run(batches):
         m = shared.value
-        finder = Finder(m.table)
         for b in slices(batches):
             keep = []
             for text in b.column(column).to_pylist():
-                low = lowered(text or "")
-                keep.append(m.score(m.judge(finder, low)[2]) < at)
+                keep.append(m.score(m.judge(lowered(text or ""))[2]) < at)
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 

@@ -170,3 +170,30 @@ def test_keep_one(spark):
     assert got.columns == df.columns
     want = {c for _, _, c in brute_components(left)}
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(want)
+
+
+def test_merge_of_many_filters():
+    """A range's filters of many tasks: the same counts as one count of all."""
+    rnd = np.random.default_rng(9)
+    every, filters = [], []
+    for _ in range(37):
+        v = rnd.integers(0, 400, rnd.integers(1, 60)).astype(np.uint64) << np.uint64(40)
+        every.append(v)
+        filters.append(exact_dedup.CountingQuotientFilter.build(*np.unique(v, return_counts=True), 4))
+    got, want = exact_dedup.CountingQuotientFilter.merge(filters), np.unique(np.concatenate(every), return_counts=True)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    assert len(exact_dedup.CountingQuotientFilter.merge([])[0]) == 0
+
+
+def test_hot_repeated_rows_keep_one(spark, monkeypatch):
+    """One row many times, with a null key too: one of them stays, none is lost."""
+    monkeypatch.setattr(exact_dedup, "CHUNK_ROWS", 7)
+    data = [(5, "same", "en", "s", 4)] * 50 + [(None, "nil", "en", "s", 3)] * 15 + [(9, "same", "en", "s", 4)] * 20 + [(1, "x", "en", "s", 1)]
+    df = spark.createDataFrame(data, DOC_SCHEMA)
+    got = exact_dedup.exact_groups(df).collect()
+    assert len(got) == 86
+    assert sorted((r.doc_id, r.group_size) for r in got if r.kept and r.doc_id) == [(1, 1), (9, 70)]
+    assert sum(r.kept for r in got) == 3
+    kept = exact_dedup.deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "nil"), (1, "x"), (9, "same")]

@@ -70,6 +70,37 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i in range(400) if i % 4}
 
 
+def test_toxicity_counts_words_whatever_divides_them(spark):
+    """Spaces, tabs, CR, NBSP and blank lines between the same words: same passages, same
+    score; clean evidence between two toxic words parts them."""
+    docs, labels = toxic_set(200, 7)
+    docs = [(i, t if i % 4 == 0 else t + " harvest harvest", *more) for i, t, *more in docs]
+    model = toxicity.fit(spark.createDataFrame(docs, DOC_SCHEMA), spark.createDataFrame(labels, LABELS))
+    words = ["snarl", *["river"] * 200, "grumble"]
+    texts = [sep.join(words) for sep in (" ", "\t", "\r", "\u00a0", "\n\n", "   ")]
+    got = [model.judge(t) for t in texts]
+    assert all(g == got[0] for g in got) and got[0][1] == 202 and len(got[0][0]) == 2
+    assert model.table["harvest"] < -model.drift  # clean evidence counts
+    near = toxicity.passages(["snarl", "qqq", "grumble"], model.table, model.drift)
+    apart = toxicity.passages(["snarl", "harvest", "harvest", "harvest", "harvest", "grumble"], model.table, model.drift)
+    assert len(near) == 1 and len(apart) == 2
+
+
+def test_passages_equal_brute_force():
+    rnd = random.Random(3)
+    table = {"a": 2.0, "b": 1.0, "c": -1.5}
+    for _ in range(200):
+        words = [rnd.choice("abcdef") for _ in range(rnd.randrange(30))]
+        got = toxicity.passages(words, table, 0.5)
+        want = brute_segments([table.get(w, -0.5) for w in words])
+        assert sorted(round(x, 6) for *_, x, _ in got) == sorted(round(x, 6) for *_, x in want)
+        for a, z, s, new in got:
+            assert abs(sum(table.get(w, -0.5) for w in words[a:z + 1]) - s) < 1e-9
+            once = [0.0 if table.get(w, 0) > 0 and w in words[:i] else table.get(w, -0.5)
+                    for i, w in enumerate(words[a:z + 1], a)]
+            assert abs(new - max([0.0] + [sum(once[i:j]) for i in range(len(once)) for j in range(i + 1, len(once) + 1)])) < 1e-9
+
+
 def test_held_out_labels_are_not_learned(spark):
     docs, labels = toxic_set(120, 2)
     df = spark.createDataFrame(docs, DOC_SCHEMA)
