@@ -4,7 +4,9 @@ Tokens get log-odds of the toxic against the clean class under an informative
 Dirichlet prior, whose pseudo-counts follow the token's frequency in all
 documents.  Every token scores its own log-odds, toxic or clean, drawn towards
 zero by a standard error, less ``DRIFT``; log-odds within ``MIN_Z`` standard errors
-of zero, and those of tokens that the labelled sample does not hold, are zero.  Toxic evidence must occur in ``MIN_DOCS`` toxic documents of the
+of zero, and those of tokens that the labelled sample does not hold, are zero.
+Tokens whose plain rates in the sample do not differ clearly are taken as zero
+before their corpus frequency is looked up.  Toxic evidence must occur in ``MIN_DOCS`` toxic documents of the
 sample.  One linear scan over all tokens of a text finds its maximal scoring
 segments — the toxic passages.  Under the clean model the
 scores of maximal segments follow an extreme-value law, so a segment of score
@@ -189,7 +191,14 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: int = 2, id_
     if not n_t.sum() or not n_c.sum():
         return ToxicModel({}, DRIFT, 1.0, 1.0, 30.0 if n_t.sum() else -30.0, 0.0)
 
-    likely = counts.collect()  # the words of the bounded sample
+    def added(c):
+        return F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    t, c = added("toxic_n"), added("clean_n")
+    # tokens that can score: twice as frequent in toxic texts, or rarer there by MIN_Z
+    # standard errors (half an occurrence added); the others score as unknown tokens do
+    toxic_side = (added("toxic_docs") >= MIN_DOCS) & (t / n_t.sum() > 2 * c / n_c.sum())
+    clean_side = F.log((c + 0.5) / (t + 0.5)) + math.log(n_t.sum() / n_c.sum()) > MIN_Z * F.sqrt(1 / (c + 0.5) + 1 / (t + 0.5))
+    likely = counts.filter(toxic_side | clean_side).collect()  # bounded by the sample
     corpus, total = corpus_counts(docs, [r["word"] for r in likely], text_col)
     words = [r["word"] for r in likely]
     toxic, clean, in_docs = (np.array([r[c] for r in likely], float).reshape(-1, FOLDS) for c in COUNTS)
