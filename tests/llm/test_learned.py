@@ -149,14 +149,44 @@ def test_quality_without_labels(spark):
 
 
 def test_context_counts_are_neighbours(spark):
-    df = spark.createDataFrame([(1, "a b a", "", "", 0), (2, "b", "", "", 0), (3, None, "", "", 0)], DOC_SCHEMA)
-    context, seen = quality_net.context_counts(df)
-    a, b = quality_net.ids_of("a b").tolist()
-    at, sign = quality_net.index_vectors()
-    want = np.zeros(quality_net.DIMS)
-    for k in range(quality_net.NONZERO):
-        want[at[a, k]] += 2 * sign[a, k]
-    assert np.allclose(context[b], want) and seen[a] == seen[b] == 2
+    texts = ["a b a", "b", None, "", "don't can't he's don't", "A " * 50 + "rare-1 b"]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], DOC_SCHEMA)
+    keys = quality_net.frequent_words(df)
+    context, seen = quality_net.context_counts(df, keys)
+    want, n = {}, {}
+    for t in texts:
+        w = (t or "").lower().split()
+        for i, x in enumerate(w):
+            n[x] = n.get(x, 0) + 1
+            by = w[max(0, i - 1):i] + w[i + 1:i + 2]
+            want[x] = want.get(x, 0) + sum((quality_net.index_vectors(quality_net.hashes_of(y))[0] for y in by),
+                                           np.zeros(quality_net.DIMS))
+    assert len(keys) == len(want) == 6  # words with apostrophes and symbols stay apart
+    for x, v in want.items():
+        (row,), (there,) = quality_net.places(keys, quality_net.hashes_of(x))
+        assert there and (context[row] == v).all() and seen[row] == n[x]
+
+
+def test_frequent_words_hold_their_share(spark, monkeypatch):
+    monkeypatch.setattr(quality_net, "SHARES", 10)
+    df = spark.createDataFrame([(1, "a " * 12 + "b " * 2 + "c d e f g h", "", "", 0)], DOC_SCHEMA)
+    got = set(quality_net.frequent_words(df).tolist())
+    assert got == set(quality_net.hashes_of("a b").tolist())  # 12 and 2 of 20 words; the others 1
+
+
+def test_index_vectors_differ_and_long_texts_pool_whole(monkeypatch):
+    every = quality_net.hashes_of(" ".join(f"word{i}" for i in range(50_000)))
+    assert len(np.unique(quality_net.index_vectors(every), axis=0)) == 50_000
+    keys = np.sort(every[:1_000])
+    vectors = quality_net.WordVectors(keys, np.random.default_rng(1).normal(size=(1_000, quality_net.DIMS)).astype(np.float32))
+    texts = ["", "x", " ".join(f"word{i % 700}" for i in range(5_000)), "word1 word1 zz"]
+    whole = quality_net.pooled(texts, vectors)
+    monkeypatch.setattr(quality_net, "PIECE", 64)
+    assert np.allclose(whole, quality_net.pooled(texts, vectors), atol=1e-4) and not whole[0].any()
+    v, known = vectors.of(quality_net.hashes_of(texts[3]))
+    assert np.allclose(whole[3, :quality_net.DIMS], v.mean(0), atol=1e-5)
+    assert np.allclose(whole[3, quality_net.DIMS:2 * quality_net.DIMS], v.std(0), atol=1e-3)
+    assert known.tolist() == [True, True, False] and np.isclose(whole[3, -1], 2 / 3)
 
 
 def test_pipeline_stages(spark, tmp_path):
