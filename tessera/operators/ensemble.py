@@ -78,6 +78,9 @@ def load(spark: SparkSession, path: str):
         members = [load(spark, f"{path}/member{i}") for i in range(len(row["weights"]))]
         return StackingModel(members, load(spark, f"{path}/meta")) if row["kind"] == "stacking" \
             else VotingModel(members, row["weights"])
+    if path_exists(spark, f"{path}/boost"):
+        from tessera.operators.hist_boost import HistogramBoost
+        return HistogramBoost.load(spark, path)
     if path_exists(spark, f"{path}/refs"):
         return KnnPipeline.load(spark, path)
     return PipelineModel.load(path)
