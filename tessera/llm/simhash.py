@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import slices
-from tessera.llm.common import counted_side, id_of, join_by_group, lean, packed, text_of
+from tessera.llm.common import BROADCAST_ROWS, counted_side, id_of, join_by_group, lean, packed, text_of
 from tessera.session import materialize
 
 SEED = 42
@@ -294,8 +294,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, one of each component: that with
-    the smallest key (of several with this key, the smallest text hash).  Rows
-    must be unique on (key, text), as after exact deduplication."""
+    the smallest key (of several with this key, the smallest text hash; of repeated
+    rows with this key and text, the one of the least row hash)."""
     rows = materialize(near_duplicates(docs, shingle, max_bits, id_col, text_col))
     head = F.col("doc_id").eqNullSafe(F.col("component_id"))
     first = rows.filter(head).groupBy("root").agg(F.min("text_hash").alias("__h"), F.count(F.lit(1)).alias("__n"))
@@ -304,8 +304,15 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str =
     drop = rows.filter(~head).select("doc_id", "text_hash").unionByName(more.select("doc_id", "text_hash"))
     drop = counted_side(drop)
     key = packed(docs, d=id_of(id_col), t=F.xxhash64(text_of(text_col)))
-    return key.join(drop, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")), "left_anti") \
-        .select("row.*")
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash"))
+    kept = key.join(drop, same, "left_anti")
+    again = materialize(rows.filter(head).groupBy("doc_id", "text_hash").count().filter("count > 1").drop("count"))
+    n_again = again.count()
+    if not n_again:
+        return kept.select("row.*")
+    again = F.broadcast(again) if n_again <= BROADCAST_ROWS else again
+    one = kept.join(again, same, "left_semi").groupBy("d", "t").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def hex_of(fp: str):

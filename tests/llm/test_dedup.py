@@ -185,6 +185,17 @@ def test_merge_of_many_filters():
     assert len(exact_dedup.CountingQuotientFilter.merge([])[0]) == 0
 
 
+def test_keep_one_of_repeated_rows(spark):
+    same = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"other{i * 7}" for i in range(40))
+    docs = [(1, same, "en", "s", 0)] * 3 + [(1, same, "de", "t", 1), (5, same, "en", "s", 0)] * 2 \
+        + [(2, other, "en", "s", 0), (None, None, "en", "s", 0), (None, None, "en", "s", 0)]
+    got = simhash.keep_one(spark.createDataFrame(docs, DOC_SCHEMA).repartition(3)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 1), (False, 2), (True, 0)]
+    again = simhash.keep_one(spark.createDataFrame(docs[::-1], DOC_SCHEMA)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_hot_repeated_rows_keep_one(spark, monkeypatch):
     """One row many times, with a null key too: one of them stays, none is lost."""
     monkeypatch.setattr(exact_dedup, "CHUNK_ROWS", 7)
