@@ -7,15 +7,10 @@ from pyspark.sql import functions as F
 from tessera.operators import profile as ag
 from tessera.plans.catalog import register
 from tessera.plans.catalog.common import R, encoded_subscribers, rnd
-from tessera.plans.config import BOX_COLUMNS, CORR_COLUMNS, SKEW_COLUMNS, TERNARY_PROFILE
+from tessera.plans.config import BOX_COLUMNS, CORR_COLUMNS, RAW_COLUMNS, SKEW_COLUMNS, TERNARY_PROFILE
 from tessera.sources import frames
 from tessera.session import table
 
-RAW21 = ["customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "tenure",
-         "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup",
-         "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies", "Contract",
-         "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Churn"]
-
 
 def _round_all(df, digits=R):
     return ag_round(df, digits)
@@ -45,9 +40,9 @@ def _missing_sql(cols, src):
     return "\nUNION ALL ".join(parts)
 
 
-@register("ag2_missing_profile", _missing_sql(RAW21, "enc"), ("enc",))
+@register("ag2_missing_profile", _missing_sql(list(RAW_COLUMNS), "enc"), ("enc",))
 def ag2_missing_profile(spark, sf):
-    return ag.missing_profile(encoded_subscribers(spark, sf), RAW21)
+    return ag.missing_profile(encoded_subscribers(spark, sf), list(RAW_COLUMNS))
 
 
 # ---- AG3 -----------------------------------------------------------------------
