@@ -155,6 +155,39 @@ def test_knn_cells_prune_clustered_vectors(spark, metric, monkeypatch):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_copies_of_a_query_stay_few_where_nothing_is_pruned(spark, metric):
+    """Random vectors of 32 dimensions, some ids repeated: brute force's neighbours, and a
+    query is copied to a handful of cells, not to nearly every one of √n."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(700, 32))
+    ids = [*range(690), *[5] * 10]
+    df = spark.createDataFrame([(i, row.tolist(), 0) for i, row in zip(ids, v)], "vec_id long, embedding array<double>, label int")
+    plan = knn.plan_cells(df, df, 4, metric)
+    assert plan.queries.agg(F.max(F.size("cells"))).first()[0] <= max(8, spark.sparkContext.defaultParallelism)
+    got = sorted((r.qid, r.rid) for r in knn.knn_neighbors(df.where("vec_id <> 5"), df, 4, metric).collect())
+    want = []
+    for i in set(range(690)) - {5}:
+        diff = v - v[i]
+        dist = np.sqrt((diff * diff).sum(1)) if metric == "euclidean" else np.abs(diff).sum(1)
+        dist[i] = np.inf
+        want += [(i, ids[j]) for j in np.argsort(dist)[:4]]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_estimates_lose_no_neighbour_far_from_the_origin(metric):
+    """Differences near or below the error of the estimates: the full sort decides."""
+    rng = np.random.default_rng(4)
+    for offset, scale in ((1e6, 1e-3), (1e160, 1e150), (0.0, 1e-30), (1.0, 1e-12)):
+        q, r = (offset + scale * rng.normal(size=(n, 5)) for n in (9, 300))
+        out = knn._block_topk(3, metric, False)(pd.DataFrame({"id": range(9), "vec": list(q)}), pd.DataFrame(
+            {"id": range(300), "vec": list(r), "label": np.zeros(300, int)}))
+        d = knn._distances(q, r, metric)
+        want = [(i, j) for i in range(9) for j in np.lexsort((np.arange(300), d[i]))[:3] if np.isfinite(d[i, j])]
+        assert list(zip(out.qid, out.rid)) == want
+
+
 def test_knn_awkward_rows(spark):
     """Null, NaN and infinite vectors have no neighbours and are nobody's; few
     references are all returned; none give none."""
