@@ -242,8 +242,10 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: S
 
     Rows get one hash rank, written once.  A (feature, repeat) permutes the ranks
     by a random affine map r → a·r + b mod n (a coprime to n), so no further
-    sort is needed.  What is shuffled for each (row, feature, repeat) is only the
-    rank and one value; the full row is joined back inside the scoring task.
+    sort is needed.  Every row sends each value to the rank that the inverse map
+    gives: what is shuffled for each (row, feature, repeat) is only a rank and one
+    value, and the full row is joined back inside the scoring task.  Both sides of
+    that join grow with the rows, so neither is broadcast.
     All features × repeats go through the model in one ``transform`` and one
     grouped exact AUC.
     """
@@ -265,14 +267,14 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: S
     for i in range(len(features)):
         for rep in range(repeats):
             a, b = permutation()
-            combos.append(F.struct(F.lit(i).alias("__fi"), F.lit(rep).alias("__rep"), F.lit(a).cast("decimal(38,0)").alias("a"),
-                                   F.lit(b).cast("decimal(38,0)").alias("b")))
-    moved = base.select("__r", F.explode(F.array(*combos)).alias("c")).select(
-        "__r", "c.__fi", "c.__rep", F.pmod(F.col("c.a") * F.col("__r").cast("decimal(19,0)") + F.col("c.b"), F.lit(max(1, n)))
-        .cast("bigint").alias("__from"))
-    values = base.select(F.col("__r").alias("__from"), F.posexplode(
-        F.array(*[F.col(f"`{c}`").cast("double") for c in features])).alias("__fi", "__value"))
-    permuted = moved.join(values, ["__from", "__fi"]).drop("__from").join(base, "__r")
+            combos.append(F.struct(F.lit(i).alias("__fi"), F.lit(rep).alias("__rep"),
+                                   F.lit(pow(a, -1, max(1, n))).cast("decimal(38,0)").alias("inverse"),
+                                   F.lit(max(1, n) - b).cast("decimal(19,0)").alias("back")))
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    sent = base.select("__r", values.alias("v"), F.explode(F.array(*combos)).alias("c")).select(
+        F.pmod(F.col("c.inverse") * (F.col("__r").cast("decimal(19,0)") + F.col("c.back")), F.lit(max(1, n)))
+        .cast("bigint").alias("__r"), "c.__fi", "c.__rep", F.get("v", F.col("c.__fi")).alias("__value"))
+    permuted = sent.hint("merge").join(base.hint("merge"), "__r")
     permuted = permuted.withColumns({c: F.when(F.col("__fi") == i, F.col("__value")).otherwise(F.col(f"`{c}`"))
                                      for i, c in enumerate(features)})
     scored = predict(model, permuted, keep=["__fi", "__rep", label]).withColumnRenamed(label, "y")

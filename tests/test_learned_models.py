@@ -461,6 +461,20 @@ def test_permutation_importance_finds_the_signal(spark):
     assert set(got) == set(COLS) and got["a"] > 0.15 > abs(got["b"])
 
 
+def test_permutation_importance_broadcasts_no_rows(spark, monkeypatch):
+    """The values of all rows and features are neither broadcast nor exploded on both sides."""
+    from tessera.functions import prefix
+    df, seen = churn_frame(spark, 200), []
+    model = ml.fit_pipeline(df, COLS, "logistic_regression")
+    monkeypatch.setattr(me, "materialize", lambda d, *a: seen.append(d) or materialize(d, *a))
+    from tessera.session import materialize
+    want = me.permutation_importance(model, df, COLS, ["customerID"], "Churn", repeats=2)
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in seen]
+    scored = next(p for p in plans if "Generate" in p)
+    assert "BroadcastHashJoin" not in scored and scored.count("Join") == 1
+    assert want.count() == len(COLS) and prefix.BUCKET not in want.columns
+
+
 def test_many_categories_and_classes(spark, monkeypatch):
     from tessera.functions.features import learn_categories
     df = spark.range(2400).selectExpr("CAST(id % 1200 AS STRING) AS c", "CAST(id % 1200 AS INT) AS y")
