@@ -169,6 +169,8 @@ def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[
 
 #: Cells (weight vectors × score bins) of one bounding pass; bins of the finest pass at most.
 CELLS, MOST_BINS = 1 << 20, 1 << 16
+#: Levels that a task adds up together.
+LEVELS_AT_ONCE = 1 << 15
 
 
 def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int, y: str = "y") -> np.ndarray:
@@ -181,21 +183,34 @@ def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int
     k, v = len(models), len(grid)
     share = grid / grid.sum(axis=1, keepdims=True)
 
-    def run(batches):
-        total = np.zeros((v, 2, bins))
+    def chunks(batches):
+        held, n = [], 0
         for b in batches:
-            for i in range(0, b.num_rows, 1_024):
-                s = b.slice(i, 1_024)
-                x = np.column_stack([s.column(j).to_numpy(zero_copy_only=False) for j in range(k)])
-                pos = s.column(k).to_numpy(zero_copy_only=False) == 1
-                w = s.column(k + 1).to_numpy(zero_copy_only=False).astype(float)
-                cell = np.clip((x @ share.T * bins).astype(np.int64), 0, bins - 1)
-                for side, mine in ((0, ~pos), (1, pos)):
-                    at = (np.arange(v) * bins + cell[mine]).ravel()
-                    total[:, side] += np.bincount(at, np.repeat(w[mine], v), v * bins).reshape(v, bins)
+            held, n = [*held, b], n + b.num_rows
+            if n >= LEVELS_AT_ONCE:
+                yield pa.Table.from_batches(held)
+                held, n = [], 0
+        if n:
+            yield pa.Table.from_batches(held)
+
+    def run(batches):
+        total = np.zeros((v, 2 * bins))
+        for s in chunks(batches):
+            x = [s.column(j).to_numpy() for j in range(k)]
+            side = np.where(s.column(k).to_numpy() == 1, bins, 0)
+            w = s.column(k + 1).to_numpy().astype(float)
+            for i in range(v):  # one vector at a time: its cells and histogram stay in the cache
+                vote = x[0] * share[i, 0]
+                for j in range(1, k):
+                    vote += x[j] * share[i, j]
+                vote *= bins
+                cell = vote.astype(np.int64)
+                np.clip(cell, 0, bins - 1, out=cell)
+                cell += side
+                total[i] += np.bincount(cell, w, 2 * bins)
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(v), pa.int32()), pa.array(
-                list(total.reshape(v, -1)), pa.list_(pa.float64()))], ["k", "v"])
+                list(total), pa.list_(pa.float64()))], ["k", "v"])
     sums = lv.select(*models, F.col(y), "__w").mapInArrow(run, "k int, v array<double>") \
         .groupBy("k").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
 

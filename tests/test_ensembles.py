@@ -89,6 +89,18 @@ def test_bounded_search_is_the_whole_grid(spark):
     assert all(low <= a + 1e-12 and a <= high + 1e-12 for (low, high), a in zip(bounds, aucs[::50]))
 
 
+def test_vote_bounds_do_not_depend_on_the_levels_added_up_together(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.randint(0, 1), rng.random(), round(rng.random(), 1), rng.randint(1, 4)) for _ in range(300)]
+    lv = spark.createDataFrame(rows, "y int, u double, v double, __w long").repartition(3)
+    grid, got = np.array([[1, 1], [3, 1], [1, 9]], float), []
+    for at_once in (7, 1 << 15):
+        monkeypatch.setattr(sel, "LEVELS_AT_ONCE", at_once)
+        got.append(sel.auc_bounds(lv, ["u", "v"], grid, 40))
+    assert np.array_equal(*got) and (got[0][:, 0] <= got[0][:, 1]).all()
+    assert not sel.auc_bounds(lv.limit(0), ["u", "v"], grid, 40).any()
+
+
 def test_promotion_survives_crashes_and_races(spark, tmp_path):
     root = str(tmp_path / "reg")
 
