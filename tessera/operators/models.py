@@ -120,7 +120,8 @@ def build_estimator(name: str, params: dict | None = None, n_rows: float | None
                                       seed=seed, **common)
     if name == "random_forest":
         mf = p.get("max_features")
-        return RandomForestClassifier(numTrees=int(p["n_estimators"]), maxDepth=_depth(p),
+        # every row keeps the node it is in: else each pass ships all trees grown so far to every task
+        return RandomForestClassifier(numTrees=int(p["n_estimators"]), maxDepth=_depth(p), cacheNodeIds=True,
                                       featureSubsetStrategy=str(float(mf)) if mf else "sqrt",
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                       seed=seed, **common)

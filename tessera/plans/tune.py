@@ -39,6 +39,7 @@ from tessera.plans.selection import best_weights, expand_grid, top_n_models, vot
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
 MAX_FOLD_THREADS = 10
+SLOW_FITS = ("random_forest", "gradient_boosting", "xgboost", "lightgbm")
 # FIXED VALUES: draws of a random search and of a search tuned jointly with the reduction
 N_ITER, N_TRIALS = 50, 30
 
@@ -221,10 +222,11 @@ def fit_members(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Seque
     pool: set → members."""
     for part in parts:
         fd.numbers(tuple(part))  # prepared before the fits ask for it at once
-    jobs = [(part, n, p) for part in parts for n, p in base]
+    jobs = [(part, i) for part in parts for i in range(len(base))]
+    jobs.sort(key=lambda j: base[j[1]][0] not in SLOW_FITS)  # long fits first: none is left to run alone
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs)))) as ex:
-        got = list(ex.map(lambda j: fd.fit(tuple(j[0]), j[1], j[2], None, seed), jobs))
-    return {part: got[i * len(base):(i + 1) * len(base)] for i, part in enumerate(parts)}
+        got = dict(zip(jobs, ex.map(lambda j: fd.fit(tuple(j[0]), *base[j[1]], None, seed), jobs)))
+    return {part: [got[part, i] for i in range(len(base))] for part in parts}
 
 
 def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13, parallelism: int | None = None,
@@ -237,8 +239,13 @@ def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13,
     if members is None:
         members = fit_members(fd, base, [frozenset((*without, f)) for f in folds], seed, parallelism)
     cols = [*fd.key, fd.fold, fd.label, *map(member_column, range(len(base)))]
-    parts = [VotingModel(members[frozenset((*without, f))], [1.0] * len(base)).scores(fd.part(f))
-             .select(*[F.col(f"`{c}`") for c in cols]) for f in folds]
+
+    def one(f):  # kNN members search while their scores are asked for: folds at once
+        scored = VotingModel(members[frozenset((*without, f))], [1.0] * len(base)).scores(fd.part(f))
+        return scored.select(*[F.col(f"`{c}`") for c in cols])
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(folds)))) as ex:
+        parts = list(ex.map(one, folds))
     return materialize(_union(parts))
 
 

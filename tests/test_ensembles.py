@@ -118,3 +118,32 @@ def test_promotion_survives_crashes_and_races(spark, tmp_path):
         got = list(ex.map(lambda r: rg.promote_if_better(spark, root, r, "m", 0.9, 0.5, model), ["r3", "r4"]))
     assert sorted(got, key=str) == [4, None]
     assert sorted(r.version for r in rg.versions(spark, root).collect()) == [1, 3, 4]
+
+
+def test_forest_rows_keep_their_nodes_and_trees_stay_the_same(spark):
+    from tessera.operators import models as ml
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(400).selectExpr("cast(id % 7 as double) a", "cast(id * id % 31 as double) b", "1.0 + id % 2 weight",
+                                     "cast(id * 13 % 5 < 2 as double) label")
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    est = ml.build_estimator("random_forest", {"n_estimators": 6})
+    assert est.getCacheNodeIds()
+    assert est.fit(data).toDebugString.split("\n", 1)[1] == \
+        est.copy({est.cacheNodeIds: False}).fit(data).toDebugString.split("\n", 1)[1]
+
+
+def test_long_fits_start_first_and_members_keep_their_order(monkeypatch):
+    from tessera.plans import tune
+
+    class Fake:
+        def numbers(self, without):
+            return None
+
+        def fit(self, without, name, params, reduction, seed):
+            begun.append(name)
+            return name, tuple(without)
+    begun, base = [], [("knn", None), ("xgboost", None), ("svc", None), ("random_forest", None)]
+    parts = [frozenset([0]), frozenset([1])]
+    got = tune.fit_members(Fake(), base, parts, parallelism=1)
+    assert begun == ["xgboost", "random_forest"] * 2 + ["knn", "svc"] * 2
+    assert got == {p: [(n, tuple(p)) for n, _ in base] for p in parts}
