@@ -147,3 +147,17 @@ def test_long_fits_start_first_and_members_keep_their_order(monkeypatch):
     got = tune.fit_members(Fake(), base, parts, parallelism=1)
     assert begun == ["xgboost", "random_forest"] * 2 + ["knn", "svc"] * 2
     assert got == {p: [(n, tuple(p)) for n, _ in base] for p in parts}
+
+
+def test_boosted_presets_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+    from tessera.operators import models as ml
+    from tessera.plans.catalog import models as cat
+    together = threading.Barrier(3, timeout=30)
+    d = spark.createDataFrame([("a", 0, False), ("b", 1, True)], "customerID string, Churn int, is_test boolean")
+    monkeypatch.setattr(cat, "_split", lambda *_: d)
+    monkeypatch.setattr(ml, "fit_preparation", lambda *_: None)
+    monkeypatch.setattr(ml, "fit_pipeline", lambda *a: (together.wait(), a[2])[1])
+    monkeypatch.setattr(ml, "predict", lambda m, df, keep: df.selectExpr(*keep, f"'{m}' fitted"))
+    rows = cat.ml4_boosted_trees(spark, "").collect()
+    assert sorted((r.customerID, r.model, r.fitted) for r in rows) == sorted(("b", n, n) for n in ml.BOOSTED_DEFAULT_DEPTH)
