@@ -20,6 +20,7 @@ shuffle; memory is bounded by ``STEP_CHARS`` plus one text.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -97,6 +98,11 @@ class ByteBpe:
 
     def merge_short(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of each word (1 to SHORT bytes) by the contiguous rank array."""
+        part, n = self._merge_stacked(words)
+        return [row[:k] for row, k in zip(part, n.tolist())]
+
+    def _merge_stacked(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words of ``merge_short``, a row each, and how many of a row count."""
         n = np.array([len(w) for w in words])
         wide = int(n.max())
         raw = np.frombuffer(b"".join(w.ljust(wide, b"\0") for w in words), np.uint8)
@@ -106,7 +112,7 @@ class ByteBpe:
         if wide > 1:
             rank[:, :-1] = self._rank(part[:, :-1], part[:, 1:])
             rank[col[None, :] >= (n - 1)[:, None]] = NO_RANK
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
+        out, size = np.zeros((len(words), wide), np.int32), np.zeros(len(words), np.int64)
         who = np.arange(len(words))
         while len(who):
             rows = np.arange(len(who))
@@ -114,8 +120,7 @@ class ByteBpe:
             low = rank[rows, j]
             live = low != NO_RANK
             if not live.all():
-                for r in np.flatnonzero(~live):
-                    out[who[r]] = part[r, :n[r]].copy()
+                out[who[~live]], size[who[~live]] = part[~live], n[~live]
                 who, part, rank, n, j, low = (x[live] for x in (who, part, rank, n, j, low))
                 if not len(who):
                     break
@@ -134,7 +139,7 @@ class ByteBpe:
             has = j < n - 1
             rank[rows[has], j[has]] = self._rank(part[rows[has], j[has]], part[rows[has], j[has] + 1])
             rank[rows[~has], j[~has]] = NO_RANK
-        return out
+        return out, size
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """Token ids of one long word: the same merges from a heap of ranked pairs."""
@@ -158,14 +163,28 @@ class ByteBpe:
                     heapq.heappush(heap, (q, lo, part[lo], part[hi]))
         return np.array([p for p in part if p >= 0], np.int32)
 
+    def encode_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of distinct pre-tokens end to end, and per word where its ids start and
+        how many there are; neighbours in length share a rank array."""
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        n_short = sum(len(w) <= SHORT for w in words)
+        ids, lens = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for i in range(0, n_short, 8192):
+            part, n = self._merge_stacked([words[j] for j in order[i:min(i + 8192, n_short)]])
+            ids.append(part[np.arange(part.shape[1]) < n[:, None]])
+            lens.append(n)
+        for j in order[n_short:]:
+            ids.append(self.merge_long(words[j]))
+            lens.append(np.array([len(ids[-1])], np.int64))
+        starts, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        n = np.concatenate(lens)
+        size[order], starts[order] = n, np.cumsum(n) - n
+        return np.concatenate(ids), starts, size
+
     def encode_words(self, words: list[bytes]) -> dict[bytes, np.ndarray]:
-        """Token ids of distinct pre-tokens; neighbours in length share a rank array."""
-        short = sorted((w for w in words if len(w) <= SHORT), key=len)
-        out = {w: self.merge_long(w) for w in words if len(w) > SHORT}
-        for i in range(0, len(short), 8192):
-            step = short[i:i + 8192]
-            out.update(zip(step, self.merge_short(step)))
-        return out
+        """Token ids of distinct pre-tokens."""
+        ids, starts, size = self.encode_flat(words)
+        return {w: ids[i:i + n] for w, i, n in zip(words, starts.tolist(), size.tolist())}
 
     # -- texts -----------------------------------------------------------
     def _pieces(self, text: str) -> list[str]:
@@ -188,23 +207,26 @@ class ByteBpe:
     def _learn(self, keys: set[str]) -> None:
         if len(self.index) + len(keys) > MAX_PIECES:
             self.forget()
-        words = {k: [w.encode() for w in self.pattern.findall(self._spelled(k))] for k in keys}
-        ids = self.encode_words(list({w for ws in words.values() for w in ws}))
-        none = np.zeros(0, np.int32)
-        rows = [np.concatenate([ids[w] for w in ws]) if ws else none for ws in words.values()]
-        size, first = np.array([len(r) for r in rows], np.int64), len(self.index)
-        total = int(size.sum())
+        found = [self.pattern.findall(self._spelled(k)) for k in keys]
+        words = list(itertools.chain.from_iterable(found))
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        at = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
+        ids, starts, n = self.encode_flat([w.encode() for w in distinct])
+        got = gathered(ids, starts[at], n[at])
+        ends = np.concatenate([[0], np.cumsum(n[at])])
+        last = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        size, first, total = np.diff(ends[last], prepend=0), len(self.index), len(got)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(rows) > len(self.starts):
+        while first + len(size) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lens = np.concatenate([self.lens, np.zeros_like(self.lens)])
         if total:
-            self.flat[self.used:self.used + total] = np.concatenate(rows)
-        self.starts[first:first + len(rows)] = self.used + np.cumsum(size) - size
-        self.lens[first:first + len(rows)] = size
+            self.flat[self.used:self.used + total] = got
+        self.starts[first:first + len(size)] = self.used + np.cumsum(size) - size
+        self.lens[first:first + len(size)] = size
         self.used += total
-        self.index.update(zip(words, range(first, first + len(rows))))
+        self.index.update(zip(keys, range(first, first + len(size))))
 
     def _units(self, text: str) -> list[str | int]:
         """Texts between special tokens, and the ids of special tokens."""
@@ -241,11 +263,8 @@ class ByteBpe:
         for step in steps(texts):
             shape, at = self._located(step)
             size = self.lens[at]
-            ends = np.cumsum(size)
-            hop = np.repeat(self.starts[at] - (ends - size), size)
-            hop += np.arange(len(hop))
-            ids = self.flat[hop]
-            ends = np.concatenate([[0], ends])
+            ids = gathered(self.flat, self.starts[at], size)
+            ends = np.concatenate([[0], np.cumsum(size)])
             piece = 0
             for units in shape:
                 got = []
@@ -278,6 +297,13 @@ class ByteBpe:
         return b"".join([self.token_bytes.get(i, b"") for i in ids.tolist()]).decode("utf-8", "replace")
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices ``flat[start:start + size]``, end to end."""
+    hop = np.repeat(starts - (np.cumsum(size) - size), size)
+    hop += np.arange(len(hop))
+    return flat[hop]
+
+
 def steps(texts: list[str]) -> Iterator[list[str]]:
     """Slices of a batch with about STEP_CHARS characters each."""
     step: list[str] = []

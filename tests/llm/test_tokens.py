@@ -45,6 +45,16 @@ def test_long_words_merge_alike():
         assert b.merge_long(w).tolist() == b.merge_short([w])[0].tolist()
 
 
+def test_words_merged_end_to_end_are_those_merged_alone():
+    b = bpe.load(PATH, PATTERN)
+    rnd = random.Random(7)
+    words = list({"".join(rnd.choice("abetn e!=") for _ in range(rnd.randint(1, 2 * bpe.SHORT))).encode() for _ in range(80)})
+    ids, starts, size = b.encode_flat(words)
+    assert [ids[i:i + n].tolist() for i, n in zip(starts, size)] == [b.merge_long(w).tolist() for w in words]
+    assert int(size.sum()) == len(ids)
+    assert [len(x) for x in b.encode_flat([])] == [0, 0, 0]
+
+
 def test_broken_ids_decode_as_library(library):
     b = bpe.load(PATH, PATTERN)
     rnd = random.Random(6)
