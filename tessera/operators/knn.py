@@ -1,24 +1,26 @@
-"""ML6: exact k-nearest-neighbour search and classification by pivot cells.
+"""ML6: exact k-nearest-neighbour search and classification by boxed cells.
 
 No row per pair is ever made, and pairs that cannot be neighbours are not
 compared:
 
-1. a sample of the references of the least id hashes; pivots are a spread-out
-   subset of it (each next pivot is the farthest from those before), one for
-   ``ROWS_PER_BLOCK`` references, at most ``MAX_PIVOTS``;
-2. every reference joins the cell of its nearest pivot; a cell knows its
-   least and largest distance to the pivot;
-3. a query's k-th distance within the sample bounds its k-th neighbour from
-   above, and the triangle inequality bounds its distance to every cell from
-   below: it visits only cells that can hold a neighbour;
+1. a sample of the references of the least id hashes is halved at the median of
+   the dimension that spreads most, again and again: one cell for
+   ``ROWS_PER_BLOCK`` references, at most ``MAX_CELLS``;
+2. every reference joins the cell that the cuts lead it to; a cell knows the box
+   around all of its references;
+3. a query's k-th distance within its own cell bounds its k-th neighbour from
+   above, and its distance to a box bounds that to all references in it from below: it
+   visits only cells that can hold a neighbour;
 4. a cell with more than ``ROWS_PER_BLOCK`` rows of a side is dealt into blocks
    by id hash, so a hot cell spreads over as many tasks as it needs;
    ``cogroup`` on (cell, query block, reference block) makes the groups.  Large
    blocks keep the copies of a query few where nothing can be left out;
-5. inside a group one matrix product (euclidean) or 32-bit sums (manhattan)
-   estimate all distances with a known error; only pairs that the estimate does
-   not put beyond the bound get their distance, and the k best references per
-   query are kept (ties by reference id); a grouped merge keeps the k best of all.
+5. inside a group the references are halved on into leaves of ``ROWS_PER_LEAF``, whose
+   boxes leave out most of them in the same way; one matrix product (euclidean) or
+   32-bit sums (manhattan) estimate the distances that remain with a known error; only
+   pairs that the estimate does not put beyond the bound get their distance, and the k
+   best references per query are kept (ties by reference id); a grouped merge keeps the
+   k best of all.
 
 Distances are accumulated dimension by dimension in float64, left to right,
 so they are bit-identical to a sequential SQL sum.  Bounds carry the errors of
@@ -28,6 +30,7 @@ neighbour or a tie.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -39,10 +42,12 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 
 ROWS_PER_BLOCK = 16_384   # rows of either side that meet in one group; references to a cell
-MAX_PIVOTS = 1024         # cells; the pivots and a row per cell reach the driver
-SPREAD = 4                # references looked at per pivot
-SAMPLE_ROWS = 4096        # references that bound the queries (and reach the driver)
-ROWS_PER_STEP = 256       # rows bounded or dealt at a time
+ROWS_PER_LEAF = 512       # references to a leaf of a group
+MOST_LEAVES = 0.5         # of a group's leaves that queries visit; beyond that they are compared with all at once
+MAX_CELLS = 1024          # cells; the cuts and a box per cell reach the driver
+SPREAD = 4                # references looked at per cell
+SAMPLE_ROWS = 4096        # references that are cut into cells (and reach the driver)
+ROWS_PER_STEP = 256       # rows bounded by the sample at a time
 PAIRS_AT_ONCE = 1 << 20   # pairs estimated at a time
 PAIRS_PER_STEP = 1 << 15  # candidates whose distances are summed at a time
 SLACK = 1e-9
@@ -119,28 +124,117 @@ def _candidates(q: np.ndarray, r: np.ndarray, qid: np.ndarray, rid: np.ndarray,
     return qi, ri, _pair_distances(q, r, qi, ri, metric)
 
 
+def _cut(x: np.ndarray) -> tuple[int, float] | None:
+    """The dimension that spreads most and where it halves the rows (``<=`` goes left);
+    None where it does not."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        j = int(x.var(axis=0).argmax())
+        at = float(np.median(x[:, j]))
+    if not (x[:, j] > at).any():
+        below = x[:, j][x[:, j] < at]
+        if not len(below):
+            return None
+        at = float(below.max())
+    return (j, at) if (x[:, j] <= at).any() and (x[:, j] > at).any() else None
+
+
+def _leaves(r: np.ndarray) -> list[np.ndarray]:
+    """Rows of ``r`` (indices) halved into leaves."""
+    out, todo = [], [np.arange(len(r))]
+    while todo:
+        rows = todo.pop()
+        cut = _cut(r[rows]) if len(rows) > ROWS_PER_LEAF else None
+        if cut is None:
+            out.append(rows)
+        else:
+            left = r[rows, cut[0]] <= cut[1]
+            todo += [rows[left], rows[~left]]
+    return out
+
+
+def _box_gaps(q: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
+    """Least distance of every row to anything in every box, but for rounding."""
+    out = np.empty((len(q), len(low)))
+    with np.errstate(over="ignore"):
+        for b in range(len(low)):
+            gap = np.maximum(low[b] - q, q - high[b])
+            np.maximum(gap, 0.0, out=gap)
+            out[:, b] = np.sqrt(np.einsum("ij,ij->i", gap, gap)) if metric == "euclidean" else gap.sum(axis=1)
+    return out
+
+
+def _pieces(q: np.ndarray, r: np.ndarray, qid: np.ndarray, rid: np.ndarray, bound: np.ndarray, k: int, metric: str,
+            exclude_self: bool) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Closer bounds, and which queries are compared with which references: the leaves
+    within a query's bound, or all where leaves leave out little."""
+    leaves, whole = _leaves(r), [(np.arange(len(q)), np.arange(len(r)))]
+    if len(leaves) == 1:
+        return bound, whole
+    gaps = _box_gaps(q, np.array([r[x].min(axis=0) for x in leaves]), np.array([r[x].max(axis=0) for x in leaves]), metric)
+    bound, own = bound.copy(), gaps.argmin(axis=1)
+    for b, leaf in enumerate(leaves):
+        mine = np.flatnonzero(own == b)
+        for at in range(0, len(mine), ROWS_PER_STEP):
+            here = mine[at:at + ROWS_PER_STEP]
+            bound[here] = np.minimum(bound[here], _sample_bound(q[here], qid[here], r[leaf], rid[leaf], k, metric, exclude_self))
+    near = gaps * (1 - SLACK) <= bound[:, None]
+    if near.mean() > MOST_LEAVES:
+        return bound, whole
+    return bound, [(np.flatnonzero(near[:, b]), leaf) for b, leaf in enumerate(leaves)]
+
+
+def _first(qi: np.ndarray, ri: np.ndarray, dd: np.ndarray, rid: np.ndarray, k: int):
+    """The first ``k`` candidates of every query by (distance, reference id)."""
+    order = np.lexsort((rid[ri], dd, qi))
+    qi, ri, dd = qi[order], ri[order], dd[order]
+    keep = (np.arange(len(qi)) - np.searchsorted(qi, qi, side="left") < k) & np.isfinite(dd)
+    return qi[keep], ri[keep], dd[keep]
+
+
+def _nearest(q: np.ndarray, r: np.ndarray, qid: np.ndarray, rid: np.ndarray, bound: np.ndarray, k: int, metric: str,
+             exclude_self: bool):
+    """Query, reference and distance of the ``k`` nearest references within the bounds."""
+    bound, pieces = _pieces(q, r, qid, rid, bound, k, metric, exclude_self)
+    found = [(np.empty(0, int), np.empty(0, int), np.empty(0))]
+    for rows, cols in pieces:
+        kk, step = min(k, len(cols)), max(1, PAIRS_AT_ONCE // len(cols))
+        for at in range(0, len(rows), step):
+            here = rows[at:at + step]
+            qi, ri, dd = _candidates(q[here], r[cols], qid[here], rid[cols], bound[here], kk, metric, exclude_self)
+            # only the candidates are ordered
+            qi, ri, dd = _first(qi, ri, dd, rid[cols], kk)
+            found.append((here[qi], cols[ri], dd))
+    return _first(*map(np.concatenate, zip(*found)), rid, k)
+
+
+def _matrix(df: pd.DataFrame) -> np.ndarray:
+    return np.vstack(df["vec"].to_numpy()).astype(np.float64)
+
+
 def _block_topk(k: int, metric: str, exclude_self: bool):
     def fn(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
         cols = ["qid", "rid", "rlabel", "dist"]
         if qdf.empty or rdf.empty:
             return pd.DataFrame({c: [] for c in cols}).astype(
                 {"qid": "int64", "rid": "int64", "rlabel": "int32", "dist": "float64"})
-        q = np.vstack(qdf["vec"].to_numpy()).astype(np.float64)
-        r = np.vstack(rdf["vec"].to_numpy()).astype(np.float64)
         qid, rid, label = qdf["id"].to_numpy(), rdf["id"].to_numpy(), rdf["label"].to_numpy()
-        bound = qdf["bound"].to_numpy() if "bound" in qdf else np.full(len(q), np.inf)
-        kk, step, parts = min(k, len(r)), max(1, PAIRS_AT_ONCE // len(r)), []
-        for at in range(0, len(q), step):
-            here = slice(at, at + step)
-            qi, ri, dd = _candidates(q[here], r, qid[here], rid, bound[here], kk, metric, exclude_self)
-            # only the candidates are ordered by (query, distance, reference id)
-            order = np.lexsort((rid[ri], dd, qi))
-            qi, ri, dd = qi[order], ri[order], dd[order]
-            pos = np.arange(len(qi)) - np.searchsorted(qi, qi, side="left")
-            keep = (pos < kk) & np.isfinite(dd)
-            parts.append((qid[here][qi[keep]], rid[ri[keep]], label[ri[keep]], dd[keep]))
-        return pd.DataFrame({c: np.concatenate(x).astype(t) for c, t, x in
-                             zip(cols, ("int64", "int64", "int32", "float64"), zip(*parts))})
+        bound = qdf["bound"].to_numpy() if "bound" in qdf else np.full(len(qdf), np.inf)
+        qi, ri, dd = _nearest(_matrix(qdf), _matrix(rdf), qid, rid, bound, k, metric, exclude_self)
+        return pd.DataFrame({c: x.astype(t) for c, t, x in zip(
+            cols, ("int64", "int64", "int32", "float64"), (qid[qi], rid[ri], label[ri], dd))})
+    return fn
+
+
+def _block_bound(k: int, metric: str, exclude_self: bool):
+    """Queries with their k-th distance within references of their own cell."""
+    def fn(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
+        bound = np.full(len(qdf), np.inf)
+        if len(qdf) and len(rdf):
+            qi, _, dd = _nearest(_matrix(qdf), _matrix(rdf), qdf["id"].to_numpy(), rdf["id"].to_numpy(), bound, k, metric,
+                                 exclude_self)
+            kth = np.arange(len(qi)) - np.searchsorted(qi, qi, side="left") == k - 1
+            bound[qi[kth]] = dd[kth]
+        return qdf[["id", "vec"]].assign(bound=bound)
     return fn
 
 
@@ -166,35 +260,68 @@ def _rows(df: DataFrame, id_col: str, vec_col: str, *more: Column) -> DataFrame:
     return df.select(F.col(f"`{id_col}`").cast("long").alias("id"), vec.alias("vec"), *more).where(_finite(F.col("vec")))
 
 
-def choose_pivots(seen: np.ndarray, n: int, metric: str) -> np.ndarray:
-    """``n`` distinct spread-out vectors (fewer if there are fewer) out of the first
-    ``SPREAD * n``."""
-    if not len(seen):
-        return np.empty((0, 0))
-    seen = np.unique(seen[:SPREAD * n], axis=0)
-    picked, gap = [0], _distances(seen, seen[:1], metric)[:, 0]
-    while len(picked) < min(n, len(seen)):
-        picked.append(int(gap.argmax()))
-        gap = np.minimum(gap, _distances(seen, seen[picked[-1:]], metric)[:, 0])
-    return seen[picked]
+def choose_cuts(seen: np.ndarray, n: int) -> list[tuple]:
+    """Cuts of the sample into at most ``n`` cells, the fullest halved first: per node
+    (dimension, value, left, right); a negative child ``-1 - c`` is cell ``c``."""
+    nodes, fullest, cells = [], [(-len(seen), 0, np.arange(len(seen)), None)], 0
+    while fullest:  # every part with its place: the node and side it hangs on
+        size, order, rows, place = heapq.heappop(fullest)
+        cut = _cut(seen[rows]) if cells + len(fullest) + 1 < n else None
+        child = -1 - cells if cut is None else len(nodes)
+        if place:
+            nodes[place[0]][place[1]] = child
+        if cut is None:
+            cells += 1
+            continue
+        left = seen[rows, cut[0]] <= cut[1]
+        nodes.append([*cut, None, None])
+        for side, part in ((2, rows[left]), (3, rows[~left])):
+            heapq.heappush(fullest, (-len(part), 2 * child + side, part, (child, side)))
+    return [tuple(x) for x in nodes]
+
+
+def _cells_of(x: np.ndarray, cuts: list[tuple]) -> np.ndarray:
+    """The cell that the cuts lead every row to."""
+    out, todo = np.zeros(len(x), np.int32), [(0, np.arange(len(x)))] if cuts else []
+    while todo:
+        node, rows = todo.pop()
+        if node < 0:
+            out[rows] = -1 - node
+        elif len(rows):
+            j, at, left, right = cuts[node]
+            goes = x[rows, j] <= at
+            todo += [(left, rows[goes]), (right, rows[~goes])]
+    return out
 
 
-def _in_cells(pivots: np.ndarray, metric: str):
+def _in_cells(cuts: list[tuple]):
     def fn(batches):
         for pdf in batches:
-            cells, gaps = [], []
-            for at in range(0, len(pdf), ROWS_PER_STEP):
-                d = _distances(np.vstack(pdf["vec"].iloc[at:at + ROWS_PER_STEP].to_numpy()), pivots, metric)
-                cells.append(d.argmin(1))
-                gaps.append(d.min(1))
-            if cells:
-                yield pdf.assign(cell=np.concatenate(cells).astype("int32"), gap=np.concatenate(gaps))
+            if len(pdf):
+                yield pdf.assign(cell=_cells_of(_matrix(pdf), cuts))
     return fn
 
 
+def _task_boxes(batches):
+    """A row per cell of a task: references, least and largest number of every dimension."""
+    boxes = {}
+    for pdf in batches:
+        for cell, part in pdf.groupby("cell"):
+            x = _matrix(part)
+            n, low, high = boxes.get(cell, (0, x[0], x[0]))
+            boxes[cell] = n + len(x), np.minimum(low, x.min(axis=0)), np.maximum(high, x.max(axis=0))
+    if boxes:
+        yield pd.DataFrame([(c, *b) for c, b in boxes.items()], columns=["cell", "rows", "low", "high"])
+
+
+def _cell_box(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame([(pdf["cell"].iloc[0], pdf["rows"].sum(), np.min(pdf["low"].to_list(), axis=0),
+                          np.max(pdf["high"].to_list(), axis=0))], columns=["cell", "rows", "low", "high"])
+
+
 def _sample_bound(q: np.ndarray, qid: np.ndarray, sample: np.ndarray, ids: np.ndarray, k: int, metric: str,
                   exclude_self: bool) -> np.ndarray:
-    """Upper bound of every query's k-th distance: that to the k-th nearest of the sample,
+    """Upper bound of every query's k-th distance: that to the k-th nearest of some references,
     rows of the query's own id left out."""
     if len(sample) < k:
         return np.full(len(q), np.inf)
@@ -207,23 +334,21 @@ def _sample_bound(q: np.ndarray, qid: np.ndarray, sample: np.ndarray, ids: np.nd
     return np.where(np.isnan(kth), np.inf, np.sqrt(kth) if got and metric == "euclidean" else kth)
 
 
-def _visits(pivots: np.ndarray, near: np.ndarray, far: np.ndarray, sample: np.ndarray, ids: np.ndarray, k: int,
+def _visits(names: np.ndarray, low: np.ndarray, high: np.ndarray, sample: np.ndarray, ids: np.ndarray, k: int,
             metric: str, exclude_self: bool):
-    """Cells that can hold one of a query's nearest references (or a tie with the last)."""
+    """Cells that can hold one of a query's nearest references (or a tie with the last).
+    A query whose own cell gave no bound takes that of the sample."""
     def fn(batches):
         for pdf in batches:
-            cells, bounds = [], []
-            for at in range(0, len(pdf), ROWS_PER_STEP):
-                part = pdf.iloc[at:at + ROWS_PER_STEP]
-                q = np.vstack(part["vec"].to_numpy())
-                bound = _sample_bound(q, part["id"].to_numpy(), sample, ids, k, metric, exclude_self)
-                d = _distances(q, pivots, metric)
-                low = np.maximum(d - far, near - d)
-                drop = low > bound[:, None] + SLACK * (bound[:, None] + d + far)
-                cells += [np.flatnonzero(~row).astype("int32") for row in drop]
-                bounds.append(bound)
-            if cells:
-                yield pdf.assign(cells=cells, bound=np.concatenate(bounds))
+            if not len(pdf):
+                continue
+            q, qid, bound = _matrix(pdf), pdf["id"].to_numpy(), pdf["bound"].to_numpy().copy()
+            open_ = np.flatnonzero(np.isinf(bound))
+            for at in range(0, len(open_), ROWS_PER_STEP):
+                here = open_[at:at + ROWS_PER_STEP]
+                bound[here] = _sample_bound(q[here], qid[here], sample, ids, k, metric, exclude_self)
+            near = _box_gaps(q, low, high, metric) * (1 - SLACK) <= bound[:, None]
+            yield pdf.assign(cells=[names[row] for row in near], bound=bound)
     return fn
 
 
@@ -234,25 +359,48 @@ def plan_cells(queries: DataFrame, refs: DataFrame, k: int, metric: str = "eucli
     spark = refs.sparkSession
     r = _rows(refs, id_col, vec_col, F.col(f"`{label_col}`").cast("int").alias("label"))
     if cells is None:
-        cells = min(MAX_PIVOTS, max(math.ceil(refs.count() / ROWS_PER_BLOCK), spark.sparkContext.defaultParallelism))
+        cells = min(MAX_CELLS, max(math.ceil(refs.count() / ROWS_PER_BLOCK), spark.sparkContext.defaultParallelism))
     rows = r.select("id", "vec").orderBy(F.xxhash64("id", F.lit(3)), "id").limit(max(SAMPLE_ROWS, SPREAD * cells)).collect()
     if not rows:
         return None
     ids = np.array([np.nan if x["id"] is None else x["id"] for x in rows])
     sample = np.array([x["vec"] for x in rows], float)
-    pivots = choose_pivots(sample, cells, metric)
-    r = materialize(r.mapInPandas(_in_cells(pivots, metric), "id long, vec array<double>, label int, cell int, gap double"))
-    stats = r.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.min("gap").alias("near"),
-                                  F.max("gap").alias("far")).collect()  # a row per cell
-    near, far = np.full(len(pivots), np.inf), np.zeros(len(pivots))
-    for s in stats:
-        near[s["cell"]], far[s["cell"]] = s["near"], s["far"]
-    q = materialize(_rows(queries, id_col, vec_col).mapInPandas(
-        _visits(pivots, near, far, sample, ids, k, metric, exclude_self),
+    cuts = choose_cuts(sample, cells)
+    r = materialize(r.mapInPandas(_in_cells(cuts), "id long, vec array<double>, label int, cell int"))
+    box = "cell int, rows long, low array<double>, high array<double>"
+    boxes = r.select("cell", "vec").mapInPandas(_task_boxes, box).groupBy("cell").applyInPandas(_cell_box, box).collect()
+    names = np.array([b["cell"] for b in boxes], np.int32)  # a row per cell, all of which have references
+    low, high = (np.array([b[side] for b in boxes], float) for side in ("low", "high"))
+    rows_of = {b["cell"]: b["rows"] for b in boxes}
+    q = materialize(_rows(queries, id_col, vec_col).mapInPandas(_in_cells(cuts), "id long, vec array<double>, cell int"))
+    own = {x["cell"]: x["count"] for x in q.groupBy("cell").count().collect()}  # a row per cell
+    q = materialize(_bounded(q, r, own, rows_of, k, metric, exclude_self).mapInPandas(
+        _visits(names, low, high, sample, ids, k, metric, exclude_self),
         "id long, vec array<double>, cells array<int>, bound double"))
     visits = {v["cell"]: v["n"] for v in q.select(F.explode("cells").alias("cell")).groupBy("cell")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
-    return CellPlan(q, r.drop("gap"), [(s["cell"], visits[s["cell"]], s["rows"]) for s in stats if s["cell"] in visits])
+    return CellPlan(q, r, [(c, visits[c], n) for c, n in rows_of.items() if c in visits])
+
+
+def _dealt(spark, cells: list[tuple[int, int, int]]) -> DataFrame:
+    """Blocks of queries and of references per cell (at most MAX_CELLS rows)."""
+    return F.broadcast(spark.createDataFrame([(c, math.ceil(q / ROWS_PER_BLOCK), math.ceil(r / ROWS_PER_BLOCK))
+                                              for c, q, r in cells], "cell int, qbs long, rbs long"))
+
+
+def _bounded(q: DataFrame, r: DataFrame, own: dict, rows_of: dict, k: int, metric: str, exclude_self: bool) -> DataFrame:
+    """Queries with the k-th distance in their own cell: each block of them meets one
+    block of the cell's references."""
+    if not own:
+        return q.select("id", "vec", F.lit(math.inf).alias("bound"))
+    # (a cell without references cannot be: the cuts are those of references)
+    dealt = _dealt(q.sparkSession, [(c, n, rows_of.get(c, 1)) for c, n in own.items()])
+    q = q.join(dealt, "cell").select("cell", "id", "vec", F.pmod(F.xxhash64("id", F.lit(1)), "qbs").alias("qb"))
+    meets = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("qbs") - 1),
+                     lambda b: F.pmod(b, F.col("rbs")) == F.pmod(F.xxhash64("id", F.lit(2)), F.col("rbs")))
+    r = r.join(dealt, "cell").select("cell", "id", "vec", F.explode(meets).alias("qb"))
+    return q.groupBy("cell", "qb").cogroup(r.groupBy("cell", "qb")).applyInPandas(
+        _block_bound(k, metric, exclude_self), "id long, vec array<double>, bound double")
 
 
 def knn_neighbors(queries: DataFrame, refs: DataFrame, k: int, metric: str = "euclidean",
@@ -270,15 +418,13 @@ def knn_neighbors(queries: DataFrame, refs: DataFrame, k: int, metric: str = "eu
     schema = "qid long, rid long, rlabel int, dist double"
     if plan is None:
         return spark.createDataFrame([], schema + ", rank int")
-    dealt = F.broadcast(spark.createDataFrame(  # at most MAX_PIVOTS rows
-        [(c, math.ceil(q / ROWS_PER_BLOCK), math.ceil(r / ROWS_PER_BLOCK)) for c, q, r in plan.cells],
-        "cell int, qbs int, rbs int"))
+    dealt = _dealt(spark, plan.cells)
     q = plan.queries.select("id", "vec", "bound", F.explode("cells").alias("cell")).join(dealt, "cell").select(
         "cell", "id", "vec", "bound", F.pmod(F.xxhash64("id", F.lit(1)), "qbs").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.col("rbs") - 1)).alias("rb"))
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rbs") - 1)).alias("rb"))
     r = plan.refs.join(dealt, "cell").select(
-        "cell", "id", "vec", "label", F.pmod(F.xxhash64("id", F.lit(2)), "rbs").cast("int").alias("rb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("qbs") - F.lit(1).cast("bigint"))).alias("qb"))
+        "cell", "id", "vec", "label", F.pmod(F.xxhash64("id", F.lit(2)), "rbs").alias("rb"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("qbs") - 1)).alias("qb"))
     cand = (q.groupBy("cell", "qb", "rb").cogroup(r.groupBy("cell", "qb", "rb"))
              .applyInPandas(_block_topk(k, metric, exclude_self), schema))
     w = Window.partitionBy("qid").orderBy("dist", "rid")

@@ -188,6 +188,48 @@ def test_knn_estimates_lose_no_neighbour_far_from_the_origin(metric):
         assert list(zip(out.qid, out.rid)) == want
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_boxes_leave_out_most_pairs_of_mixed_features(spark, metric, monkeypatch):
+    """Rows of two-valued columns and two scaled numbers, as the modelling frame has, lie too evenly
+    for distances to pivots; boxes leave out most pairs, and brute force's neighbours
+    come out, ties included, also where a query's own cell has too few references."""
+    monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 50)
+    rng = np.random.default_rng(6)
+    v = np.column_stack([2 * rng.integers(0, 2, (1600, 5)), rng.normal(size=(1600, 2)).round(1)]).astype(float)
+    q, r, k = v[:400], v[400:], 5
+    refs, queries = _vectors(spark, 0, r, rng.integers(0, 2, len(r))), _vectors(spark, 5000, q)
+    plan = knn.plan_cells(queries, refs, k, metric, exclude_self=False)
+    assert plan.pairs < 0.2 * len(q) * len(r)
+    for kk, some in ((k, q), (70, q[:40])):
+        got = sorted((x.qid, x["rank"], x.rid) for x in knn.knn_neighbors(
+            queries.where(F.col("vec_id") < 5000 + len(some)), refs, kk, metric, exclude_self=False).collect())
+        d = knn._distances(some, r, metric)
+        assert got == [(5000 + i, j + 1, int(x)) for i in range(len(some))
+                       for j, x in enumerate(np.lexsort((np.arange(len(r)), d[i]))[:kk])]
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_leaves_of_a_group(metric, monkeypatch):
+    """Inside a group most references are left out by their leaf's box; neighbours, ties and
+    the rows of a query's own id are those of a full sort, whatever the numbers' size."""
+    monkeypatch.setattr(knn, "ROWS_PER_LEAF", 16)
+    rng = np.random.default_rng(9)
+    for offset, scale in ((0.0, 1.0), (1e6, 1e-3), (1e160, 1e150), (0.0, 1e-160)):
+        v = offset + scale * np.vstack([rng.integers(-9, 10, (600, 3)), np.ones((50, 3))])
+        ids, bound = rng.permutation(len(v)), np.full(100, np.inf)
+        _, pieces = knn._pieces(v[:100], v, ids[:100], ids, bound, 4, metric, True)
+        if scale == 1.0:
+            assert sum(len(a) * len(b) for a, b in pieces) < 0.4 * 100 * len(v)
+        out = knn._block_topk(4, metric, True)(
+            pd.DataFrame({"id": ids[:100], "vec": list(v[:100])}),
+            pd.DataFrame({"id": ids, "vec": list(v), "label": np.zeros(len(v), int)}))
+        with np.errstate(over="ignore"):
+            d = knn._distances(v[:100], v, metric)
+        d[np.arange(100), np.arange(100)] = np.inf
+        assert list(zip(out.qid, out.rid)) == [(ids[i], ids[j]) for i in range(100)
+                                               for j in np.lexsort((ids, d[i]))[:4] if np.isfinite(d[i, j])]
+
+
 def test_knn_awkward_rows(spark):
     """Null, NaN and infinite vectors have no neighbours and are nobody's; few
     references are all returned; none give none."""
