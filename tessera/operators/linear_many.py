@@ -4,7 +4,7 @@ A search fits one model for every draw and training part.  Here all of them
 advance together: one pass over the rows gives the loss, gradient and Hessian
 of every unsolved problem (numpy matrix products over row blocks, rows masked
 by fold, sums combined per problem by Spark), and the driver takes a Newton step
-for each, proximal for an L1 penalty.  The number of passes is that of the
+for each, proximal for an L1 penalty (feature-sign search).  The number of passes is that of the
 slowest problem, whatever the number of draws; what reaches the driver is
 ``problems × features²`` numbers.
 
@@ -31,9 +31,12 @@ from tessera.session import materialize
 BLOCK_ROWS = 2_048
 MAX_PASSES = 1_000   # as the configured iterations of the learner; Newton steps end far earlier
 LEAST_GAIN = 1e-13   # of the mean loss that a further step promises
+HINGE_GAIN = 1e-7    # the same for a hinge loss, whose corner is rounded
 ROUNDING = 1e-10     # a promise below it that does not show is rounding
 TOLERANCE = 1e-9     # of the optimality conditions, per unit of mean loss
-SWEEPS = 100         # interior-point steps of one proximal step; some thirty are needed
+EXACT = 1e-12        # of the optimality conditions of one proximal step
+MOVES = 20           # per feature, the most moves of one proximal step
+WIDTHS = (2.0, 0.5, 0.125, 0.03, 0.008, 0.002)  # a hinge's corner is rounded less and less
 
 
 @dataclass
@@ -70,6 +73,10 @@ class Problem:
     weight1: float
     basis: np.ndarray
     n: float = 0.0
+    hinge: bool = False
+    width: float = 0.0
+    damping: float = 0.0
+    moments: np.ndarray = field(default=None)
     beta: np.ndarray = field(default=None)
     intercept: float = 0.0
     solved: bool = False
@@ -139,91 +146,143 @@ def class_moments(table: DataFrame, parts: Sequence[Part], d: int) -> list[dict]
                  "scatter": scatter[2 * k + c].reshape(d, d)} for c in (0, 1)} for k in range(len(parts))]
 
 
+def _own_coordinates(base: Part, part: Part) -> np.ndarray:
+    """The map from the features as ``base`` prepares them (and a one) to those of ``part``."""
+    out = np.diag(np.append(base.scale / part.scale, 1.0))
+    out[:-1, -1] = (base.centre - part.centre) / part.scale
+    return out
+
+
+def _logistic(m: np.ndarray):
+    """Loss, minus its slope, and curvature at margins ``m`` (positive: right side)."""
+    e = np.exp(-np.abs(m))
+    q = 1 / (1 + e)
+    return np.log(1 + e) - np.minimum(m, 0), np.where(m < 0, q, e * q), e * q * q
+
+
+def _hinge(m: np.ndarray, width: np.ndarray):
+    """The same of the hinge loss, its corner rounded to a parabola within ``width``."""
+    short = 1 - m
+    part = np.clip((short + width) / (2 * width), 0, 1)
+    return np.where(short >= width, short, width * part * part), part, (np.abs(short) < width) / (2 * width)
+
+
 def _derivatives(table: DataFrame, parts: Sequence[Part], live: list[tuple[Problem, np.ndarray]], d: int) -> np.ndarray:
     """Loss, gradient and upper Hessian triangle, each over n, of every live problem at
-    the given coefficients."""
+    the given coefficients.
+
+    Preparations are affine, so rows are prepared as for the first part and their
+    products made once for all parts; the driver maps the sums to each part's own
+    coordinates.  Only rows with NULLs are prepared once for each different filling.
+    """
     up = np.triu_indices(d + 1)
-    per_part = [[i for i, (p, _) in enumerate(live) if p.part == k] for k in range(len(parts))]
-    theta = np.array([t for _, t in live])
-    w0, w1 = (np.array([getattr(p, a) for p, _ in live]) for a in ("weight0", "weight1"))
+    base, maps = parts[0], [_own_coordinates(parts[0], part) for part in parts]
+    owner = np.array([p.part for p, _ in live])
+    theta = np.array([maps[p.part].T @ t for p, t in live])
+    w0, w1, width = (np.array([getattr(p, a) for p, _ in live])[:, None] for a in ("weight0", "weight1", "width"))
+    fills, fill_of = np.unique(np.array([part.fill for part in parts]), axis=0, return_inverse=True)
+    fill_of = fill_of.reshape(-1)[owner]
+
+    def add(total, ids, x, y):
+        z = np.vstack([((x - base.centre) / base.scale).T, np.ones(len(x))])
+        side = np.where(y == 1, 1.0, -1.0)
+        products = None
+        for loss_of, some in ((_logistic, ids[width[ids, 0] == 0]), (_hinge, ids[width[ids, 0] > 0])):
+            if not len(some):
+                continue
+            if products is None:
+                products = (z[up[0]] * z[up[1]]).T
+            m = (theta[some] @ z) * side
+            loss, slope, curve = loss_of(m) if loss_of is _logistic else loss_of(m, width[some])
+            w = np.where(y == 1, w1[some], w0[some])
+            total[some, 0] += (w * loss).sum(axis=1)
+            total[some, 1:d + 2] -= (w * slope * side) @ z.T
+            total[some, d + 2:] += (w * curve) @ products
 
     def sums(total, fold, y, x):
-        for part, ids in zip(parts, per_part):
-            if not ids:
-                continue
-            mine = part.rows(fold)
-            z = np.column_stack([part.prepare(x[mine]), np.ones(mine.sum())])
-            pos = (y[mine] == 1)[:, None]
-            m = z @ theta[ids].T
-            p = 0.5 * (1 + np.tanh(0.5 * m))
-            w = np.where(pos, w1[ids], w0[ids])
-            loss = np.logaddexp(0, np.where(pos, -m, m)) * w
-            total[ids, 0] += loss.sum(axis=0)
-            total[ids, 1:d + 2] += (w * (p - pos)).T @ z
-            total[ids, d + 2:] += (w * p * (1 - p)).T @ (z[:, up[0]] * z[:, up[1]])
+        names, codes = fold
+        holes = np.isnan(x)
+        hole = holes.any(axis=1)
+        for j, name in enumerate(names):
+            ids = np.flatnonzero(np.array([name not in part.without for part in parts])[owner])
+            whole, holed = np.flatnonzero((codes == j) & ~hole), np.flatnonzero((codes == j) & hole)
+            if len(ids) and len(whole):
+                add(total, ids, x[whole], y[whole])
+            for i, fill in enumerate(fills if len(holed) else []):
+                some = ids[fill_of[ids] == i]
+                if len(some):
+                    add(total, some, np.where(holes[holed], fill, x[holed]), y[holed])
     out = _sums(table, d, sums, len(live), 1 + (d + 1) + len(up[0]))
+    for row, (p, _) in zip(out, live):
+        h = np.zeros((d + 1, d + 1))
+        h[up] = row[d + 2:]
+        t = maps[p.part]
+        row[1:d + 2], row[d + 2:] = t @ row[1:d + 2], (t @ (h + np.triu(h, 1).T) @ t.T)[up]
     return out / np.array([p.n for p, _ in live])[:, None]
 
 
-def _step(problems: list[Problem], grads: np.ndarray, hessians: np.ndarray) -> list[np.ndarray]:
-    """The (proximal) Newton step of every problem in its own coordinates, intercept last."""
+def _step(problems: list[Problem], grads: list[np.ndarray], hessians: list[np.ndarray]) -> list[np.ndarray]:
+    """The (proximal) Newton step of every problem in its own coordinates, intercept last.
+    That of a hinge loss is damped by the features' second moments: what bounds it is how
+    far margins move."""
     steps = [None] * len(problems)
     for i, p in enumerate(problems):
         if not p.l1:
             lam = np.append(np.full(len(p.beta), 1 / (p.c * p.n)), 0.0)
-            steps[i] = -np.linalg.lstsq(hessians[i] + np.diag(lam), grads[i] + lam * np.append(p.beta, 0), rcond=1e-14)[0]
-    sparse = [i for i, p in enumerate(problems) if p.l1]
-    if sparse:  # padded to one size, intercept first
-        k = max(len(grads[i]) for i in sparse)
-        h, g, at, lam = (np.zeros((len(sparse), k, k)), np.zeros((len(sparse), k)), np.zeros((len(sparse), k)),
-                         np.ones((len(sparse), k)))
-        for j, i in enumerate(sparse):
-            p, n = problems[i], len(grads[i])
-            order = np.append(n - 1, np.arange(n - 1))
-            h[j, :n, :n], g[j, :n] = hessians[i][np.ix_(order, order)], grads[i][order]
-            at[j, :n], lam[j, :n] = np.append(p.intercept, p.beta), 1 / (p.c * p.n)
-        move = _lasso(h, g, at, lam[:, 1:]) - at
-        for j, i in enumerate(sparse):
-            n = len(grads[i])
-            steps[i] = np.append(move[j, 1:n], move[j, 0])
+            damped = hessians[i] + (p.damping * p.moments if p.hinge else 0.0)
+            steps[i] = -np.linalg.lstsq(damped + np.diag(lam), grads[i] + lam * np.append(p.beta, 0), rcond=1e-14)[0]
+        else:
+            at = np.append(p.beta, p.intercept)
+            steps[i] = _lasso(hessians[i], grads[i], at, 1 / (p.c * p.n)) - at
     return steps
 
 
-def _lasso(h: np.ndarray, g: np.ndarray, at: np.ndarray, lam: np.ndarray) -> np.ndarray:
-    """Minima of quadratic models (Hessian ``h``, gradient ``g`` at ``at``) plus ``lam``
-    times the absolute coefficients but the first, for a stack of problems.
+def _lasso(h: np.ndarray, g: np.ndarray, at: np.ndarray, lam: float) -> np.ndarray:
+    """The minimum of a quadratic model (Hessian ``h``, gradient ``g`` at ``at``) plus ``lam``
+    times the absolute coefficients but the last.
 
-    Primal-dual interior point on the positive and negative parts of the
-    coefficients: features that depend on each other slow it no more than others.
+    Feature-sign search: with the signs of the coefficients that are not zero
+    fixed the model is smooth; the way to its minimum is followed to the best of
+    the points where a sign changes.  Every move lowers the objective, so dependent
+    features (where the model has no single minimum) do no harm.
     """
-    x = at.copy()
-    size = 1.0 + np.abs(at[:, 1:])
-    u, v = size + np.maximum(at[:, 1:], 0), size + np.maximum(-at[:, 1:], 0)
-    x[:, 1:] = u - v
-    su, sv = lam.copy(), lam.copy()
-    eye = np.arange(h.shape[1])
-    for _ in range(SWEEPS):
-        r = g + np.einsum("jkl,jl->jk", h, x - at)
-        ru, rv = r[:, 1:] + lam - su, lam - r[:, 1:] - sv
-        gap = (u * su + v * sv).mean(axis=1, keepdims=True)
-        if max(float((gap / lam.mean(axis=1, keepdims=True)).max()), np.abs(ru).max(), np.abs(rv).max(), np.abs(r[:, 0]).max()) < 1e-13:
+    x, c = at.copy(), g - h @ at
+    free = len(x) - 1
+    ridge = 1e-14 * max(float(np.diag(h).max()), 1e-300)
+    lam = np.append(np.full(free, lam), 0.0)
+
+    def value(points):  # of columns
+        return 0.5 * (points * (h @ points)).sum(axis=0) + c @ points + lam @ np.abs(points)
+    now, sign = float(value(x[:, None])[0]), np.sign(x)
+    for _ in range(MOVES * len(x)):
+        r = h @ x + c
+        off = np.where(sign != 0, np.abs(r + lam * sign), 0.0)
+        off[free] = abs(r[free])
+        if off.max() <= EXACT:  # those that are not zero fit: the worst of the zeros enters
+            out = np.where(sign == 0, np.abs(r) - lam, 0.0)
+            out[free] = 0.0
+            j = int(out.argmax())
+            if out[j] <= EXACT:
+                break
+            sign[j] = -np.sign(r[j])
+        on = np.append(np.flatnonzero(sign[:free]), free)
+        a = h[np.ix_(on, on)]
+        want = x[on] + np.linalg.solve(a + ridge * np.eye(len(on)), -(r[on] + lam[on] * sign[on]))
+        move = want - x[on]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cross = np.where((x[on] != 0) & (want * x[on] <= 0), x[on] / (x[on] - want), np.inf)
+        cross[-1] = np.inf
+        ways = np.unique(np.append(cross[cross < 1], 1.0))
+        points = np.repeat(x[:, None], len(ways), axis=1)
+        points[on] += move[:, None] * ways
+        for k, t in enumerate(ways):
+            points[on[cross == t], k] = 0.0
+        values = value(points)
+        k = int(values.argmin())
+        if not values[k] < now:
             break
-        mu = 0.1 * gap
-        cu, cv, d = mu - u * su, mu - v * sv, u / su + v / sv
-        m = h.copy()
-        m[:, eye[1:], eye[1:]] += 1 / d
-        m[:, 0, 0] += 1e-15
-        rhs = np.column_stack([-r[:, 0], (cu / su - cv / sv - u / su * ru + v / sv * rv) / d])
-        dx = np.linalg.solve(m, rhs[:, :, None])[:, :, 0]
-        hd = np.einsum("jkl,jl->jk", h, dx)[:, 1:]
-        dsu, dsv = hd + ru, rv - hd
-        du, dv = (cu - u * dsu) / su, (cv - v * dsv) / sv
-        step = np.ones((len(x), 1))
-        for now, change in ((u, du), (v, dv), (su, dsu), (sv, dsv)):
-            limit = np.where(change < 0, -now / np.where(change < 0, change, 1), np.inf).min(axis=1, keepdims=True)
-            step = np.minimum(step, 0.995 * limit)
-        x, u, v, su, sv = x + step * dx, u + step * du, v + step * dv, su + step * dsu, sv + step * dsv
-    x[:, 1:] = np.where((su > u) & (sv > v), 0.0, u - v)  # both bounds hold: the coefficient is zero
+        x, now = points[:, k], float(values[k])
+        sign = np.sign(x)
     return x
 
 
@@ -249,11 +308,20 @@ def solve(table: DataFrame, parts: Sequence[Part], problems: Sequence[Problem],
     A problem whose objective cannot be lowered any more counts as solved.
     """
     for p in problems:
-        p.beta = np.zeros(p.basis.shape[1])
+        p.beta, p.width = np.zeros(p.basis.shape[1]), WIDTHS[0] if p.hinge else 0.0
     best = {id(p): np.inf for p in problems}   # objective of the accepted point
     trial = {id(p): (p.beta, p.intercept, 1.0) for p in problems}
-    step, gains = {}, {}
+    step, gains, held = {}, {}, {}
     up = np.triu_indices(d + 1)
+
+    def end(p):
+        """Solved, or on from here with a sharper corner."""
+        sharper = [w for w in WIDTHS if w < p.width]
+        if not sharper:
+            p.solved = True
+        else:
+            p.width, best[id(p)], trial[id(p)] = sharper[0], np.inf, (p.beta, p.intercept, 1.0)
+
     for n_pass in range(1, max_passes + 1):
         live = [p for p in problems if not p.solved]
         if not live:
@@ -265,6 +333,9 @@ def solve(table: DataFrame, parts: Sequence[Part], problems: Sequence[Problem],
             beta, b, t = trial[id(p)]
             value = _objective(row[0], p, beta)
             if value < best[id(p)]:
+                if p.hinge and np.isfinite(best[id(p)]):
+                    kept = (best[id(p)] - value) / gains[id(p)]
+                    p.damping *= 0.2 if kept > 0.75 else 4.0 if kept < 0.25 else 1.0
                 best[id(p)], p.beta, p.intercept = value, beta, b
                 h = np.zeros((d + 1, d + 1))
                 h[up] = row[d + 2:]
@@ -272,13 +343,21 @@ def solve(table: DataFrame, parts: Sequence[Part], problems: Sequence[Problem],
                 basis = np.block([[p.basis, np.zeros((d, 1))], [np.zeros((1, p.basis.shape[1])), np.ones((1, 1))]])
                 g = basis.T @ row[1:d + 2]
                 if _optimal(p, g):
-                    p.solved = True
+                    end(p)
                     continue
                 accepted.append(p)
                 grads.append(g)
                 hessians.append(basis.T @ h @ basis)
+                if p.hinge:
+                    p.moments = hessians[-1] if p.moments is None else p.moments
+                    held[id(p)] = g, hessians[-1]
             elif t < 1e-6 or gains[id(p)] <= ROUNDING:
-                p.solved = True
+                end(p)
+            elif p.hinge:  # the same derivatives, a shorter step
+                p.damping, t = max(10 * p.damping, 1e-3), t / 4
+                accepted.append(p)
+                grads.append(held[id(p)][0])
+                hessians.append(held[id(p)][1])
             else:
                 t /= 4
                 trial[id(p)] = (p.beta + t * step[id(p)][:-1], p.intercept + t * step[id(p)][-1], t)
@@ -286,9 +365,13 @@ def solve(table: DataFrame, parts: Sequence[Part], problems: Sequence[Problem],
             for p, g, s in zip(accepted, grads, _step(accepted, grads, hessians)):
                 beta, b = p.beta + s[:-1], p.intercept + s[-1]
                 gain = -g @ s + _objective(0.0, p, p.beta) - _objective(0.0, p, beta)
-                if gain <= LEAST_GAIN:  # below what the loss can show: the last step, taken unseen
-                    p.beta, p.intercept, p.solved = beta, b, True
+                if p.hinge:
+                    gain -= 0.5 * s @ held[id(p)][1] @ s
                 step[id(p)], trial[id(p)], gains[id(p)] = s, (beta, b, 1.0), gain
+                if gain <= (HINGE_GAIN * (1 + 1e3 * p.width ** 2) if p.hinge else LEAST_GAIN):  # below what the loss can show: the last step, taken unseen
+                    if not p.hinge:
+                        p.beta, p.intercept = beta, b
+                    end(p)
     return max_passes
 
 

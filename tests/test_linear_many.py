@@ -88,6 +88,35 @@ def test_search_keeps_refused_draws_and_configured_numbers(spark):
     assert grid[1]["objective"] == 0.0
 
 
+def test_l1_steps_are_exact_where_features_depend_on_each_other():
+    """Dummies that add up to the intercept, a copy and a near copy, and next to no penalty."""
+    rng = np.random.default_rng(2)
+    kind, v = rng.integers(0, 3, 2000), rng.normal(size=2000)
+    z = np.column_stack([*(kind == k for k in range(3)), v, v, v + 1e-4 * rng.normal(size=2000), rng.normal(size=2000),
+                         np.ones(2000)]).astype(float)
+    h, g = z.T @ z / 8000, z.T @ (0.5 - (rng.random(2000) < 0.3 + 0.05 * kind)) / 2000
+    for lam in (1e-2, 1e-5, 1e-9):
+        x = lm._lasso(h, g, np.zeros(8), lam)
+        r = g + h @ x
+        off = np.where(x[:-1] != 0, r[:-1] + lam * np.sign(x[:-1]), np.maximum(np.abs(r[:-1]) - lam, 0))
+        assert np.abs(off).max() < 1e-11 and abs(r[-1]) < 1e-11
+
+
+def test_parts_share_sums_whatever_their_preparation(spark):
+    """Solved together, parts with other fillings and scales have what each has alone."""
+    df = frame(spark).withColumn("c", F.when(F.col("fold") != 1, F.col("c")))
+    fd = tune.as_folds(df, COLS)
+    parts = [lm.Part((str(f),), str(f), *map(np.array, zip(*ml.preparation_numbers(fd.train((f,)), COLS, ["a", "b"]))))
+             for f in fd.folds]
+    assert len({float(p.fill[2]) for p in parts}) > 1
+
+    def solved(parts):
+        problems = [lm.Problem(k, 20.0, l1, 1.5, 0.8, np.eye(4), 400.0) for k in range(len(parts)) for l1 in (False, True)]
+        lm.solve(fd.rows(), parts, problems, 4)
+        return [p.theta() for p in problems]
+    assert np.allclose(solved(parts), [t for part in parts for t in solved([part])], atol=1e-6)
+
+
 def test_models_work_after_an_ingest_and_an_observation(spark, tmp_path):
     """A session that has observed rows holds what cannot be serialised; models fitted
     in it must not carry the session into scoring."""
