@@ -21,6 +21,19 @@ def member_column(i: int) -> str:
     return f"__p{i}"
 
 
+class LinearScorer:
+    """A preparation and coefficients (the intercept last) of a logistic score, for rows
+    scored inside an evaluation; it is not saved."""
+
+    def __init__(self, preparation, theta: Sequence[float]):
+        self.preparation, self.theta = preparation, [float(t) for t in theta]
+
+    def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        m = sum((F.lit(t) * F.col(f"__x{i}") for i, t in enumerate(self.theta[:-1])), F.lit(self.theta[-1]))
+        return self.preparation.transform(df).select(*[F.col(f"`{k}`") for k in keep], (1 / (1 + F.exp(-m))).alias("p")) \
+            .withColumn("yhat", (F.col("p") > 0.5).cast("int"))
+
+
 class VotingModel:
     """Soft voting: weighted mean of the members' probabilities."""
 

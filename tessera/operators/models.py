@@ -140,7 +140,43 @@ def build_estimator(name: str, params: dict | None = None, n_rows: float | None
 
 
 # ---- preparation: impute, scale -------------------------------------------------------------
-def preparation_numbers(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None) -> list[tuple]:
+PARTS_AT_ONCE = 5  # training parts whose quantile sketches a task holds at the same time
+
+
+def preparations_of_parts(df: DataFrame, features: Sequence[str], fold: str, withouts: Sequence) -> list[list[tuple]]:
+    """``preparation_numbers`` of the rows outside each of ``withouts`` (sets of folds), in one
+    grouped job for several.  Parts with NULLs are prepared one by one: their medians are exact."""
+    out = []
+    for i in range(0, len(withouts), PARTS_AT_ONCE):
+        some = withouts[i:i + PARTS_AT_ONCE]
+        parts = [df.where(~F.col(fold).isin(list(w))) for w in some]
+        tags = F.array(*[F.when(~F.col(fold).isin(list(w)), F.lit(k)) for k, w in enumerate(some)])
+        cols = [F.col(f"`{c}`").alias(f"__f{j}") for j, c in enumerate(features)]
+        tagged = df.select(F.explode(F.array_compact(tags)).alias("__part"), *cols)
+        aggs = _column_numbers(features, _scaled(features), {c: F.col(f"__f{j}").cast("double") for j, c in enumerate(features)})
+        rows = {r["__part"]: r.asDict() for r in tagged.groupBy("__part").agg(*aggs).collect()}  # one row a part
+        out += [preparation_numbers(part, features, row=rows.get(k)) for k, part in enumerate(parts)]
+    return out
+
+
+def _scaled(features: Sequence[str]) -> list[str]:
+    from tessera.plans.config import SCALE_COLUMNS
+    return [c for c in SCALE_COLUMNS if c in features]
+
+
+def _moments(features: Sequence[str], scale: Sequence[str], xs: dict) -> list[Column]:
+    return [a for i, c in enumerate(features) if c in scale
+            for a in (F.avg(xs[c]).alias(f"m{i}"), F.stddev_samp(xs[c]).alias(f"s{i}"))]
+
+
+def _column_numbers(features: Sequence[str], scale: Sequence[str], xs: dict) -> list[Column]:
+    """Per feature the number of NULLs and an approximate median, and the moments of ``scale``."""
+    return [*[F.count_if(x.isNull()).alias(f"n{i}") for i, x in enumerate(xs.values())],
+            *[F.percentile_approx(x, 0.5).alias(f"q{i}") for i, x in enumerate(xs.values())], *_moments(features, scale, xs)]
+
+
+def preparation_numbers(df: DataFrame, features: Sequence[str], scale: Sequence[str] | None = None,
+                        row: dict | None = None) -> list[tuple]:
     """Per feature (value for NULL, centre, scale): training medians, and LN3 scaling of
     ``scale`` (default: the configured columns among ``features``; others and constant
     columns have centre 0 and scale 1).
@@ -148,20 +184,13 @@ def preparation_numbers(df: DataFrame, features: Sequence[str], scale: Sequence[
     One aggregate gives null counts, means and deviations of all features.
     Columns with NULLs take the exact median of LN1 (and their moments once
     more after imputing); columns without take an approximate median, which
-    only serves rows scored later.
+    only serves rows scored later.  ``row``: the aggregate, where it was made for
+    several parts (``preparations_of_parts``).
     """
     from tessera.operators.learned import MedianImputer
-    if scale is None:
-        from tessera.plans.config import SCALE_COLUMNS
-        scale = [c for c in SCALE_COLUMNS if c in features]
+    scale = _scaled(features) if scale is None else scale
     xs = {c: F.col(f"`{c}`").cast("double") for c in features}
-
-    def moments(cols):
-        return [(F.avg(cols[c]).alias(f"m{i}"), F.stddev_samp(cols[c]).alias(f"s{i}"))
-                for i, c in enumerate(features) if c in scale]
-    row = df.agg(*[F.count_if(x.isNull()).alias(f"n{i}") for i, x in enumerate(xs.values())],
-                 *[F.percentile_approx(x, 0.5).alias(f"q{i}") for i, x in enumerate(xs.values())],
-                 *[a for pair in moments(xs) for a in pair]).first().asDict()
+    row = row or df.agg(*_column_numbers(features, scale, xs)).first().asDict()
     holes = [c for i, c in enumerate(features) if row[f"n{i}"]]
     median = {c: row[f"q{i}"] or 0.0 for i, c in enumerate(features)}
     if holes:
@@ -169,7 +198,7 @@ def preparation_numbers(df: DataFrame, features: Sequence[str], scale: Sequence[
         median.update({c: float(v) if v is not None else 0.0 for c, v in exact.items()})
         if set(holes) & set(scale):
             filled = {c: F.coalesce(x, F.lit(median[c])) for c, x in xs.items()}
-            row.update(df.agg(*[a for pair in moments(filled) for a in pair]).first().asDict())
+            row.update(df.agg(*_moments(features, scale, filled)).first().asDict())
     scaled = {c for i, c in enumerate(features) if c in scale and row.get(f"s{i}")}
     return [(float(median[c]), float(row[f"m{i}"]) if c in scaled else 0.0, float(row[f"s{i}"]) if c in scaled else 1.0)
             for i, c in enumerate(features)]

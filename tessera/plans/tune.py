@@ -30,10 +30,10 @@ from tessera.operators import linear_many as lm
 from tessera.operators import metrics as me
 from tessera.operators import reduce as fr
 from tessera.operators.models import (DEFAULTS, SEARCH_SPACES, build_estimator, check_names, fit_pipeline,
-                                      preparation_numbers, preparation_stage, predict)
+                                      preparation_numbers, preparation_stage, preparations_of_parts, predict)
 from tessera.operators.split import tuning_subsample
 from tessera.plans.config import SVC_TUNING_ROWS
-from tessera.operators.ensemble import StackingModel, VotingModel, member_column
+from tessera.operators.ensemble import LinearScorer, StackingModel, VotingModel, member_column
 from tessera.plans.selection import best_weights, expand_grid, top_n_models, voted, weight_grid
 
 log = logging.getLogger(__name__)
@@ -68,6 +68,12 @@ class Folds:
             self._numbers[key] = preparation_numbers(self.train(without), self.features)
         return self._numbers[key]
 
+    def prepare(self, withouts: Sequence) -> None:
+        """The preparations of several training parts, in shared jobs."""
+        new = [w for w in dict.fromkeys(map(frozenset, withouts)) if w not in self._numbers]
+        if len(new) > 1:
+            self._numbers.update(zip(new, preparations_of_parts(self.df, self.features, self.fold, new)))
+
     def preparation(self, without: tuple):
         return preparation_stage(self.features, self.numbers(without))
 
@@ -127,22 +133,35 @@ def _class_weights(params: dict, n0: float, n1: float) -> tuple[float, float]:
     return 1.0, float(params.get("scale_pos_weight", 1.0))
 
 
+def linear_parts(fd: Folds, withouts: Sequence[Sequence], scored: Sequence) -> list[lm.Part]:
+    """Training parts of ``linear_many`` with the preparation of each."""
+    fd.prepare(withouts)
+    return [lm.Part(tuple(map(str, w)), None if f is None else str(f), *map(np.array, zip(*fd.numbers(tuple(w)))))
+            for w, f in zip(withouts, scored)]
+
+
+def class_counts(table: DataFrame) -> dict:
+    return {(r["fold"], r["y"]): r["count"] for r in table.groupBy("fold", "y").count().collect()}  # folds × classes
+
+
+def class_sizes(counts: dict, part: lm.Part) -> list[int]:
+    """Rows of class 0 and 1 that a part trains on."""
+    return [sum(n for (f, y), n in counts.items() if y == c and f not in part.without) for c in (0, 1)]
+
+
 def linear_oof(fd: Folds, draws: Sequence[tuple], without: Sequence = ()) -> DataFrame:
     """``draw, fold, y, key, p``: out-of-fold probabilities of many logistic regressions
     ((params, reduction) each), every fold scored by the fit on the others.  The
     passes over the rows do not grow with the number of draws."""
     table, d = fd.rows(), len(fd.features)
     folds = [f for f in fd.folds if f not in without]
-    parts = []
-    for f in folds:
-        fill, centre, scale = map(np.array, zip(*fd.numbers((*without, f))))
-        parts.append(lm.Part(tuple(str(x) for x in (*without, f)), str(f), fill, centre, scale))
-    counts = {(r["fold"], r["y"]): r["count"] for r in table.groupBy("fold", "y").count().collect()}  # folds × classes
+    parts = linear_parts(fd, [(*without, f) for f in folds], folds)
+    counts = class_counts(table)
     reduced = any((r or {}).get("method", "none") != "none" for _, r in draws)
     moments = lm.class_moments(table, parts, d) if reduced else [None] * len(parts)
     problems = {}
     for k, part in enumerate(parts):
-        n0, n1 = (sum(n for (f, y), n in counts.items() if y == c and f not in part.without) for c in (0, 1))
+        n0, n1 = class_sizes(counts, part)
         for i, (params, reduction) in enumerate(draws):
             p = {**DEFAULTS["logistic_regression"], **(params or {})}
             w0, w1 = _class_weights(p, n0, n1)
@@ -216,16 +235,47 @@ def summarize(fold_metrics: DataFrame) -> dict:
     return me.aggregate_folds(fold_metrics).first().asDict()
 
 
+def linear_members(fd: Folds, base: Sequence[tuple[str, dict | None]], withouts: Sequence[frozenset]) -> dict:
+    """Logistic regressions and SVCs (with their Platt scaling) of many training parts, all
+    solved together: (part, index in ``base``) → scorer."""
+    table, d = fd.rows(), len(fd.features)
+    parts = linear_parts(fd, [sorted(w) for w in withouts], [None] * len(withouts))
+    counts, problems = class_counts(table), {}
+    for k, part in enumerate(parts):
+        for i, (name, params) in enumerate(base):
+            build_estimator(name, params, 1)  # parameters raise here
+            p, (n0, n1) = {**DEFAULTS[name], **(params or {})}, class_sizes(counts, part)
+            w0, w1 = _class_weights(p, n0, n1)
+            problems[k, i] = lm.Problem(k, float(p["C"]), p.get("penalty") == "l1", w0, w1, np.eye(d), n0 * w0 + n1 * w1,
+                                        hinge=name == "svc")
+    passes = lm.solve(table, parts, list(problems.values()), d)
+    platt = {at: lm.Problem(p.part, np.inf, False, p.weight0, p.weight1, p.beta[:, None], p.n)
+             for at, p in problems.items() if p.hinge}
+    passes += lm.solve(table, parts, list(platt.values()), d)
+    log.info("%d members solved in %d passes", len(problems), passes)
+    return {(withouts[k], i): LinearScorer(fd.preparation(tuple(withouts[k])), platt.get((k, i), p).theta())
+            for (k, i), p in problems.items()}
+
+
 def fit_members(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Sequence[frozenset], seed: int = 13,
                 parallelism: int | None = None) -> dict:
-    """The learners of ``base`` fitted without each set of folds, all submitted from one
-    pool: set → members."""
-    for part in parts:
-        fd.numbers(tuple(part))  # prepared before the fits ask for it at once
-    jobs = [(part, i) for part in parts for i in range(len(base))]
+    """The learners of ``base`` fitted without each set of folds: set → members.
+
+    Linear members of nested parts only score the folds left out: they are solved in
+    shared passes.  All other fits, and those on all folds (the pipelines that are
+    saved), are submitted from one pool."""
+    fd.prepare(parts)
+    together = [i for i, (name, params) in enumerate(base)
+                if name == "logistic_regression" or name == "svc" and "max_iter" not in (params or {})]
+    nested = [part for part in parts if part] if together else []
+    got = {}
+    if nested:
+        solved = linear_members(fd, [base[i] for i in together], nested)
+        got = {(part, together[j]): scorer for (part, j), scorer in solved.items()}
+    jobs = [(part, i) for part in parts for i in range(len(base)) if (part, i) not in got]
     jobs.sort(key=lambda j: base[j[1]][0] not in SLOW_FITS)  # long fits first: none is left to run alone
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs)))) as ex:
-        got = dict(zip(jobs, ex.map(lambda j: fd.fit(tuple(j[0]), *base[j[1]], None, seed), jobs)))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs) or 1))) as ex:
+        got.update(zip(jobs, ex.map(lambda j: fd.fit(tuple(j[0]), *base[j[1]], None, seed), jobs)))
     return {part: [got[part, i] for i in range(len(base))] for part in parts}
 
 

@@ -51,6 +51,50 @@ def test_stack_saves_and_draws_its_c(spark, tmp_path):
         ensemble.VotingModel([1, 2], [1.0])
 
 
+def test_linear_members_of_nested_parts_are_solved_together(spark, monkeypatch):
+    """Only the trees and the saved members are fitted one by one, and the SVC's hinge loss
+    is no higher than that of Spark's own fit."""
+    from pyspark.ml.functions import vector_to_array
+    fd, fits, solved, fit, solve = tune.as_folds(folds(spark), COLS), [], [], tune.Folds.fit, tune.lm.solve
+
+    def fitted(self, without, name, *a):
+        fits.append((name, frozenset(without)))
+        return fit(self, without, name, *a)
+
+    def solving(table, parts, problems, d):
+        solved.append(list(problems))
+        return solve(table, parts, problems, d)
+    monkeypatch.setattr(tune.Folds, "fit", fitted)
+    monkeypatch.setattr(tune.lm, "solve", solving)
+    base = [("logistic_regression", {}), ("svc", {}), ("decision_tree", {"max_depth": 3})]
+    parts = [frozenset(), frozenset({1}), frozenset({0, 2})]
+    members = tune.fit_members(fd, base, parts)
+    assert sorted(fits, key=str) == sorted([(n, parts[0]) for n, _ in base] + [("decision_tree", p) for p in parts[1:]], key=str)
+    svc = next(p for p in solved[0] if p.hinge and p.part == 0)
+    model = fit(fd, (1,), "svc", {})
+    rows = model.transform(fd.train((1,))).select("Churn", vector_to_array("features").alias("x"), "__svc_margin").toPandas()
+    x, side = np.array(rows.x.tolist()), np.where(rows.Churn == 1, 1, -1)
+    w = np.where(rows.Churn == 1, svc.weight1, svc.weight0)
+
+    def loss(beta, margin):
+        return (w * np.maximum(0, 1 - side * margin)).sum() / svc.n + 0.5 * beta @ beta / (svc.c * svc.n)
+    theirs = loss(model.stages[-3].coefficients.toArray(), np.array([v[0] for v in rows["__svc_margin"]]))
+    assert loss(svc.beta, x @ svc.beta + svc.intercept) <= theirs + 1e-4
+    one = {r.customerID: r.p for r in ml.predict(members[parts[1]][1], fd.part(1), ["customerID"]).collect()}
+    two = {r.customerID: r.p for r in ml.predict(model, fd.part(1), ["customerID"]).collect()}
+    assert max(abs(one[k] - two[k]) for k in one) < 0.05 and len(one) == 50
+
+
+def test_parts_are_prepared_together_as_one_by_one(spark):
+    df = folds(spark)
+    whole = df.na.fill(0.5)
+    for frame in (df, whole):
+        sets = [(), (0,), (1, 2)]
+        got = ml.preparations_of_parts(frame, COLS, "fold", sets)
+        want = [ml.preparation_numbers(frame.where(~F.col("fold").isin(list(s))), COLS) for s in sets]
+        assert np.allclose(np.array(got), np.array(want))
+
+
 def test_best_vote_takes_the_best_learners_and_weights(spark):
     df = folds(spark)
     names = ["logistic_regression", "decision_tree", "svc", "knn"]
