@@ -167,45 +167,62 @@ def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[
     return weights.join(auc, "combo")
 
 
-#: Cells (weight vectors × score bins) of one bounding pass; bins of the finest pass at most.
-CELLS, MOST_BINS = 1 << 20, 1 << 16
-#: Levels that a task adds up together.
-LEVELS_AT_ONCE = 1 << 15
+#: Cells (weight vectors × score bins) that a task sums up at a time, and the most bins: beyond
+#: them exact scores cost no more than further bounds.
+CELLS, MOST_BINS = 1 << 20, 1 << 14
+#: Levels that a task adds up together, and that it sorts together for exact scores.
+LEVELS_AT_ONCE, LEVELS_SORTED = 1 << 15, 1 << 18
+#: Levels × vectors that one exact job deals out, and the sampled levels that the edges of its groups come from.
+LEVELS_DEALT, EDGE_ROWS = 1 << 26, 20_000
+
+
+def _levels(batches, k: int, at_once: int):
+    """Scores (a list of arrays, NaN for NULL), negatives and positives of some levels at a time."""
+    def split(held):
+        s = pa.Table.from_batches(held)
+        y, w = s.column(k).to_numpy(), s.column(k + 1).to_numpy().astype(float)
+        return [s.column(j).to_numpy().astype(float) for j in range(k)], np.where(y == 0, w, 0.0), np.where(y == 1, w, 0.0)
+    held, n = [], 0
+    for b in batches:
+        for at in range(0, b.num_rows, at_once):
+            part = b.slice(at, at_once)
+            if held and n + part.num_rows > at_once:
+                yield split(held)
+                held, n = [], 0
+            held, n = [*held, part], n + part.num_rows
+    if n:
+        yield split(held)
 
 
 def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int, y: str = "y") -> np.ndarray:
     """Lower and upper AUC of every weight vector from histograms of its votes.
 
     Levels in different bins are ordered as their bins; within a bin all pairs
-    may be right or wrong.  One pass: a task adds up a histogram per vector, Spark
-    sums them, the driver receives two numbers a vector.
+    may be right or wrong.  A task adds up a histogram per vector, Spark sums them,
+    the driver receives two numbers a vector.  A pass takes as many vectors as ``CELLS``
+    allows, so its memory depends neither on the vectors nor on the bins.
     """
+    step = max(1, CELLS // bins)
+    return np.concatenate([np.empty((0, 2)), *[_auc_bounds(lv, models, grid[i:i + step], bins, y)
+                                               for i in range(0, len(grid), step)]])
+
+
+def _auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int, y: str) -> np.ndarray:
     k, v = len(models), len(grid)
     share = grid / grid.sum(axis=1, keepdims=True)
 
-    def chunks(batches):
-        held, n = [], 0
-        for b in batches:
-            held, n = [*held, b], n + b.num_rows
-            if n >= LEVELS_AT_ONCE:
-                yield pa.Table.from_batches(held)
-                held, n = [], 0
-        if n:
-            yield pa.Table.from_batches(held)
-
     def run(batches):
         total = np.zeros((v, 2 * bins))
-        for s in chunks(batches):
-            x = [s.column(j).to_numpy() for j in range(k)]
-            side = np.where(s.column(k).to_numpy() == 1, bins, 0)
-            w = s.column(k + 1).to_numpy().astype(float)
+        for x, neg, pos in _levels(batches, k, LEVELS_AT_ONCE):
+            side, w = np.where(pos > 0, bins, 0), neg + pos
             for i in range(v):  # one vector at a time: its cells and histogram stay in the cache
                 vote = x[0] * share[i, 0]
                 for j in range(1, k):
                     vote += x[j] * share[i, j]
                 vote *= bins
+                np.fmin(vote, bins - 1, out=vote)  # a vote without a score comes last, as in exact scores
+                np.maximum(vote, 0, out=vote)
                 cell = vote.astype(np.int64)
-                np.clip(cell, 0, bins - 1, out=cell)
                 cell += side
                 total[i] += np.bincount(cell, w, 2 * bins)
         if total.any():
@@ -228,6 +245,81 @@ def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int
     return out
 
 
+def _vote_levels(x: Sequence[np.ndarray], weights: Sequence[int]) -> np.ndarray:
+    """Votes as ``voted`` computes them, bit by bit."""
+    num = 0.0
+    for w, s in zip(weights, x):
+        num = num + w * s
+    return num / float(sum(map(float, weights)))
+
+
+def _added_up(vote: np.ndarray, neg: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct votes in order (NaN last, as one), with their negatives and positives."""
+    order = np.argsort(vote, kind="stable")
+    vote = vote[order]
+    first = np.flatnonzero(np.append(True, (vote[1:] != vote[:-1]) & ~np.isnan(vote[:-1]))) if len(vote) else np.empty(0, int)
+    if not len(first):
+        return vote, neg, pos
+    return vote[first], np.add.reduceat(neg[order], first), np.add.reduceat(pos[order], first)
+
+
+def exact_aucs(lv: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]], y: str = "y") -> list[float | None]:
+    """Exact AUC of every weight vector; None where a class is missing, nothing without a level.
+
+    A task sorts some levels at a time by each vector's votes and adds up equal ones;
+    ranges of votes of a vector (edges from a sample, which decide how evenly levels
+    spread, not the result) meet in one group; the driver receives three numbers a
+    range.  No row per level and vector is made, and a job deals out a bounded number of levels.
+    """
+    k, n = len(models), lv.count()
+    if not n:
+        return []
+    seen = lv.select(*models).sample(min(1.0, EDGE_ROWS / n), 13).limit(2 * EDGE_ROWS).toArrow()
+    seen = [seen.column(j).to_numpy().astype(float) for j in range(k)]
+    ranges = -(-n // LEVELS_SORTED)
+    shares = np.arange(1, ranges) / ranges
+    step, out = max(1, LEVELS_DEALT // n), []
+    for first in range(0, len(grid), step):
+        some = [tuple(map(int, ws)) for ws in grid[first:first + step]]
+        edges = []
+        for ws in some:
+            at = _vote_levels(seen, ws)
+            at = at[~np.isnan(at)]
+            edges.append(np.unique(np.quantile(at, shares, method="lower")) if len(at) and len(shares) else np.empty(0))
+        got = lv.select(*models, F.col(y), "__w").mapInArrow(_sorted_votes(some, edges, k), VOTES_SCHEMA) \
+            .groupBy("k", "b").applyInArrow(_range_pairs, "k int, b int, neg double, pos double, right double").collect()
+        for i in range(len(some)):
+            below = won = positives = 0.0
+            for r in sorted((r for r in got if r["k"] == i), key=lambda r: r["b"]):
+                won += r["right"] + r["pos"] * below
+                below, positives = below + r["neg"], positives + r["pos"]
+            out.append(won / (positives * below) if positives and below else None)
+    return out
+
+
+VOTES_SCHEMA = "k int, b int, vote binary, neg binary, pos binary"
+
+
+def _sorted_votes(grid: Sequence[tuple], edges: Sequence[np.ndarray], k: int):
+    def run(batches):
+        for x, neg, pos in _levels(batches, k, LEVELS_SORTED):
+            for i, ws in enumerate(grid):
+                parts = _added_up(_vote_levels(x, ws), neg, pos)
+                cuts = [0, *np.searchsorted(parts[0], edges[i], side="right").tolist(), len(parts[0])]
+                rows = [(i, b, *[p[lo:hi].tobytes() for p in parts]) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["k", "b", "vote", "neg", "pos"])
+    return run
+
+
+def _range_pairs(t: pa.Table) -> pa.Table:
+    """Negatives and positives of a range of votes, and the pairs in it that are right (ties half)."""
+    _, neg, pos = _added_up(*[np.frombuffer(b"".join(t.column(c).to_pylist())) for c in ("vote", "neg", "pos")])
+    right = float((pos * (np.cumsum(neg) - neg + 0.5 * neg)).sum())
+    return pa.table({"k": t.column("k")[:1], "b": t.column("b")[:1], "neg": [float(neg.sum())], "pos": [float(pos.sum())],
+                     "right": [right]})
+
+
 def best_weights(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequence[int]], y: str = "y",
                  few: float = 0.05) -> dict:
     """TU10: the weight vector with the highest AUC (the first of equals), its exact AUC
@@ -238,18 +330,15 @@ def best_weights(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequen
     bins are at their finest.  What is left is scored exactly, so the result is
     that of the whole grid.  Scores are probabilities.
     """
-    lv = materialize(scores.where(F.col(y).isNotNull()).groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w")))
+    lv = scores.where(F.col(y).isNotNull()).groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w"))
+    # work per level is large: every core gets some
+    lv = materialize(lv.repartition(scores.sparkSession.sparkContext.defaultParallelism))
     left, all_w = np.arange(len(grid)), np.array(grid, float)
     bins = 0
     while len(left) > max(1, few * len(grid)) and bins < MOST_BINS:
-        bins = min(MOST_BINS, max(2 * bins, CELLS // len(left)))
+        bins = min(MOST_BINS, max(4 * bins, CELLS // len(left)))
         b = auc_bounds(lv, models, all_w[left], bins, y)
         left = left[b[:, 1] >= b[:, 0].max() - 1e-9]  # a margin for rounding at the edges of bins
-    edges = edge_values(lv.select(voted(models, [1] * len(models)).alias("p_vote")), ["p_vote"])
-    exact = None
-    for first in range(0, len(left), VECTORS_PER_BATCH):
-        part = _vote_aucs(lv, models, [grid[i] for i in left[first:first + VECTORS_PER_BATCH]], first, y, edges)
-        exact = part if exact is None else exact.unionByName(part)
-    auc = {int(left[r["combo"]]): r["roc_auc"] or 0.0 for r in exact.collect()}  # one row a vector left
+    auc = {i: a or 0.0 for i, a in zip(left.tolist(), exact_aucs(lv, models, [grid[i] for i in left], y))}
     best = min(auc, key=lambda i: (-auc[i], i)) if auc else 0
     return {"combo": best, "weights": dict(zip(models, grid[best])), "roc_auc": auc.get(best), "scored": len(left)}

@@ -147,6 +147,38 @@ def test_vote_bounds_do_not_depend_on_the_levels_added_up_together(spark, monkey
     assert not sel.auc_bounds(lv.limit(0), ["u", "v"], grid, 40).any()
 
 
+def test_exact_votes_equal_the_scored_grid(spark, monkeypatch):
+    """NULL scores come last, rows of a third label count for nothing, ties count half;
+    neither the levels sorted together nor the vectors of a job matter."""
+    rng = random.Random(4)
+    rows = [(rng.choice([0, 1, 0, 1, 2]), rng.choice([None, *[i / 10 for i in range(11)]]), round(rng.random(), 1),
+             rng.randint(1, 4)) for _ in range(400)]
+    lv = spark.createDataFrame(rows, "y int, u double, v double, __w long").repartition(3)
+    grid = sel.weight_grid(["u", "v"], 1, 4)
+    edges = {"p_vote": [0.2, 0.4, 0.6]}
+    want = {r.combo: r.roc_auc for r in sel._vote_aucs(lv, ["u", "v"], grid, 0, "y", edges).collect()}
+    for at_once, dealt in ((1 << 18, 1 << 26), (50, 1)):
+        monkeypatch.setattr(sel, "LEVELS_SORTED", at_once)
+        monkeypatch.setattr(sel, "LEVELS_DEALT", dealt)
+        some = grid if dealt > 1 else grid[:3]
+        assert sel.exact_aucs(lv, ["u", "v"], some) == [want[i] for i in range(len(some))]
+    assert sel.exact_aucs(lv.where("y = 1"), ["u", "v"], grid[:2]) == [None, None]
+    assert sel.exact_aucs(lv.limit(0), ["u", "v"], grid[:2]) == []
+
+
+def test_vectors_that_cannot_be_told_apart_do_not_add_to_the_memory_of_a_task(spark, monkeypatch):
+    """Every score has both labels: all vectors have AUC 0.5, so bounds leave out none."""
+    held, bound = [], sel._auc_bounds
+    monkeypatch.setattr(sel, "CELLS", 64)
+    monkeypatch.setattr(sel, "MOST_BINS", 32)
+    monkeypatch.setattr(sel, "_auc_bounds", lambda lv, m, grid, bins, y: (
+        held.append(len(grid) * bins), bound(lv, m, grid, bins, y))[1])
+    df = spark.createDataFrame([(y, i / 10, (i * 7 % 11) / 10) for i in range(11) for y in (0, 1)], "y int, u double, v double")
+    got = sel.best_weights(df, ["u", "v"], sel.weight_grid(["u", "v"], 1, 3))
+    assert got == {"combo": 0, "weights": {"u": 1, "v": 1}, "roc_auc": 0.5, "scored": 9}
+    assert max(held) <= 64 and len(held) > 2
+
+
 def test_promotion_survives_crashes_and_races(spark, tmp_path):
     root = str(tmp_path / "reg")
 
