@@ -107,9 +107,27 @@ def _blocks(batches, d: int):
                 s.column("y").to_numpy(zero_copy_only=False), x
 
 
-def _sums(table: DataFrame, d: int, block_sums, n_keys: int, width: int) -> np.ndarray:
+class HeldRows:
+    """Rows that a task holds, for problems solved inside it."""
+
+    def __init__(self, y: np.ndarray, x: np.ndarray):
+        self.y, self.x = y, x
+
+    def blocks(self):
+        for i in range(0, len(self.y), BLOCK_ROWS):
+            y = self.y[i:i + BLOCK_ROWS]
+            yield ([""], np.zeros(len(y), np.int64)), y, self.x[i:i + BLOCK_ROWS]
+
+
+def _sums(table: DataFrame | HeldRows, d: int, block_sums, n_keys: int, width: int) -> np.ndarray:
     """``n_keys × width`` sums over all rows of what ``block_sums`` gives for a block:
     one partial table a task, added up per key."""
+    if isinstance(table, HeldRows):
+        total = np.zeros((n_keys, width))
+        for fold, y, x in table.blocks():
+            block_sums(total, fold, y, x)
+        return total
+
     def run(batches):
         total = np.zeros((n_keys, width))
         for _, fold, y, x in _blocks(batches, d):
@@ -299,7 +317,7 @@ def _objective(loss: float, p: Problem, beta: np.ndarray) -> float:
     return loss + (np.abs(beta).sum() if p.l1 else 0.5 * beta @ beta) / (p.c * p.n)
 
 
-def solve(table: DataFrame, parts: Sequence[Part], problems: Sequence[Problem], d: int,
+def solve(table: DataFrame | HeldRows, parts: Sequence[Part], problems: Sequence[Problem], d: int,
           max_passes: int = MAX_PASSES) -> int:
     """Solve all problems in place; returns the number of passes over the rows.
 

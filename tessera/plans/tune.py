@@ -28,6 +28,7 @@ from tessera.session import materialize
 
 from tessera.operators import linear_many as lm
 from tessera.operators import metrics as me
+from tessera.operators import one_task
 from tessera.operators import reduce as fr
 from tessera.operators.models import (DEFAULTS, SEARCH_SPACES, build_estimator, check_names, fit_pipeline,
                                       preparation_numbers, preparation_stage, preparations_of_parts, predict)
@@ -39,7 +40,10 @@ from tessera.plans.selection import best_weights, expand_grid, top_n_models, vot
 log = logging.getLogger(__name__)
 METRIC_NAMES = ("roc_auc", "f1", "precision", "recall", "accuracy")
 MAX_FOLD_THREADS = 10
-SLOW_FITS = ("random_forest", "gradient_boosting", "xgboost", "lightgbm")
+SLOW_FITS = ("random_forest", "xgboost", "lightgbm", "gradient_boosting")
+ROW_ID = "__row"
+# features of a table that one task holds, and pairs of rows that one task compares; beyond that fits are distributed
+ONE_TASK_BYTES, ONE_TASK_PAIRS = 1 << 28, 1 << 32
 # FIXED VALUES: draws of a random search and of a search tuned jointly with the reduction
 N_ITER, N_TRIALS = 50, 30
 
@@ -51,9 +55,10 @@ class Folds:
     def __init__(self, df: DataFrame, features: Sequence[str], label: str = "Churn",
                  key: Sequence[str] = ("customerID",), fold: str = "fold"):
         self.df, self.features, self.label, self.key, self.fold = df, list(features), label, list(key), fold
-        self.folds = [r[0] for r in df.groupBy(fold).count().orderBy(fold).collect()]  # one row a fold
+        self.sizes = {r[0]: r[1] for r in df.groupBy(fold).count().orderBy(fold).collect()}  # one row a fold
+        self.folds = list(self.sizes)
         self._numbers: dict = {}
-        self._rows = None
+        self._rows = self._with_ids = None
 
     def train(self, without: Sequence) -> DataFrame:
         return self.df.where(~F.col(self.fold).isin(list(without)))
@@ -83,6 +88,16 @@ class Folds:
             self._rows = lm.rows_table(self.df, self.features, self.label, self.fold, self.key)
         return self._rows
 
+    def in_one_task(self) -> bool:
+        """Whether a task can hold the features of all rows."""
+        return 8 * len(self.features) * sum(self.sizes.values()) <= ONE_TASK_BYTES
+
+    def with_ids(self) -> DataFrame:
+        """The rows with a number each (``ROW_ID``), written once."""
+        if self._with_ids is None:
+            self._with_ids = materialize(self.df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+        return self._with_ids
+
     def fit(self, without: Sequence, name: str, params: dict | None, reduction: dict | None = None, seed: int = 13):
         return fit_pipeline(self.train(without), self.features, name, params, reduction, self.label, seed,
                             self.preparation(tuple(without)))
@@ -264,6 +279,8 @@ def fit_members(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Seque
     Linear members of nested parts only score the folds left out: they are solved in
     shared passes.  All other fits, and those on all folds (the pipelines that are
     saved), are submitted from one pool."""
+    if not isinstance(fd, Folds):  # fits only, no table to pass over
+        return _fit_one_by_one(fd, base, parts, seed, parallelism, {})
     fd.prepare(parts)
     together = [i for i, (name, params) in enumerate(base)
                 if name == "logistic_regression" or name == "svc" and "max_iter" not in (params or {})]
@@ -272,6 +289,12 @@ def fit_members(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Seque
     if nested:
         solved = linear_members(fd, [base[i] for i in together], nested)
         got = {(part, together[j]): scorer for (part, j), scorer in solved.items()}
+    return _fit_one_by_one(fd, base, parts, seed, parallelism, got)
+
+
+def _fit_one_by_one(fd: Folds, base: Sequence[tuple[str, dict | None]], parts: Sequence[frozenset], seed: int,
+                    parallelism: int | None, got: dict) -> dict:
+    """What ``got`` lacks, submitted from one pool."""
     jobs = [(part, i) for part in parts for i in range(len(base)) if (part, i) not in got]
     jobs.sort(key=lambda j: base[j[1]][0] not in SLOW_FITS)  # long fits first: none is left to run alone
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism or MAX_FOLD_THREADS, len(jobs) or 1))) as ex:
@@ -284,8 +307,11 @@ def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13,
     """Out-of-fold probabilities of several learners side by side, written once: key,
     fold, label and one column per learner (``ensemble.member_column``).  The rows
     of a fold go through the learners fitted on the others (``members``, where
-    they are fitted already) one after the other."""
+    they are fitted already) one after the other; where a task can hold the table, each
+    learner is fitted on the others and scores the fold in a task of its own."""
     folds = [f for f in fd.folds if f not in without]
+    if members is None and fd.in_one_task() and all(one_task.covers(*b) for b in base):
+        return _one_task_oof(fd, base, folds, seed, parallelism, without)
     if members is None:
         members = fit_members(fd, base, [frozenset((*without, f)) for f in folds], seed, parallelism)
     cols = [*fd.key, fd.fold, fd.label, *map(member_column, range(len(base)))]
@@ -299,6 +325,47 @@ def wide_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13,
     return materialize(_union(parts))
 
 
+def _one_task_oof(fd: Folds, base: Sequence[tuple[str, dict | None]], folds: Sequence, seed: int,
+                  parallelism: int | None, without: Sequence) -> DataFrame:
+    """``wide_oof`` with a task for each learner and fold (linear learners of a fold share
+    one), submitted from one pool; scores meet their rows by the number of the row."""
+    for name, params in base:
+        build_estimator(name, params, 1) if name != "knn" else None  # parameters raise here
+    rows, n = fd.with_ids(), sum(fd.sizes.values())
+    parts = dict(zip(folds, linear_parts(fd, [(*without, f) for f in folds], folds)))
+    y = F.col(f"`{fd.label}`").cast("double")
+    head = [F.col(ROW_ID).alias("id"), F.col(f"`{fd.fold}`").cast("string").alias("fold"), y.alias("y")]
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in fd.features]).alias("x")
+    linear = [(i, *b) for i, b in enumerate(base) if b[0] in one_task.LINEAR]
+    jobs = [(f, [(i, *b)]) for f in folds for i, b in enumerate(base) if b[0] not in one_task.LINEAR]
+    jobs += [(f, linear) for f in folds if linear]
+    jobs.sort(key=lambda j: (*SLOW_FITS, j[1][0][1]).index(j[1][0][1]))  # long fits first
+
+    def scored(job):
+        (f, some), more = job, []
+        labelled = rows.where(F.col(f"`{fd.label}`").isNotNull())
+        if some[0][1] == "knn":
+            left_out = sum(fd.sizes[g] for g in without)
+            if fd.sizes[f] * (n - left_out - fd.sizes[f]) > ONE_TASK_PAIRS:
+                model = fit_pipeline(rows.where(~F.col(fd.fold).isin([*without, f])), fd.features, "knn", some[0][2], None,
+                                     fd.label, seed, fd.preparation((*without, f)))
+                return materialize(predict(model, rows.where(F.col(fd.fold) == f), [ROW_ID]).select(
+                    F.col(ROW_ID).alias("id"), F.lit(some[0][0]).alias("member"), "p"))
+            labelled = fd.preparation((*without, f)).transform(labelled)
+            # ties go by the same hash of vector and label as in ``KnnPipeline``
+            more = [F.xxhash64(F.array(*[F.col(f"__x{i}") for i in range(len(fd.features))]), y.cast("int")).alias("rid")]
+        return materialize(labelled.select(*head, x, *more).coalesce(1).mapInArrow(
+            one_task.fit_and_score(some, str(f), parts[f], n, seed), one_task.SCORES))
+
+    # a job of one task each: a union of single partitions may be one partition
+    workers = max(parallelism or MAX_FOLD_THREADS, rows.sparkSession.sparkContext.defaultParallelism)
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as ex:
+        p = _union(list(ex.map(scored, jobs))).groupBy("id").agg(
+            *[F.max(F.when(F.col("member") == i, F.col("p"))).alias(member_column(i)) for i in range(len(base))])
+    kept = rows.select(*[F.col(f"`{c}`") for c in (ROW_ID, *fd.key, fd.fold, fd.label)])
+    return materialize(kept.join(p, kept[ROW_ID] == p["id"]).drop(ROW_ID, "id"))
+
+
 def fold_metrics_of(wide: DataFrame, names: Sequence[str], fd: Folds) -> DataFrame:
     """(model, fold, metrics...) of all learners in ``wide``, in one metrics job."""
     named = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(member_column(i)).alias("p"))
@@ -469,7 +536,9 @@ def fit_voting(df, features: Sequence[str], base: Sequence[tuple[str, dict]], we
                label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13) -> VotingModel:
     """TU10: the members fitted on all rows, voting with ``weights``."""
     fd = as_folds(df, features, label, key, fold)
-    return VotingModel([fd.fit((), n, p, None, seed) for n, p in base], weights)
+    fd.numbers(())
+    with ThreadPoolExecutor(max_workers=max(1, min(len(base), MAX_FOLD_THREADS))) as ex:
+        return VotingModel(list(ex.map(lambda b: fd.fit((), *b, None, seed), base)), weights)
 
 
 def best_vote(df, features: Sequence[str], names: Sequence[str] | None = None, n_members: int = N_MEMBERS,
