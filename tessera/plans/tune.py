@@ -535,10 +535,14 @@ def stacking(df, features: Sequence[str], base: Sequence[tuple[str, dict]], meta
 def fit_voting(df, features: Sequence[str], base: Sequence[tuple[str, dict]], weights: Sequence[float],
                label: str = "Churn", key=("customerID",), fold: str = "fold", seed: int = 13) -> VotingModel:
     """TU10: the members fitted on all rows, voting with ``weights``."""
-    fd = as_folds(df, features, label, key, fold)
-    fd.numbers(())
+    return VotingModel(fit_on_all(as_folds(df, features, label, key, fold), base, seed), weights)
+
+
+def fit_on_all(fd: Folds, base: Sequence[tuple[str, dict | None]], seed: int = 13) -> list:
+    """The learners fitted on all rows, side by side."""
+    fd.numbers(())  # the preparation they share
     with ThreadPoolExecutor(max_workers=max(1, min(len(base), MAX_FOLD_THREADS))) as ex:
-        return VotingModel(list(ex.map(lambda b: fd.fit((), *b, None, seed), base)), weights)
+        return list(ex.map(lambda b: fd.fit((), *b, None, seed), base))
 
 
 def best_vote(df, features: Sequence[str], names: Sequence[str] | None = None, n_members: int = N_MEMBERS,
@@ -552,9 +556,11 @@ def best_vote(df, features: Sequence[str], names: Sequence[str] | None = None, n
     cv = me.aggregate_folds(fold_metrics_of(wide, names, fd), ["model"])
     top = [r["model"] for r in top_n_models(cv, n_members).collect()]
     cols = [member_column(names.index(n)) for n in top]
-    won = best_weights(wide.select(F.col(fd.label).alias("y"), *cols), cols, weight_grid(cols, VOTE_LOW, VOTE_HIGH))
+    with ThreadPoolExecutor(max_workers=1) as ex:  # the members do not wait for their weights
+        members = ex.submit(fit_on_all, fd, [(n, None) for n in top], seed)
+        won = best_weights(wide.select(F.col(fd.label).alias("y"), *cols), cols, weight_grid(cols, VOTE_LOW, VOTE_HIGH))
     weights = [won["weights"][c] for c in cols]
     voted_p = wide.select(F.col(fd.label).alias("y"), fd.fold, voted(cols, weights).alias("p"))
     fm = me.classification_metrics(voted_p, "y", "p", by=[fd.fold]).select(fd.fold, *METRIC_NAMES)
     return {"names": top, "weights": weights, "roc_auc": won["roc_auc"], "fold_metrics": fm,
-            "model": fit_voting(fd, features, [(n, None) for n in top], weights, seed=seed)}
+            "model": VotingModel(members.result(), weights)}
