@@ -169,9 +169,10 @@ def soft_voting_search(scores: DataFrame, models: Sequence[str], grid: Sequence[
 
 #: Cells (weight vectors × score bins) that a task sums up at a time, and the most bins: beyond
 #: them exact scores cost no more than further bounds.
-CELLS, MOST_BINS = 1 << 20, 1 << 14
+CELLS, MOST_BINS = 1 << 20, 1 << 12
 #: Levels that a task adds up together, and that it sorts together for exact scores.
 LEVELS_AT_ONCE, LEVELS_SORTED = 1 << 15, 1 << 18
+LEVELS_A_TASK = 1 << 17
 #: Levels × vectors that one exact job deals out, and the sampled levels that the edges of its groups come from.
 LEVELS_DEALT, EDGE_ROWS = 1 << 26, 20_000
 
@@ -198,7 +199,7 @@ def auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: int
     """Lower and upper AUC of every weight vector from histograms of its votes.
 
     Levels in different bins are ordered as their bins; within a bin all pairs
-    may be right or wrong.  A task adds up a histogram per vector, Spark sums them,
+    may be right or wrong; votes without a score are one level, after all others.  A task adds up a histogram per vector, Spark sums them,
     the driver receives two numbers a vector.  A pass takes as many vectors as ``CELLS``
     allows, so its memory depends neither on the vectors nor on the bins.
     """
@@ -212,19 +213,20 @@ def _auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: in
     share = grid / grid.sum(axis=1, keepdims=True)
 
     def run(batches):
-        total = np.zeros((v, 2 * bins))
+        total = np.zeros((v, 2 * (bins + 1)))
         for x, neg, pos in _levels(batches, k, LEVELS_AT_ONCE):
-            side, w = np.where(pos > 0, bins, 0), neg + pos
+            side, w = np.where(pos > 0, bins + 1, 0), neg + pos
+            none = np.isnan(sum(x))
             for i in range(v):  # one vector at a time: its cells and histogram stay in the cache
                 vote = x[0] * share[i, 0]
                 for j in range(1, k):
                     vote += x[j] * share[i, j]
                 vote *= bins
-                np.fmin(vote, bins - 1, out=vote)  # a vote without a score comes last, as in exact scores
-                np.maximum(vote, 0, out=vote)
+                np.clip(vote, 0, bins - 1, out=vote)
+                vote[none] = bins
                 cell = vote.astype(np.int64)
                 cell += side
-                total[i] += np.bincount(cell, w, 2 * bins)
+                total[i] += np.bincount(cell, w, 2 * (bins + 1))
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(v), pa.int32()), pa.array(
                 list(total), pa.list_(pa.float64()))], ["k", "v"])
@@ -233,12 +235,12 @@ def _auc_bounds(lv: DataFrame, models: Sequence[str], grid: np.ndarray, bins: in
 
     def bounds(batches):
         for b in batches:
-            h = np.array(b.column(1).to_pylist()).reshape(-1, 2, bins)
+            h = np.array(b.column(1).to_pylist()).reshape(-1, 2, bins + 1)
             neg, pos = h[:, 0], h[:, 1]
             pairs = np.maximum(neg.sum(axis=1) * pos.sum(axis=1), 1)
-            low = (pos * (np.cumsum(neg, axis=1) - neg)).sum(axis=1) / pairs
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(low), pa.array(low + (pos * neg).sum(axis=1) / pairs)],
-                                             ["k", "low", "high"])
+            low = ((pos * (np.cumsum(neg, axis=1) - neg)).sum(axis=1) + 0.5 * pos[:, -1] * neg[:, -1]) / pairs
+            open_ = (pos[:, :-1] * neg[:, :-1]).sum(axis=1) / pairs
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(low), pa.array(low + open_)], ["k", "low", "high"])
     out = np.zeros((v, 2))
     for r in sums.select("k", vector_to_array("v").alias("v")).mapInArrow(bounds, "k int, low double, high double").collect():
         out[r["k"]] = r["low"], r["high"]
@@ -331,8 +333,10 @@ def best_weights(scores: DataFrame, models: Sequence[str], grid: Sequence[Sequen
     that of the whole grid.  Scores are probabilities.
     """
     lv = scores.where(F.col(y).isNotNull()).groupBy(y, *models).agg(F.count(F.lit(1)).alias("__w"))
-    # work per level is large: every core gets some
-    lv = materialize(lv.repartition(scores.sparkSession.sparkContext.defaultParallelism))
+    lv = materialize(lv)
+    # work per level is large: every core gets some, but a task of few levels costs more than it does
+    tasks = min(scores.sparkSession.sparkContext.defaultParallelism, -(-lv.count() // LEVELS_A_TASK))
+    lv = materialize(lv.repartition(max(1, tasks)))
     left, all_w = np.arange(len(grid)), np.array(grid, float)
     bins = 0
     while len(left) > max(1, few * len(grid)) and bins < MOST_BINS:

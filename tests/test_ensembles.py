@@ -162,6 +162,8 @@ def test_exact_votes_equal_the_scored_grid(spark, monkeypatch):
         monkeypatch.setattr(sel, "LEVELS_DEALT", dealt)
         some = grid if dealt > 1 else grid[:3]
         assert sel.exact_aucs(lv, ["u", "v"], some) == [want[i] for i in range(len(some))]
+    bounds = sel.auc_bounds(lv, ["u", "v"], np.array(grid, float), 4096)
+    assert all(low - 1e-12 <= want[i] <= high + 1e-12 for i, (low, high) in enumerate(bounds))
     assert sel.exact_aucs(lv.where("y = 1"), ["u", "v"], grid[:2]) == [None, None]
     assert sel.exact_aucs(lv.limit(0), ["u", "v"], grid[:2]) == []
 
